@@ -16,10 +16,10 @@ from offerloom.functions.arrays import (
     tail,
     with_value,
 )
-from offerloom.functions.columns import half_even, map_codes, ratio, uniform, week_ending_sunday, yearmonth
+from offerloom.functions.columns import decrypt, half_even, map_codes, ratio, uniform, week_ending_sunday, yearmonth
 
 __all__ = [
-    "action_mask", "concat_obs", "dot", "half_even", "legal_argmax", "log_softmax", "map_codes", "masked_scores",
+    "action_mask", "concat_obs", "decrypt", "dot", "half_even", "legal_argmax", "log_softmax", "map_codes", "masked_scores",
     "normalize_state", "pad", "pad_mask", "pick", "ratio", "softmax", "softmax_without", "tail", "uniform",
     "week_ending_sunday", "with_value", "yearmonth",
 ]

@@ -48,3 +48,9 @@ def map_codes(c: Column | str, mapping: Mapping) -> Column:
     """Label of a code; NULL when the code is not in the mapping."""
     pairs = [F.lit(x) for item in mapping.items() for x in item]
     return F.element_at(F.create_map(*pairs), _col(c))
+
+
+def decrypt(c: Column | str, key: Column, iv: Column) -> Column:
+    """Text from base64 AES-CBC ciphertext. Key and vector come from the caller's secret store."""
+    data = F.concat(iv.cast("binary"), F.unbase64(_col(c)))
+    return F.aes_decrypt(data, key, F.lit("CBC"), F.lit("DEFAULT")).cast("string")
