@@ -215,7 +215,7 @@ def b17(spark, base):
     """Names are encrypted with a key of their segment first; the vector is kept apart from the text."""
     key, iv = F.substring(F.md5("c_mktsegment"), 1, 16), F.substring(F.md5("c_name"), 1, 16)
     whole = F.aes_encrypt("c_name", key, F.lit("CBC"), F.lit("DEFAULT"), iv.cast("binary"))
-    stored = A.load(spark, "customer", base).withColumn("cipher", F.base64(F.substring(whole, 17, 1_000_000)))
+    stored = A.load(spark, "customer", base).withColumn("cipher", F.base64(F.substring(whole, F.lit(17), F.length(whole))))
     return stored.select("c_custkey", decrypt("cipher", key, iv).alias("c_name"))
 
 

@@ -131,3 +131,25 @@ LINE_OFFERS = {
         "success": "sms_enrolled = 1 OR gan_activation_sent = 1",
     },
 }
+
+
+def state_sql(keep: str = "last", n: int = 100, source: str = "tokens") -> str:
+    """CTE ``state`` over a token CTE."""
+    cut = f"list_slice(arr, greatest(len(arr) - {n - 1}, 1), len(arr))" if keep == "last" else f"list_slice(arr, 1, {n})"
+    return f"""daily AS (
+    SELECT enterprise_id, date, list(token ORDER BY date_time, token_name) AS ids,
+           list(token_name ORDER BY date_time, token_name) AS names, count(*) AS size FROM {source} GROUP BY 1, 2
+), cumulated AS (
+    SELECT enterprise_id, date, size, CAST(sum(size) OVER w AS BIGINT) AS cum_size,
+           flatten(list(ids) OVER w) AS ids, flatten(list(names) OVER w) AS names,
+           row_number() OVER (PARTITION BY enterprise_id ORDER BY date DESC) AS back
+    FROM daily WINDOW w AS (PARTITION BY enterprise_id ORDER BY date ROWS UNBOUNDED PRECEDING)
+), state AS (
+    SELECT enterprise_id, date, size, cum_size, CAST(back = 1 AS INT) AS current_record,
+           {cut.replace('arr', 'ids')} AS ids, {cut.replace('arr', 'names')} AS names
+    FROM cumulated
+)"""
+
+
+# State of purchases only, so that many events fall on days without a state row.
+PURCHASE_STATE = f"""{FEATURES}, {VOCAB}, bought AS (SELECT * FROM tokens WHERE token_name LIKE 'purchase%'), {state_sql(source='bought')}"""
