@@ -87,6 +87,19 @@ def encode_states_joined(df: DataFrame, vectors: DataFrame, keys: list[str], tok
     )
 
 
+def is_rectangular(df: DataFrame, col: str) -> DataFrame:
+    """1 if all arrays of the column have one length, with the shortest and the longest."""
+    sizes = df.agg(F.min(F.size(col)).alias("shortest"), F.max(F.size(col)).alias("longest"))
+    return sizes.withColumn("rectangular", F.when(F.col("shortest") == F.col("longest"), 1).otherwise(0))
+
+
+def pad_to_longest(df: DataFrame, col: str, token: int = 0) -> DataFrame:
+    """Arrays filled on the right to the longest length of the column."""
+    longest = df.agg(F.max(F.size(col))).scalar()
+    filled = F.concat(F.col(col), F.array_repeat(F.lit(token), F.col("_n") - F.size(col)))
+    return df.withColumn("_n", longest).withColumn(col, filled).drop("_n")
+
+
 def fit_state_embedding(df: DataFrame, dim: int, state: str = "state", seed: int = 42, min_count: int = 1,
                         iters: int = 3) -> tuple[DataFrame, DataFrame]:
     """Token vectors and state vectors fitted on token sequences. Returns ``(vectors, states)``.

@@ -73,15 +73,24 @@ def assemble_episodes_stream(messages: DataFrame, idle: str = "1 hour") -> DataF
             return
         t, action, reward = state.get if state.exists else (0, 0, 0.0)
         latest, done = None, False
-        rows = pd.concat(list(batches)).sort_values("time", kind="stable")
+        rows = pd.concat(list(batches)).sort_values("time", kind="stable").reset_index(drop=True)
         if len(rows):
+            # A message with done = 1 closes an episode; the next one of the session opens another.
+            episode = rows["done"].shift(fill_value=0).cumsum()
+            steps = rows.groupby(episode)
+            first = episode == 0
             out = rows[["session", "time", "action", "reward"]].copy()
-            out["t"] = range(t, t + len(rows))
-            out["prev_action"] = [action, *rows["action"].iloc[:-1]]
-            out["prev_reward"] = [reward, *rows["reward"].iloc[:-1]]
-            out["dones"] = rows["done"].to_numpy()
-            t, action, reward = t + len(rows), int(rows["action"].iloc[-1]), float(rows["reward"].iloc[-1])
-            latest, done = rows["time"].iloc[-1], bool(rows["done"].iloc[-1])
+            out["t"] = steps.cumcount() + first * t
+            out["prev_action"] = steps["action"].shift()
+            out["prev_reward"] = steps["reward"].shift()
+            opening = out["prev_action"].isna()
+            out.loc[opening, "prev_action"] = first[opening] * action
+            out.loc[opening, "prev_reward"] = first[opening] * reward
+            out["prev_action"] = out["prev_action"].astype(int)
+            out["dones"] = rows["done"]
+            last = out.iloc[-1]
+            t, action, reward = int(last["t"]) + 1, int(last["action"]), float(last["reward"])
+            latest, done = last["time"], bool(last["dones"])
             yield out[["session", "t", "time", "action", "reward", "prev_action", "prev_reward", "dones"]]
         if done:
             state.remove()
