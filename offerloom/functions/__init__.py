@@ -8,6 +8,7 @@ from offerloom.functions.arrays import (
     log_softmax,
     masked_scores,
     normalize_state,
+    number_matrix,
     pad,
     pad_mask,
     pick,
@@ -20,6 +21,6 @@ from offerloom.functions.columns import decrypt, half_even, map_codes, ratio, un
 
 __all__ = [
     "action_mask", "concat_obs", "decrypt", "dot", "half_even", "legal_argmax", "log_softmax", "map_codes", "masked_scores",
-    "normalize_state", "pad", "pad_mask", "pick", "ratio", "softmax", "softmax_without", "tail", "uniform",
+    "normalize_state", "number_matrix", "pad", "pad_mask", "pick", "ratio", "softmax", "softmax_without", "tail", "uniform",
     "week_ending_sunday", "with_value", "yearmonth",
 ]

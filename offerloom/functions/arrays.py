@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -93,6 +93,11 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+def number_matrix(rows: Iterable[Iterable[float]]) -> Column:
+    """Constant array of arrays: model parameters of a fixed, small size."""
+    return F.expr("array(" + ", ".join("array(" + ", ".join(f"{float(x)!r}D" for x in row) + ")" for row in rows) + ")")
+
+
 def masked_scores(scores: Column, mask: Column) -> Column:
     """Scores where the mask allows the action, NULL where it does not."""
     return F.zip_with(scores, mask, lambda s, m: F.when(m == 1, s))

@@ -10,7 +10,6 @@ import pandas as pd
 from pyspark.ml.feature import Word2Vec
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from offerloom.session import cut_lineage
 
@@ -124,6 +123,21 @@ def extend_embedding(old: DataFrame, vocab: DataFrame, dim: int) -> DataFrame:
     )
 
 
+SCORED_TOKENS = "array<struct<score:double,token_name:string>>"
+
+
+def _top_tokens(matrix: np.ndarray, names: np.ndarray, k: int):
+    """The k best products of a vector with the rows of one slice of the token table."""
+    @F.pandas_udf(SCORED_TOKENS)
+    def top(batch: pd.Series) -> pd.Series:
+        def one(v):
+            scores = matrix @ np.asarray(v)
+            return [{"score": float(scores[i]), "token_name": str(names[i])} for i in np.argsort(-scores, kind="stable")[:k]]
+        return batch.map(one)
+
+    return top
+
+
 def decode_tokens(df: DataFrame, vectors: DataFrame, k: int, key: str, vector: str = "vector",
                   slice_bytes: int = MODEL_BYTES) -> DataFrame:
     """The ``k`` tokens whose vectors have the largest product with each state vector.
@@ -133,24 +147,12 @@ def decode_tokens(df: DataFrame, vectors: DataFrame, k: int, key: str, vector: s
     """
     shape = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
     slices = max(1, -(-(shape["n"] * (shape["d"] or 1) * 8) // slice_bytes))
-    best: Column = F.array().cast("array<struct<score:double,token_name:string>>")
-    kind = T.ArrayType(T.StructType([
-        T.StructField("score", T.DoubleType()), T.StructField("token_name", T.StringType()),
-    ]))
+    best: Column = F.array().cast(SCORED_TOKENS)
     for s in range(slices):
         part = vectors.filter(F.pmod(F.xxhash64("token_name"), F.lit(slices)) == s).orderBy("token_name").toPandas()
         if part.empty:
             continue
-        matrix, names = np.stack(part["vector"].to_numpy()), part["token_name"].to_numpy()
-
-        def top(batch: pd.Series, matrix=matrix, names=names) -> pd.Series:
-            def one(v):
-                scores = matrix @ np.asarray(v)
-                order = np.argsort(-scores, kind="stable")[:k]
-                return [{"score": float(scores[i]), "token_name": str(names[i])} for i in order]
-            return batch.map(one)
-
-        scored = F.pandas_udf(top, kind)(F.col(vector))
+        scored = _top_tokens(np.stack(part["vector"].to_numpy()), part["token_name"].to_numpy(), k)(F.col(vector))
         best = F.slice(F.sort_array(F.concat(best, scored), asc=False), 1, k)
     return df.select(key, F.col(vector), best.alias("best")).select(
         key, F.transform("best", lambda b: b["token_name"]).alias("tokens"),

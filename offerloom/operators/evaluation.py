@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.fixed_values import GAMMA
-from offerloom.functions import dot, ratio
+from offerloom.functions import dot, number_matrix, ratio, with_value
 from offerloom.operators.blocks import STEP_BLOCK, running_sums
 from offerloom.session import cut_lineage
 
@@ -134,8 +134,8 @@ def _interaction(obs: str, action: str, n_actions: int) -> Column:
 
 def q_of(obs: Column, weights: Sequence[Sequence[float]]) -> Column:
     """q-values of all actions for linear weights ``(bias, w...)`` per action."""
-    rows = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in weights])
-    return F.transform(rows, lambda w: dot(w, F.concat(F.array(F.lit(1.0)), obs)))
+    rows = number_matrix(weights)
+    return with_value(F.concat(F.array(F.lit(1.0)), obs), lambda o: F.transform(rows, lambda w: dot(w, o)))
 
 
 def fitted_q(

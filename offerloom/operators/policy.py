@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from offerloom.fixed_values import (
     ACTION_SPACE, CHANCE_OF_NO_ACTION, EPSILON, NO_ACTION, SENTINEL_LOGIT, STATE_MAX_LEN,
 )
 from offerloom.functions import (
-    action_mask, dot, legal_argmax, masked_scores, pick, softmax_without, tail, uniform, with_value,
+    action_mask, dot, legal_argmax, masked_scores, number_matrix, pick, softmax_without, tail, uniform, with_value,
 )
 
 REQUEST_SCHEMA = """
@@ -114,21 +115,15 @@ class LinearPolicy:
         return self.actions @ self.weights, self.actions @ self.bias
 
 
-def _literal(values: np.ndarray) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
 def linear_q(obs: Column, policy: LinearPolicy) -> Column:
     """q-values of all actions as one array expression."""
     matrix, offset = policy.folded()
-    rows = F.array(*[F.struct(_literal(m).alias("w"), F.lit(float(b)).alias("b")) for m, b in zip(matrix, offset)])
-    return with_value(obs, lambda o: F.transform(rows, lambda r: dot(r["w"], o) + r["b"]))
+    rows = number_matrix(np.column_stack([offset, matrix]))
+    return with_value(F.concat(F.array(F.lit(1.0)), obs), lambda o: F.transform(rows, lambda w: dot(w, o)))
 
 
 def network_q(obs: Column, layers: list[tuple[np.ndarray, np.ndarray]], actions: np.ndarray) -> Column:
     """q-values of a tanh network, by Arrow batches. Layers are ``(weights (out, in), bias)``."""
-    import pandas as pd
-
     @F.pandas_udf("array<double>")
     def forward(batch: pd.Series) -> pd.Series:
         if batch.empty:

@@ -1 +1,168 @@
-"""stub"""
+"""K: policy scoring and state vectors."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from offerloom.operators import embedding as M
+from offerloom.operators import policy as P
+from offerloom.operators import sampling as N
+from offerloom.operators import state as S
+from offerloom.operators.vocabulary import build_vocabulary
+from offerloom.queries.expressions import REQUESTS
+from offerloom.queries.joins import features, tokens
+from offerloom.queries.registry import FEATURES, VOCAB, joined, query, state_sql, u
+from offerloom.queries.sources import ACTIONS
+from offerloom.sources import adapters as A
+
+DIM = 8
+
+
+def policy(obs: int = 64, hidden: int = 4, actions: int = 12) -> P.LinearPolicy:
+    h, j, a = np.arange(hidden), np.arange(obs), np.arange(actions)
+    return P.LinearPolicy(
+        weights=((h[:, None] * 5 + j[None, :] * 3) % 7 - 3) / 10.0,
+        bias=h / 10.0,
+        actions=((a[:, None] * 4 + h[None, :]) % 5 - 2) / 5.0,
+    )
+
+
+SCORED = """v AS (
+    SELECT vec_id AS id, embedding::DOUBLE[] AS obs, list_transform(range(12), lambda i: CAST((vec_id + i) % 3 > 0 AS INT)) AS mask FROM embeddings
+), hid AS (
+    SELECT id, mask, list_transform(range(4), lambda h: list_sum(list_transform(range(64), lambda j: ((h * 5 + j * 3) % 7 - 3) / 10::DOUBLE * obs[j + 1])) + h / 10::DOUBLE) AS z FROM v
+), qs AS (
+    SELECT id, mask, list_transform(range(12), lambda a: list_sum(list_transform(range(4), lambda h: ((a * 4 + h) % 5 - 2) / 5::DOUBLE * z[h + 1]))) AS q FROM hid
+), legal AS (
+    SELECT id, list_transform(q, lambda x, i: CASE WHEN mask[i] = 1 THEN x END) AS q FROM qs
+), scored AS (
+    SELECT id, list_position(q, list_max(q)) - 1 AS action,
+           1 / list_sum(list_transform(q, lambda x: coalesce(exp(x - list_max(q)), 0))) AS p FROM legal
+)"""
+
+
+@query("k1_score_policy", f"""
+    WITH {SCORED} SELECT id, CAST(action AS INT) AS action, round(p, 6) AS action_prob, round(ln(p), 6) AS action_logp FROM scored""")
+def k1(spark, base):
+    rows = A.scores(spark, base).withColumn("q_values", P.linear_q(F.col("obs"), policy()))
+    return shown_scores(rows)
+
+
+def shown_scores(rows):
+    return P.score_policy(rows).select(
+        "id", "action", F.round("action_prob", 6).alias("action_prob"), F.round("action_logp", 6).alias("action_logp")
+    )
+
+
+@query("k1_score_policy_network", f"""
+    WITH {SCORED} SELECT id, CAST(action AS INT) AS action, round(p, 6) AS action_prob, round(ln(p), 6) AS action_logp FROM scored""")
+def k1_network(spark, base):
+    """The general form in Arrow batches, here with the one linear layer of the query before."""
+    p = policy()
+    rows = A.scores(spark, base).withColumn("q_values", P.network_q(F.col("obs"), [(p.weights, p.bias)], p.actions))
+    return shown_scores(rows)
+
+
+def encoder(size: int, length: int = 100, dim: int = DIM, out: int = 4) -> M.EncoderWeights:
+    """Weights of a fixed seed for a dictionary of the given size."""
+    rng = np.random.default_rng(size)
+    table = rng.normal(size=(size, dim))
+    table[0] = 0
+    return M.EncoderWeights(
+        table, rng.normal(size=(dim, dim)) / dim, rng.normal(size=(dim, 2 * dim)) / dim, rng.normal(size=length) / length, 0.1,
+        rng.normal(size=(out, dim)), rng.normal(size=out),
+    )
+
+
+@query("k2_encode_states")
+def k2(spark, base):
+    """Attention encoding of every current state."""
+    current = S.flag_current(S.state_history(tokens(spark, base))).filter("current_record = 1")
+    size = build_vocabulary(features(spark, base)).count() + 1
+    rows = current.withColumn("vector", M.encode_states(encoder(size), F.col("state_tokenized")))
+    return rows.select("enterprise_id", *[F.round(F.get("vector", F.lit(i)), 6).alias(f"v{i}") for i in range(4)])
+
+
+def vectors(spark, base):
+    """Token vectors by a formula of the id."""
+    vocab = build_vocabulary(features(spark, base))
+    return vocab.withColumn(
+        "vector", F.transform(F.sequence(F.lit(1), F.lit(DIM)), lambda j: F.sin(F.col("token") * j))
+    )
+
+
+MEANS = f"""{FEATURES}, {VOCAB}, {state_sql()}, long AS (
+    SELECT enterprise_id, unnest(ids) AS token FROM state WHERE current_record = 1
+), means AS (
+    SELECT enterprise_id, j, avg(sin((token * j)::DOUBLE)) AS m FROM long, (SELECT unnest(range(1, 9)) AS j) GROUP BY 1, 2
+)"""
+
+
+@query("k2_encode_states_joined", f"""
+    WITH {MEANS} SELECT enterprise_id, j - 1 AS i, round(m, 6) AS m FROM means""")
+def k2_joined(spark, base):
+    """Mean token vector by joins, for a dictionary of any size."""
+    rows = mean_states(spark, base).select("enterprise_id", F.posexplode("vector").alias("i", "m"))
+    return rows.select("enterprise_id", F.col("i").cast("bigint").alias("i"), F.round("m", 6).alias("m"))
+
+
+def mean_states(spark, base):
+    current = S.flag_current(S.state_history(tokens(spark, base))).filter("current_record = 1")
+    return M.encode_states_joined(current, vectors(spark, base).select("token", "vector"), ["enterprise_id"])
+
+
+@query("k3_split3_by_key", f"""
+    WITH s AS (SELECT user_id, CASE WHEN {u('user_id', 42)} >= 0.8 THEN 'test' WHEN {u('user_id', '42-val')} >= 0.8 THEN 'val' ELSE 'train' END AS split FROM events)
+    SELECT split, count(DISTINCT user_id) AS keys, count(*) AS rows FROM s GROUP BY 1""")
+def k3(spark, base):
+    return N.split_sizes(N.split3_by_key(A.load(spark, "events", base).select("user_id"), "user_id"), "user_id")
+
+
+@query("k4_fit_embedding")
+def k4(spark, base):
+    """Length of the fitted vector of every token."""
+    states = S.session_state(S.select_sessions(A.sessions(spark, base), A.AS_OF)).select("enterprise_id", "state")
+    fitted, _ = M.fit_state_embedding(states, DIM)
+    return fitted.select("token_name", F.size("vector").alias("dim"))
+
+
+@query("k5_extend_embedding", f"""
+    WITH {FEATURES}, {VOCAB}
+    SELECT token_name, token, CASE WHEN token_name LIKE 'view%' OR token_name LIKE 'click%' THEN round(sin(token::DOUBLE), 6) ELSE 0 END AS first
+    FROM (SELECT token_name, CAST(token AS INT) AS token FROM vocab)""")
+def k5(spark, base):
+    """Tokens of views and clicks have vectors, the others start at zero."""
+    vocab = build_vocabulary(features(spark, base))
+    old = vectors(spark, base).filter("token_name like 'view%' or token_name like 'click%'").select("token_name", "vector")
+    rows = M.extend_embedding(old, vocab, DIM)
+    return rows.select("token_name", "token", F.round(F.get("vector", F.lit(0)), 6).alias("first"))
+
+
+@query("k6_decode_tokens", f"""
+    WITH {MEANS}, d AS (
+        SELECT enterprise_id, v.token_name, sum(m * sin((v.token * j)::DOUBLE)) AS score FROM means, vocab v GROUP BY 1, 2
+    ), r AS (SELECT *, row_number() OVER (PARTITION BY enterprise_id ORDER BY score DESC) AS rk FROM d)
+    SELECT enterprise_id, string_agg(token_name, ',' ORDER BY rk) AS tokens, round(max(score), 5) AS best FROM r WHERE rk <= 3 GROUP BY 1""")
+def k6(spark, base):
+    rows = M.decode_tokens(mean_states(spark, base), vectors(spark, base), 3, "enterprise_id")
+    return rows.select("enterprise_id", joined("tokens").alias("tokens"), F.round(F.get("scores", F.lit(0)), 5).alias("best"))
+
+
+@query("k7_cold_start", f"""
+    WITH {REQUESTS}, {ACTIONS}, whole AS (SELECT list(name ORDER BY action_id) AS names FROM (SELECT DISTINCT action_id, name FROM actions)),
+    m AS (SELECT event_id, app_name, k, names, list_transform(names, lambda n: CAST(n = 'none' OR list_contains(flags, n) AS INT)) AS mask
+          FROM requests, whole WHERE app_name <> 'fax'),
+    l AS (SELECT *, list_filter(range(27), lambda i: mask[i + 1] = 1) AS legal FROM m)
+    SELECT event_id, array_to_string(mask, ',') AS mask,
+           names[legal[CAST(floor({u('event_id', '3-pick')} * len(legal)) AS INT) + 1] + 1] AS name,
+           CAST(k = 99 AS INT) AS failed FROM l""")
+def k7(spark, base):
+    known = P.parse_requests(A.requests(spark, base)).filter("error is null")
+    rows = P.cold_start(known, P.action_space(spark), 3, "event_id")
+    return rows.select(
+        "event_id", joined("mask").alias("mask"), F.get("names", F.col("action")).alias("name"),
+        F.when(F.col("error").isNotNull(), 1).otherwise(0).alias("failed"),
+    )
+
+

@@ -1 +1,167 @@
-"""stub"""
+"""T: stream jobs, run over all there is and read back from their sinks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from offerloom.operators import policy as P
+from offerloom.queries.functions import MASKS
+from offerloom.queries.joins import purchase_state
+from offerloom.queries.registry import DECISIONS, K, PURCHASE_STATE, query, text, u
+from offerloom.queries.sources import write_log
+from offerloom.session import scratch_path
+from offerloom.sources import adapters as A
+from offerloom.sources import tables as S
+from offerloom.streaming import streams as Z
+
+
+def events(spark, base):
+    schema = A.load(spark, "events", base).schema
+    return Z.event_stream(spark, base, schema, pathGlobFilter="events.parquet")
+
+
+def decisions(spark, base):
+    return events(spark, base).select(
+        F.when(F.col("event_type").isin("view", "click"), "ivr").otherwise("spec-pat").alias("app"),
+        F.col("user_id").alias("enterprise_id"), F.col("ts").cast("timestamp").alias("time"),
+    )
+
+
+def drained(spark, name, df):
+    """Run a stream to its end and read its sink."""
+    out = scratch_path(spark, name)
+    Z.write_stream(df, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/data")
+
+
+@query("t1_event_stream", "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
+def t1(spark, base):
+    rows = drained(spark, "t1", events(spark, base))
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@query("t2_stream_sink", "SELECT event_id, user_id, value FROM events")
+def t2(spark, base):
+    """The stream is started twice on one checkpoint: the second start finds nothing new."""
+    out = scratch_path(spark, "t2")
+    for _ in range(2):
+        rows = events(spark, base).select("event_id", "user_id", "value")
+        Z.write_stream(rows, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/data")
+
+
+def size_scores(tokens):
+    """Scores by the length of the state: a stand-in for a model that SQL can repeat."""
+    n = F.size(tokens)
+    return F.transform(F.sequence(F.lit(0), F.lit(18)), lambda i: F.pmod(n * 7 + i * 13, F.lit(17)) / F.lit(10.0))
+
+
+DECIDED = f"""{PURCHASE_STATE}, {MASKS}, ids AS (
+    SELECT app AS app_name, list(action_id ORDER BY position) AS action_ids FROM actions GROUP BY 1
+), asked AS (
+    SELECT m.*, i.action_ids, CASE WHEN is_ivr THEN 'c' || event_id WHEN app_name = 'spec-pat' THEN 's' || event_id END AS session_id,
+           coalesce(len(s.ids), 1) AS n,
+           CASE WHEN m.app LIKE '%-test%' AND k % 10 = 0 THEN flags[1] END AS override
+    FROM masks m LEFT JOIN ids i USING (app_name) LEFT JOIN state s ON s.enterprise_id = m.user_id AND s.current_record = 1
+), suppressed AS (
+    SELECT *, CASE WHEN list_sum(mask) > 1 AND {u('session_id', '7-none')} > 0.1 THEN list_concat([0], mask[2:]) ELSE mask END AS legal FROM asked
+), scored AS (
+    SELECT *, list_transform(legal, lambda m, i: CASE WHEN m = 1 THEN ((n * 7 + (i - 1) * 13) % 17) / 10::DOUBLE END) AS q,
+           list_filter(range(len(legal)), lambda i: legal[i + 1] = 1) AS positions FROM suppressed
+), chosen AS (
+    SELECT *, CASE WHEN {u('session_id', '7-eps')} < 0.1 THEN positions[CAST(floor({u('session_id', '7-pick')} * len(positions)) AS INT) + 1]
+                   ELSE list_position(q, list_max(q)) - 1 END AS a FROM scored
+), decided AS (
+    SELECT *, app_name = 'fax' OR k = 99 AS failed,
+           exp(q[a + 1] - list_max(q)) / list_sum(list_transform(q, lambda x: coalesce(exp(x - list_max(q)), 0))) AS p FROM chosen
+)"""
+
+
+@query("t3_decide_stream", f"""
+    WITH {DECIDED}
+    SELECT event_id, app, CASE WHEN failed THEN 0 ELSE action_ids[a + 1] END AS action_id,
+           CASE WHEN failed THEN 'none' ELSE coalesce(override, names[a + 1]) END AS action_name,
+           CASE WHEN failed THEN -1 ELSE round(p, 6) END AS action_prob, CAST(failed AS INT) AS failed
+    FROM decided""")
+def t3(spark, base):
+    out = scratch_path(spark, "t3")
+    decide_all(spark, base, out)
+    rows = spark.read.parquet(f"{out}/decisions")
+    return rows.select(
+        "event_id", "app", "action_id", "action_name", F.coalesce(F.round("action_prob", 6), F.lit(-1.0)).alias("action_prob"),
+        F.when(F.col("error").isNotNull(), 1).otherwise(0).alias("failed"),
+    )
+
+
+def decide_all(spark, base, out):
+    """Requests arrive as a stream of message files."""
+    S.overwrite(A.requests(spark, base), f"{out}/requests")
+    requests = Z.event_stream(spark, f"{out}/requests", "event_id bigint, time timestamp, message string")
+    state = purchase_state(spark, base).filter("current_record = 1").select(
+        F.col("enterprise_id").cast("string").alias("raw_id"), "enterprise_id", "state_tokenized", "state"
+    )
+    Z.decide_stream(
+        requests, state, P.action_space(spark), size_scores, f"{out}/decisions", f"{out}/errors", f"{out}/checkpoint"
+    ).awaitTermination()
+
+
+@query("t3_decision_errors", f"""
+    SELECT CASE event_type WHEN 'error' THEN 'invalid app: fax' ELSE 'eligible action not in the action space' END AS error, count(*) AS n
+    FROM events WHERE event_type = 'error' OR {K} = 99 GROUP BY 1""")
+def t3_errors(spark, base):
+    out = scratch_path(spark, "t3e")
+    decide_all(spark, base, out)
+    return spark.read.parquet(f"{out}/errors").groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("t4_assemble_episodes", f"""
+    WITH m AS (SELECT user_id, ts, {K} % 12 AS action, value AS reward, CAST(event_type = 'signup' AND {K} >= 80 AS INT) AS done FROM events),
+    s AS (SELECT *, sum(done) OVER (PARTITION BY user_id ORDER BY ts) - done AS ep FROM m)
+    SELECT CAST(user_id AS VARCHAR) AS session, CAST(epoch_us(ts) AS BIGINT) AS ts_us, row_number() OVER w - 1 AS t, action, reward,
+           lag(action, 1, 0) OVER w AS prev_action, lag(reward, 1, 0) OVER w AS prev_reward, done AS dones
+    FROM s WINDOW w AS (PARTITION BY user_id, ep ORDER BY ts)""")
+def t4(spark, base):
+    k = A.k_of()
+    messages = events(spark, base).select(
+        F.col("user_id").cast("string").alias("session"), F.col("ts").cast("timestamp").alias("time"),
+        F.pmod(k, F.lit(12)).alias("action"), F.col("value").alias("reward"),
+        F.when((F.col("event_type") == "signup") & (k >= 80), 1).otherwise(0).alias("done"),
+    ).withWatermark("time", "1 hour")
+    rows = drained(spark, "t4", Z.assemble_episodes_stream(messages, idle="2 days"))
+    return rows.select(
+        "session", F.unix_micros("time").alias("ts_us"), "t", "action", "reward", "prev_action", "prev_reward", "dones"
+    )
+
+
+@query("t5_sessionize_stream", """
+    WITH g AS (SELECT user_id, ts, CAST(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOURS AS INT) AS same FROM events),
+    s AS (SELECT user_id, ts, sum(1 - coalesce(same, 0)) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM g),
+    a AS (SELECT user_id, min(ts) AS lo, max(ts) + INTERVAL 6 HOURS AS hi, count(*) AS events FROM s GROUP BY user_id, sid)
+    SELECT user_id AS enterprise_id, CAST(epoch_us(lo) AS BIGINT) AS start_us, CAST(epoch_us(hi) AS BIGINT) AS end_us, events
+    FROM a WHERE hi <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 1 HOUR""")
+def t5(spark, base):
+    """Sessions still open at the last watermark have not been emitted."""
+    rows = drained(spark, "t5", Z.sessionize_stream(decisions(spark, base), "6 hours"))
+    return rows.select(
+        "enterprise_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "events"
+    )
+
+
+@query("t6_ingest_stream", f"""
+    SELECT 'good' AS part, CAST(ts::DATE AS VARCHAR) AS date, count(*) AS n FROM events WHERE {K} <> 99 GROUP BY 2
+    UNION ALL SELECT 'bad', CAST(ts::DATE AS VARCHAR), count(*) FROM events WHERE {K} = 99 GROUP BY 2""")
+def t6(spark, base):
+    src, out = write_log(spark, base, scratch_path(spark, "t6")), scratch_path(spark, "t6")
+    Z.ingest_stream(spark, src, f"{out}/log", f"{out}/bad", f"{out}/checkpoint").awaitTermination()
+    good = spark.read.parquet(f"{out}/log").select(F.lit("good").alias("part"), F.col("partition_field").alias("date"))
+    bad = spark.read.parquet(f"{out}/bad").select(F.lit("bad").alias("part"), F.col("file_date").alias("date"))
+    return good.unionByName(bad).groupBy("part", text("date")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("t7_volume_stream", f"""
+    WITH {DECISIONS}
+    SELECT app, CAST(time::DATE AS VARCHAR) AS date, count(*) AS volume FROM decisions
+    WHERE time::DATE + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1, 2""")
+def t7(spark, base):
+    """Days that the watermark has passed."""
+    return drained(spark, "t7", Z.volume_stream(decisions(spark, base))).select("app", text("date"), "volume")
