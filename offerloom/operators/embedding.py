@@ -71,19 +71,28 @@ def encode_states(weights: EncoderWeights, c: Column, batch: int = 64) -> Column
     return encode(c)
 
 
+def _scaled(x: Column) -> Column:
+    return F.transform(x["vector"], lambda y: y * x["n"])
+
+
 def encode_states_joined(df: DataFrame, vectors: DataFrame, keys: list[str], tokens: str = "state_tokenized") -> DataFrame:
     """Mean token vector of each state by joins alone, for token tables of any size.
 
-    ``vectors`` has ``token, vector``. The mean is taken per vector position, combined map-side.
+    ``vectors`` has ``token, vector``.
     """
-    exploded = df.select(*keys, F.explode(tokens).alias("token")).groupBy(*keys, "token").agg(
-        F.count(F.lit(1)).alias("_n")
+    counts = df.select(*keys, F.explode(tokens).alias("token")).groupBy(*keys, "token").agg(
+        F.count(F.lit(1)).alias("n")
     )
-    parts = exploded.join(vectors, "token").select(*keys, "_n", F.posexplode("vector").alias("_i", "_x"))
-    means = parts.groupBy(*keys, "_i").agg((F.sum(F.col("_x") * F.col("_n")) / F.sum("_n")).alias("_m"))
-    return means.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_i", "_m"))).alias("_v")).select(
-        *keys, F.col("_v._m").alias("vector")
+    # A state has a bounded number of tokens, so its list of vectors is bounded too.
+    lists = counts.join(vectors, "token").groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("token", "n", "vector"))).alias("_v"), F.sum("n").alias("_n")
     )
+    total = F.aggregate(
+        F.slice("_v", 2, F.size("_v")), _scaled(F.get("_v", F.lit(0))),
+        lambda acc, x: F.zip_with(acc, _scaled(x), lambda a, b: a + b),
+    )
+    mean = F.transform(total, lambda t: t / F.col("_n"))
+    return lists.filter("_n > 0").select(*keys, mean.alias("vector"))
 
 
 def is_rectangular(df: DataFrame, col: str) -> DataFrame:
@@ -126,35 +135,36 @@ def extend_embedding(old: DataFrame, vocab: DataFrame, dim: int) -> DataFrame:
 SCORED_TOKENS = "array<struct<score:double,token_name:string>>"
 
 
-def _top_tokens(matrix: np.ndarray, names: np.ndarray, k: int):
-    """The k best products of a vector with the rows of one slice of the token table."""
-    @F.pandas_udf(SCORED_TOKENS)
-    def top(batch: pd.Series) -> pd.Series:
-        def one(v):
-            scores = matrix @ np.asarray(v)
-            return [{"score": float(scores[i]), "token_name": str(names[i])} for i in np.argsort(-scores, kind="stable")[:k]]
-        return batch.map(one)
+def _keep_best(matrix: np.ndarray, names: np.ndarray, k: int):
+    """Score one slice of the token table and keep the best ``k`` of it and of what was there."""
+    def one(vector, best):
+        scores = matrix @ np.asarray(vector)
+        top = np.argsort(-scores, kind="stable")[:k]
+        found = [{"score": float(scores[i]), "token_name": str(names[i])} for i in top]
+        return sorted([*best, *found], key=lambda b: (-b["score"], b["token_name"]))[:k]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            yield rows.assign(best=[one(v, b) for v, b in zip(rows["vector"], rows["best"])])
 
-    return top
+    return run
 
 
-def decode_tokens(df: DataFrame, vectors: DataFrame, k: int, key: str, vector: str = "vector",
-                  slice_bytes: int = MODEL_BYTES) -> DataFrame:
-    """The ``k`` tokens whose vectors have the largest product with each state vector.
+def decode_tokens(df: DataFrame, vectors: DataFrame, k: int, key: str, slice_bytes: int = MODEL_BYTES) -> DataFrame:
+    """The ``k`` tokens whose vectors have the largest product with the ``vector`` of each state.
 
     The token table is cut into slices of a checked size; each slice is scored in Arrow batches and the
     best ``k`` so far are merged per row. One slice is enough for a dictionary of ordinary size.
     """
     shape = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
     slices = max(1, -(-(shape["n"] * (shape["d"] or 1) * 8) // slice_bytes))
-    best: Column = F.array().cast(SCORED_TOKENS)
+    rows = df.select(key, "vector").withColumn("best", F.array().cast(SCORED_TOKENS))
     for s in range(slices):
         part = vectors.filter(F.pmod(F.xxhash64("token_name"), F.lit(slices)) == s).orderBy("token_name").toPandas()
-        if part.empty:
-            continue
-        scored = _top_tokens(np.stack(part["vector"].to_numpy()), part["token_name"].to_numpy(), k)(F.col(vector))
-        best = F.slice(F.sort_array(F.concat(best, scored), asc=False), 1, k)
-    return df.select(key, F.col(vector), best.alias("best")).select(
+        if len(part):
+            step = _keep_best(np.stack(part["vector"].to_numpy()), part["token_name"].to_numpy(), k)
+            rows = rows.mapInPandas(step, rows.schema)
+    return rows.select(
         key, F.transform("best", lambda b: b["token_name"]).alias("tokens"),
         F.transform("best", lambda b: b["score"]).alias("scores"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -24,35 +25,21 @@ REQUEST_SCHEMA = """
 """
 
 
-def action_space(spark: SparkSession, spec: Mapping[str, Mapping[int, str]] = ACTION_SPACE) -> DataFrame:
-    """``(app, position, action_id, name)``: actions of each application and the common ones, by id."""
-    rows = []
-    for app in spec:
-        if app != "common":
-            merged = {**spec.get("common", {}), **spec[app]}
-            rows += [(app, pos, i, merged[i]) for pos, i in enumerate(sorted(merged))]
-    return spark.createDataFrame(rows, "app string, position int, action_id int, name string")
+def app_actions(spec: Mapping[str, Mapping[int, str]] = ACTION_SPACE) -> dict[str, dict[int, str]]:
+    """Actions of each application, the common ones included, by id."""
+    apps = [a for a in spec if a != "common"]
+    return {a: dict(sorted({**spec.get("common", {}), **spec[a]}.items())) for a in apps}
 
 
-def action_arrays(actions: DataFrame) -> DataFrame:
-    """One row per application: its ids and names in position order."""
-    return (
-        actions.groupBy("app")
-        .agg(F.sort_array(F.collect_list(F.struct("position", "action_id", "name"))).alias("_a"))
-        .select(F.col("app").alias("app_name"), F.col("_a.action_id").alias("action_ids"), F.col("_a.name").alias("names"))
-    )
+def action_space(spark: SparkSession, spec: Mapping[str, Mapping[int, str]] = ACTION_SPACE) -> DataFrame:
+    """``(app, position, action_id, name)`` as a table."""
+    rows = [(app, pos, i, n) for app, acts in app_actions(spec).items() for pos, (i, n) in enumerate(acts.items())]
+    return spark.createDataFrame(rows, "app string, position int, action_id int, name string")
 
 
-def cold_start_arrays(actions: DataFrame) -> DataFrame:
-    """As :func:`action_arrays`, but every application sees the whole action space, and knows its own part."""
-    whole = actions.select("action_id", "name").distinct().agg(
-        F.sort_array(F.collect_list(F.struct("action_id", "name"))).alias("_all")
-    )
-    own = actions.groupBy(F.col("app").alias("app_name")).agg(F.collect_set("name").alias("own_names"))
-    everything = whole.select("_all").scalar()
-    return own.withColumn("_all", everything).select(
-        "app_name", F.col("_all.action_id").alias("action_ids"), F.col("_all.name").alias("names"), "own_names"
-    )
+def _by_app(values: Mapping[str, list], kind: str) -> Column:
+    """Constant per application, NULL for an unknown one. Part of the plan, so no join is needed."""
+    return F.element_at(F.from_json(F.lit(json.dumps(values)), f"map<string, array<{kind}>>"), F.col("app_name"))
 
 
 def parse_requests(df: DataFrame, message: str = "message") -> DataFrame:
@@ -80,13 +67,24 @@ def apply_priority(df: DataFrame) -> DataFrame:
     return df.withColumn("override", F.when(asked, F.get("flags", F.col("priority"))))
 
 
-def with_action_mask(df: DataFrame, arrays: DataFrame) -> DataFrame:
-    """Legal actions of each request; 'none' is always eligible, an unknown name is an ``error``."""
-    joined = df.join(arrays, "app_name", "left")
+def with_action_mask(
+    df: DataFrame, spec: Mapping[str, Mapping[int, str]] = ACTION_SPACE, cold_start: bool = False
+) -> DataFrame:
+    """``action_ids, names, mask`` of each request; 'none' is always eligible, an unknown name is an ``error``.
+
+    With ``cold_start`` the mask covers the whole action space, still allowing the application's own actions only.
+    """
+    own = app_actions(spec)
+    whole = dict(sorted(pair for acts in own.values() for pair in acts.items()))
+    shown = {app: whole for app in own} if cold_start else own
     eligible = F.array_union(F.array(F.lit(NO_ACTION)), F.col("flags"))
-    known = F.col("own_names") if "own_names" in arrays.columns else F.col("names")
+    known = _by_app({app: list(acts.values()) for app, acts in own.items()}, "string")
     unknown = F.size(F.array_except(eligible, known)) > 0
-    return joined.withColumn("mask", action_mask(F.col("names"), eligible)).withColumn(
+    listed = df.withColumns({
+        "action_ids": _by_app({app: list(acts) for app, acts in shown.items()}, "int"),
+        "names": _by_app({app: list(acts.values()) for app, acts in shown.items()}, "string"),
+    })
+    return listed.withColumn("mask", action_mask(F.col("names"), eligible)).withColumn(
         "error", F.coalesce("error", F.when(unknown, F.lit("eligible action not in the action space")))
     )
 
@@ -190,9 +188,11 @@ def sample_actions(df: DataFrame, n: int, seed: int | str, *keys: str, logits: s
     return df.withColumn("actions", F.concat(F.array("action"), F.transform(ranked, lambda s: s["a"])))
 
 
-def cold_start(df: DataFrame, actions: DataFrame, seed: int | str, *keys: str) -> DataFrame:
+def cold_start(
+    df: DataFrame, seed: int | str, *keys: str, spec: Mapping[str, Mapping[int, str]] = ACTION_SPACE
+) -> DataFrame:
     """No model yet: whole action space, own legal actions, a uniform draw among them."""
-    masked = with_action_mask(df, cold_start_arrays(actions))
+    masked = with_action_mask(df, spec, cold_start=True)
     return explore(masked.withColumn("action", F.lit(None).cast("int")), seed, *keys, epsilon=1.0)
 
 
@@ -202,8 +202,8 @@ def legal_logits(q: Column, mask: Column) -> Column:
 
 
 def decide(
-    requests: DataFrame, state: DataFrame, actions: DataFrame, q_values, seed: int = 7,
-    epsilon: float = EPSILON, chance: float = CHANCE_OF_NO_ACTION, implementation: str = "offerloom",
+    requests: DataFrame, state: DataFrame, q_values, spec: Mapping[str, Mapping[int, str]] = ACTION_SPACE,
+    seed: int = 7, epsilon: float = EPSILON, chance: float = CHANCE_OF_NO_ACTION, implementation: str = "offerloom",
 ) -> DataFrame:
     """Requests to decisions. ``q_values`` maps the token array column to the scores of the widest action space.
 
@@ -211,7 +211,7 @@ def decide(
     gets action 'none' and keeps its message; the others carry all that the decision log needs.
     """
     asked = apply_priority(parse_requests(requests))
-    masked = suppress_none(with_action_mask(asked, action_arrays(actions)), f"{seed}-none", "session_id", chance=chance)
+    masked = suppress_none(with_action_mask(asked, spec), f"{seed}-none", "session_id", chance=chance)
     known = masked.join(state, "raw_id", "left").withColumns({
         "raw_state": tail(F.coalesce("state_tokenized", F.array(F.lit(0))), STATE_MAX_LEN),
         "raw_state_str": F.concat(

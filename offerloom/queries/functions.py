@@ -115,7 +115,7 @@ MASKS = f"""{REQUESTS}, {ACTIONS}, names AS (
            CASE WHEN app_name = 'fax' THEN 'invalid app: fax' WHEN k = 99 THEN 'eligible action not in the action space' ELSE '-' END AS error
     FROM masks""")
 def s8(spark, base):
-    rows = P.with_action_mask(P.parse_requests(A.requests(spark, base)), P.action_arrays(P.action_space(spark)))
+    rows = P.with_action_mask(P.parse_requests(A.requests(spark, base)))
     return rows.select(
         "event_id", F.coalesce(joined("mask"), F.lit("-")).alias("mask"), F.coalesce("error", F.lit("-")).alias("error")
     )

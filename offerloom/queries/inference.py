@@ -159,7 +159,7 @@ def k6(spark, base):
            CAST(k = 99 AS INT) AS failed FROM l""")
 def k7(spark, base):
     known = P.parse_requests(A.requests(spark, base)).filter("error is null")
-    rows = P.cold_start(known, P.action_space(spark), 3, "event_id")
+    rows = P.cold_start(known, 3, "event_id")
     return rows.select(
         "event_id", joined("mask").alias("mask"), F.get("names", F.col("action")).alias("name"),
         F.when(F.col("error").isNotNull(), 1).otherwise(0).alias("failed"),

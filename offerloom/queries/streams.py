@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from offerloom.operators import policy as P
 from offerloom.queries.functions import MASKS
 from offerloom.queries.joins import purchase_state
 from offerloom.queries.registry import DECISIONS, K, PURCHASE_STATE, query, text, u
@@ -101,7 +100,7 @@ def decide_all(spark, base, out):
         F.col("enterprise_id").cast("string").alias("raw_id"), "enterprise_id", "state_tokenized", "state"
     )
     Z.decide_stream(
-        requests, state, P.action_space(spark), size_scores, f"{out}/decisions", f"{out}/errors", f"{out}/checkpoint"
+        requests, state, size_scores, f"{out}/decisions", f"{out}/errors", f"{out}/checkpoint"
     ).awaitTermination()
 
 

@@ -26,6 +26,24 @@ def build_session(app: str = "offerloom", cores: str = "*", shuffle_partitions:
     )
 
 
+# Runtime settings that the operators rely on: times are UTC, and a join on a hot key is split
+# even when the rows have to be shuffled again afterwards.
+RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply :data:`RUNTIME` to a session that was built elsewhere."""
+    for key, value in RUNTIME.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The reliable checkpoint folder of the session.
 

@@ -8,13 +8,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offerloom.session import configure
+
 AS_OF = "2024-01-31"
 
 
 def load(spark: SparkSession, name: str, base: str | None = None) -> DataFrame:
     """A table by catalog name, or a parquet folder below ``base``."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    configure(spark)
     return spark.table(name) if base is None else spark.read.parquet(f"{base}/{name}.parquet")
 
 

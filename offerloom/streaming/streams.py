@@ -15,7 +15,10 @@ from offerloom.sources.decision_log import CORRUPT, LOG_WITH_ERRORS, file_date,
 
 
 def event_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options) -> DataFrame:
-    """Stream of a folder from its start. ``fmt`` and options may name any installed source."""
+    """Stream of a folder from its start. ``fmt`` and options may name any installed source.
+
+    ``maxFilesPerTrigger`` (or the like of another source) bounds what one micro-batch holds.
+    """
     reader = spark.readStream.format(fmt).options(**options)
     return reader.load() if fmt == "kafka" else reader.schema(schema).load(path)
 
@@ -63,7 +66,8 @@ def assemble_episodes_stream(messages: DataFrame, idle: str = "1 hour") -> DataF
     """Steps of each session in order of arrival batch and time, with the action and reward before.
 
     ``messages`` has ``session, time, action, reward, done``. Only a counter and the last action and reward are
-    kept per session; a session ends with ``done`` or when it stays idle past the watermark.
+    kept per session; a session ends with ``done`` or when it stays idle past the watermark. The messages of a
+    session within one micro-batch are ordered in memory: bound the batch at the source.
     """
     idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
 
@@ -106,13 +110,13 @@ def assemble_episodes_stream(messages: DataFrame, idle: str = "1 hour") -> DataF
 
 
 def decide_stream(
-    requests: DataFrame, state: DataFrame, actions: DataFrame, q_values, decisions: str, errors: str, checkpoint: str, **kw
+    requests: DataFrame, state: DataFrame, q_values, decisions: str, errors: str, checkpoint: str, **kw
 ) -> StreamingQuery:
     """Decide each request; decisions go to the log folder, failed ones also to the error folder."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         # A batch writes folders of its own, so a repeated batch replaces itself.
         out = f"{decisions}/batch_id={batch_id}"
-        decide(batch, state, actions, q_values, **kw).write.mode("overwrite").parquet(out)
+        decide(batch, state, q_values, **kw).write.mode("overwrite").parquet(out)
         failed = batch.sparkSession.read.parquet(out).filter("error is not null").select("error", "input", "time")
         failed.write.mode("overwrite").parquet(f"{errors}/batch_id={batch_id}")
 
