@@ -145,7 +145,8 @@ def fitted_q(
     """Fitted-Q iteration with a linear model per action. Returns the weights and the training error per round.
 
     ``df`` has ``obs, action, n_return, n_obs, n_done, n_mask``. The target is the n-step return plus the
-    discounted best legal value ``n`` steps on. Only the coefficients come back to the driver.
+    discounted best legal value ``n`` steps on. Only the coefficients come back to the driver. ``reg`` is a ridge
+    penalty in the terms of Spark's regression, that is, for a label of unit spread.
     """
     steps = cut_lineage(
         df.select("obs", "action", "n_return", "n_obs", "n_done", "n_mask",
