@@ -114,7 +114,9 @@ def legal_argmax(scores: Column, mask: Column) -> Column:
 
 def action_mask(names: Column, eligible: Column) -> Column:
     """0/1 per action position: is its name among the eligible names?"""
-    return F.transform(names, lambda n: F.when(F.array_contains(eligible, n), 1).otherwise(0))
+    return with_value(
+        eligible, lambda e: F.transform(names, lambda n: F.when(F.array_contains(e, n), 1).otherwise(0))
+    )
 
 
 def concat_obs(mask: Column, obs: Column) -> Column:

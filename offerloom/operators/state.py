@@ -91,9 +91,10 @@ def state_history(tokens: DataFrame, max_len: int = STATE_MAX_LEN, keep: str = "
     cum = F.sum("size").over(by_day.rowsBetween(Window.unboundedPreceding, 0))
     days = days.withColumn("cum_size", cum)
     if keep == "last":
-        # Every day row has at least one token, so max_len rows always suffice.
-        recent = F.collect_list("_day").over(by_day.rowsBetween(-(max_len - 1), 0))
-        days = days.withColumn("_all", tail(F.flatten(recent), max_len))
+        # Exactly the days whose last token is among the newest max_len: the frame runs over token counts,
+        # which grow with the date, so it never gathers more than two states' worth of tokens.
+        by_count = Window.partitionBy("enterprise_id").orderBy("cum_size").rangeBetween(-(max_len - 1), 0)
+        days = days.withColumn("_all", tail(F.flatten(F.collect_list("_day").over(by_count)), max_len))
     else:
         # The state of a day is a prefix of the entity's first max_len tokens.
         whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -118,8 +119,8 @@ def flag_current(state: DataFrame) -> DataFrame:
 def session_state(sessions: DataFrame, max_len: int = STATE_MAX_LEN) -> DataFrame:
     """All sessions of an entity in one sequence: its newest ``max_len`` tokens and the original length.
 
-    The count is a plain aggregate; only the newest sessions are collected. A session with tokens adds at
-    least one, so ``max_len`` of them are enough, and the hour-wise ranking bounds what one task sorts.
+    Sessions are ranked and counted per hour, which bounds what one task sorts, and only those that still fit
+    in the state are collected; then the newest hours are joined in the same way.
     """
     cols = ["date", "date_time", "_events", "_tokens"]
     filled = sessions.filter(F.size("events") > 0).select(
@@ -128,11 +129,11 @@ def session_state(sessions: DataFrame, max_len: int = STATE_MAX_LEN) -> DataFram
         F.size("events").cast("bigint").alias("_n"), hour_block("date_time").alias("_hour"),
     )
     in_hour = Window.partitionBy("enterprise_id", "_hour")
-    newest = [F.col(c).desc() for c in cols]
+    newest = in_hour.orderBy(*[F.col(c).desc() for c in cols]).rowsBetween(Window.unboundedPreceding, -1)
     hourly = (
-        filled.withColumn("_rank", F.row_number().over(in_hour.orderBy(*newest)))
+        filled.withColumn("_newer", F.coalesce(F.sum("_n").over(newest), F.lit(0)))
         .withColumn("_hour_n", F.sum("_n").over(in_hour))
-        .filter(F.col("_rank") <= max_len)
+        .filter(F.col("_newer") < max_len)
         .groupBy("enterprise_id", "_hour")
         .agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("_list"), F.max("_hour_n").alias("_n"))
         .select(

@@ -152,16 +152,16 @@ def k6(spark, base):
 @query("k7_cold_start", f"""
     WITH {REQUESTS}, {ACTIONS}, whole AS (SELECT list(name ORDER BY action_id) AS names FROM (SELECT DISTINCT action_id, name FROM actions)),
     m AS (SELECT event_id, app_name, k, names, list_transform(names, lambda n: CAST(n = 'none' OR list_contains(flags, n) AS INT)) AS mask
-          FROM requests, whole WHERE app_name <> 'fax'),
+          FROM requests, whole),
     l AS (SELECT *, list_filter(range(27), lambda i: mask[i + 1] = 1) AS legal FROM m)
-    SELECT event_id, array_to_string(mask, ',') AS mask,
-           names[legal[CAST(floor({u('event_id', '3-pick')} * len(legal)) AS INT) + 1] + 1] AS name,
-           CAST(k = 99 AS INT) AS failed FROM l""")
+    SELECT event_id, CASE WHEN app_name = 'fax' THEN '-' ELSE array_to_string(mask, ',') END AS mask,
+           CASE WHEN app_name = 'fax' THEN '-' ELSE names[legal[CAST(floor({u('event_id', '3-pick')} * len(legal)) AS INT) + 1] + 1] END AS name,
+           CAST(k = 99 OR app_name = 'fax' AS INT) AS failed FROM l""")
 def k7(spark, base):
-    known = P.parse_requests(A.requests(spark, base)).filter("error is null")
-    rows = P.cold_start(known, 3, "event_id")
+    rows = P.cold_start(P.parse_requests(A.requests(spark, base)), 3, "event_id")
     return rows.select(
-        "event_id", joined("mask").alias("mask"), F.get("names", F.col("action")).alias("name"),
+        "event_id", F.coalesce(joined("mask"), F.lit("-")).alias("mask"),
+        F.coalesce(F.get("names", F.col("action")), F.lit("-")).alias("name"),
         F.when(F.col("error").isNotNull(), 1).otherwise(0).alias("failed"),
     )
 

@@ -210,8 +210,8 @@ def i1(spark, base):
 
 def evaluable(spark, base):
     """Steps with the probability of a policy close to the logged one, and model values."""
-    k = A.k_of()
-    raw = A.load(spark, "events", base).select(
+    k = F.col("k")
+    raw = A.load(spark, "events", base).withColumn("k", A.k_of()).select(
         F.col("user_id").alias("eps_id"), F.col("ts").cast("timestamp").alias("time"), "event_id", F.col("value").alias("reward"),
         ((F.pmod(k, F.lit(7)) + 2) / F.lit(10.0)).alias("p_b"),
         F.when((k == 99) & (F.col("event_type") == "error"), 0.0)

@@ -155,9 +155,9 @@ def report(spark: SparkSession, base: str) -> DataFrame:
 
 def decisions(spark: SparkSession, base: str) -> DataFrame:
     """Events as logged decisions of one step."""
-    k = k_of()
+    k = F.col("k")
     prob = (F.pmod(k, F.lit(7)) + 2) / F.lit(10.0)
-    return load(spark, "events", base).select(
+    return load(spark, "events", base).withColumn("k", k_of()).select(
         F.when(F.col("event_type").isin("view", "click"), "ivr").otherwise("spec-pat").alias("app"),
         F.concat(F.lit("impl-"), F.col("event_type")).alias("implementation"),
         F.col("user_id").alias("enterprise_id"),
@@ -196,7 +196,7 @@ def metric_history(spark: SparkSession, base: str) -> DataFrame:
 
 def requests(spark: SparkSession, base: str) -> DataFrame:
     """Events as request messages: JSON text per event."""
-    k = k_of()
+    k = F.col("k")
     ivr = F.array(F.lit("autorefill"), F.lit("sms"), F.lit("renewal"), F.lit("refill"), F.lit("orderstatus"))
     web = F.array(F.lit("creditcard"), F.lit("osp_smf"), F.lit("osp_commpref"), F.lit("orderstatus"))
     is_ivr = F.col("event_type").isin("view", "click")
@@ -221,6 +221,6 @@ def requests(spark: SparkSession, base: str) -> DataFrame:
         F.when(F.pmod(k, F.lit(10)) == 0, F.lit(0)).alias("priorityaction"),
     )
     message = F.struct(app.alias("app"), body.alias("app_data"))
-    return load(spark, "events", base).select(
+    return load(spark, "events", base).withColumn("k", k_of()).select(
         "event_id", F.col("ts").cast("timestamp").alias("time"), F.to_json(message).alias("message")
     )

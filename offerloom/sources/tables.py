@@ -63,8 +63,12 @@ def export_json(df: DataFrame, path: str) -> None:
 
 
 def cluster_by(df: DataFrame, col: str, n: int) -> DataFrame:
-    """Range clustering by one column, so that a point lookup opens few files."""
-    return df.repartitionByRange(n, col).sortWithinPartitions(col)
+    """Range clustering by one column, so that a point lookup opens few files.
+
+    Ties are broken by a hash of the row: a value of many rows gets several files instead of one huge one.
+    """
+    hashable = [f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+    return df.repartitionByRange(n, F.col(col), F.xxhash64(*hashable)).sortWithinPartitions(col)
 
 
 def table_extent(df: DataFrame, col: str) -> DataFrame:
