@@ -30,7 +30,7 @@ def repeat_penalty(
     if not lo > hi >= 1:
         raise ValueError("lo must exceed hi, and hi must be at least one day")
     day = F.unix_date(F.col("date_time").cast("date"))
-    times = calls.select("enterprise_id", "date_time").distinct().withColumn("_day", day)
+    times = calls.select("enterprise_id", "date_time", day.alias("_day"))
     by_day = Window.partitionBy("enterprise_id").orderBy("_day")
     between = F.max("_day").over(by_day.rangeBetween(-lo + 1, -hi - 1)) if lo - hi > 1 else F.lit(None).cast("int")
     days = (
@@ -50,8 +50,10 @@ def repeat_penalty(
         | (F.unix_micros("_last_lo") >= t - lo * day_us)
         | (F.unix_micros("_first_hi") <= t - hi * day_us)
     )
+    # Distinct over the day as well, which the partitioning of the join already serves.
     return (
         times.join(days, ["enterprise_id", "_day"]).filter(repeat)
+        .select("enterprise_id", "_day", "date_time").distinct()
         .select("enterprise_id", "date_time", F.lit(penalty).alias("reward_value"))
     )
 
@@ -63,25 +65,26 @@ def future_events(df: DataFrame, future: DataFrame, key: str, guid: str, time: s
     are put in the time order of the key, and one running count serves them all, so the work is linear and
     no pair of rows is ever formed.
     """
-    arrivals = future.groupBy(key, F.col(time).alias("_x")).agg(F.count(F.lit(1)).alias("_n")).select(
-        key, "_x", F.lit(0).alias("_kind"), "_n", F.lit(0).alias("_sign"),
-        F.lit(None).cast(df.schema[guid].dataType).alias(guid), F.lit(None).cast("timestamp").alias(time),
+    none = F.lit(None)
+    arrivals = future.select(
+        key, F.col(time).alias("_x"), F.lit(0).alias("_kind"), F.lit(1).alias("_n"), none.cast("int").alias("_end"),
+        none.cast(df.schema[guid].dataType).alias(guid), none.cast("timestamp").alias(time),
     )
     ends = F.array(
-        F.struct(F.col(time).alias("_x"), F.lit(-1).alias("_sign")),
-        F.struct((F.col(time) + F.make_interval(days=F.lit(days))).alias("_x"), F.lit(1).alias("_sign")),
+        F.struct(F.col(time).alias("_x"), F.lit(0).alias("_end")),
+        F.struct((F.col(time) + F.make_interval(days=F.lit(days))).alias("_x"), F.lit(1).alias("_end")),
     )
-    points = df.select(key, guid, time).distinct().withColumn("_p", F.explode(ends)).select(
-        key, "_p._x", F.lit(1).alias("_kind"), F.lit(0).cast("bigint").alias("_n"), "_p._sign", guid, time
+    points = df.withColumn("_p", F.explode(ends)).select(
+        key, "_p._x", F.lit(1).alias("_kind"), F.lit(0).alias("_n"), "_p._end", guid, time
     )
     counted = running_sums(
         arrivals.unionByName(points), [key], hour_block("_x"), [F.col("_x"), F.col("_kind")], {"_upto": F.col("_n")}
     )
-    return (
-        counted.filter("_kind = 1")
-        .groupBy(key, guid, time)
-        .agg(F.sum(F.col("_sign") * F.col("_upto")).cast("bigint").alias("calls"))
-    )
+
+    def upto(end: int):
+        return F.max(F.when(F.col("_end") == end, F.col("_upto")))
+
+    return counted.filter("_kind = 1").groupBy(key, guid, time).agg((upto(1) - upto(0)).alias("calls"))
 
 
 def session_totals(df: DataFrame) -> DataFrame:

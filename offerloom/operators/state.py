@@ -184,22 +184,22 @@ def attach_state(events: DataFrame, state: DataFrame) -> DataFrame:
 def attach_state_asof(events: DataFrame, state: DataFrame) -> DataFrame:
     """Events with the newest state of their day or before; NULL if there is none yet.
 
-    The look-back runs over distinct (entity, day) pairs only; events meet the result in one equi-join.
+    The look-back runs over state rows and distinct event days of an entity, both bounded by the calendar;
+    events meet the result in one equi-join. ``state`` is read once.
     """
-    days = (
-        state.select("enterprise_id", "date", F.col("date").alias("_state_date"))
-        .unionByName(events.select("enterprise_id", "date", F.lit(None).cast("date").alias("_state_date")).distinct())
-        .groupBy("enterprise_id", "date")
-        .agg(F.max("_state_date").alias("_state_date"))
+    known = F.struct(F.col("date").alias("state_date"), "state_tokenized")
+    states = state.select("enterprise_id", "date", F.lit(0).alias("_asked"), known.alias("_s"))
+    asked = events.select("enterprise_id", "date").distinct().select(
+        "enterprise_id", "date", F.lit(1).alias("_asked"), F.lit(None).cast(states.schema["_s"].dataType).alias("_s")
     )
-    back = Window.partitionBy("enterprise_id").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    asof = days.withColumn("_state_date", F.last("_state_date", ignorenulls=True).over(back))
-    values = state.select("enterprise_id", F.col("date").alias("_state_date"), "state_tokenized")
-    found = asof.join(values, ["enterprise_id", "_state_date"])
-    return events.join(
-        found.select("enterprise_id", "date", F.col("_state_date").alias("state_date"), "state_tokenized"),
-        ["enterprise_id", "date"], "left",
+    back = Window.partitionBy("enterprise_id").orderBy("date", "_asked").rowsBetween(Window.unboundedPreceding, 0)
+    asof = (
+        states.unionByName(asked)
+        .withColumn("_s", F.last("_s", ignorenulls=True).over(back))
+        .filter("_asked = 1")
+        .select("enterprise_id", "date", "_s.state_date", "_s.state_tokenized")
     )
+    return events.join(asof, ["enterprise_id", "date"], "left")
 
 
 def attach_current_state(requests: DataFrame, state: DataFrame, key: str = "enterprise_id") -> DataFrame:

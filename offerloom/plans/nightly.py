@@ -90,10 +90,9 @@ def episode_job(spark: SparkSession, root: str, encode, min_len: int = 1) -> Non
     log = spark.read.parquet(f"{root}/decisions").filter("enterprise_id is not null")
     steps = E.steps_with_rewards(log, rewards)
     known = S.attach_state_asof(steps, T.read_table(spark, f"{root}/state")).filter("state_tokenized is not null")
-    numbered = E.with_steps(known, "enterprise_id", "time", "implementation", "action")
-    long_enough = E.min_episode_length(numbered, "enterprise_id", min_len)
-    encoded = long_enough.withColumn("obs", encode(F.col("state_tokenized"))).drop("state_tokenized")
-    episodes = E.with_next(encoded.fillna(0, ["rewards"]), "enterprise_id", ["obs"])
-    T.overwrite(E.with_dense_id(episodes, "enterprise_id"), f"{root}/episodes")
-
-
+    # Stored once: what follows reads the encoded steps more than once.
+    encoded = known.withColumn("obs", encode(F.col("state_tokenized"))).drop("state_tokenized").fillna(0, ["rewards"])
+    T.overwrite(encoded, f"{root}/episode_steps")
+    stored = T.read_table(spark, f"{root}/episode_steps")
+    moved = E.with_transitions(stored, "enterprise_id", "time", ["implementation", "action"], ["obs"])
+    T.overwrite(E.with_dense_id(E.min_episode_length(moved, "enterprise_id", min_len), "enterprise_id"), f"{root}/episodes")

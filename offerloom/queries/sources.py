@@ -191,11 +191,11 @@ def a13(spark, base):
 
 
 def training_steps(spark, base):
-    steps = E.with_steps(A.decisions(spark, base), "enterprise_id", "time", "eps_id")
     obs = F.array(F.col("rewards"), F.col("action_prob"))
     mask = F.array(F.lit(1), F.when(F.get("actions", F.lit(0)) > 5, 1).otherwise(0))
-    shaped = steps.withColumns({"obs": obs, "mask": mask, "agent_index": F.lit(0), "eps_id": F.col("enterprise_id")})
-    return E.with_next(shaped, "enterprise_id", ["obs", "mask"])
+    shaped = A.decisions(spark, base).withColumns({"obs": obs, "mask": mask, "agent_index": F.lit(0)})
+    moved = E.with_transitions(shaped, "enterprise_id", "time", ["eps_id"], ["obs", "mask"])
+    return moved.withColumn("eps_id", F.col("enterprise_id"))
 
 
 TRAINING = f"""{STEPS}, shaped AS (

@@ -57,6 +57,20 @@ def test_next_previous_done_in_small_blocks(stepped, size):
     assert rows(prev) == rows(stepped.select("k", "t", F.lag("v", 1, 0).over(w)))
 
 
+def test_steps_by_range_equal_steps_by_hour(spark, skewed, stepped):
+    same_time = skewed.withColumn("time", F.date_trunc("day", "time"))
+    assert rows(E.with_steps(skewed, "k", "time", "id", by_range=True).select("id", "t")) == rows(stepped.select("id", "t"))
+    by_hour, by_range = (E.with_steps(same_time, "k", "time", "id", by_range=r).select("id", "t") for r in (False, True))
+    assert rows(by_hour) == rows(by_range)
+
+
+def test_transitions_equal_steps_and_next(skewed, stepped):
+    want = E.with_next(stepped, "k", ["maybe", "v"])
+    got = E.with_transitions(skewed, "k", "time", ["id"], ["maybe", "v"])
+    cols = ["k", "id", "t", "new_maybe", "new_v", "dones"]
+    assert rows(got.select(*cols)) == rows(want.select(*cols))
+
+
 @pytest.mark.parametrize("size", [8, 50])
 def test_n_step_return_in_small_blocks(stepped, size):
     n, g = 6, 0.5
