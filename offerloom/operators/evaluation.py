@@ -140,9 +140,10 @@ def q_of(obs: Column, weights: Sequence[Sequence[float]]) -> Column:
 
 def fitted_q(
     df: DataFrame, n_actions: int, obs_dim: int, iters: int = 5, gamma: float = GAMMA, n_step: int = 1,
-    reg: float = 0.1,
+    reg: float = 0.1, track_error: bool = False,
 ) -> tuple[list[list[float]], list[float]]:
-    """Fitted-Q iteration with a linear model per action. Returns the weights and the training error per round.
+    """Fitted-Q iteration with a linear model per action. Returns the weights and, if asked for (one more pass
+    each), the training error per round.
 
     ``df`` has ``obs, action, n_return, n_obs, n_done, n_mask``. The target is the n-step return plus the
     discounted best legal value ``n`` steps on. Only the coefficients come back to the driver. ``reg`` is a ridge
@@ -165,5 +166,6 @@ def fitted_q(
         ).fit(target)
         flat = [float(x) for x in model.coefficients]
         weights = [flat[a * (obs_dim + 1):(a + 1) * (obs_dim + 1)] for a in range(n_actions)]
-        errors.append(float(model.summary.rootMeanSquaredError))
+        if track_error:
+            errors.append(float(model.summary.rootMeanSquaredError))
     return weights, errors

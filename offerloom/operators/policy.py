@@ -37,6 +37,20 @@ def action_space(spark: SparkSession, spec: Mapping[str, Mapping[int, str]] = AC
     return spark.createDataFrame(rows, "app string, position int, action_id int, name string")
 
 
+MAX_ACTIONS = 20_000
+
+
+def spec_from_table(df: DataFrame) -> dict[str, dict[int, str]]:
+    """Action space from a table ``(app, action_id, name)``. It becomes part of every plan, so its size is checked."""
+    rows = df.select("app", "action_id", "name").limit(MAX_ACTIONS + 1).collect()
+    if len(rows) > MAX_ACTIONS:
+        raise ValueError(f"an action space has at most {MAX_ACTIONS} actions")
+    spec: dict[str, dict[int, str]] = {}
+    for r in rows:
+        spec.setdefault(r["app"], {})[r["action_id"]] = r["name"]
+    return spec
+
+
 def _by_app(values: Mapping[str, list], kind: str) -> Column:
     """Constant per application, NULL for an unknown one. Part of the plan, so no join is needed."""
     return F.element_at(F.from_json(F.lit(json.dumps(values)), f"map<string, array<{kind}>>"), F.col("app_name"))
@@ -207,8 +221,8 @@ def decide(
 ) -> DataFrame:
     """Requests to decisions. ``q_values`` maps the token array column to the scores of the widest action space.
 
-    ``state`` has ``raw_id, enterprise_id, state_tokenized, state`` for current records. A request with an error
-    gets action 'none' and keeps its message; the others carry all that the decision log needs.
+    ``state`` has ``raw_id, enterprise_id, state_tokenized, state``, one row per id (``state_lookup``). A request with
+    an error gets action 'none' and keeps its message; the others carry all that the decision log needs.
     """
     asked = apply_priority(parse_requests(requests))
     masked = suppress_none(with_action_mask(asked, spec), f"{seed}-none", "session_id", chance=chance)

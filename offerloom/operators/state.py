@@ -212,6 +212,14 @@ def attach_current_state(requests: DataFrame, state: DataFrame, key: str = "ente
     })
 
 
+def state_lookup(state: DataFrame, id_map: DataFrame, id_type: str = "cagm") -> DataFrame:
+    """Current state by alternative id, ``raw_id``, for serving: one row per id, the lowest entity where it has several."""
+    ids = id_map.filter(F.col("id_type") == id_type).select("enterprise_id", F.col("alternative_id").alias("raw_id"))
+    rows = state.filter("current_record = 1").join(ids.filter("raw_id is not null"), "enterprise_id")
+    found = F.min_by(F.struct("enterprise_id", "state_tokenized", "state"), "enterprise_id").alias("_s")
+    return rows.groupBy("raw_id").agg(found).select("raw_id", "_s.*")
+
+
 def attach_next_state(rows: DataFrame, state: DataFrame, key: str = "enterprise_id") -> DataFrame:
     """Session rewards with the state that follows them."""
     return rows.join(state.select(key, F.col("state_tokenized").alias("next_state")), on=key)
@@ -220,5 +228,5 @@ def attach_next_state(rows: DataFrame, state: DataFrame, key: str = "enterprise_
 __all__ = [
     "attach_current_state", "attach_next_state", "attach_state", "attach_state_asof", "daily_state",
     "flag_current", "population_state", "restrict_to", "select_features", "select_sessions", "session_state",
-    "state_history",
+    "state_history", "state_lookup",
 ]

@@ -16,6 +16,7 @@ from offerloom.operators import state as S
 from offerloom.operators.ids import resolve_id
 from offerloom.operators.vocabulary import apply_vocabulary, build_vocabulary, token_name
 from offerloom.schemas import DISPOSITION_FACT, REWARD_FACT, VOCABULARY, require
+from offerloom.session import shuffle_width
 from offerloom.sources import decision_log as L
 from offerloom.sources import tables as T
 
@@ -39,12 +40,14 @@ def state_job(
     vocab = T.read_table(spark, tokens_path, VOCABULARY)
 
     state = S.flag_current(S.state_history(apply_vocabulary(rows, vocab), max_len))
-    T.overwrite(T.cluster_by(state, "enterprise_id", int(spark.conf.get("spark.sql.shuffle.partitions"))), f"{root}/state")
+    T.overwrite(T.cluster_by(state, "enterprise_id", shuffle_width(spark)), f"{root}/state")
 
     stored = T.read_table(spark, f"{root}/state")
     members = id_map.filter("id_type = 'cagm'").select("enterprise_id", F.col("alternative_id").alias("cagm")).distinct()
     current = S.population_state(stored, members.select("enterprise_id"), as_of, FEATURE_DAYS)
     T.overwrite(current.join(members, "enterprise_id").filter("cagm is not null"), f"{root}/state_members")
+    lookup = S.state_lookup(stored, id_map)
+    T.overwrite(T.cluster_by(lookup, "raw_id", shuffle_width(spark)), f"{root}/state_lookup")
     T.overwrite(S.population_state(stored, clients.select("enterprise_id")), f"{root}/state_clients")
     sample = N.sample_fraction(stored.filter("current_record = 1"), STATE_SAMPLE, 42, "enterprise_id")
     T.export_files(sample, f"{root}/state_train")

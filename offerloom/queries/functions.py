@@ -24,11 +24,13 @@ def words(spark, base, col="words"):
 
 @query("s1_array_basics", f"""
     WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents)
-    SELECT doc_id, len(w) AS size, array_to_string(list_slice(w, 1, 5), ',') AS head, len(flatten([w, w])) AS doubled FROM d""")
+    SELECT doc_id, len(w) AS size, array_to_string(w, ',') AS rejoined, len(w[6:]) AS rest FROM d""")
 def s1(spark, base):
+    """Each text is cut after five words and put together again."""
+    head, rest = F.slice("words", 1, 5), F.slice("words", F.lit(6), F.size("words"))
     return words(spark, base).select(
-        "doc_id", F.size("words").cast("bigint").alias("size"), joined(F.slice("words", 1, 5)).alias("head"),
-        F.size(F.flatten(F.array("words", "words"))).cast("bigint").alias("doubled"),
+        "doc_id", F.size("words").cast("bigint").alias("size"), joined(F.flatten(F.array(head, rest))).alias("rejoined"),
+        F.size(rest).cast("bigint").alias("rest"),
     )
 
 

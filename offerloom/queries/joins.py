@@ -32,7 +32,7 @@ def tokens(spark, base):
 
 
 @query("c1_apply_vocabulary", f"""
-    WITH {FEATURES}, {VOCAB} SELECT enterprise_id, CAST(date AS VARCHAR) AS date, token_name, token FROM tokens""")
+    WITH {FEATURES}, {VOCAB} SELECT enterprise_id, CAST(date AS VARCHAR) AS date, token_name, CAST(token AS INT) AS token FROM tokens""")
 def c1(spark, base):
     return tokens(spark, base).select("enterprise_id", text("date"), "token_name", "token")
 

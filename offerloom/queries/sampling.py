@@ -89,7 +89,7 @@ def f8(spark, base):
 
 @query("f9_suppress_none", f"""
     WITH v AS (SELECT vec_id AS id, list_transform(range(12), lambda i: CAST((vec_id + i) % 3 > 0 AS INT)) AS mask FROM embeddings)
-    SELECT id, CASE WHEN {u('id', 6)} > 0.1 THEN 0 ELSE mask[1] END AS none_legal, list_sum(mask[2:]) AS others FROM v""")
+    SELECT id, CASE WHEN {u('id', 6)} > 0.1 THEN 0 ELSE mask[1] END AS none_legal, CAST(list_sum(mask[2:]) AS BIGINT) AS others FROM v""")
 def f9(spark, base):
     rows = P.suppress_none(A.scores(spark, base), 6, "id")
     return rows.select(

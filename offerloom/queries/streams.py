@@ -93,12 +93,13 @@ def t3(spark, base):
 
 
 def decide_all(spark, base, out):
-    """Requests arrive as a stream of message files."""
+    """Requests arrive as a stream of message files; the state is a stored table."""
     S.overwrite(A.requests(spark, base), f"{out}/requests")
     requests = Z.event_stream(spark, f"{out}/requests", "event_id bigint, time timestamp, message string")
-    state = purchase_state(spark, base).filter("current_record = 1").select(
+    S.overwrite(purchase_state(spark, base).filter("current_record = 1").select(
         F.col("enterprise_id").cast("string").alias("raw_id"), "enterprise_id", "state_tokenized", "state"
-    )
+    ), f"{out}/state")
+    state = spark.read.parquet(f"{out}/state")
     Z.decide_stream(
         requests, state, size_scores, f"{out}/decisions", f"{out}/errors", f"{out}/checkpoint"
     ).awaitTermination()

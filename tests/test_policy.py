@@ -93,6 +93,13 @@ def test_requests(spark):
     assert rows[1]["error"] is not None and rows[2]["override"] == "refill" and rows[3]["error"] is not None
 
 
+def test_action_space_from_a_table(spark):
+    spec = P.spec_from_table(P.action_space(spark))
+    assert P.app_actions(spec) == P.app_actions() and P.app_actions()["spec-pat"][6] == "orderstatus"
+    with pytest.raises(ValueError):
+        P.spec_from_table(spark.range(20_001).select(F.lit("a").alias("app"), F.col("id").cast("int").alias("action_id"), F.lit("n").alias("name")))
+
+
 def test_network_equals_numpy(spark):
     rng = np.random.default_rng(1)
     layers = [(rng.normal(size=(5, 3)), rng.normal(size=5)), (rng.normal(size=(4, 5)), rng.normal(size=4))]
@@ -182,7 +189,7 @@ def test_fitted_q_equals_ridge_in_numpy(spark):
     mask = rng.integers(0, 2, (n, actions))
     rows = [(obs[i].tolist(), int(act[i]), float(ret[i]), nobs[i].tolist(), int(done[i]), mask[i].tolist()) for i in range(n)]
     df = spark.createDataFrame(rows, "obs array<double>, action int, n_return double, n_obs array<double>, n_done int, n_mask array<int>")
-    weights, errors = V.fitted_q(df, actions, dim, iters, g, 1, reg)
+    weights, errors = V.fitted_q(df, actions, dim, iters, g, 1, reg, track_error=True)
     w = np.zeros((actions, dim + 1))
     x, nx = np.column_stack([np.ones(n), obs]), np.column_stack([np.ones(n), nobs])
     for _ in range(iters):

@@ -95,6 +95,14 @@ def test_state_joins(spark):
     assert S.attach_state(days, state).count() == 0
 
 
+def test_lookup_has_one_row_per_id(spark):
+    state = S.flag_current(S.state_history(token_df(spark, {1: [1, 2], 2: [3], 3: [1]}), 5))
+    ids = spark.createDataFrame([(2, "cagm", "m"), (1, "cagm", "m"), (1, "cagm", "m"), (3, "other", "x")],
+                                "enterprise_id bigint, id_type string, alternative_id string")
+    rows = S.state_lookup(state, ids).collect()
+    assert [(r["raw_id"], r["enterprise_id"], len(r["state_tokenized"])) for r in rows] == [("m", 1, 3)]
+
+
 def names(spark, *words):
     return spark.createDataFrame([(w,) for w in words], "token_name string")
 
