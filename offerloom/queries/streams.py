@@ -94,7 +94,7 @@ def t3(spark, base):
 
 def decide_all(spark, base, out):
     """Requests arrive as a stream of message files; the state is a stored table."""
-    S.overwrite(A.requests(spark, base), f"{out}/requests")
+    S.overwrite(A.requests(spark, base), f"{out}/requests", n=8)
     requests = Z.event_stream(spark, f"{out}/requests", "event_id bigint, time timestamp, message string")
     S.overwrite(purchase_state(spark, base).filter("current_record = 1").select(
         F.col("enterprise_id").cast("string").alias("raw_id"), "enterprise_id", "state_tokenized", "state"
