@@ -103,7 +103,9 @@ def range_prefix(
     return joined.withColumn(out, F.col("_local") + F.coalesce("_carry", F.lit(0))).select(*df.columns, out)
 
 
-def dense_index(df: DataFrame, key: str, out: str, start: int = 0, parts: int | None = None) -> DataFrame:
+def dense_index(
+    df: DataFrame, key: str, out: str, start: int = 0, parts: int | None = None, dtype: str = "bigint"
+) -> DataFrame:
     """Numbers ``start + 1, start + 2, ...`` by order of a unique key, without a single-task window.
 
     Each range partition numbers its own sorted rows; the offsets have one row per partition.
@@ -128,7 +130,7 @@ def dense_index(df: DataFrame, key: str, out: str, start: int = 0, parts: int |
     )
     return (
         split.join(F.broadcast(offsets), "_part")
-        .withColumn(out, (F.col("_offset") + F.col("_row") + 1 + F.lit(start)).cast("int" if out == "token" else "bigint"))
+        .withColumn(out, (F.col("_offset") + F.col("_row") + 1 + F.lit(start)).cast(dtype))
         .select(*df.columns, out)
     )
 

@@ -29,6 +29,11 @@ def vocab_size(vocab: DataFrame) -> DataFrame:
     return vocab.agg((F.coalesce(F.max("token"), F.lit(0)) + 1).alias("vocab_size"))
 
 
+def added_tokens(df: DataFrame, col: str, existing: DataFrame) -> DataFrame:
+    """The rows that extend an existing dictionary: new names with the ids after the largest one."""
+    return dense_index(new_tokens(df, col, existing), col, "token", start=max_token(existing), dtype="int")
+
+
 def build_vocabulary(df: DataFrame, col: str = "token_name", existing: DataFrame | None = None) -> DataFrame:
     """Dictionary ``(token name, token)``.
 
@@ -36,9 +41,8 @@ def build_vocabulary(df: DataFrame, col: str = "token_name", existing: DataFrame
     and new names get the next ids. Id 0 stays free for padding.
     """
     if existing is None:
-        return dense_index(df.select(col).where(F.col(col).isNotNull()).distinct(), col, "token")
-    added = dense_index(new_tokens(df, col, existing), col, "token", start=max_token(existing))
-    return existing.select(col, "token").unionByName(added)
+        return dense_index(df.select(col).where(F.col(col).isNotNull()).distinct(), col, "token", dtype="int")
+    return existing.select(col, "token").unionByName(added_tokens(df, col, existing))
 
 
 def apply_vocabulary(df: DataFrame, vocab: DataFrame, col: str = "token_name") -> DataFrame:

@@ -14,7 +14,7 @@ from offerloom.operators import rewards as W
 from offerloom.operators import sampling as N
 from offerloom.operators import state as S
 from offerloom.operators.ids import resolve_id
-from offerloom.operators.vocabulary import apply_vocabulary, build_vocabulary, token_name
+from offerloom.operators.vocabulary import added_tokens, apply_vocabulary, token_name
 from offerloom.schemas import DISPOSITION_FACT, REWARD_FACT, VOCABULARY, require
 from offerloom.session import shuffle_width
 from offerloom.sources import decision_log as L
@@ -35,8 +35,7 @@ def state_job(
     tokens_path = f"{root}/tokens"
     T.ensure_table(spark, tokens_path, VOCABULARY)
     known = T.read_table(spark, tokens_path, VOCABULARY)
-    grown = build_vocabulary(rows, existing=known)
-    grown.join(known.select("token_name"), "token_name", "left_anti").write.mode("append").parquet(tokens_path)
+    added_tokens(rows, "token_name", known).write.mode("append").parquet(tokens_path)
     vocab = T.read_table(spark, tokens_path, VOCABULARY)
 
     state = S.flag_current(S.state_history(apply_vocabulary(rows, vocab), max_len))
