@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import bpe, exact_dedup, mixing, pii
+from offerloom.llm import bpe, chat_format, exact_dedup, license_scan, mixing, pii
 from offerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,37 @@ def op4_exact_dedup(spark: SparkSession, base: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, base, "documents"))
 
 
+@query("op6_license_scan", license_scan.LICENSE_SQL)
+def op6_license_scan(spark: SparkSession, base: str) -> DataFrame:
+    found = license_scan.scan(table(spark, base, "documents").select("doc_id", "text"))
+    own = F.array_distinct(F.transform("places", lambda p: p["label"]))
+    starts = F.transform("places", lambda p: p["start"])
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), F.array_join(F.array_sort(own), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(own, F.col("labels"))), ",").alias("labels"), "score",
+    )
+
+
+@query("op7_chat_format", chat_format.CHAT_SQL)
+def op7_chat_format(spark: SparkSession, base: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    rows = table(spark, base, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    out = chat_format.format_chats(rows)
+    turns, loss = chat_format.read_turns(F.col("formatted")), chat_format.read_loss(F.col("formatted"), F.col("loss_mask"))
+    back = out.select("conv_id", "formatted", turns.alias("turns"), loss.alias("loss"))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 @query("op10_mixing", mixing.MIX_SQL)
 def op10_mixing(spark: SparkSession, base: str) -> DataFrame:
     return mixing.mix(table(spark, base, "documents")).drop("copies")
