@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import bpe, chat_format, exact_dedup, license_scan, mixing, pii
+from offerloom.llm import bpe, chat_format, exact_dedup, language_id, license_scan, mixing, pii, token_output
 from offerloom.llm.common import table
+from offerloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -85,6 +87,24 @@ def op7_chat_format(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.filter(~language_id.held_out(F.col("doc_id"))))
+    return language_id.predict(docs.drop("lang"), model).select(
+        "doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query("op9_token_records")
+def op9_token_records(spark: SparkSession, base: str) -> DataFrame:
+    path = scratch_path(spark, "token-records")
+    token_output.write_records(table(spark, base, "documents"), path, WORD_TOKENIZER)
+    return token_output.read_records(spark, path).select(
+        F.col("id").alias("doc_id"), "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 @query("op10_mixing", mixing.MIX_SQL)
 def op10_mixing(spark: SparkSession, base: str) -> DataFrame:
     return mixing.mix(table(spark, base, "documents")).drop("copies")
