@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import bpe, chat_format, exact_dedup, language_id, license_scan, mixing, pii, token_output
+from offerloom.llm import ann, bpe, chat_format, exact_dedup, language_id, license_scan, mixing, pii, token_output
 from offerloom.llm.common import table
 from offerloom.session import scratch_path
 
@@ -51,6 +51,11 @@ def op2_personal_data(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+@query("op3_nearest_vectors")
+def op3_nearest_vectors(spark: SparkSession, base: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, base, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
+
+
 @query("op4_exact_dedup", exact_dedup.DEDUP_SQL)
 def op4_exact_dedup(spark: SparkSession, base: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, base, "documents"))
