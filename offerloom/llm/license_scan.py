@@ -68,7 +68,8 @@ def _strings(values: list[str]) -> Column:
 def word_order(df: DataFrame, text: str = "text") -> list[str]:
     """Template words, rarest first, by the number of rows that hold them. At most one row per template word comes back."""
     names = vocabulary()
-    found = df.select(F.explode(F.array_intersect(_strings(names), words(text_or_empty(text)))).alias("word"))
+    # The outer form: the plain one would split each text twice, once to see whether anything is found.
+    found = df.select(F.explode_outer(F.array_intersect(_strings(names), words(text_or_empty(text)))).alias("word")).filter("word is not null")
     counts = {r["word"]: r["n"] for r in found.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
     return sorted(names, key=lambda w: (counts.get(w, 0), w))
 
