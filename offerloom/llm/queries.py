@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import ann, bpe, chat_format, exact_dedup, language_id, license_scan, mixing, pii, token_output
+from offerloom.llm import ann, bpe, chat_format, exact_dedup, language_id, license_scan, mixing, ngram_join, pii, token_output
 from offerloom.llm.common import table
 from offerloom.session import scratch_path
 
@@ -61,6 +61,11 @@ def op4_exact_dedup(spark: SparkSession, base: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, base, "documents"))
 
 
+@query("op5_jaccard_join", ngram_join.NEAR_SQL)
+def op5_jaccard_join(spark: SparkSession, base: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, base, "documents"))
+
+
 @query("op6_license_scan", license_scan.LICENSE_SQL)
 def op6_license_scan(spark: SparkSession, base: str) -> DataFrame:
     found = license_scan.scan(table(spark, base, "documents").select("doc_id", "text"))
