@@ -11,7 +11,7 @@ shared folder; AQE splits their hot keys. The number of levels is the logarithm
 
 Defined results: a null text counts as empty; empty texts are equal to each other and to blank ones; a row that repeats
 an id is a row of its own; of equal texts the one with the most code points, then the smallest id stays (a null id comes last), and rows that
-tie in both stay together. Other columns are kept where ``keep`` names them.
+tie in both stay together; other columns are ignored, or kept as they are where rows are dropped.
 """
 
 from __future__ import annotations
@@ -97,17 +97,28 @@ def identities(df: DataFrame, id: str = "doc_id", text: str = "text", block: int
 
 
 def duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
-    """One row per row of ``df``: ``id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
+    """One row per row of ``df``: ``id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``, ``n_points``."""
     rows = materialize(identities(df, id, text, block), "identities")
     best = F.max(F.struct("n_points", (-F.col(id)).alias("_minus"))).alias("_best")
     groups = materialize(rows.groupBy("level", "identity").agg(F.count(F.lit(1)).alias("group_size"), best), "groups")
     keep_id = -F.col("_best._minus")
     return rows.join(groups, ["level", "identity"]).select(
         F.col(id), keep_id.alias("keep_id"), "group_size",
-        (F.col(id).eqNullSafe(keep_id) & (F.col("n_points") == F.col("_best.n_points"))).alias("kept"), "text_sha256",
+        (F.col(id).eqNullSafe(keep_id) & (F.col("n_points") == F.col("_best.n_points"))).alias("kept"), "text_sha256", "n_points",
     )
 
 
+def drop_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
+    """The rows of ``df`` that stay, with all its columns. Dropped rows are found by id, text without blanks and length."""
+    gone = duplicates(df, id, text, block).filter(~F.col("kept")).select(
+        F.col(id).alias("_gone"), F.col("text_sha256").alias("_sha"), F.col("n_points").alias("_n")
+    )
+    gone = materialize(gone.distinct(), "exact-gone")
+    own = text_or_empty(text)
+    same = F.col(id).eqNullSafe(F.col("_gone")) & (F.sha2(without_blanks(own), 256) == F.col("_sha")) & (F.length(own) == F.col("_n"))
+    return df.join(gone, same, "left_anti")
+
+
 DEDUP_SQL = r"""
 WITH d AS (
     SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS clean FROM documents

@@ -58,7 +58,7 @@ def op3_nearest_vectors(spark: SparkSession, base: str) -> DataFrame:
 
 @query("op4_exact_dedup", exact_dedup.DEDUP_SQL)
 def op4_exact_dedup(spark: SparkSession, base: str) -> DataFrame:
-    return exact_dedup.duplicates(table(spark, base, "documents"))
+    return exact_dedup.duplicates(table(spark, base, "documents")).drop("n_points")
 
 
 @query("op5_jaccard_join", ngram_join.NEAR_SQL)
