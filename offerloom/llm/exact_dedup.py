@@ -68,13 +68,13 @@ def identities(df: DataFrame, id: str = "doc_id", text: str = "text", block: int
     cold = named.filter(F.col("_n") <= limit).select("_key", "_name")
     level_rows = materialize(
         rows.join(cold, "_key", "left").select(
-            "_id", "text_sha256", "n_points", "_blocks", "_pos", F.coalesce("_hot", "_name").alias("_name")
+            "_id", "text_sha256", "n_points", "_blocks", "_pos", F.coalesce("_hot", "_name").alias("_name"), F.lit(1).cast("long").alias("_rows")
         ),
         "block-names",
     )
 
     whole = ["_id", "text_sha256", "n_points", "_blocks"]
-    done = level_rows.filter("_blocks = 1").select(*whole, F.lit(0).alias("level"), F.col("_name").alias("identity"))
+    done = level_rows.filter("_blocks = 1").select(*whole, F.lit(0).alias("level"), F.col("_name").alias("identity"), "_rows")
     rest = level_rows.filter("_blocks > 1")
     level, width = 0, 1
     while width < (most or 0):
@@ -82,18 +82,21 @@ def identities(df: DataFrame, id: str = "doc_id", text: str = "text", block: int
         side = lambda k: F.max(F.when(F.pmod("_pos", F.lit(2)) == k, F.col("_name")))
         half = F.floor(F.col("_pos") / 2).cast("int").alias("_pos")
         # A missing right side is null: names are never null, so an odd end cannot meet a pair.
-        pairs = rest.groupBy(*whole, half).agg(side(0).alias("_a"), side(1).alias("_b"))
+        # Rows that are equal in all of ``whole`` go on as one, with their number.
+        rows_of = F.sum(F.when(F.pmod("_pos", F.lit(2)) == 0, F.col("_rows"))).alias("_rows")
+        pairs = rest.groupBy(*whole, half).agg(side(0).alias("_a"), side(1).alias("_b"), rows_of)
         pairs = materialize(pairs, "block-pairs")
         names = materialize(_numbered(pairs.select("_a", "_b").distinct(), ["_a", "_b"], "_new"), "pair-names")
         names = names.withColumnsRenamed({"_a": "_x", "_b": "_y"})
         joined = pairs.join(names, (F.col("_a") == F.col("_x")) & F.col("_b").eqNullSafe(F.col("_y"))).select(
-            *whole, "_pos", F.col("_new").alias("_name")
+            *whole, "_pos", F.col("_new").alias("_name"), "_rows"
         )
         last = F.col("_blocks") <= width
         level_rows = materialize(joined, "block-names")
-        done = done.union(level_rows.filter(last).select(*whole, F.lit(level).alias("level"), F.col("_name").alias("identity")))
+        done = done.union(level_rows.filter(last).select(*whole, F.lit(level).alias("level"), F.col("_name").alias("identity"), "_rows"))
         rest = level_rows.filter(~last)
-    return done.select(F.col("_id").alias(id), "text_sha256", "n_points", "level", "identity")
+    again = F.explode(F.array_repeat(F.lit(0), F.col("_rows").cast("int"))).alias("_again")
+    return done.select(F.col("_id").alias(id), "text_sha256", "n_points", "level", "identity", again).drop("_again")
 
 
 def duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
