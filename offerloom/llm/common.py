@@ -85,4 +85,5 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
         if now == state:
             break
         state = now
-    return edges.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.col("v").alias("component"))
+    # Every edge now leads to the smallest node of its component, which is added itself.
+    return edges.union(edges.select("v", "v")).groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
