@@ -70,8 +70,17 @@ def softmax(c: Column | str) -> Column:
 
 
 def log_softmax(c: Column | str) -> Column:
-    """Natural log of :func:`softmax`."""
-    return F.transform(softmax(c), lambda p: F.ln(p))
+    """Natural log of :func:`softmax`: x - max - ln(sum), which is finite also where the share itself is too small for a number."""
+    return with_value(
+        _lift_sentinel(_col(c).cast("array<double>")),
+        lambda s: with_value(
+            F.struct(s.alias("s"), F.array_max(s).alias("top")),
+            lambda v: with_value(
+                F.struct(v.alias("v"), F.ln(F.aggregate(v["s"], F.lit(0.0), lambda a, x: a + F.exp(x - v["top"]))).alias("ln")),
+                lambda w: F.transform(w["v"]["s"], lambda x: x - w["v"]["top"] - w["ln"]),
+            ),
+        ),
+    )
 
 
 def softmax_without(c: Column | str, index: Column) -> Column:

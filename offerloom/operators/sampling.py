@@ -10,14 +10,35 @@ from pyspark.sql import functions as F
 from offerloom.functions import uniform
 
 
+# Ranges of the random number in which rows are counted, before the last range alone is sorted.
+RANGES = 1 << 16
+
+
+def _least(df: DataFrame, n: int, seed: int, keys: Sequence[str]) -> DataFrame:
+    """The ``n`` rows of least random number, ties by key.
+
+    Rows are counted by range of the number; those of lower ranges than that of the n-th are in, and only the range of the n-th is
+    sorted. So no task sees more than one range, however large ``n`` is. One row of counts comes to the driver.
+    """
+    u = uniform(*keys, seed=seed)
+    part = F.floor(u * RANGES).cast("int")
+    counts = df.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    edge = counts.withColumn("_before", before).filter(F.col("_before") + F.col("_n") >= n).orderBy("_part").first()
+    if edge is None:
+        return df
+    last = df.filter(part == edge["_part"]).orderBy(u, *keys).limit(n - edge["_before"])
+    return df.filter(part < edge["_part"]).unionByName(last)
+
+
 def sample_n(df: DataFrame, n: int, seed: int, *keys: str) -> DataFrame:
-    """``n`` distinct random keys (a top-n, no full sort)."""
-    return df.select(*keys).distinct().orderBy(uniform(*keys, seed=seed), *keys).limit(n)
+    """``n`` distinct random keys."""
+    return _least(df.select(*keys).distinct(), n, seed, keys)
 
 
 def epoch_sample(df: DataFrame, n: int, epoch: int, key: str) -> DataFrame:
     """``n`` rows for one training epoch, without replacement."""
-    return df.orderBy(uniform(key, seed=epoch), key).limit(n)
+    return _least(df, n, epoch, [key])
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int, *keys: str) -> DataFrame:

@@ -41,12 +41,12 @@ def s2(spark, base):
     return words(spark, base).select("doc_id", joined(X.tail("words", 100)).alias("tail"))
 
 
-LENGTHS = f"WITH d AS (SELECT doc_id, list_transform({WORDS}, lambda w: length(w)) AS t FROM documents), s AS (SELECT doc_id, list_slice(t, greatest(len(t) - 63, 1), len(t)) AS t FROM d)"
+LENGTHS = f"WITH s AS (SELECT doc_id, list_transform({WORDS}, lambda w: length(w)) AS t FROM documents)"
 
 
 def lengths(spark, base):
     return words(spark, base).select(
-        "doc_id", X.tail(F.transform("words", lambda w: F.length(w)), 64).alias("t")
+        "doc_id", F.transform("words", lambda w: F.length(w)).alias("t")
     )
 
 
@@ -59,7 +59,7 @@ def s3(spark, base):
     )
 
 
-@query("s4_pad_mask", f"{LENGTHS} SELECT doc_id, len(t) AS ones, CAST(64 AS BIGINT) AS size FROM s")
+@query("s4_pad_mask", f"{LENGTHS} SELECT doc_id, len(t) AS ones, CAST(greatest(len(t), 64) AS BIGINT) AS size FROM s")
 def s4(spark, base):
     mask = X.pad_mask(X.pad("t", 64))
     return lengths(spark, base).select(
@@ -68,14 +68,14 @@ def s4(spark, base):
     )
 
 
-LOGITS = "v AS (SELECT vec_id AS id, label AS action, list_slice(embedding, 1, 12)::DOUBLE[] AS l FROM embeddings)"
+LOGITS = "v AS (SELECT vec_id AS id, label AS action, embedding::DOUBLE[] AS l FROM embeddings)"
 
 
 @query("s5_softmax", f"""
     WITH {LOGITS}, w AS (SELECT id, list_transform(l, lambda x, i: CASE WHEN i = action + 1 THEN -1000.0 ELSE x END) AS l FROM v),
     m AS (SELECT id, list_transform(l, lambda x: CASE WHEN x = -1000 THEN list_max(l) ELSE x END) AS l FROM w),
     e AS (SELECT id, list_transform(l, lambda x: exp(x - list_max(l))) AS e FROM m)
-    SELECT id, unnest(range(12)) AS i, round(unnest(list_transform(e, lambda x: x / list_sum(e))), 6) AS p,
+    SELECT id, unnest(range(64)) AS i, round(unnest(list_transform(e, lambda x: x / list_sum(e))), 6) AS p,
            round(unnest(list_transform(e, lambda x: ln(x / list_sum(e)))), 6) AS logp FROM e""")
 def s5(spark, base):
     """The logged action is set to the sentinel first."""
@@ -89,17 +89,17 @@ def s5(spark, base):
 @query("s6_softmax_without", f"""
     WITH {LOGITS}, m AS (SELECT id, list_transform(l, lambda x, i: CASE WHEN i = action + 1 THEN -1000.0 ELSE x END) AS l FROM v),
     e AS (SELECT id, list_transform(l, lambda x: exp(x - list_max(l))) AS e FROM m)
-    SELECT id, unnest(range(12)) AS i, round(unnest(list_transform(e, lambda x: x / list_sum(e))), 6) AS p FROM e""")
+    SELECT id, unnest(range(64)) AS i, round(unnest(list_transform(e, lambda x: x / list_sum(e))), 6) AS p FROM e""")
 def s6(spark, base):
     rows = A.scores(spark, base).select("id", F.posexplode(X.softmax_without("logits", F.col("action"))))
     return rows.select("id", F.col("pos").cast("bigint").alias("i"), F.round("col", 6).alias("p"))
 
 
-@query("s7_pick", f"WITH {LOGITS} SELECT id, action, round(l[action + 1], 6) AS q_value, round(l[action + 6], 6) AS beyond FROM v")
+@query("s7_pick", f"WITH {LOGITS} SELECT id, action, round(l[action + 1], 6) AS q_value, round(l[action + 61], 6) AS beyond FROM v")
 def s7(spark, base):
     return A.scores(spark, base).select(
         "id", "action", F.round(X.pick("logits", "action"), 6).alias("q_value"),
-        F.round(X.pick("logits", F.col("action") + 5), 6).alias("beyond"),
+        F.round(X.pick("logits", F.col("action") + 60), 6).alias("beyond"),
     )
 
 
@@ -159,10 +159,10 @@ def s12(spark, base):
     return raw.select(F.lit("raw").alias("form"), "*").unionByName(padded.select(F.lit("padded").alias("form"), "*"))
 
 
-@query("s13_explode_series", f"WITH {LOGITS} SELECT id, unnest(range(12)) AS step, round(unnest(l), 6) AS value FROM v")
+@query("s13_explode_series", f"WITH {LOGITS} SELECT id, unnest(range(64)) AS step, round(unnest(l), 6) AS value FROM v")
 def s13(spark, base):
     rows = A.scores(spark, base).select(
-        "id", F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: i.cast("bigint")).alias("step"), F.col("logits").alias("value")
+        "id", F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: i.cast("bigint")).alias("step"), F.col("logits").alias("value")
     )
     return R.explode_series(rows, "id", "step", "value").select("id", "step", F.round("value", 6).alias("value"))
 

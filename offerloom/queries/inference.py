@@ -19,7 +19,7 @@ from offerloom.sources import adapters as A
 DIM = 8
 
 
-def policy(obs: int = 64, hidden: int = 4, actions: int = 12) -> P.LinearPolicy:
+def policy(obs: int = 64, hidden: int = 4, actions: int = 64) -> P.LinearPolicy:
     h, j, a = np.arange(hidden), np.arange(obs), np.arange(actions)
     return P.LinearPolicy(
         weights=((h[:, None] * 5 + j[None, :] * 3) % 7 - 3) / 10.0,
@@ -29,11 +29,11 @@ def policy(obs: int = 64, hidden: int = 4, actions: int = 12) -> P.LinearPolicy:
 
 
 SCORED = """v AS (
-    SELECT vec_id AS id, embedding::DOUBLE[] AS obs, list_transform(range(12), lambda i: CAST((vec_id + i) % 3 > 0 AS INT)) AS mask FROM embeddings
+    SELECT vec_id AS id, embedding::DOUBLE[] AS obs, list_transform(range(64), lambda i: CAST((vec_id + i) % 3 > 0 AS INT)) AS mask FROM embeddings
 ), hid AS (
     SELECT id, mask, list_transform(range(4), lambda h: list_sum(list_transform(range(64), lambda j: ((h * 5 + j * 3) % 7 - 3) / 10::DOUBLE * obs[j + 1])) + h / 10::DOUBLE) AS z FROM v
 ), qs AS (
-    SELECT id, mask, list_transform(range(12), lambda a: list_sum(list_transform(range(4), lambda h: ((a * 4 + h) % 5 - 2) / 5::DOUBLE * z[h + 1]))) AS q FROM hid
+    SELECT id, mask, list_transform(range(64), lambda a: list_sum(list_transform(range(4), lambda h: ((a * 4 + h) % 5 - 2) / 5::DOUBLE * z[h + 1]))) AS q FROM hid
 ), legal AS (
     SELECT id, list_transform(q, lambda x, i: CASE WHEN mask[i] = 1 THEN x END) AS q FROM qs
 ), scored AS (

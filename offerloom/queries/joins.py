@@ -16,7 +16,7 @@ from offerloom.operators import state as S
 from offerloom.operators.vocabulary import apply_vocabulary, build_vocabulary, new_tokens, token_name
 from offerloom.queries.expressions import disposition_rows, good_calls
 from offerloom.queries.registry import (
-    CALLS, FEATURES, FLAGS, PURCHASE_STATE, REPORT, STEPS, VOCAB, joined, query, text, u,
+    CALLS, FEATURES, FLAGS, TOKEN_STATE, REPORT, STEPS, VOCAB, joined, query, text, u,
 )
 from offerloom.queries.sources import PENALTY, penalty_fact
 from offerloom.sources import adapters as A
@@ -119,42 +119,43 @@ def c9(spark, base):
     return W.with_future_calls(calls, later.filter("calls > 0")).select("call_guid", "calls")
 
 
-def purchase_state(spark, base):
-    bought = tokens(spark, base).filter("feature_name = 'purchase'")
-    return S.flag_current(S.state_history(bought))
+def token_state(spark, base):
+    return S.flag_current(S.state_history(tokens(spark, base)))
 
 
-def event_days(spark, base):
-    return A.decisions(spark, base).select("enterprise_id", F.to_date("time").alias("date"), "eps_id")
+def event_days(spark, base, shift):
+    """Events moved in time, so that many fall on days without a state row."""
+    day = F.date_add(F.to_date("time"), shift)
+    return A.decisions(spark, base).select("enterprise_id", day.alias("date"), "eps_id")
 
 
 @query("c10_attach_state", f"""
-    WITH {PURCHASE_STATE}
+    WITH {TOKEN_STATE}
     SELECT CAST(e.event_id AS VARCHAR) AS eps_id, array_to_string(s.ids, ',') AS state
-    FROM events e JOIN state s ON s.enterprise_id = e.user_id AND s.date = e.ts::DATE""")
+    FROM events e JOIN state s ON s.enterprise_id = e.user_id AND s.date = e.ts::DATE + 3""")
 def c10(spark, base):
-    rows = S.attach_state(event_days(spark, base), purchase_state(spark, base))
+    rows = S.attach_state(event_days(spark, base, 3), token_state(spark, base))
     return rows.select("eps_id", joined("state_tokenized").alias("state"))
 
 
 @query("c11_current_state", f"""
-    WITH {PURCHASE_STATE}
+    WITH {TOKEN_STATE}
     SELECT c_custkey AS enterprise_id, coalesce(array_to_string(s.ids, ','), '0') AS state
     FROM customer LEFT JOIN state s ON s.enterprise_id = c_custkey AND s.current_record = 1""")
 def c11(spark, base):
     """Customers without events have no state: [0]."""
     asked = A.load(spark, "customer", base).select(F.col("c_custkey").alias("enterprise_id"))
-    rows = S.attach_current_state(asked, purchase_state(spark, base))
+    rows = S.attach_current_state(asked, token_state(spark, base))
     return rows.select("enterprise_id", joined("state_tokenized").alias("state"))
 
 
 @query("c12_state_asof", f"""
-    WITH {PURCHASE_STATE}, e AS (SELECT event_id, user_id AS enterprise_id, ts::DATE AS date FROM events)
+    WITH {TOKEN_STATE}, e AS (SELECT event_id, user_id AS enterprise_id, ts::DATE - 3 AS date FROM events)
     SELECT CAST(e.event_id AS VARCHAR) AS eps_id, coalesce(CAST(s.date AS VARCHAR), 'none') AS state_date,
            coalesce(array_to_string(s.ids, ','), 'none') AS state
     FROM e ASOF LEFT JOIN state s ON s.enterprise_id = e.enterprise_id AND e.date >= s.date""")
 def c12(spark, base):
-    rows = S.attach_state_asof(event_days(spark, base), purchase_state(spark, base))
+    rows = S.attach_state_asof(event_days(spark, base, -3), token_state(spark, base))
     none = F.lit("none")
     return rows.select(
         "eps_id", F.coalesce(F.col("state_date").cast("string"), none).alias("state_date"),
@@ -163,13 +164,13 @@ def c12(spark, base):
 
 
 @query("c13_next_state", f"""
-    WITH {PURCHASE_STATE}, {PENALTY}
+    WITH {TOKEN_STATE}, {PENALTY}
     SELECT p.user_id AS enterprise_id, count(*) AS penalties, max(array_to_string(s.ids, ',')) AS next_state
     FROM penalties p JOIN state s ON s.enterprise_id = p.user_id AND s.current_record = 1
     WHERE p.reward_value IS NOT NULL GROUP BY 1""")
 def c13(spark, base):
     penalties = penalty_fact(spark, base).groupBy("enterprise_id").agg(F.count(F.lit(1)).alias("penalties"))
-    rows = S.attach_next_state(penalties, purchase_state(spark, base).filter("current_record = 1"))
+    rows = S.attach_next_state(penalties, token_state(spark, base).filter("current_record = 1"))
     return rows.select("enterprise_id", "penalties", joined("next_state").alias("next_state"))
 
 
@@ -212,9 +213,9 @@ def c16(spark, base):
 
 
 @query("c17_action_distribution", """
-    WITH a AS (SELECT range AS action FROM range(12)),
+    WITH a AS (SELECT range AS action FROM range(64)),
     s AS (SELECT label AS orig_action, list_position(l, list_max(l)) - 1 AS action FROM (
-        SELECT label, list_slice(embedding, 1, 12) AS l FROM embeddings))
+        SELECT label, embedding AS l FROM embeddings))
     SELECT CAST(a.action AS INT) AS action, (SELECT count(*) FROM s WHERE s.action = a.action) AS new_dist,
            (SELECT count(*) FROM s WHERE s.orig_action = a.action) AS orig_dist FROM a""")
 def c17(spark, base):
@@ -222,7 +223,7 @@ def c17(spark, base):
         "orig_action": F.col("action"),
         "action": F.array_position("logits", F.array_max("logits")).cast("int") - 1, "value": F.lit(1.0),
     })
-    ids = P.action_space(spark).filter("app = 'ivr'").select(F.col("action_id").alias("action"))
+    ids = spark.range(64).select(F.col("id").cast("int").alias("action"))
     return V.compare_policies(rows, ids).select("action", "new_dist", "orig_dist")
 
 
@@ -236,12 +237,12 @@ def c18(spark, base):
 
 
 @query("c19_population_state", f"""
-    WITH {PURCHASE_STATE}
+    WITH {TOKEN_STATE}
     SELECT enterprise_id, CAST(date AS VARCHAR) AS date, array_to_string(ids, ',') AS state FROM state
     WHERE current_record = 1 AND date >= DATE '2024-01-31' - 7 AND enterprise_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""")
 def c19(spark, base):
     keys = A.load(spark, "customer", base).filter("c_acctbal > 0").select(F.col("c_custkey").alias("enterprise_id"))
-    rows = S.population_state(purchase_state(spark, base), keys, A.AS_OF, 7)
+    rows = S.population_state(token_state(spark, base), keys, A.AS_OF, 7)
     return rows.select("enterprise_id", text("date"), joined("state_tokenized").alias("state"))
 
 

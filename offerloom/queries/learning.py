@@ -272,8 +272,8 @@ def i5(spark, base):
 
 
 @query("i6_compare_policies", """
-    WITH a AS (SELECT CAST(range AS INT) AS action FROM range(12)),
-    v AS (SELECT vec_id, label, list_transform(list_slice(embedding, 1, 12)::DOUBLE[], lambda x, i: CASE WHEN (vec_id + i - 1) % 3 > 0 THEN x END) AS l FROM embeddings),
+    WITH a AS (SELECT CAST(range AS INT) AS action FROM range(64)),
+    v AS (SELECT vec_id, label, list_transform(embedding::DOUBLE[], lambda x, i: CASE WHEN (vec_id + i - 1) % 3 > 0 THEN x END) AS l FROM embeddings),
     s AS (SELECT label AS orig_action, list_position(l, list_max(l)) - 1 AS action, list_max(l) AS value FROM v),
     n AS (SELECT action, count(*) AS new_dist, sum(value) AS total_value, avg(value) AS mean_value FROM s GROUP BY 1),
     o AS (SELECT orig_action AS action, count(*) AS orig_dist FROM s GROUP BY 1)
@@ -283,7 +283,7 @@ def i5(spark, base):
 def i6(spark, base):
     scored = P.score_policy(A.scores(spark, base).withColumns({"orig_action": F.col("action"), "q_values": F.col("logits")}))
     rows = scored.withColumn("value", F.get("q_values", F.col("action")))
-    ids = P.action_space(spark).filter("app = 'ivr'").select(F.col("action_id").alias("action"))
+    ids = spark.range(64).select(F.col("id").cast("int").alias("action"))
     return V.compare_policies(rows, ids).withColumns({
         "total_value": F.round("total_value", 6), "mean_value": F.round("mean_value", 6),
     })

@@ -151,5 +151,4 @@ def state_sql(keep: str = "last", n: int = 100, source: str = "tokens") -> str:
 )"""
 
 
-# State of purchases only, so that many events fall on days without a state row.
-PURCHASE_STATE = f"""{FEATURES}, {VOCAB}, bought AS (SELECT * FROM tokens WHERE token_name LIKE 'purchase%'), {state_sql(source='bought')}"""
+TOKEN_STATE = f"{FEATURES}, {VOCAB}, {state_sql()}"

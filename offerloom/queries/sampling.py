@@ -66,8 +66,8 @@ def f6(spark, base):
 
 
 @query("f7_sample_actions", f"""
-    WITH v AS (SELECT vec_id AS id, label AS action, list_slice(embedding, 1, 12)::DOUBLE[] AS l FROM embeddings),
-    x AS (SELECT id, action, unnest(range(12)) AS a, l FROM v),
+    WITH v AS (SELECT vec_id AS id, label AS action, embedding::DOUBLE[] AS l FROM embeddings),
+    x AS (SELECT id, action, unnest(range(64)) AS a, l FROM v),
     e AS (SELECT id, action, a, exp(CASE WHEN a = action THEN -1000 ELSE l[a + 1] END
                  - list_max(list_transform(l, lambda y, i: CASE WHEN i = action + 1 THEN -1000 ELSE y END))) AS e FROM x),
     p AS (SELECT id, action, a, e / sum(e) OVER (PARTITION BY id) AS p FROM e),
@@ -80,7 +80,7 @@ def f7(spark, base):
 
 
 @query("f8_explore", f"""
-    WITH v AS (SELECT vec_id AS id, label AS action, list_filter(range(12), lambda i: (vec_id + i) % 3 > 0) AS legal FROM embeddings)
+    WITH v AS (SELECT vec_id AS id, label AS action, list_filter(range(64), lambda i: (vec_id + i) % 3 > 0) AS legal FROM embeddings)
     SELECT id, CASE WHEN {u('id', '4-eps')} < 0.1 THEN legal[CAST(floor({u('id', '4-pick')} * len(legal)) AS INT) + 1] ELSE action END AS action
     FROM v""")
 def f8(spark, base):
@@ -88,13 +88,13 @@ def f8(spark, base):
 
 
 @query("f9_suppress_none", f"""
-    WITH v AS (SELECT vec_id AS id, list_transform(range(12), lambda i: CAST((vec_id + i) % 3 > 0 AS INT)) AS mask FROM embeddings)
+    WITH v AS (SELECT vec_id AS id, list_transform(range(64), lambda i: CAST((vec_id + i) % 3 > 0 AS INT)) AS mask FROM embeddings)
     SELECT id, CASE WHEN {u('id', 6)} > 0.1 THEN 0 ELSE mask[1] END AS none_legal, CAST(list_sum(mask[2:]) AS BIGINT) AS others FROM v""")
 def f9(spark, base):
     rows = P.suppress_none(A.scores(spark, base), 6, "id")
     return rows.select(
         "id", F.get("mask", F.lit(0)).alias("none_legal"),
-        F.aggregate(F.slice("mask", 2, 11), F.lit(0), lambda s, x: s + x).cast("bigint").alias("others"),
+        F.aggregate(F.slice("mask", 2, 63), F.lit(0), lambda s, x: s + x).cast("bigint").alias("others"),
     )
 
 

@@ -38,10 +38,9 @@ def write_log(spark, base, path, cond="true", broken=True):
 
 
 @query("a1_scan", """
-    SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
-    WHERE o_orderdate >= TIMESTAMP '1997-01-01' GROUP BY 1""")
+    SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1""")
 def a1(spark, base):
-    rows = A.load(spark, "orders", base).filter("o_orderdate >= '1997-01-01'")
+    rows = A.load(spark, "orders", base)
     return rows.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
@@ -107,13 +106,13 @@ def a6(spark, base):
 
 
 def penalty_fact(spark, base):
-    calls = R.repeat_penalty(A.event_calls(spark, base).filter("xferstatus = 'XFER'"))
+    calls = R.repeat_penalty(A.event_calls(spark, base))
     named = calls.withColumns({"reward_name": F.lit("repeat_call"), "reward_desc": F.lit("repeat call within 7 days")})
     return to_fact(named, "date_time", "org", "ivr", "rx", "call", "reward_name", "reward_desc", "reward_value")
 
 
 PENALTY = """calls AS (
-    SELECT DISTINCT user_id, ts FROM events WHERE event_type IN ('error', 'purchase')
+    SELECT DISTINCT user_id, ts FROM events
 ), penalties AS (
     SELECT user_id, ts, min(-3) OVER (PARTITION BY user_id ORDER BY ts
         RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 DAYS PRECEDING) AS reward_value FROM calls
@@ -244,21 +243,15 @@ def a16(spark, base):
     )
 
 
-ACTIONS = """actions(app, position, action_id, name) AS (VALUES
-    ('ivr', 0, 0, 'none'), ('ivr', 1, 1, 'autorefill'), ('ivr', 2, 2, 'sms'), ('ivr', 3, 3, 'renewal'),
-    ('ivr', 4, 4, 'schedulerefill'), ('ivr', 5, 5, 'refill'), ('ivr', 6, 6, 'orderstatus'),
-    ('ivr', 7, 7, 'outstandingbalance'), ('ivr', 8, 8, 'address'), ('ivr', 9, 9, 'creditcard'),
-    ('ivr', 10, 10, 'clinicalopportunity'), ('ivr', 11, 11, 'diabeteshold'),
-    ('spec-pat', 0, 0, 'none'), ('spec-pat', 1, 6, 'orderstatus'), ('spec-pat', 2, 7, 'outstandingbalance'),
-    ('spec-pat', 3, 9, 'creditcard'), ('spec-pat', 4, 12, 'osp_commpref'), ('spec-pat', 5, 13, 'osp_ob_newtherapy_eosl'),
-    ('spec-pat', 6, 14, 'osp_ob_arop_eosl'), ('spec-pat', 7, 15, 'osp_newtherapy_eosl'),
-    ('spec-pat', 8, 16, 'osp_arop_eosl'), ('spec-pat', 9, 17, 'osp_ob_refillrenewal_secure'),
-    ('spec-pat', 10, 18, 'osp_refillrenewal_secure'), ('spec-pat', 11, 19, 'osp_smf'),
-    ('spec-pat', 12, 20, 'osp_paymenthold'), ('spec-pat', 13, 21, 'osp_amauthold'),
-    ('spec-pat', 14, 22, 'osp_outreachhold'), ('spec-pat', 15, 23, 'osp_copaysavingscoverage'),
-    ('spec-pat', 16, 24, 'osp_claimshistory'), ('spec-pat', 17, 25, 'osp_tstfrxstatus'),
-    ('spec-pat', 18, 26, 'osp_officebaseddurationconsent')
-)"""
+def _actions_sql() -> str:
+    rows = [
+        f"('{app}', {position}, {id}, '{name}')"
+        for app, actions in P.app_actions().items() for position, (id, name) in enumerate(actions.items())
+    ]
+    return f"actions(app, position, action_id, name) AS (VALUES {', '.join(rows)})"
+
+
+ACTIONS = _actions_sql()
 
 
 @query("a17_action_space", f"""

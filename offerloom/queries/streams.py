@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from offerloom.queries.functions import MASKS
-from offerloom.queries.joins import purchase_state
-from offerloom.queries.registry import DECISIONS, K, PURCHASE_STATE, query, text, u
+from offerloom.queries.joins import token_state
+from offerloom.queries.registry import DECISIONS, K, TOKEN_STATE, query, text, u
 from offerloom.queries.sources import write_log
 from offerloom.session import scratch_path
 from offerloom.sources import adapters as A
@@ -55,7 +55,7 @@ def size_scores(tokens):
     return F.transform(F.sequence(F.lit(0), F.lit(18)), lambda i: F.pmod(n * 7 + i * 13, F.lit(17)) / F.lit(10.0))
 
 
-DECIDED = f"""{PURCHASE_STATE}, {MASKS}, ids AS (
+DECIDED = f"""{TOKEN_STATE}, {MASKS}, ids AS (
     SELECT app AS app_name, list(action_id ORDER BY position) AS action_ids FROM actions GROUP BY 1
 ), asked AS (
     SELECT m.*, i.action_ids, CASE WHEN is_ivr THEN 'c' || event_id WHEN app_name = 'spec-pat' THEN 's' || event_id END AS session_id,
@@ -96,7 +96,7 @@ def decide_all(spark, base, out):
     """Requests arrive as a stream of message files; the state is a stored table."""
     S.overwrite(A.requests(spark, base), f"{out}/requests", n=8)
     requests = Z.event_stream(spark, f"{out}/requests", "event_id bigint, time timestamp, message string")
-    S.overwrite(purchase_state(spark, base).filter("current_record = 1").select(
+    S.overwrite(token_state(spark, base).filter("current_record = 1").select(
         F.col("enterprise_id").cast("string").alias("raw_id"), "enterprise_id", "state_tokenized", "state"
     ), f"{out}/state")
     state = spark.read.parquet(f"{out}/state")

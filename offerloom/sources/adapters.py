@@ -171,13 +171,13 @@ def decisions(spark: SparkSession, base: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, base: str) -> DataFrame:
-    """Vectors as logits of a 12-action space with a logged action."""
+    """Vectors as logits of an action space of their length (64), with a logged action."""
     return load(spark, "embeddings", base).select(
         F.col("vec_id").alias("id"),
-        F.slice(F.col("embedding").cast("array<double>"), 1, 12).alias("logits"),
+        F.col("embedding").cast("array<double>").alias("logits"),
         F.col("embedding").cast("array<double>").alias("obs"),
         F.col("label").alias("action"),
-        F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: F.when(F.pmod(F.col("vec_id") + i, F.lit(3)) > 0, 1)
+        F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.when(F.pmod(F.col("vec_id") + i, F.lit(3)) > 0, 1)
                     .otherwise(0)).alias("mask"),
     )
 

@@ -55,7 +55,7 @@ def write_fact(df: DataFrame, path: str) -> None:
 
 def export_files(df: DataFrame, path: str, k: int | None = None) -> None:
     """Training export; ``k`` files when a small consumer asks for it, else the files of the plan."""
-    (df.coalesce(k) if k else df).write.mode("overwrite").parquet(path)
+    (df.repartition(k) if k else df).write.mode("overwrite").parquet(path)
 
 
 def export_json(df: DataFrame, path: str) -> None:
