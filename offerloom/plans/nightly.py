@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,35 +53,54 @@ def state_job(
 
 
 def reward_job(spark: SparkSession, calls: DataFrame, id_map: DataFrame, root: str, start: str) -> None:
-    """Repeat-call penalties by date."""
+    """Repeat-call penalties of the days from that of ``start`` on, which are replaced whole.
+
+    The calls of the days before that a penalty can look back to are read too.
+    """
     T.ensure_table(spark, f"{root}/rewards", REWARD_FACT, ["date"])
+    first = _day(start)
     chosen = calls.filter(
-        (F.col("logical_app_name") == "RX") & (F.col("caller_type") == "member") & (F.col("start_dtm") > start)
+        (F.col("logical_app_name") == "RX") & (F.col("caller_type") == "member")
+        & (F.col("start_dtm") >= F.lit(first - timedelta(days=REPEAT_CALL_DAYS)).cast("timestamp"))
     )
     known = resolve_id(chosen, id_map).withColumnRenamed("start_dtm", "date_time")
-    penalties = W.repeat_penalty(known).withColumns({
+    recent = W.repeat_penalty(known).filter(F.col("date_time") >= F.lit(first).cast("timestamp"))
+    penalties = recent.withColumns({
         "reward_name": F.lit("repeat_call"), "reward_desc": F.lit(f"repeat call within {REPEAT_CALL_DAYS} days"),
     })
     fact = D.to_fact(penalties, "date_time", "org", "ivr", "rx", "call", "reward_name", "reward_desc", "reward_value")
-    T.write_fact(fact, f"{root}/rewards")
+    T.write_fact(fact, f"{root}/rewards", first)
+
+
+def _day(start: str) -> date:
+    return datetime.fromisoformat(start).date()
 
 
 def disposition_job(
     spark: SparkSession, flags: DataFrame, calls: DataFrame, id_map: DataFrame, root: str, offers=D.CALL_LOG_OFFERS,
+    start: str | None = None, app: str | None = None,
 ) -> None:
-    """Offer dispositions by date."""
+    """Offer dispositions by date. With ``start`` only calls of the days from that of ``start`` on are read, and these days are replaced
+    whole; with ``app`` only calls of that application."""
     T.ensure_table(spark, f"{root}/dispositions", DISPOSITION_FACT, ["date"])
+    first = None if start is None else _day(start)
+    if app is not None:
+        calls = calls.filter(F.col("logical_app_name") == app)
+    if first is not None:
+        calls = calls.filter(F.col("start_dtm") >= F.lit(first).cast("timestamp"))
+    if app is not None or first is not None:
+        flags = flags.join(calls.select("call_guid").distinct(), "call_guid", "left_semi")
     wide = D.chain_flags(D.rollup_flags(flags, "call_guid", offers), "call_guid", offers)
     rows = D.attach_call(D.dispositions(wide, "call_guid"), calls, "cagm", "start_dtm")
     fact = D.to_fact(resolve_id(rows, id_map), "start_dtm", "org", "ivr", "rx", "call", "offer", *D.DISPOSITIONS)
-    T.write_fact(fact, f"{root}/dispositions")
+    T.write_fact(fact, f"{root}/dispositions", first)
 
 
 def log_job(spark: SparkSession, src: str, root: str, as_of: date) -> None:
     """New days of the decision log, then the last days once more."""
     fresh = L.ingest_new_dates(spark, src, f"{root}/decisions", f"{root}/decision_errors")
     if fresh or T.exists(spark, f"{root}/decisions"):
-        L.reingest_recent(spark, src, f"{root}/decisions", as_of)
+        L.reingest_recent(spark, src, f"{root}/decisions", as_of, errors=f"{root}/decision_errors")
 
 
 def episode_job(spark: SparkSession, root: str, encode, min_len: int = 1) -> None:

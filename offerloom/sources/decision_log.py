@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from offerloom.fixed_values import LOG_TIME_ZONE, REPROCESS_DAYS
 from offerloom.schemas import DECISION_LOG
-from offerloom.sources.tables import append_partitioned, exists
+from offerloom.sources.tables import append_partitioned, partition_days, replace_days
 
 CORRUPT = "_corrupt_record"
 LOG_WITH_ERRORS = f"{DECISION_LOG}, {CORRUPT} string"
@@ -47,11 +47,9 @@ def source_dates(spark: SparkSession, src: str) -> DataFrame:
     return files.select(file_date(F.col("path")).alias("partition_field")).where("partition_field is not null").distinct()
 
 
-def loaded_dates(spark: SparkSession, dst: str) -> DataFrame:
-    """Dates in the target: partition values only."""
-    if not exists(spark, dst):
-        return spark.createDataFrame([], "partition_field date")
-    return spark.read.parquet(dst).select("partition_field").distinct()
+def loaded_dates(spark: SparkSession, *tables: str | None) -> set[date]:
+    """Days that the target or the error table holds, from the names of their folders."""
+    return set().union(*(partition_days(spark, t, "partition_field") for t in tables if t))
 
 
 def _day_globs(src: str, days: list[date]) -> list[str]:
@@ -65,18 +63,24 @@ def _read_days(spark: SparkSession, src: str, days: list[date]) -> tuple[DataFra
 def ingest_new_dates(spark: SparkSession, src: str, dst: str, errors: str | None = None) -> list[date]:
     """Append the dates of the source that the target does not have. Returns them.
 
-    Only days come to the driver, and only files of new days are opened.
+    Only days come to the driver, and only files of new days are opened. A day counts as loaded if the target or the error table
+    has it, so a day of nothing but bad records is read once.
     """
-    fresh = source_dates(spark, src).join(loaded_dates(spark, dst), "partition_field", "left_anti")
-    days = sorted(r["partition_field"] for r in fresh.collect())
+    found = {r["partition_field"] for r in source_dates(spark, src).collect()}
+    days = sorted(found - loaded_dates(spark, dst, errors))
     if days:
         good, bad = _read_days(spark, src, days)
         append_partitioned(good, dst)
         if errors:
-            bad.write.mode("append").parquet(errors)
+            _write_errors(bad, errors, days)
     return days
 
 
+def _write_errors(bad: DataFrame, errors: str, days: list[date]) -> None:
+    """Bad records by the day of their file, each day whole: a repeated run leaves one copy."""
+    replace_days(bad.withColumn("partition_field", F.col("file_date")), errors, "partition_field", days)
+
+
 def reingest_recent(
     spark: SparkSession, src: str, dst: str, as_of: date, days: int = REPROCESS_DAYS, errors: str | None = None
 ) -> list[date]:
@@ -89,16 +93,8 @@ def reingest_recent(
     found = sorted(r["partition_field"] for r in recent.collect())
     if found:
         good, bad = _read_days(spark, src, found)
-        replace_days(good, dst)
+        # A day that has no good records left is cleared.
+        replace_days(good.withColumn("partition_field", F.to_date("time")), dst, "partition_field", found)
         if errors:
-            bad.write.mode("append").parquet(errors)
+            _write_errors(bad, errors, found)
     return found
-
-
-def replace_days(df: DataFrame, dst: str) -> None:
-    """Overwrite the days present in ``df`` and no others."""
-    dated = df.withColumn("partition_field", F.to_date("time"))
-    (
-        dated.hint("rebalance", "partition_field").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("partition_field").parquet(dst)
-    )

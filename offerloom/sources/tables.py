@@ -2,22 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
+from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The path and its file system, whatever the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """Is there something at the path, on whatever file system it names?"""
-    try:
-        spark.read.text(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """Is there something at the path? Asks the file system; no table is listed."""
+    at, system = _file_system(spark, path)
+    return bool(system.exists(at))
+
+
+def partition_days(spark: SparkSession, path: str, col: str) -> set[date]:
+    """Days that a table partitioned by ``col`` has folders for: one listing, no file is opened."""
+    at, system = _file_system(spark, path)
+    if not system.exists(at):
+        return set()
+    names = [s.getPath().getName() for s in system.listStatus(at) if s.isDirectory()]
+    return {date.fromisoformat(n[len(col) + 1:]) for n in names if re.fullmatch(rf"{col}=\d{{4}}-\d{{2}}-\d{{2}}", n)}
+
+
+def _drop_days(spark: SparkSession, path: str, col: str, days: Iterable[date]) -> None:
+    for day in days:
+        at, system = _file_system(spark, f"{path}/{col}={day}")
+        system.delete(at, True)
+
+
+def replace_days(df: DataFrame, path: str, col: str = "date", days: Iterable[date] | None = None, order: Sequence[str] = ()) -> None:
+    """Overwrite the days present in ``df``. With ``days`` these are replaced whole: days without rows any more are cleared."""
+    out = df.hint("rebalance", col)
+    out = out.sortWithinPartitions(col, *order) if order else out
+    if days is not None:
+        spark = df.sparkSession
+        present = {r[col] for r in df.select(col).distinct().collect()}
+        _drop_days(spark, path, col, sorted(set(days) - present))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: str, parts: Sequence[str] = ()) -> None:
@@ -47,10 +75,13 @@ def append_partitioned(df: DataFrame, path: str, time: str = "time") -> None:
     dated.hint("rebalance", "partition_field").write.mode("append").partitionBy("partition_field").parquet(path)
 
 
-def write_fact(df: DataFrame, path: str) -> None:
-    """Replace the dates present in ``df``, sorted by entity inside each date."""
-    out = df.hint("rebalance", "date").sortWithinPartitions("date", "enterprise_id")
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+def write_fact(df: DataFrame, path: str, start: date | None = None) -> None:
+    """Replace the dates present in ``df``, sorted by entity inside each date.
+
+    With ``start`` all stored dates from it on are replaced: those that have no rows any more are cleared.
+    """
+    days = None if start is None else {d for d in partition_days(df.sparkSession, path, "date") if d >= start}
+    replace_days(df, path, "date", days, ["enterprise_id"])
 
 
 def export_files(df: DataFrame, path: str, k: int | None = None) -> None:

@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from offerloom.operators.policy import decide
-from offerloom.sources.decision_log import CORRUPT, LOG_WITH_ERRORS, file_date, replace_days, split_valid
+from offerloom.sources.decision_log import CORRUPT, LOG_WITH_ERRORS, file_date, split_valid
+from offerloom.sources.tables import replace_days
 
 
 def event_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options) -> DataFrame:
@@ -133,7 +134,7 @@ def ingest_stream(spark: SparkSession, src: str, dst: str, errors: str, checkpoi
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         good, bad = split_valid(batch)
-        replace_days(good, f"{dst}/batch_id={batch_id}")
+        replace_days(good.withColumn("partition_field", F.to_date("time")), f"{dst}/batch_id={batch_id}", "partition_field")
         bad.write.mode("overwrite").parquet(f"{errors}/batch_id={batch_id}")
 
     return write_batches(raw, sink, checkpoint)

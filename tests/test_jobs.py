@@ -74,6 +74,54 @@ def test_fact_write_replaces_days_only(spark, tmp_path):
     assert [r["v"] for r in got.collect()] == [9, 1]
 
 
+def test_days_without_rows_are_cleared(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    fact = spark.sql("""select 1L enterprise_id, date_add(date'2024-01-01', cast(id as int)) date, id reward_value from range(4)""")
+    T.write_fact(fact, path)
+    T.write_fact(fact.filter("date = '2024-01-04'"), path, date(2024, 1, 3))
+    assert {str(r["date"]) for r in spark.read.parquet(path).collect()} == {"2024-01-01", "2024-01-02", "2024-01-04"}
+    assert T.partition_days(spark, path, "date") == {date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 4)}
+    assert T.partition_days(spark, str(tmp_path / "none"), "date") == set() and not T.exists(spark, str(tmp_path / "none"))
+
+
+def test_day_of_bad_records_is_loaded_once_and_cleared_day_goes(spark, tmp_path):
+    src, dst, bad = tmp_path / "src", str(tmp_path / "dst"), str(tmp_path / "bad")
+    log_file(src, "s1", "2024-01-01 100000")
+    log_file(src, "s2", "2024-01-02 100000", text='{"app":"ivr","time":"2024-01-02')
+    assert L.ingest_new_dates(spark, str(src), dst, bad) == [date(2024, 1, 1), date(2024, 1, 2)]
+    for _ in range(2):
+        assert L.ingest_new_dates(spark, str(src), dst, bad) == []
+    assert spark.read.parquet(bad).count() == 1
+    log_file(src, "s1", "2024-01-01 100000", text='{"app":"ivr","time":"2024-01-01')  # the good record is gone
+    L.reingest_recent(spark, str(src), dst, date(2024, 1, 2), errors=bad)
+    assert T.partition_days(spark, dst, "partition_field") == set() and spark.read.parquet(bad).count() == 2
+
+
+def test_rewards_look_back_beyond_the_start(spark, tmp_path):
+    calls = spark.sql("""select concat('g', id) as call_guid, 'm1' as cagm, timestampadd(DAY, cast(2 * id as int), timestamp'2024-01-01 09:00:00')
+        as start_dtm, 'RX' as logical_app_name, 'member' as caller_type from range(8)""")
+    id_map = spark.sql("select 1L as enterprise_id, 'cagm' as id_type, 'm1' as alternative_id")
+    days = lambda root: {str(r["date"]) for r in spark.read.parquet(f"{root}/rewards").collect()}
+    nightly.reward_job(spark, calls, id_map, str(tmp_path / "all"), "2023-01-01")
+    nightly.reward_job(spark, calls, id_map, str(tmp_path / "late"), "2024-01-09 12:00:00")
+    assert days(tmp_path / "late") == {d for d in days(tmp_path / "all") if d >= "2024-01-09"} and "2024-01-11" in days(tmp_path / "late")
+    # A correction that takes the last calls away clears their days; earlier days stay.
+    nightly.reward_job(spark, calls.filter("start_dtm < '2024-01-12'"), id_map, str(tmp_path / "all"), "2024-01-09 12:00:00")
+    assert max(days(tmp_path / "all")) == "2024-01-11" and "2024-01-03" in days(tmp_path / "all")
+
+
+def test_dispositions_from_a_start(spark, tmp_path):
+    calls = spark.sql("""select concat('g', id) as call_guid, 'm1' as cagm, timestampadd(DAY, cast(id as int), timestamp'2024-01-01') as start_dtm,
+        if(id % 2 = 0, 'RX', 'MED') as logical_app_name from range(8)""")
+    id_map = spark.sql("select 1L as enterprise_id, 'cagm' as id_type, 'm1' as alternative_id")
+    flags = calls.select("call_guid", F.lit(1).alias("x_alert"), F.lit(1).alias("x_yes"))
+    offers = {"x": {"offered": "x_alert", "accepted": "x_yes"}}
+    nightly.disposition_job(spark, flags, calls, id_map, str(tmp_path), offers)
+    nightly.disposition_job(spark, flags, calls.filter("start_dtm < '2024-01-06'"), id_map, str(tmp_path), offers, "2024-01-04", "RX")
+    got = {str(r["date"]) for r in spark.read.parquet(f"{tmp_path}/dispositions").collect()}
+    assert got == {"2024-01-01", "2024-01-02", "2024-01-03", "2024-01-05"}
+
+
 def test_required_columns(spark):
     with pytest.raises(ValueError, match="b"):
         require(spark.range(1).toDF("a"), "a", "b")

@@ -1,5 +1,7 @@
 """Array functions, legality, sampling, evaluation, embedding."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -254,3 +256,17 @@ def test_rectangles(spark):
     df = spark.sql("select * from values (array(1)), (array(1, 2, 3)) as t(a)")
     assert M.is_rectangular(df, "a").first()["rectangular"] == 0
     assert sorted(r["a"] for r in M.pad_to_longest(df, "a").collect()) == [[1, 0, 0], [1, 2, 3]]
+
+
+def test_log_softmax_is_finite_where_the_share_underflows(spark):
+    row = spark.sql("select array(0D, -800D, 1D) as l").select(X.log_softmax("l").alias("p")).first()["p"]
+    top = 1 + math.log(1 + math.exp(-1))
+    assert row == pytest.approx([-top, -800 - top, 1 - top])
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 500, 999, 1000, 5000])
+def test_samples_are_the_least_random_numbers(spark, n):
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    want = [r["k"] for r in df.orderBy(X.uniform("k", seed=5), "k").limit(n).collect()]
+    assert sorted(r["k"] for r in N.epoch_sample(df, n, 5, "k").collect()) == sorted(want)
+    assert sorted(r["k"] for r in N.sample_n(df.union(df), n, 5, "k").collect()) == sorted(want)
