@@ -1,6 +1,6 @@
 """Byte-level byte-pair encoding and decoding.
 
-Texts are cut by a pattern; each match is encoded on its own. A segment tree over the byte positions of a match keeps
+Texts are cut by a pattern; each match is encoded on its own (a match that is a token as a whole is that token). A segment tree over the byte positions of a match keeps
 the leftmost pair of least rank; a merge takes the root, joins the pair and updates three leaves (the merged
 position, its live left neighbour and the position that vanishes), each along one path to the root. The trees of
 many matches are rows of one array, so that a step merges once in every match of a batch.
@@ -20,13 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-# Entries of the per-worker memory of encoded matches, and the longest match (characters) that enters it.
-MEMORY_ENTRIES = 300_000
+# Entries of the per-worker memory of encoded matches, and the longest match (characters) that stays in it.
+MEMORY_ENTRIES = 600_000
 MEMORY_LENGTH = 64
 # Tree cells that are worked on together.
-CELLS = 1 << 19
+CELLS = 1 << 18
 _NONE = np.int64(2**62)
 _POSITION_BITS = 36
+_NO_RANK = _NONE >> _POSITION_BITS
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -35,28 +36,48 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class PairTable:
-    """Rank of every pair of tokens whose bytes together are a token, as sorted arrays."""
+    """Rank of every pair of tokens whose bytes together are a token: a hash table in arrays, looked up by many keys at once."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        keys, values = [], []
+        found: dict[int, int] = {}
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    keys.append(left << 32 | right)
-                    values.append(rank)
-        order = np.argsort(np.array(keys, dtype=np.int64))
-        self.keys = np.append(np.array(keys, dtype=np.int64)[order], np.int64(-1))
-        self.values = np.array(values, dtype=np.int64)[order] if values else np.zeros(1, dtype=np.int64)
-        self.size = len(values)
+                    found[left << 32 | right] = rank
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
+        self.bits = max(4, (4 * len(found)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.values = np.full(1 << self.bits, _NO_RANK, dtype=np.int64)
+        keys = np.fromiter(found, dtype=np.int64, count=len(found))
+        values = np.fromiter(found.values(), dtype=np.int64, count=len(found))
+        slot = self._slot(keys)
+        while len(keys):
+            # One key takes each free slot; the others go on to the next slot.
+            free = self.keys[slot] == -1
+            self.keys[slot[free]] = keys[free]
+            own = self.keys[slot] == keys
+            self.values[slot[own]] = values[own]
+            keys, values, slot = keys[~own], values[~own], (slot[~own] + 1) & (len(self.keys) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the merged token, or a value above all ranks."""
         key = left << 32 | right
-        at = np.searchsorted(self.keys[: self.size], key)
-        found = self.keys[at] == key
-        return np.where(found, self.values[np.minimum(at, len(self.values) - 1)], _NONE >> _POSITION_BITS)
+        slot = self._slot(key)
+        there = self.keys[slot]
+        out = np.where(there == key, self.values[slot], _NO_RANK)
+        open_ = np.nonzero((there != key) & (there != -1))
+        while len(open_[0]):
+            slot[open_] = (slot[open_] + 1) & (len(self.keys) - 1)
+            there = self.keys[slot[open_]]
+            hit = there == key[open_]
+            done = tuple(i[hit] for i in open_)
+            out[done] = self.values[slot[done]]
+            open_ = tuple(i[~hit & (there != -1)] for i in open_)
+        return out
 
 
 def merge_rows(data: np.ndarray, lengths: np.ndarray, pairs: PairTable) -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +94,7 @@ def merge_rows(data: np.ndarray, lengths: np.ndarray, pairs: PairTable) -> tuple
     tree = np.full((n_rows, 2 * width), _NONE, dtype=np.int64)
     if width > 1:
         rank = pairs.rank(token[:, :-1], token[:, 1:])
-        cell = np.where(alive[:, 1:] & (rank < _NONE >> _POSITION_BITS), rank << _POSITION_BITS | column[:-1], _NONE)
+        cell = np.where(alive[:, 1:] & (rank < _NO_RANK), rank << _POSITION_BITS | column[:-1], _NONE)
         tree[:, width : 2 * width - 1] = cell
     level = width
     while level > 1:
@@ -88,7 +109,7 @@ def merge_rows(data: np.ndarray, lengths: np.ndarray, pairs: PairTable) -> tuple
         """Cell of the pair at ``left``; none if a side lies outside the row."""
         inside = (left >= 0) & (right < size)
         rank = pairs.rank(tokens[start + np.where(inside, left, 0)], tokens[start + np.where(inside, right, 0)])
-        return np.where(inside & (rank < _NONE >> _POSITION_BITS), rank << _POSITION_BITS | left, _NONE)
+        return np.where(inside & (rank < _NO_RANK), rank << _POSITION_BITS | left, _NONE)
 
     while len(rows):
         start, size, root = rows * width, lengths[rows], rows * (2 * width)
@@ -146,7 +167,6 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         import regex
 
-        # \s of the pattern means Unicode white space, whatever the pattern library takes it for.
         self.split = regex.compile(pattern).findall
         self.ranks = read_ranks(path)
         self.pairs = PairTable(self.ranks)
@@ -162,16 +182,16 @@ class Codec:
         unknown = [x for x in set().union(*cut) if x not in memory]
         memory.update(zip(unknown, encode_pieces([x.encode() for x in unknown], self.ranks, self.pairs), strict=True))
         out = [b"".join(map(memory.__getitem__, pieces)) for pieces in cut]
-        if len(memory) > MEMORY_ENTRIES:
-            memory.clear()
         for x in unknown:
             if len(x) > MEMORY_LENGTH:
                 memory.pop(x, None)
+        if len(memory) > MEMORY_ENTRIES:  # the matches met first are the common ones
+            while len(memory) > MEMORY_ENTRIES * 3 // 4:
+                memory.popitem()
         return out
 
     def decode(self, ids: list[int]) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in ids])
+        return b"".join(map(self.tokens.__getitem__, ids))
 
 
 _CODECS: dict[tuple[str, str], Codec] = {}
@@ -204,7 +224,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
     @arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         worker = codec(path, pattern)
-        parts = [part for run in _groups(texts, 4_000_000) for part in worker.encode(run)]
+        parts = [part for run in _groups(texts, 2_000_000) for part in worker.encode(run)]
         offsets = np.cumsum([0, *(len(p) // 4 for p in parts)]).astype(np.int32)
         values = np.frombuffer(b"".join(parts), dtype="<i4")
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
@@ -218,6 +238,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
     @arrow_udf("binary")
     def back(rows: pa.Array) -> pa.Array:
         worker = codec(path, pattern)
-        return pa.array([worker.decode(x or []) for x in rows.to_pylist()], type=pa.binary())
+        # Row by row, so that a batch is never held as numbers of Python.
+        return pa.array([worker.decode(x.values.to_numpy().tolist() if x.is_valid else []) for x in rows], type=pa.binary())
 
     return df.withColumn(out, back(F.col(ids)))
