@@ -7,13 +7,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Word2Vec
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerloom.session import cut_lineage
 
-MODEL_BYTES = 256 * 1024 * 1024
+# Size of a slice of the token table, and states compared with it at a time.
+SLICE_BYTES = 16 * 1024 * 1024
+BLOCK_ROWS = 1024
 
 
 @dataclass(frozen=True)
@@ -28,10 +29,6 @@ class EncoderWeights:
     out: np.ndarray  # (features, dim)
     out_bias: np.ndarray  # (features,)
 
-    @property
-    def nbytes(self) -> int:
-        return sum(np.asarray(v).nbytes for v in vars(self).values())
-
 
 def _attend(w: EncoderWeights, vectors: np.ndarray) -> np.ndarray:
     """Forward pass for a small batch of embedded sequences ``(rows, length, dim)``."""
@@ -48,11 +45,9 @@ def _attend(w: EncoderWeights, vectors: np.ndarray) -> np.ndarray:
 def encode_states(weights: EncoderWeights, c: Column, batch: int = 64) -> Column:
     """Token arrays to dense vectors, by Arrow batches.
 
-    Sequences are cut to their newest tokens and padded on the right with 0. The model travels with the
-    task, so its size is checked; a larger token table goes through :func:`encode_states_joined`.
+    Sequences are cut to their newest tokens and padded on the right with 0. The token table travels with the
+    task; :func:`encode_states_attention` gives the same vectors with the table as a DataFrame of any size.
     """
-    if weights.nbytes > MODEL_BYTES:
-        raise ValueError("model too large to ship with tasks: use encode_states_joined")
     length = len(weights.positions)
 
     @F.pandas_udf("array<double>")
@@ -71,6 +66,38 @@ def encode_states(weights: EncoderWeights, c: Column, batch: int = 64) -> Column
     return encode(c)
 
 
+def encode_states_attention(
+    df: DataFrame, vectors: DataFrame, weights: EncoderWeights, keys: list[str], tokens: str = "state_tokenized"
+) -> DataFrame:
+    """The vectors of :func:`encode_states` for token tables of any size: ``keys`` (unique) and ``vector``.
+
+    ``vectors`` has ``token, vector``. Token vectors are joined to the positions of each state and gathered again, at most ``length``
+    of them; only the small matrices of ``weights`` travel with the task. A missing token counts as padding.
+    """
+    length = len(weights.positions)
+    newest = F.slice(F.col(tokens), F.greatest(F.size(tokens) - (length - 1), F.lit(1)), length)
+    asked = df.select(*keys, F.posexplode_outer(newest).alias("_pos", "token"))
+    placed = F.when(F.col("vector").isNotNull(), F.struct("_pos", "vector"))
+    lists = asked.join(vectors.select("token", "vector"), "token", "left").groupBy(*keys).agg(F.collect_list(placed).alias("_v"))
+    dim = weights.attn_in.shape[0]
+    padding = np.zeros(dim) if not len(weights.embeddings) else np.asarray(weights.embeddings[0], dtype=float)
+
+    @F.pandas_udf("array<double>")
+    def attend(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for rows in batches:
+            out = []
+            for start in range(0, len(rows), 64):
+                part = rows.iloc[start:start + 64]
+                x = np.tile(padding, (len(part), length, 1))
+                for i, found in enumerate(part):
+                    for v in found:
+                        x[i, v["_pos"]] = v["vector"]
+                out.extend(_attend(weights, x))
+            yield pd.Series(out, dtype=object)
+
+    return lists.select(*keys, attend("_v").alias("vector"))
+
+
 def _scaled(x: Column) -> Column:
     return F.transform(x["vector"], lambda y: y * x["n"])
 
@@ -108,21 +135,43 @@ def pad_to_longest(df: DataFrame, col: str, token: int = 0) -> DataFrame:
     return df.withColumn("_n", longest).withColumn(col, filled).drop("_n")
 
 
-def fit_state_embedding(df: DataFrame, dim: int, state: str = "state", seed: int = 42, min_count: int = 1,
-                        iters: int = 3) -> tuple[DataFrame, DataFrame]:
+def _sign(token: Column, j: int) -> Column:
+    """+1 or -1, by a hash of token and dimension."""
+    return F.when(F.substring(F.md5(F.concat(token, F.lit(f":{j}"))), 1, 1) < "8", 1.0).otherwise(-1.0)
+
+
+def fit_state_embedding(
+    df: DataFrame, dim: int, keys: list[str], state: str = "state", window: int = 5, min_count: int = 1
+) -> tuple[DataFrame, DataFrame]:
     """Token vectors and state vectors fitted on token sequences. Returns ``(vectors, states)``.
 
-    The fit reads the sequences twice over, so they are checkpointed once.
+    Tokens are described by the tokens near them: counts of pairs at most ``window`` apart, weighed by positive pointwise mutual
+    information, and projected to ``dim`` numbers by hashed signs (dot products are kept in expectation). All of it is grouping and joining, so
+    neither the sequences nor the dictionary meet in one place, and the result does not depend on layout or luck.
+    ``vectors`` has ``token_name, vector``; ``states`` has ``keys`` and the mean vector of the tokens. Tokens seen less than
+    ``min_count`` times get no vector; a token without neighbours has zeros.
     """
-    states = cut_lineage(df)
-    model = Word2Vec(
-        vectorSize=dim, minCount=min_count, inputCol=state, outputCol="vector", seed=seed, maxIter=iters, windowSize=5,
-    ).fit(states)
-    from pyspark.ml.functions import vector_to_array
-
-    vectors = model.getVectors().select(F.col("word").alias("token_name"), vector_to_array("vector").alias("vector"))
-    encoded = model.transform(states).withColumn("vector", vector_to_array("vector"))
-    return vectors, encoded
+    near = F.flatten(F.transform(state, lambda x, i: F.transform(
+        F.slice(F.col(state), i + 2, window), lambda y: F.struct(x.alias("a"), y.alias("b")))))
+    seen = df.select(F.explode(state).alias("token_name")).groupBy("token_name").agg(F.count(F.lit(1)).alias("_n")).filter(
+        (F.col("_n") >= min_count) & F.col("token_name").isNotNull()
+    )
+    pairs = df.select(F.explode(near).alias("p")).select("p.a", "p.b").filter("a is not null and b is not null")
+    counts = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    both = counts.union(counts.select("b", "a", "n")).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    both = cut_lineage(both)  # one row per pair of tokens that ever meet
+    total = both.groupBy("a").agg(F.sum("n").alias("_of"))
+    everything = both.agg(F.sum("n").cast("double")).scalar()
+    weighed = (
+        both.join(total.withColumnRenamed("_of", "_na"), "a").join(total.withColumnsRenamed({"a": "b", "_of": "_nb"}), "b")
+        .withColumn("w", F.ln(F.col("n") * everything / (F.col("_na").cast("double") * F.col("_nb")))).filter("w > 0")
+    )
+    parts = weighed.groupBy("a").agg(*[F.sum(F.col("w") * _sign(F.col("b"), j)).alias(f"_{j}") for j in range(dim)])
+    scale = F.lit(float(dim) ** 0.5)
+    vectors = seen.select("token_name").join(parts.withColumnRenamed("a", "token_name"), "token_name", "left").select(
+        "token_name", F.array(*[F.coalesce(F.col(f"_{j}"), F.lit(0.0)) / scale for j in range(dim)]).alias("vector")
+    )
+    return vectors, encode_states_joined(df, vectors.withColumnRenamed("token_name", "token"), keys, state)
 
 
 def extend_embedding(old: DataFrame, vocab: DataFrame, dim: int) -> DataFrame:
@@ -132,39 +181,40 @@ def extend_embedding(old: DataFrame, vocab: DataFrame, dim: int) -> DataFrame:
     )
 
 
-SCORED_TOKENS = "array<struct<score:double,token_name:string>>"
-
-
-def _keep_best(matrix: np.ndarray, names: np.ndarray, k: int):
-    """Score one slice of the token table and keep the best ``k`` of it and of what was there."""
-    def one(vector, best):
-        scores = matrix @ np.asarray(vector)
-        top = np.argsort(-scores, kind="stable")[:k]
-        found = [{"score": float(scores[i]), "token_name": str(names[i])} for i in top]
-        return sorted([*best, *found], key=lambda b: (-b["score"], b["token_name"]))[:k]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield rows.assign(best=[one(v, b) for v, b in zip(rows["vector"], rows["best"])])
-
-    return run
-
-
-def decode_tokens(df: DataFrame, vectors: DataFrame, k: int, key: str, slice_bytes: int = MODEL_BYTES) -> DataFrame:
-    """The ``k`` tokens whose vectors have the largest product with the ``vector`` of each state.
+def decode_tokens(df: DataFrame, vectors: DataFrame, k: int, key: str, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """The ``k`` tokens whose vectors have the largest product with the ``vector`` of each state, ties by name.
 
-    The token table is cut into slices of a checked size; each slice is scored in Arrow batches and the
-    best ``k`` so far are merged per row. One slice is enough for a dictionary of ordinary size.
+    The token table is cut into slices by a hash, each one record of bounded size; states are cut into blocks and copied to
+    the slices. Block and slice meet in a join, are multiplied in Arrow batches, and the best of each slice are merged by state. Only
+    counts come to the driver.
     """
     shape = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
     slices = max(1, -(-(shape["n"] * (shape["d"] or 1) * 8) // slice_bytes))
-    rows = df.select(key, "vector").withColumn("best", F.array().cast(SCORED_TOKENS))
-    for s in range(slices):
-        part = vectors.filter(F.pmod(F.xxhash64("token_name"), F.lit(slices)) == s).orderBy("token_name").toPandas()
-        if len(part):
-            step = _keep_best(np.stack(part["vector"].to_numpy()), part["token_name"].to_numpy(), k)
-            rows = rows.mapInPandas(step, rows.schema)
-    return rows.select(
-        key, F.transform("best", lambda b: b["token_name"]).alias("tokens"),
-        F.transform("best", lambda b: b["score"]).alias("scores"),
+    blocks = max(1, -(-df.count() // BLOCK_ROWS))
+    part = F.pmod(F.xxhash64("token_name"), F.lit(slices)).alias("_slice")
+    held = vectors.groupBy(part).agg(F.sort_array(F.collect_list(F.struct("token_name", "vector"))).alias("_held"))
+    asked = df.groupBy(F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block")).agg(F.collect_list(F.struct(F.col(key).alias("_key"), "vector")).alias("_asked"))
+    pairs = asked.select("_asked", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slices - 1).cast("bigint"))).alias("_slice")).join(held, "_slice")
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for asked, held in zip(batch["_asked"], batch["_held"]):
+                names = np.array([h["token_name"] for h in held], dtype=object)
+                scores = np.stack([a["vector"] for a in asked]) @ np.stack([h["vector"] for h in held]).T
+                # Slices are sorted by name, so a stable sort leaves ties by name.
+                top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+                width = top.shape[1]
+                yield pd.DataFrame({
+                    "_key": np.repeat([a["_key"] for a in asked], width), "token_name": names[top].ravel(),
+                    "score": np.take_along_axis(scores, top, axis=1).ravel(),
+                })
+
+    kind = df.schema[key].dataType.simpleString()
+    found = pairs.select("_asked", "_held").mapInPandas(best, f"_key {kind}, token_name string, score double")
+    rank = F.row_number().over(Window.partitionBy("_key").orderBy(F.desc("score"), "token_name"))
+    kept = found.withColumn("_rank", rank).filter(F.col("_rank") <= k)
+    lists = kept.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_rank", "token_name", "score"))).alias("_best"))
+    return lists.select(
+        F.col("_key").alias(key), F.transform("_best", lambda b: b["token_name"]).alias("tokens"),
+        F.transform("_best", lambda b: b["score"]).alias("scores"),
     )

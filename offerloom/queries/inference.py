@@ -9,7 +9,7 @@ from offerloom.operators import embedding as M
 from offerloom.operators import policy as P
 from offerloom.operators import sampling as N
 from offerloom.operators import state as S
-from offerloom.operators.vocabulary import build_vocabulary
+from offerloom.operators.vocabulary import apply_vocabulary, build_vocabulary
 from offerloom.queries.expressions import REQUESTS
 from offerloom.queries.joins import features, tokens
 from offerloom.queries.registry import FEATURES, VOCAB, joined, query, state_sql, u
@@ -78,8 +78,9 @@ def encoder(size: int, length: int = 100, dim: int = DIM, out: int = 4) -> M.Enc
 @query("k2_encode_states")
 def k2(spark, base):
     """Attention encoding of every current state."""
-    current = S.flag_current(S.state_history(tokens(spark, base))).filter("current_record = 1")
-    size = build_vocabulary(features(spark, base)).count() + 1
+    vocab = build_vocabulary(features(spark, base))
+    current = S.flag_current(S.state_history(apply_vocabulary(features(spark, base), vocab))).filter("current_record = 1")
+    size = vocab.count() + 1
     rows = current.withColumn("vector", M.encode_states(encoder(size), F.col("state_tokenized")))
     return rows.select("enterprise_id", *[F.round(F.get("vector", F.lit(i)), 6).alias(f"v{i}") for i in range(4)])
 
@@ -119,12 +120,27 @@ def k3(spark, base):
     return N.split_sizes(N.split3_by_key(A.load(spark, "events", base).select("user_id"), "user_id"), "user_id")
 
 
-@query("k4_fit_embedding")
+@query("k4_fit_embedding", f"""
+    WITH {FEATURES}, {VOCAB}, {state_sql()}, seq AS (SELECT enterprise_id, names FROM state WHERE current_record = 1
+    ), near AS (
+        SELECT names[i] AS a, unnest(names[i + 1 : i + 5]) AS b FROM (SELECT names, unnest(range(1, len(names) + 1)) AS i FROM seq)
+    ), met AS (
+        SELECT a, b, count(*) AS n FROM (SELECT a, b FROM near UNION ALL SELECT b, a FROM near) GROUP BY 1, 2
+    ), one AS (SELECT a, sum(n) AS n FROM met GROUP BY 1
+    ), w AS (
+        SELECT met.a, met.b, ln(met.n * (SELECT sum(n) FROM met)::DOUBLE / (x.n::DOUBLE * y.n)) AS w
+        FROM met JOIN one x ON x.a = met.a JOIN one y ON y.a = met.b
+    ), v AS (
+        SELECT a AS token_name, j, sum(w * CASE WHEN substr(md5(b || ':' || j), 1, 1) < '8' THEN 1 ELSE -1 END) / sqrt({DIM}::DOUBLE) AS x
+        FROM w, (SELECT unnest(range({DIM})) AS j) WHERE w > 0 GROUP BY 1, 2
+    ), names AS (SELECT DISTINCT unnest(names) AS token_name FROM seq)
+    SELECT token_name, j AS i, round(coalesce(x, 0), 5) AS x FROM names CROSS JOIN (SELECT unnest(range({DIM})) AS j) LEFT JOIN v USING (token_name, j)""")
 def k4(spark, base):
-    """Length of the fitted vector of every token."""
-    states = S.session_state(S.select_sessions(A.sessions(spark, base), A.AS_OF)).select("enterprise_id", "state")
-    fitted, _ = M.fit_state_embedding(states, DIM)
-    return fitted.select("token_name", F.size("vector").alias("dim"))
+    """Fitted vector of every token of the current states."""
+    states = S.flag_current(S.state_history(tokens(spark, base))).filter("current_record = 1").select("enterprise_id", "state")
+    fitted, _ = M.fit_state_embedding(states, DIM, ["enterprise_id"])
+    rows = fitted.select("token_name", F.posexplode("vector").alias("i", "x"))
+    return rows.select("token_name", F.col("i").cast("bigint").alias("i"), F.round("x", 5).alias("x"))
 
 
 @query("k5_extend_embedding", f"""

@@ -226,10 +226,14 @@ def test_encoder_against_loops(spark):
         assert np.allclose(v, w.out @ pooled + w.out_bias)
 
 
-def test_large_model_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(M, "MODEL_BYTES", 10)
-    with pytest.raises(ValueError):
-        M.encode_states(weights(np.random.default_rng(0)), F.col("s"))
+def test_attention_over_a_joined_table_equals_the_shipped_one(spark):
+    w = weights(np.random.default_rng(3))
+    states = [[1, 2, 3], None, [], [4] * 9, [2, 1]]
+    df = spark.createDataFrame(list(enumerate(states)), "id bigint, s array<int>")
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(w.embeddings)], "token int, vector array<double>")
+    want = {r["id"]: r["v"] for r in df.select("id", M.encode_states(w, F.col("s")).alias("v")).collect()}
+    got = {r["id"]: r["vector"] for r in M.encode_states_attention(df, table, w, ["id"], "s").collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in want)
 
 
 def test_joined_encoding_and_decoding_slices(spark):
@@ -244,12 +248,20 @@ def test_joined_encoding_and_decoding_slices(spark):
 
 
 def test_embedding_fit_and_growth(spark):
-    df = spark.createDataFrame([(i, ["a", "b", "c"] * 5) for i in range(20)], "id bigint, state array<string>")
-    vectors, states = M.fit_state_embedding(df, 4)
-    assert vectors.count() == 3 and all(np.isfinite(r["vector"]).all() for r in states.collect())
+    rows = [(i, (["a", "b"] if i % 2 else ["c", "d"]) * 6) for i in range(20)] + [(50, ["lonely"]), (51, [])]
+    df = spark.createDataFrame(rows, "id bigint, state array<string>")
+    vectors, states = M.fit_state_embedding(df, 16, ["id"])
+    got = {r["token_name"]: np.array(r["vector"]) for r in vectors.collect()}
+    assert got.keys() == {"a", "b", "c", "d", "lonely"} and not got["lonely"].any()
+    cos = lambda x, y: got[x] @ got[y] / np.linalg.norm(got[x]) / np.linalg.norm(got[y])
+    assert cos("a", "b") > cos("a", "c") and cos("c", "d") > cos("b", "d")
+    again = {r["token_name"]: r["vector"] for r in M.fit_state_embedding(df.repartition(3), 16, ["id"])[0].collect()}
+    assert all(np.allclose(got[k], again[k]) for k in got)
+    means = {r["id"]: r["vector"] for r in states.collect()}
+    assert means.keys() == {*range(20), 50} and np.allclose(means[1], (got["a"] + got["b"]) / 2)
     vocab = spark.createDataFrame([("a", 1), ("new", 4)], "token_name string, token int")
-    grown = {r["token_name"]: r["vector"] for r in M.extend_embedding(vectors, vocab, 4).collect()}
-    assert grown["new"] == [0.0] * 4 and any(grown["a"])
+    grown = {r["token_name"]: r["vector"] for r in M.extend_embedding(vectors, vocab, 16).collect()}
+    assert grown["new"] == [0.0] * 16 and any(grown["a"])
 
 
 def test_rectangles(spark):
