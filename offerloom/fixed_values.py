@@ -22,7 +22,6 @@ TOKEN_SEPARATOR = "___"
 NO_ACTION = "none"
 SENTINEL_MEMBER = "0000000000|0000000000000000||"
 SESSION_METRICS = ("call", "resolved")
-LOG_TIME_ZONE = "America/Chicago"
 
 # Action space of the two applications; the common actions belong to both.
 ACTION_SPACE = {

@@ -149,11 +149,10 @@ def n_step_return(df: DataFrame, key: str, n: int, gamma: float, obs: str = "obs
     }))
 
 
-def min_episode_length(df: DataFrame, key: str, k: int, size: int = STEP_BLOCK) -> DataFrame:
-    """Episodes with at least ``k`` steps: those where step ``k - 1`` lies ahead or behind. One pass, no self-join."""
-    blocks = with_step_blocks(df, "t", after=k - 1, size=size)
-    ahead = Window.partitionBy(key, "_block").orderBy("t").rowsBetween(0, k - 1)
-    return drop_step_blocks(blocks.withColumn("_reach", F.max("t").over(ahead)).filter(F.col("_reach") >= k - 1)).drop("_reach")
+def min_episode_length(df: DataFrame, key: str, k: int) -> DataFrame:
+    """Episodes with at least ``k`` steps, for any ``k``: last step numbers are grouped (combined before the shuffle) and joined back."""
+    long = df.groupBy(key).agg(F.max("t").alias("_last")).filter(F.col("_last") >= k - 1).select(key)
+    return df.join(long, key, "left_semi").select(*df.columns)
 
 
 def with_dense_id(df: DataFrame, key: str, out: str = "eps_id") -> DataFrame:

@@ -6,10 +6,10 @@ the doubly robust estimate also reads ``q_hat`` and ``v_hat``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,14 +124,6 @@ def compare_policies(df: DataFrame, actions: DataFrame) -> DataFrame:
     )
 
 
-def _interaction(obs: str, action: str, n_actions: int) -> Column:
-    """One block of (1, obs) per action; all blocks but that of the action are zero."""
-    base = F.concat(F.array(F.lit(1.0)), F.col(obs))
-    zero = F.transform(base, lambda x: F.lit(0.0))
-    blocks = F.array(*[F.when(F.col(action) == a, base).otherwise(zero) for a in range(n_actions)])
-    return array_to_vector(F.flatten(blocks))
-
-
 def q_of(obs: Column, weights: Sequence[Sequence[float]]) -> Column:
     """q-values of all actions for linear weights ``(bias, w...)`` per action."""
     rows = number_matrix(weights)
@@ -142,30 +134,69 @@ def fitted_q(
     df: DataFrame, n_actions: int, obs_dim: int, iters: int = 5, gamma: float = GAMMA, n_step: int = 1,
     reg: float = 0.1, track_error: bool = False,
 ) -> tuple[list[list[float]], list[float]]:
-    """Fitted-Q iteration with a linear model per action. Returns the weights and, if asked for (one more pass
-    each), the training error per round.
+    """Fitted-Q iteration with a linear model per action. Returns the weights and, if asked for, the training
+    error per round.
 
     ``df`` has ``obs, action, n_return, n_obs, n_done, n_mask``. The target is the n-step return plus the
-    discounted best legal value ``n`` steps on. Only the coefficients come back to the driver. ``reg`` is a ridge
+    discounted best legal value ``n`` steps on. The model of an action is separate from the others, so its second moments are summed
+    once; each round sums only the products with the target, and solves one small system per action. Sums are made per task and
+    added by action; nothing but them comes back to the driver, and no row is ever as wide as the model. ``reg`` is a ridge
     penalty in the terms of Spark's regression, that is, for a label of unit spread.
     """
-    steps = cut_lineage(
-        df.select("obs", "action", "n_return", "n_obs", "n_done", "n_mask",
-                  _interaction("obs", "action", n_actions).alias("features"))
-    )
-    weights = [[0.0] * (obs_dim + 1) for _ in range(n_actions)]
-    errors = []
+    width = obs_dim + 1
+    steps = cut_lineage(df.select("obs", "action", "n_return", "n_obs", "n_done", "n_mask"))
+
+    def with_one(column: pd.Series) -> np.ndarray:
+        return np.column_stack([np.ones(len(column)), np.stack(column.to_numpy())]) if len(column) else np.zeros((0, width))
+
+    def summed(parts: DataFrame) -> dict[int, np.ndarray]:
+        """Sums by action of the vectors ``v``, added by position."""
+        cells = parts.select("action", F.posexplode("v")).groupBy("action", "pos").agg(F.sum("col").alias("x"))
+        rows = cells.groupBy("action").agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("v"))
+        return {r["action"]: np.array([c["x"] for c in r["v"]]) for r in rows.collect()}
+
+    def second(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            x, action = with_one(batch["obs"]), batch["action"].to_numpy()
+            for a in np.unique(action):
+                own = x[action == a]
+                total[a] = total.get(a, 0) + own.T @ own
+        yield pd.DataFrame({"action": [int(a) for a in total], "v": [m.ravel() for m in total.values()]})
+
+    squares = {a: v.reshape(width, width) for a, v in summed(steps.select("action", "obs").mapInPandas(second, "action int, v array<double>")).items()}
+    weights = np.zeros((n_actions, width))
+    errors: list[float] = []
     for _ in range(iters):
-        best = F.array_max(F.zip_with(q_of(F.col("n_obs"), weights), F.col("n_mask"),
-                                      lambda q, m: F.when(m == 1, q)))
-        future = F.when(F.col("n_done") == 1, 0.0).otherwise(F.coalesce(best, F.lit(0.0)))
-        target = steps.withColumn("label", F.col("n_return") + F.lit(gamma ** n_step) * future)
-        model = LinearRegression(
-            featuresCol="features", labelCol="label", regParam=reg, elasticNetParam=0.0, fitIntercept=False,
-            standardization=False, solver="normal" if n_actions * (obs_dim + 1) <= 4096 else "l-bfgs",
-        ).fit(target)
-        flat = [float(x) for x in model.coefficients]
-        weights = [flat[a * (obs_dim + 1):(a + 1) * (obs_dim + 1)] for a in range(n_actions)]
-        if track_error:
-            errors.append(float(model.summary.rootMeanSquaredError))
-    return weights, errors
+        w = weights.copy()
+
+        def products(batches: Iterator[pd.DataFrame], w: np.ndarray = w) -> Iterator[pd.DataFrame]:
+            """Per action: sum of x * y, then number of rows, sum of y, sum of y * y."""
+            total: dict[int, np.ndarray] = {}
+            for batch in batches:
+                if not len(batch):
+                    continue
+                open_ = (batch["n_done"].to_numpy() != 1) & batch["n_obs"].notna().to_numpy()
+                best = np.zeros(len(batch))
+                if open_.any():
+                    legal = np.stack(batch.loc[open_, "n_mask"].to_numpy()) == 1
+                    q = np.where(legal, with_one(batch.loc[open_, "n_obs"]) @ w.T, -np.inf).max(axis=1)
+                    best[open_] = np.where(np.isfinite(q), q, 0.0)
+                y = batch["n_return"].to_numpy() + gamma ** n_step * best
+                x, action = with_one(batch["obs"]), batch["action"].to_numpy()
+                for a in np.unique(action):
+                    own, label = x[action == a], y[action == a]
+                    total[a] = total.get(a, 0) + np.concatenate([own.T @ label, [len(label), label.sum(), label @ label]])
+            yield pd.DataFrame({"action": [int(a) for a in total], "v": list(total.values())})
+
+        found = summed(steps.mapInPandas(products, "action int, v array<double>"))
+        n, sum_y, sum_yy = (sum(v[width + i] for v in found.values()) for i in range(3))
+        spread = float(np.sqrt(max(sum_yy / n - (sum_y / n) ** 2, 0.0))) if n else 0.0
+        penalty = (reg / spread * n if spread > 0 else reg) * np.eye(width)
+        weights = np.zeros((n_actions, width))
+        for a, v in found.items():
+            weights[a] = np.linalg.solve(squares[a] + penalty, v[:width])
+        if track_error and n:
+            gap = sum_yy + sum(weights[a] @ squares[a] @ weights[a] - 2 * weights[a] @ v[:width] for a, v in found.items())
+            errors.append(float(np.sqrt(max(gap, 0.0) / n)))
+    return weights.tolist(), errors

@@ -37,20 +37,6 @@ def action_space(spark: SparkSession, spec: Mapping[str, Mapping[int, str]] = AC
     return spark.createDataFrame(rows, "app string, position int, action_id int, name string")
 
 
-MAX_ACTIONS = 20_000
-
-
-def spec_from_table(df: DataFrame) -> dict[str, dict[int, str]]:
-    """Action space from a table ``(app, action_id, name)``. It becomes part of every plan, so its size is checked."""
-    rows = df.select("app", "action_id", "name").limit(MAX_ACTIONS + 1).collect()
-    if len(rows) > MAX_ACTIONS:
-        raise ValueError(f"an action space has at most {MAX_ACTIONS} actions")
-    spec: dict[str, dict[int, str]] = {}
-    for r in rows:
-        spec.setdefault(r["app"], {})[r["action_id"]] = r["name"]
-    return spec
-
-
 def _by_app(values: Mapping[str, list], kind: str) -> Column:
     """Constant per application, NULL for an unknown one. Part of the plan, so no join is needed."""
     return F.element_at(F.from_json(F.lit(json.dumps(values)), f"map<string, array<{kind}>>"), F.col("app_name"))
@@ -223,6 +209,10 @@ def decide(
 
     ``state`` has ``raw_id, enterprise_id, state_tokenized, state``, one row per id (``state_lookup``). A request with
     an error gets action 'none' and keeps its message; the others carry all that the decision log needs.
+
+    A test message that asks for a flag (``override``) is answered with that flag before anything else is looked at: no error of another
+    flag changes it, its id is that of the flag (NULL if the space has no such action), and it has no probability. Such rows have
+    ``logged`` = 0, as those with an error: they don't belong in training data.
     """
     asked = apply_priority(parse_requests(requests))
     masked = suppress_none(with_action_mask(asked, spec), f"{seed}-none", "session_id", chance=chance)
@@ -235,11 +225,15 @@ def decide(
     scored = known.withColumn("q_values", F.slice(q_values(F.col("raw_state")), F.lit(1), F.size("names")))
     picked = explore(score_policy(scored), seed, "session_id", epsilon=epsilon)
     prob = pick("probs", "action")
-    ok = F.col("error").isNull()
+    asked_for = F.col("override").isNotNull()
+    ok = F.col("error").isNull() & ~asked_for
+    position = F.array_position("names", F.col("override")).cast("int")
     return picked.withColumns({
-        "action_id": F.when(ok, pick("action_ids", "action")).otherwise(0),
-        "action_name": F.when(ok, F.coalesce("override", pick("names", "action"))).otherwise(NO_ACTION),
+        "action_id": F.when(asked_for, F.when(position > 0, F.get("action_ids", position - 1))).when(ok, pick("action_ids", "action")).otherwise(0),
+        "action_name": F.when(asked_for, F.col("override")).when(ok, pick("names", "action")).otherwise(NO_ACTION),
         "action_prob": F.when(ok, prob),
         "action_logp": F.when(ok, F.ln(prob)),
         "implementation": F.lit(implementation),
+        "logged": F.when(ok, 1).otherwise(0),
+        "error": F.when(~asked_for, F.col("error")),
     })

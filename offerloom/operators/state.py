@@ -26,10 +26,10 @@ def select_sessions(df: DataFrame, as_of: str, days: int = SESSION_DAYS) -> Data
 
 
 def daily_state(tokens: DataFrame, part_len: int = 10_000) -> DataFrame:
-    """Ordered token names and ids per entity and day.
+    """Ordered token names and ids, one row per entity, day and part: that is the key of the table.
 
-    A day with more than ``part_len`` tokens continues in further rows (``part`` 1, 2, ...), so no group
-    grows without bound; ``size`` counts the tokens of the row.
+    A part holds up to ``part_len`` tokens, so no group grows without bound; an ordinary day is part 0 alone. ``size`` counts the
+    tokens of the row.
     """
     order = [F.col("date_time"), F.col("token_name"), F.col("token")]
     ranked = running_sums(

@@ -31,12 +31,14 @@ def d2(spark, base):
 
 @query("d3_daily_state", f"""
     WITH {FEATURES}, {VOCAB}
-    SELECT enterprise_id, CAST(date AS VARCHAR) AS date, string_agg(token_name, ',' ORDER BY date_time, token_name) AS state,
+    SELECT enterprise_id, CAST(date AS VARCHAR) AS date, CAST((pos - 1) // 10000 AS INT) AS part,
+           string_agg(token_name, ',' ORDER BY date_time, token_name) AS state,
            string_agg(token, ',' ORDER BY date_time, token_name) AS state_tokenized, CAST(count(*) AS INT) AS size
-    FROM tokens GROUP BY 1, 2""")
+    FROM (SELECT *, row_number() OVER (PARTITION BY enterprise_id, date ORDER BY date_time, token_name, token) AS pos FROM tokens)
+    GROUP BY 1, 2, 3""")
 def d3(spark, base):
     return S.daily_state(tokens(spark, base)).select(
-        "enterprise_id", text("date"), joined("state").alias("state"), joined("state_tokenized").alias("state_tokenized"), "size"
+        "enterprise_id", text("date"), "part", joined("state").alias("state"), joined("state_tokenized").alias("state_tokenized"), "size"
     )
 
 

@@ -71,16 +71,17 @@ DECIDED = f"""{TOKEN_STATE}, {MASKS}, ids AS (
     SELECT *, CASE WHEN {u('session_id', '7-eps')} < 0.1 THEN positions[CAST(floor({u('session_id', '7-pick')} * len(positions)) AS INT) + 1]
                    ELSE list_position(q, list_max(q)) - 1 END AS a FROM scored
 ), decided AS (
-    SELECT *, app_name = 'fax' OR k = 99 AS failed,
+    SELECT *, override IS NULL AND (app_name = 'fax' OR k = 99) AS failed,
            exp(q[a + 1] - list_max(q)) / list_sum(list_transform(q, lambda x: coalesce(exp(x - list_max(q)), 0))) AS p FROM chosen
 )"""
 
 
 @query("t3_decide_stream", f"""
     WITH {DECIDED}
-    SELECT event_id, app, CASE WHEN failed THEN 0 ELSE action_ids[a + 1] END AS action_id,
+    SELECT event_id, app, CASE WHEN failed THEN 0 ELSE action_ids[CASE WHEN override IS NULL THEN a + 1 ELSE list_position(names, override) END] END AS action_id,
            CASE WHEN failed THEN 'none' ELSE coalesce(override, names[a + 1]) END AS action_name,
-           CASE WHEN failed THEN -1 ELSE round(p, 6) END AS action_prob, CAST(failed AS INT) AS failed
+           CASE WHEN failed OR override IS NOT NULL THEN -1 ELSE round(p, 6) END AS action_prob, CAST(failed AS INT) AS failed,
+           CAST(NOT failed AND override IS NULL AS INT) AS logged
     FROM decided""")
 def t3(spark, base):
     out = scratch_path(spark, "t3")
@@ -88,7 +89,7 @@ def t3(spark, base):
     rows = spark.read.parquet(f"{out}/decisions")
     return rows.select(
         "event_id", "app", "action_id", "action_name", F.coalesce(F.round("action_prob", 6), F.lit(-1.0)).alias("action_prob"),
-        F.when(F.col("error").isNotNull(), 1).otherwise(0).alias("failed"),
+        F.when(F.col("error").isNotNull(), 1).otherwise(0).alias("failed"), "logged",
     )
 
 

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.fixed_values import LOG_TIME_ZONE, REPROCESS_DAYS
+from offerloom.fixed_values import REPROCESS_DAYS
 from offerloom.schemas import DECISION_LOG
 from offerloom.sources.tables import append_partitioned, partition_days, replace_days
 
@@ -27,11 +27,6 @@ def read_decisions(spark: SparkSession, *paths: str) -> DataFrame:
     return raw.select(*raw.columns[:27], file_date(F.col("_metadata.file_path")).alias("file_date"))
 
 
-def with_utc_time(df: DataFrame, zone: str = LOG_TIME_ZONE) -> DataFrame:
-    """Logged wall-clock times as UTC."""
-    return df.withColumn("time_utc", F.to_utc_timestamp("time", zone))
-
-
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good records, and those that are malformed, undated or of another day than their file.
 

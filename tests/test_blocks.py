@@ -82,9 +82,16 @@ def test_n_step_return_in_small_blocks(stepped, size):
     assert rows(got) == rows(want)
 
 
-def test_reach_must_fit_the_block(stepped):
-    with pytest.raises(ValueError):
-        B.with_step_blocks(stepped, "t", after=8, size=8)
+def test_long_reach_takes_larger_blocks(stepped):
+    df = stepped.withColumns({"rewards": F.col("v").cast("double"), "obs": F.col("id")})
+    same = lambda size: rows(E.n_step_return(df, "k", 20, 0.5, size=size).select("k", "t", F.round("n_return", 6), "n_obs", "n_done"))
+    assert same(8) == same(1 << 20)
+
+
+@pytest.mark.parametrize("k", [1, 2, 50, 1 << 22])
+def test_episodes_of_any_least_length(stepped, k):
+    n = stepped.groupBy("k").count().filter(F.col("count") >= k)
+    assert rows(E.min_episode_length(stepped, "k", k).select("k", "t")) == rows(stepped.join(n, "k").select("k", "t"))
 
 
 @pytest.mark.parametrize("parts", [1, 3, 11])

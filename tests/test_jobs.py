@@ -56,11 +56,6 @@ def test_file_date(spark, path, want):
     assert (str(got) if got else None) == want
 
 
-def test_local_times_to_utc(spark):
-    df = spark.sql("select timestamp'2024-01-01 10:00:00' as time")
-    assert L.with_utc_time(df).first()["time_utc"] == datetime(2024, 1, 1, 16)
-
-
 def test_fact_write_replaces_days_only(spark, tmp_path):
     path = str(tmp_path / "fact")
     T.ensure_table(spark, path, REWARD_FACT, ["date"])

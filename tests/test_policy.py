@@ -95,11 +95,14 @@ def test_requests(spark):
     assert rows[1]["error"] is not None and rows[2]["override"] == "refill" and rows[3]["error"] is not None
 
 
-def test_action_space_from_a_table(spark):
-    spec = P.spec_from_table(P.action_space(spark))
-    assert P.app_actions(spec) == P.app_actions() and P.app_actions()["spec-pat"][6] == "orderstatus"
-    with pytest.raises(ValueError):
-        P.spec_from_table(spark.range(20_001).select(F.lit("a").alias("app"), F.col("id").cast("int").alias("action_id"), F.lit("n").alias("name")))
+def test_override_is_answered_as_asked_and_kept_out_of_training(spark):
+    message = lambda flags, ask: '{"app":"ivr-test","app_data":{"cagm":"m","ivrcallid":"c","eligibilityflags":%s,"priorityaction":%s}}' % (flags, ask)
+    df = spark.createDataFrame([(1, message('["sms","refill"]', 0)), (2, message('["sms","unknown"]', 0)), (3, message('["unknown"]', 0)), (4, message('["sms","unknown"]', "null")), (5, message('["sms"]', 5))], "id int, message string")
+    state = spark.createDataFrame([], "raw_id string, enterprise_id bigint, state_tokenized array<int>, state array<string>")
+    rows = P.decide(df, state, lambda c: F.transform(F.sequence(F.lit(0), F.lit(18)), lambda i: i.cast("double")), epsilon=0.0, chance=0.0)
+    got = {r["id"]: (r["action_name"], r["action_id"], r["action_prob"], r["error"] is None, r["logged"]) for r in rows.collect()}
+    assert got[1] == ("sms", 2, None, True, 0) and got[2] == ("sms", 2, None, True, 0) and got[3] == ("unknown", None, None, True, 0)
+    assert got[4] == ("none", 0, None, False, 0) and got[5] == ("sms", 2, 1.0, True, 1)
 
 
 def test_network_equals_numpy(spark):
