@@ -4,7 +4,8 @@ A record is, in little-endian order::
 
     length of the payload (4 bytes) | masked checksum of the length (4) | payload | masked checksum of the payload (4) | line feed
 
-The payload is a byte that says whether the document has an id, the id (8 bytes), and the token ids (4 bytes each). A checksum is the crc32,
+The payload is a byte that says whether the document has an id, the id (8 bytes), a byte with the width of a token id (2 if all of the record fit,
+else 4), and the token ids. A checksum is the crc32,
 rotated right by 15 bits plus a constant, so that checksums of data that hold checksums stay sound. The line feed is what Spark's text
 writer puts after a record, so files go through Spark's own commit protocol to any file system it knows: a task that is retried leaves
 no second copy.
@@ -33,11 +34,11 @@ END_ID = 1
 # Characters of text per shard, about; a shard is read as one value.
 SHARD_CHARS = 8_000_000
 # Encoded words that a worker remembers, and the longest among them.
-MEMORY_ENTRIES = 400_000
+MEMORY_ENTRIES = 800_000
 MEMORY_LENGTH = 64
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<II")
-_ID = struct.Struct("<Bq")
+_ID = struct.Struct("<BqB")
 INDEX_SCHEMA = "shard int, ordinal int, id bigint, offset bigint, size int, n_tokens bigint, before bigint"
 
 
@@ -46,14 +47,15 @@ def masked(data: bytes) -> int:
     return ((crc >> 15 | crc << 17) + _MASK) & 0xFFFFFFFF
 
 
-def frame(id: int | None, ids: bytes) -> bytes:
-    payload = _ID.pack(id is not None, id or 0) + ids
+def frame(id: int | None, ids: np.ndarray) -> bytes:
+    width = 2 if ids.max(initial=0) < 1 << 16 else 4
+    payload = _ID.pack(id is not None, id or 0, width) + ids.astype(f"<u{width}").tobytes()
     length = struct.pack("<I", len(payload))
     return length + struct.pack("<I", masked(length)) + payload + struct.pack("<I", masked(payload))
 
 
-def unframe(data: memoryview, offset: int) -> tuple[int | None, memoryview, int]:
-    """Id, token bytes and end of the record at ``offset``; raises if a checksum is wrong."""
+def unframe(data: memoryview, offset: int) -> tuple[int | None, np.ndarray, int]:
+    """Id, token ids and end of the record at ``offset``; raises if a checksum is wrong."""
     length, check = _HEAD.unpack_from(data, offset)
     start = offset + _HEAD.size
     payload = data[start : start + length]
@@ -61,38 +63,57 @@ def unframe(data: memoryview, offset: int) -> tuple[int | None, memoryview, int]
         raise ValueError(f"damaged record length at {offset}")
     if struct.unpack_from("<I", data, start + length)[0] != masked(bytes(payload)):
         raise ValueError(f"damaged record at {offset}")
-    known, id = _ID.unpack_from(payload)
-    return id if known else None, payload[_ID.size :], start + length + 5
+    known, id, width = _ID.unpack_from(payload)
+    return id if known else None, np.frombuffer(payload[_ID.size :], dtype=f"<u{width}"), start + length + 5
 
 
 class Encoder:
     """The tokenizer of one worker, with a bounded memory of words.
 
     The tokenizer drops white space and looks at nothing across it, so the ids of a text are those of its words; each word is
-    encoded by the library once while it is remembered.
+    encoded by the library once while it is remembered. New words go to the library as one text, with a mark between that none
+    of them holds.
     """
 
+    MARK = "|"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        (self.mark,) = self.ids([self.MARK])[0]
         self.memory: dict[bytes, bytes] = {}
 
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def fresh(self, words: list[bytes]) -> dict[bytes, bytes]:
+        mark = self.MARK.encode()
+        odd = [w for w in words if mark in w]
+        plain = [w for w in words if mark not in w]
+        out = {w: np.array(ids, dtype="<u4").tobytes() for w, ids in zip(odd, self.ids([w.decode() for w in odd]), strict=True)}
+        for start in range(0, len(plain), 5_000):
+            part = plain[start : start + 5_000]
+            ids = np.array(self.ids([(b" " + mark + b" ").join([*part, b""]).decode()])[0], dtype="<u4")
+            data, ends = ids.tobytes(), (np.flatnonzero(ids == self.mark) * 4).tolist()
+            begins = [0, *(e + 4 for e in ends[:-1])]
+            out |= {w: data[i:j] for w, i, j in zip(part, begins, ends, strict=True)}
+        return out
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         memory = self.memory
-        cut = [text.encode().split() if text else [] for text in texts]
+        # The tokenizer lower-cases; for plain ASCII that can be done at once, and fewer words are new.
+        cut = [(text.encode().lower() if text.isascii() else text.encode()).split() if text else [] for text in texts]
         unknown = [w for w in set().union(*cut) if w not in memory]
-        for start in range(0, len(unknown), 20_000):
-            part = unknown[start : start + 20_000]
-            done = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            memory.update(zip(part, (np.array(d.ids, dtype="<u4").tobytes() for d in done), strict=True))
+        memory |= self.fresh(unknown)
         out = [b"".join(map(memory.__getitem__, words)) for words in cut]
-        if len(memory) > MEMORY_ENTRIES:
-            memory.clear()
         for w in unknown:
             if len(w) > MEMORY_LENGTH:
                 memory.pop(w, None)
+        if len(memory) > MEMORY_ENTRIES:  # the words met first are the common ones
+            while len(memory) > MEMORY_ENTRIES * 3 // 4:
+                memory.popitem()
         return out
 
 
@@ -115,13 +136,14 @@ def write_records(
     docs = df.select(F.col(id).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
     chars = docs.agg(F.sum(F.length("_text"))).first()[0] or 0
     tail = struct.pack("<I", end_id)
+    numbers = lambda ids: np.frombuffer(ids + tail, dtype="<u4")
 
     def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = (c.to_pylist() for c in batch.columns)
             for start in range(0, len(texts), 500):
                 done = encoder(tokenizer).encode(texts[start : start + 500])
-                records = [frame(i, d + tail) for i, d in zip(ids[start : start + 500], done, strict=True)]
+                records = [frame(i, numbers(d)) for i, d in zip(ids[start : start + 500], done, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["record"])
 
     # The text is dealt out before it is encoded: finding the ranges must not encode it twice.
@@ -144,8 +166,8 @@ def _write_index(spark: SparkSession, path: str) -> None:
                 data, at, rows, before = memoryview(content.as_buffer()), 0, [], 0
                 while at < len(data):
                     id, tokens, end = unframe(data, at)
-                    rows.append((shard, len(rows), id, at, end - at, len(tokens) // 4, before))
-                    before, at = before + len(tokens) // 4, end
+                    rows.append((shard, len(rows), id, at, end - at, len(tokens), before))
+                    before, at = before + len(tokens), end
                 columns = list(zip(*rows, strict=True)) or [()] * 7
                 types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], list(_INDEX_NAMES))
@@ -155,12 +177,17 @@ def _write_index(spark: SparkSession, path: str) -> None:
     local = spark.read.schema(INDEX_SCHEMA).parquet(f"{path}/local-index")
     # One row per shard.
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = local.groupBy("shard").agg(F.sum("n_tokens").alias("_n")).select("shard", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    local.join(shards, "shard").select(
-        "shard", "ordinal", "id", "offset", "size", "n_tokens", (F.col("_start") + F.col("before")).alias("start")
+    shards = local.groupBy("shard").agg(F.sum("n_tokens").alias("_n")).select("shard", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).cast("long").alias("first"))
+    shards.write.parquet(f"{path}/shards")
+    local.join(_shards(spark, path), "shard").select(
+        "shard", "ordinal", "id", "offset", "size", "n_tokens", (F.col("first") + F.col("before")).alias("start")
     ).write.parquet(f"{path}/index")
 
 
+def _shards(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("shard int, first bigint").parquet(f"{path}/shards")
+
+
 _INDEX_NAMES = tuple(re.findall(r"(\w+) \w+(?:,|$)", INDEX_SCHEMA))
 
 
@@ -168,29 +195,49 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INDEX_SCHEMA.replace("before", "start")).parquet(f"{path}/index")
 
 
-def read_records(spark: SparkSession, path: str, seed: int | None = None) -> DataFrame:
-    """``id``, ``start``, ``ids`` (binary, 4 bytes each) of all records, taken from the files by the index.
+def _batch(rows: list[tuple[int, int | None, int, np.ndarray]]) -> pa.RecordBatch:
+    shard, id, before, ids = zip(*rows, strict=True)
+    data = [x.astype("<u4").tobytes() for x in ids]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(shard, pa.int32()), pa.array(id, pa.int64()), pa.array(before, pa.int64()), pa.array(data, pa.binary())], ["shard", "id", "before", "ids"]
+    )
 
-    With a seed the shards come in a shuffled order, and so do the records of each.
-    """
+
+_RECORD = "shard int, id bigint, before bigint, ids binary"
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """``id``, ``start``, ``ids`` (binary, 4 bytes each whatever the width in the file) of all records, file by file."""
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                data, at, before, rows = memoryview(content.as_buffer()), 0, 0, []
+                while at < len(data):
+                    id, ids, at = unframe(data, at)
+                    rows.append((shard, id, before, ids))
+                    before += len(ids)
+                    if len(rows) == 1000 or at >= len(data):
+                        yield _batch(rows)
+                        rows = []
+
+    # Records are read before the join, so that no file content is shuffled.
+    found = _files(spark, path).mapInArrow(parse, _RECORD).join(_shards(spark, path), "shard")
+    return found.select("id", (F.col("first") + F.col("before")).alias("start"), "ids")
+
+
+def read_shuffled(spark: SparkSession, path: str, seed: int) -> DataFrame:
+    """The same records, taken from the files by the index: shards in a shuffled order, and the records of each too."""
     entry = F.struct("ordinal", "offset", "start")
     entries = read_index(spark, path).groupBy("shard").agg(F.array_sort(F.collect_list(entry)).alias("entries"))  # bounded by the shard
-    files = _files(spark, path).join(entries, "shard")
-    if seed is not None:
-        files = files.orderBy(F.xxhash64("shard", F.lit(seed)))
+    files = _files(spark, path).join(entries, "shard").orderBy(F.xxhash64("shard", F.lit(seed)))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, content, entries in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 data = memoryview(content.as_buffer())
-                if seed is not None:
-                    np.random.default_rng([seed, shard]).shuffle(entries)
+                np.random.default_rng([seed, shard]).shuffle(entries)
                 for begin in range(0, len(entries), 1000):
-                    part = entries[begin : begin + 1000]
-                    found = [unframe(data, e["offset"]) for e in part]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([f[0] for f in found], pa.int64()), pa.array([e["start"] for e in part], pa.int64()), pa.array([bytes(f[1]) for f in found], pa.binary())],
-                        ["id", "start", "ids"],
-                    )
-
-    return files.select("shard", "content", "entries").mapInArrow(take, "id bigint, start bigint, ids binary")
+                    part = [(e["start"], unframe(data, e["offset"])) for e in entries[begin : begin + 1000]]
+                    yield _batch([(shard, id, start, ids) for start, (id, ids, _) in part])
+
+    return files.select("shard", "content", "entries").mapInArrow(take, _RECORD).select("id", F.col("before").alias("start"), "ids")
