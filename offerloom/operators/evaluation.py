@@ -10,12 +10,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerloom.fixed_values import GAMMA
 from offerloom.functions import dot, number_matrix, ratio, with_value
-from offerloom.operators.blocks import STEP_BLOCK, running_sums
+from offerloom.operators.blocks import STEP_BLOCK, hour_block, running_sums
 from offerloom.session import cut_lineage
 
 
@@ -42,52 +42,75 @@ def importance_weights(df: DataFrame, size: int = STEP_BLOCK) -> DataFrame:
     }).drop("_ln", "_zero", "_log", "_zeros")
 
 
-def _estimate(sums: DataFrame) -> DataFrame:
-    return sums.select(
-        ratio("behavior", "episodes").alias("v_behavior"),
-        ratio("target", "episodes").alias("v_target"),
-    ).withColumn("v_gain", F.col("v_target") / F.greatest("v_behavior", F.lit(1e-8)))
+def weighted_steps(df: DataFrame, key: str, time: str, *ties: str) -> DataFrame:
+    """``t``, ``w`` and ``w_prev`` of raw log rows in one go, as ``with_steps`` and :func:`importance_weights` give them.
+
+    Rows are shuffled once, by entity and hour. One summary row per entity and hour (row count, sum of logs, number of zeros)
+    carries what crosses the border of an hour.
+    """
+    rho = F.col("p_t") / F.col("p_b")
+    rows = df.withColumns({
+        "_hour": hour_block(time), "_ln": F.when(rho > 0, F.ln(rho)).otherwise(0.0), "_zero": F.when(rho > 0, 0).otherwise(1),
+    })
+    within = Window.partitionBy(key, "_hour").orderBy(time, *ties).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(key).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {"_n": F.lit(1), "_log": F.col("_ln"), "_zeros": F.col("_zero")}
+    local = rows.withColumns({name: F.sum(x).over(within) for name, x in sums.items()})
+    hours = rows.groupBy(key, "_hour").agg(*[F.sum(x).alias(name) for name, x in sums.items()])
+    carry = hours.select(key, "_hour", *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"_before{name}") for name in sums])
+    joined = local.join(carry, [key, "_hour"]).withColumns({name: F.col(name) + F.col(f"_before{name}") for name in sums})
+    return joined.select(
+        *df.columns, (F.col("_n") - 1).cast("bigint").alias("t"),
+        F.when(F.col("_zeros") > 0, 0.0).otherwise(F.exp("_log")).alias("w"),
+        F.when(F.col("_zeros") - F.col("_zero") > 0, 0.0).otherwise(F.exp(F.col("_log") - F.col("_ln"))).alias("w_prev"),
+    )
+
+
+def ope_all(df: DataFrame, gamma: float = GAMMA) -> DataFrame:
+    """One row with ``v_behavior`` and the estimates ``is``, ``wis`` and, if the rows have model values, ``dr``.
+
+    * ``is``: per-decision importance sampling.
+    * ``wis``: the weights divided by their mean at the step. The mean divides a whole step number, so it is applied to sums per step.
+    * ``dr``: the doubly robust estimate, unrolled into one sum over steps.
+
+    Rows that carry ``w`` and ``w_prev`` already are read once: all sums are made by step number in one grouping.
+    """
+    rows = df if {"w", "w_prev"} <= set(df.columns) else importance_weights(df)
+    g = F.pow(F.lit(gamma), F.col("t"))
+    value = F.col("w_prev") * F.col("v_hat") + F.col("w") * (F.col("reward") - F.col("q_hat")) if "q_hat" in df.columns else F.lit(0.0)
+    steps = rows.groupBy("t").agg(
+        F.sum(g * F.col("reward")).alias("_b"), F.sum(g * F.col("w") * F.col("reward")).alias("_t"), F.avg("w").alias("_w"),
+        F.sum(g * value).alias("_d"), F.count(F.when(F.col("t") == 0, 1)).alias("episodes"),
+    )
+    sums = steps.agg(
+        F.sum("_b").alias("_b"), F.sum("_t").alias("is"), F.sum(F.coalesce(F.try_divide("_t", "_w"), F.lit(0.0))).alias("wis"),
+        F.sum("_d").alias("dr"), F.sum("episodes").alias("episodes"),
+    )
+    methods = ["is", "wis", "dr"] if "q_hat" in df.columns else ["is", "wis"]
+    return sums.select(ratio("_b", "episodes").alias("v_behavior"), *[ratio(m, "episodes").alias(m) for m in methods])
 
 
-def _discount(gamma: float) -> Column:
-    return F.pow(F.lit(gamma), F.col("t"))
+def gain(target: Column) -> Column:
+    return target / F.greatest("v_behavior", F.lit(1e-8))
 
 
-def _episodes() -> Column:
-    return F.count(F.when(F.col("t") == 0, 1)).alias("episodes")
+def _estimate(df: DataFrame, method: str, gamma: float) -> DataFrame:
+    return ope_all(df, gamma).select("v_behavior", F.col(method).alias("v_target"), gain(F.col(method)).alias("v_gain"))
 
 
 def ope_is(df: DataFrame, gamma: float = GAMMA) -> DataFrame:
     """Per-decision importance sampling."""
-    g = _discount(gamma)
-    return _estimate(importance_weights(df).agg(
-        F.sum(g * F.col("reward")).alias("behavior"), F.sum(g * F.col("w") * F.col("reward")).alias("target"), _episodes()
-    ))
+    return _estimate(df, "is", gamma)
 
 
 def ope_wis(df: DataFrame, gamma: float = GAMMA) -> DataFrame:
-    """Weighted importance sampling: weights divided by their mean at the step.
-
-    The mean divides a whole step number, so it is applied to sums per step; no join back to the rows.
-    """
-    g = _discount(gamma)
-    steps = importance_weights(df).groupBy("t").agg(
-        F.sum(g * F.col("reward")).alias("_b"), F.sum(g * F.col("w") * F.col("reward")).alias("_t"),
-        F.avg("w").alias("_w"), _episodes(),
-    )
-    return _estimate(steps.agg(
-        F.sum("_b").alias("behavior"), F.sum(F.coalesce(F.try_divide("_t", "_w"), F.lit(0.0))).alias("target"),
-        F.sum("episodes").alias("episodes"),
-    ))
+    """Weighted importance sampling."""
+    return _estimate(df, "wis", gamma)
 
 
 def ope_dr(df: DataFrame, gamma: float = GAMMA) -> DataFrame:
-    """Doubly robust estimate, unrolled into one sum over steps."""
-    g = _discount(gamma)
-    value = F.col("w_prev") * F.col("v_hat") + F.col("w") * (F.col("reward") - F.col("q_hat"))
-    return _estimate(importance_weights(df).agg(
-        F.sum(g * F.col("reward")).alias("behavior"), F.sum(g * value).alias("target"), _episodes()
-    ))
+    """Doubly robust estimate."""
+    return _estimate(df, "dr", gamma)
 
 
 def ope_dm(df: DataFrame) -> DataFrame:
@@ -95,18 +118,14 @@ def ope_dm(df: DataFrame) -> DataFrame:
     return df.filter("t = 0").agg(F.avg("v_hat").alias("v_target"))
 
 
-def metric_rows(results: dict[str, DataFrame]) -> DataFrame:
-    """Estimates in long form, names prefixed by the method; gain and target only."""
-    parts = [
-        df.select("v_gain", "v_target")
-        .unpivot([], ["v_gain", "v_target"], "metric", "value")
-        .withColumn("metric", F.concat(F.lit(f"{prefix}-"), "metric"))
-        for prefix, df in results.items()
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def metric_rows(estimates: DataFrame) -> DataFrame:
+    """The row of :func:`ope_all` in long form, names prefixed by the method; gain and target only."""
+    methods = [c for c in estimates.columns if c != "v_behavior"]
+    long = F.array(*[
+        F.struct(F.lit(f"{m.upper()}-{name}").alias("metric"), value.alias("value"))
+        for m in methods for name, value in (("v_gain", gain(F.col(m))), ("v_target", F.col(m)))
+    ])
+    return estimates.select(F.inline(long))
 
 
 def compare_policies(df: DataFrame, actions: DataFrame) -> DataFrame:

@@ -218,7 +218,7 @@ def evaluable(spark, base):
         .otherwise((F.pmod(k, F.lit(7)) + 2) / F.lit(10.0) + (F.pmod(k, F.lit(3)) - 1) * F.lit(0.01)).alias("p_t"),
         (k / F.lit(10.0)).alias("q_hat"), ((k + 5) / F.lit(10.0)).alias("v_hat"),
     )
-    return E.with_steps(raw, "eps_id", "time", "event_id")
+    return V.weighted_steps(raw, "eps_id", "time", "event_id")
 
 
 EVALUABLE = f"""raw AS (
@@ -338,8 +338,7 @@ def j2(spark, base):
     SELECT p || '-v_target' AS metric, round(v_target, 4) AS value FROM m
     UNION ALL SELECT p || '-v_gain', round(v_target / greatest(v_behavior, 1e-8), 4) FROM m, n""")
 def j3(spark, base):
-    rows = evaluable(spark, base)
-    long = V.metric_rows({"IS": V.ope_is(rows), "WIS": V.ope_wis(rows), "DR": V.ope_dr(rows)})
+    long = V.metric_rows(V.ope_all(evaluable(spark, base)))
     return long.withColumn("value", F.round("value", 4))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from offerloom import functions as X
 from offerloom.operators import embedding as M
+from offerloom.operators import episodes as E
 from offerloom.operators import evaluation as V
 from offerloom.operators import policy as P
 from offerloom.operators import sampling as N
@@ -180,6 +181,23 @@ def test_zero_ratio_ends_the_weight_and_blocks_do_not_matter(spark):
         assert [r["w_prev"] for r in rows] == pytest.approx([1, 1.2, 1.44, 0, 0])
 
 
+def test_weights_of_raw_rows_equal_those_of_numbered_steps(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(e), int(m), i, float(rng.uniform(0.2, 0.9)), float(rng.choice([0.0, 0.3, 0.6], p=[0.05, 0.5, 0.45]))) for i, (e, m) in enumerate(zip(rng.integers(0, 4, 300), rng.integers(0, 400, 300)))]
+    raw = spark.createDataFrame(rows, "eps_id bigint, m int, id int, p_b double, p_t double").withColumn("time", F.timestamp_seconds(F.col("m") * 1800))
+    want = V.importance_weights(E.with_steps(raw, "eps_id", "time", "id"))
+    shown = ["id", "t", F.round("w", 9), F.round("w_prev", 9)]
+    assert sorted(map(tuple, V.weighted_steps(raw, "eps_id", "time", "id").select(*shown).collect())) == sorted(map(tuple, want.select(*shown).collect()))
+
+
+@pytest.mark.parametrize("name", ["i2_importance_sampling", "i3_weighted_importance_sampling", "i4_doubly_robust", "j3_metric_rows"])
+def test_estimates_scan_the_log_twice_at_most(spark, base, name):
+    from offerloom.queries import QUERIES
+
+    plan = QUERIES[name](spark, base)._jdf.queryExecution().executedPlan().toString()
+    assert 1 <= plan.count("FileScan") <= 2
+
+
 def test_unusable_probabilities_are_set_aside(spark):
     df = spark.createDataFrame([(0.5,), (0.0,), (None,)], "p_b double")
     good, bad = V.split_evaluable(df)
