@@ -59,6 +59,18 @@ def sessionize_stream(df: DataFrame, gap: str = "30 minutes", lateness: str = "1
     )
 
 
+def with_open_rest(emitted: DataFrame, whole: DataFrame, *keys: str) -> DataFrame:
+    """What a finished run has emitted, and what was still open at its end.
+
+    A watermark never passes the last rows of a finite input, so their groups stay in the state. ``whole`` is the same grouping over the
+    kept input as a batch; its groups that were not emitted are added.
+    """
+    # Not an anti join: that would be pushed below the session window, whose groups differ from those of its rows.
+    known = emitted.select(*keys, F.lit(1).alias("_known"))
+    rest = whole.join(known, list(keys), "left").filter("_known is null")
+    return emitted.unionByName(rest.select(*emitted.columns))
+
+
 STEP_SCHEMA = "session string, t bigint, time timestamp, action int, reward double, prev_action int, prev_reward double, dones int"
 STEP_STATE = "t bigint, prev_action int, prev_reward double"
 
