@@ -33,7 +33,7 @@ from offerloom.llm.common import materialize
 
 SAMPLE = 20_000
 BRANCH = 16
-LEAF_SAMPLE = 64
+LEAF_SAMPLE = 256
 BLOCK = 1024
 QUERY_BLOCK = 256
 CALIBRATION = 128
