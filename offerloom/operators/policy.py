@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.fixed_values import (
-    ACTION_SPACE, CHANCE_OF_NO_ACTION, EPSILON, NO_ACTION, SENTINEL_LOGIT, STATE_MAX_LEN,
+    ACTION_SPACE, APP_ID_TYPE, CHANCE_OF_NO_ACTION, EPSILON, NO_ACTION, SENTINEL_LOGIT, STATE_MAX_LEN,
 )
 from offerloom.functions import (
     action_mask, dot, legal_argmax, masked_scores, number_matrix, pick, softmax_without, tail, uniform, with_value,
 )
+from offerloom.schemas import DECISION_LOG
 
 REQUEST_SCHEMA = """
     app string,
@@ -56,7 +57,7 @@ def parse_requests(df: DataFrame, message: str = "message") -> DataFrame:
         data["cagm"].alias("raw_id"),
         F.when(is_ivr, data["callintent"]).when(is_web, data["digitalintent"]).alias("intent"),
         F.coalesce(data["eligibilityflags"], F.array().cast("array<string>")).alias("flags"),
-        data["priorityaction"].alias("priority"),
+        data["priorityaction"].alias("priority"), data["patientid"].alias("patient_id"),
         F.when(~known, F.concat(F.lit("invalid app: "), F.coalesce("app_name", F.lit("?")))).alias("error"),
     )
 
@@ -237,3 +238,40 @@ def decide(
         "logged": F.when(ok, 1).otherwise(0),
         "error": F.when(~asked_for, F.col("error")),
     })
+
+
+def decision_record(
+    decided: DataFrame, n_actions: int = 3, seed: int | str = 7, encode: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """The log columns of decisions that belong in training data (``logged`` = 1), and the day ``log_date``.
+
+    ``actions`` holds positions: the chosen one, then up to ``n_actions`` others drawn by their share; ``raw_action_str`` has their
+    names. ``obs`` is the mask, followed by ``encode`` of the state tokens if given. What only later steps can tell is null.
+    """
+    rows = decided.filter("logged = 1").withColumn("_logits", legal_logits(F.col("q_values"), F.col("mask")))
+    rows = sample_actions(rows, n_actions, f"{seed}-log", "session_id", logits="_logits")
+    # Where the chosen action is the only legal one, no other has a share of its own.
+    rows = rows.withColumn("actions", F.array_distinct(F.filter("actions", lambda a: F.get("mask", a) == 1)))
+    mask = F.col("mask").cast("array<double>")
+    known = {
+        "id": F.col("raw_id"), "id_type": F.element_at(F.create_map(*[F.lit(x) for kv in APP_ID_TYPE.items() for x in kv]), F.col("app_name")),
+        "enterprise_id": F.col("enterprise_id").cast("string"), "eps_id": F.col("session_id"), "agent_index": F.lit(0),
+        "obs": mask if encode is None else F.concat(mask, encode(F.col("raw_state"))), "logits": F.col("_logits"),
+        "infos": F.to_json(F.struct(F.col("intent").alias("callintent"), F.col("patient_id").alias("patientid"), F.col("raw_id").alias("cagm"))),
+        "raw_state": F.col("raw_state").cast("array<string>"), "raw_action_str": F.transform("actions", lambda a: F.get("names", a)),
+    }
+    later = ("t", "rewards", "prev_actions", "prev_rewards", "dones", "new_obs")
+    types = dict(c.strip().split(" ", 1) for c in DECISION_LOG.split(", "))
+    columns = [
+        (F.lit(None) if c in later else known.get(c, F.col(c))).cast(kind).alias(c) for c, kind in types.items()
+    ]
+    return rows.select(*columns, F.date_format("time", "yyyy-MM-dd").alias("log_date"))
+
+
+def write_decisions(record: DataFrame, path: str) -> None:
+    """Dated JSON files that ``read_decisions`` reads."""
+    fields = [c for c in record.columns if c != "log_date"]
+    text = record.withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss")).select(
+        F.to_json(F.struct(*fields)).alias("value"), "log_date"
+    )
+    text.write.mode("overwrite").partitionBy("log_date").text(path)

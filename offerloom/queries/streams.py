@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from offerloom.operators import episodes as E
+from offerloom.operators import rewards as W
 from offerloom.queries.functions import MASKS
 from offerloom.queries.joins import token_state
-from offerloom.queries.registry import DECISIONS, K, TOKEN_STATE, query, text, u
-from offerloom.queries.sources import write_log
+from offerloom.queries.registry import DECISIONS, K, TOKEN_STATE, joined, query, text, u
+from offerloom.queries.sources import PENALTY, penalty_fact, write_log
 from offerloom.session import scratch_path
 from offerloom.sources import adapters as A
+from offerloom.sources import decision_log as L
 from offerloom.sources import tables as S
 from offerloom.streaming import streams as Z
 
@@ -100,12 +103,46 @@ def decide_all(spark, base, out):
     S.overwrite(token_state(spark, base).filter("current_record = 1").select(
         F.col("enterprise_id").cast("string").alias("raw_id"), "enterprise_id", "state_tokenized", "state"
     ), f"{out}/state")
-    state = spark.read.parquet(f"{out}/state")
     Z.decide_stream(
-        requests, state, size_scores, f"{out}/decisions", f"{out}/errors", f"{out}/checkpoint"
+        requests, f"{out}/state", size_scores, f"{out}/decisions", f"{out}/errors", f"{out}/checkpoint", f"{out}/log",
     ).awaitTermination()
 
 
+@query("t3_decision_log", f"""
+    WITH {DECIDED}, l AS (SELECT * FROM decided WHERE NOT failed AND override IS NULL)
+    SELECT session_id AS eps_id, app, CAST(user_id AS VARCHAR) AS enterprise_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, CAST(a AS INT) AS action,
+           names[a + 1] AS action_name, round(p, 6) AS action_prob, array_to_string(legal, ',') AS mask, CAST(least(list_sum(legal), 4) AS INT) AS listed,
+           'cagm' AS id_type FROM l""")
+def t3_log(spark, base):
+    """What the stream logs, read back by the log reader."""
+    out = scratch_path(spark, "t3l")
+    decide_all(spark, base, out)
+    good, _ = L.split_valid(L.read_decisions(spark, f"{out}/log"))
+    return good.select(
+        "eps_id", "app", "enterprise_id", F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"), F.get("actions", F.lit(0)).alias("action"),
+        F.get("raw_action_str", F.lit(0)).alias("action_name"), F.round("action_prob", 6).alias("action_prob"), joined("mask").alias("mask"),
+        F.size("raw_action_str").alias("listed"), "id_type",
+    )
+
+
+@query("t3_log_to_steps", f"""
+    WITH {DECIDED}, {PENALTY}, l AS (SELECT user_id AS enterprise_id, 'offerloom' AS implementation, a AS action, NULL AS rewards FROM decided
+        WHERE NOT failed AND override IS NULL),
+    r AS (SELECT user_id, ts::DATE AS date, sum(reward_value) AS rewards FROM penalties WHERE reward_value IS NOT NULL GROUP BY 1, 2),
+    s AS (SELECT * FROM l UNION ALL SELECT user_id, 'rx', 0, rewards FROM r)
+    SELECT enterprise_id, implementation, count(*) AS n, CAST(sum(action) AS BIGINT) AS actions, round(coalesce(sum(rewards), 0)::DOUBLE, 4) AS rewards
+    FROM s GROUP BY 1, 2""")
+def t3_steps(spark, base):
+    """Stream, log, ingest, episodes: the decisions become steps beside the rewards."""
+    out = scratch_path(spark, "t3s")
+    decide_all(spark, base, out)
+    L.ingest_new_dates(spark, f"{out}/log/batch_id=*", f"{out}/loaded", f"{out}/bad")
+    steps = E.steps_with_rewards(spark.read.parquet(f"{out}/loaded"), W.daily_rewards(penalty_fact(spark, base), "reward_value"))
+    return steps.groupBy("enterprise_id", "implementation").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("action").alias("actions"), F.round(F.coalesce(F.sum("rewards"), F.lit(0.0)), 4).alias("rewards")
+    )
+
+
 @query("t3_decision_errors", f"""
     SELECT CASE event_type WHEN 'error' THEN 'invalid app: fax' ELSE 'eligible action not in the action space' END AS error, count(*) AS n
     FROM events WHERE event_type = 'error' OR {K} = 99 GROUP BY 1""")

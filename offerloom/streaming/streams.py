@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from offerloom.operators.policy import decide
+from offerloom.operators.policy import decide, decision_record, write_decisions
 from offerloom.sources.decision_log import CORRUPT, LOG_WITH_ERRORS, file_date, split_valid
 from offerloom.sources.tables import replace_days
 
@@ -123,15 +123,24 @@ def assemble_episodes_stream(messages: DataFrame, idle: str = "1 hour") -> DataF
 
 
 def decide_stream(
-    requests: DataFrame, state: DataFrame, q_values, decisions: str, errors: str, checkpoint: str, **kw
+    requests: DataFrame, state: DataFrame | str, q_values, decisions: str, errors: str, checkpoint: str, log: str | None = None,
+    encode: Callable | None = None, **kw
 ) -> StreamingQuery:
-    """Decide each request; decisions go to the log folder, failed ones also to the error folder."""
+    """Decide each request; all decisions go to one folder, failed ones also to the error folder.
+
+    With ``log`` those for training go there as decision records, in dated JSON files for the log reader. ``state`` may be the path of the
+    stored lookup: it is then read anew for each batch, so the stream sees what the nightly job has written.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
         # A batch writes folders of its own, so a repeated batch replaces itself.
-        out = f"{decisions}/batch_id={batch_id}"
-        decide(batch, state, q_values, **kw).write.mode("overwrite").parquet(out)
-        failed = batch.sparkSession.read.parquet(out).filter("error is not null").select("error", "input", "time")
+        out, spark = f"{decisions}/batch_id={batch_id}", batch.sparkSession
+        known = spark.read.parquet(state) if isinstance(state, str) else state
+        decide(batch, known, q_values, **kw).write.mode("overwrite").parquet(out)
+        done = spark.read.parquet(out)
+        failed = done.filter("error is not null").select("error", "input", "time")
         failed.write.mode("overwrite").parquet(f"{errors}/batch_id={batch_id}")
+        if log is not None:
+            write_decisions(decision_record(done, encode=encode), f"{log}/batch_id={batch_id}")
 
     return write_batches(requests, sink, checkpoint)
 
