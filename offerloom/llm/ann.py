@@ -14,7 +14,7 @@ are compared block by block: a block of queries with a block of entries, as one
 nearest is scored anew in double precision on the original vectors.
 
 Defined results: vectors that are null or zero, hold null or non-finite components, or differ in length from the commonest length (the shorter at a
-tie) take no part, nor do rows without an id. Rows that repeat an id count as one candidate with the best of their scores. Ties go
+tie) take no part, nor do rows without an id. Rows that repeat an id count once, with the least of their vectors. Ties go
 to the smaller id. Other columns are ignored; an empty table gives an empty result.
 """
 
@@ -142,7 +142,8 @@ def usable(df: DataFrame, id: str = "vec_id", vector: str = "embedding") -> Data
     )
     sizes = rows.groupBy(F.size("vector").alias("n")).agg(F.count(F.lit(1)).alias("rows"))
     common = sizes.orderBy(F.desc("rows"), "n").first()
-    return rows.filter(F.size("vector") == (common["n"] if common else 0))
+    alike = rows.filter(F.size("vector") == (common["n"] if common else 0))
+    return alike.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
 @dataclass
@@ -170,7 +171,7 @@ def build(rows: DataFrame, k: int, sample: int = SAMPLE) -> Index | None:
                 yield pa.RecordBatch.from_arrays([pa.array(leaf), batch.column(0), batch.column(1)], ["leaf", "vec_id", "vector"])
 
     same = Window.partitionBy("vector").orderBy("vec_id")
-    kept = rows.withColumn("_rank", F.dense_rank().over(same)).filter(F.col("_rank") <= k + 1).drop("_rank")
+    kept = rows.withColumn("_rank", F.row_number().over(same)).filter(F.col("_rank") <= k + 1).drop("_rank")
     entries = materialize(kept.mapInArrow(assign, "leaf int, vec_id bigint, vector array<double>"), "ann-entries")
     sizes = {r["leaf"]: r["n"] for r in entries.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
     return Index(tree, entries, sizes, k)

@@ -34,7 +34,8 @@ def test_small_table_is_exact(spark):
     ids = np.arange(60) * 5
     bad = [(None, [1.0] * 4), (1000, None), (1005, [0.0] * 4), (1010, [1.0, float("nan"), 0.0, 0.0]), (1015, [1.0, None, 0.0, 0.0]), (1020, [float("inf")] * 4), (1025, [1.0, 2.0])]
     rows = [(int(i), v.tolist(), "c", "c") for i, v in zip(ids, x)] + [(i, v, "c", "c") for i, v in bad]
-    rows.append(rows[3])  # a repeated row changes nothing
+    rows += [rows[3], (rows[5][0], [9.0] * 4, "c", "c")]  # a repeated row changes nothing, of one id the least vector counts
+    x[5] = min(rows[5][1], [9.0] * 4)
     got = found(ann.nearest_neighbours(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0, recall=1.0))
     want, _ = brute(ids, x.astype(float), lambda i: i % 10 == 0, 5)
     assert got == want
