@@ -3,8 +3,8 @@
 A set holds 64-bit hashes of the distinct shingles of :data:`WORDS` words. Documents with the same set (by a 128-bit digest of the sorted hashes) are one
 class, stood for by its smallest id; only classes are compared, so copies are never expanded into pairs.
 
-1. Most links, cheaply: each class takes the class of smallest id that shares most of :data:`KEYS` min-hashes with it, one
-   pair per class. The pairs are checked exactly and give first groups.
+1. Most links, cheaply: of the classes with the smallest and those with the largest id among all that share one of :data:`KEYS` min-hashes with it,
+   each class takes the one that shares most of them: two pairs per class at most. The pairs are checked exactly and give first groups.
 2. All others: two sets link only if they share a shingle among the first ``n - ceil(0.8 n) + 1`` of each, in any common order. The order puts
    shingles that many documents share last, so prefixes hold rare ones. Classes that share such a shingle and lie in different
    groups so far meet in a tile: by shingle and size band, as sizes of a linked pair differ by 1.25 at most. A tile of more than
@@ -34,9 +34,12 @@ from offerloom.llm.common import connected_components, materialize
 WORDS = 5
 KEYS = 8
 TILE = 1024
-# Shingles known as common: how many, and in how many documents of a run one must stand to be counted.
+# Tiles up to this size go without signatures; the pairs they leave are compared by signature afterwards.
+SMALL_TILE = 64
+# Shingles known as common: how many, in how many documents of a run one must stand to be counted, and shingles in such a run.
 COMMON = 1 << 16
 COMMON_IN_RUN = 3
+COMMON_RUN = 1 << 22
 RUN_CHARS = 4_000_000
 # Ids that may be broadcast to pick texts; beyond it texts and ids are shuffled.
 BROADCAST_IDS = 1_000_000
@@ -68,8 +71,8 @@ def needed(n: int) -> int:
 
 
 def width(n: int) -> int:
-    """Bits of the signature: a power of two, at least n."""
-    return max(64, 1 << (n - 1).bit_length())
+    """Bits of the signature: a power of two, at least 4 n, so that few shingles share a bit."""
+    return max(64, 1 << (4 * n - 1).bit_length())
 
 
 def signature(s: np.ndarray) -> bytes:
@@ -103,26 +106,43 @@ SKETCH = "id bigint, n bigint, digest binary, keys array<bigint>, bits binary, c
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document, and per run one (n = -1) with the shingles that several of its documents share."""
+    """A row per document, and per run of :data:`COMMON_RUN` shingles one (n = -1) with those that several of its documents share."""
     many = pa.list_(pa.int64())
+    kinds = [pa.int64(), pa.int64(), pa.binary(), many, pa.binary(), many, many]
+    names = ["id", "n", "digest", "keys", "bits", "common", "counts"]
+    held: list[np.ndarray] = []
+
+    def shared() -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(held), return_counts=True)
+        often = counts >= COMMON_IN_RUN
+        row = [None, -1, None, None, None, values[often].view(np.int64), counts[often]]
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names)
+
     for batch in batches:
         for ids, texts in _texts(batch):
             sets = [shingles(t) for t in texts]
-            values, counts = np.unique(np.concatenate(sets), return_counts=True)
-            often = counts >= COMMON_IN_RUN
             keys = [[int((s * p).min().view(np.int64)) for p in _PERMUTE] if len(s) else [] for s in sets]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([*ids, None], pa.int64()), pa.array([*map(len, sets), -1], pa.int64()),
-                pa.array([*(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), None], pa.binary()),
-                pa.array([*keys, None], many), pa.array([*(signature(s) if len(s) else b"" for s in sets), None], pa.binary()),
-                pa.array([*[None] * len(sets), values[often].view(np.int64)], many), pa.array([*[None] * len(sets), counts[often]], many),
-            ], ["id", "n", "digest", "keys", "bits", "common", "counts"])
+            none = [None] * len(sets)
+            columns = [
+                ids, [len(s) for s in sets], [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], keys,
+                [signature(s) if len(s) else b"" for s in sets], none, none,
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+            held += sets
+            if sum(map(len, held)) >= COMMON_RUN:
+                yield shared()
+    if held:
+        yield shared()
 
 
 def _bound_holds(a: pa.Array, b: pa.Array, na: pa.Array, nb: pa.Array) -> pa.Array:
     """Whether the signatures leave room for a link."""
     out = []
     for x, y, m, n in zip(a, b, na.to_pylist(), nb.to_pylist(), strict=True):
+        if not x.is_valid or not y.is_valid:  # an id with several texts
+            out.append(True)
+            continue
         x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
         words = min(len(x), len(y))
         differ = int(np.bitwise_count(fold(x, words) ^ fold(y, words)).sum())
@@ -162,7 +182,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, common: list[int]) -> DataFrame:
-    """``id`` and its prefix shingles. ``common``: shared shingles, the less common first."""
+    """``id``, set size ``n`` and prefix shingles of every document. ``common``: shared shingles, the less common first."""
     values = np.array(common, dtype=np.int64).view(np.uint64)
     order = np.argsort(values)
     shared = docs.sparkSession.sparkContext.broadcast((np.append(values[order], np.uint64(0)), order))
@@ -172,9 +192,10 @@ def _prefixes(docs: DataFrame, common: list[int]) -> DataFrame:
         size = len(place)
         for batch in batches:
             for ids, texts in _texts(batch):
-                out = []
+                out, sizes = [], []
                 for text in texts:
                     s = shingles(text)
+                    sizes.append(len(s))
                     length = len(s) - needed(len(s)) + 1 if len(s) else 0
                     at = np.searchsorted(known[:size], s)
                     shared_here = (known[at] == s) & (at < size)
@@ -183,9 +204,11 @@ def _prefixes(docs: DataFrame, common: list[int]) -> DataFrame:
                         last = s[shared_here][np.argsort(place[at[shared_here]])]
                         first = np.concatenate([first, last])
                     out.append(first[:length].view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["id", "prefix"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["id", "n", "prefix"]
+                )
 
-    return docs.mapInArrow(cut, "id bigint, prefix array<bigint>")
+    return docs.mapInArrow(cut, "id bigint, n bigint, prefix array<bigint>")
 
 
 def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,9 +219,12 @@ def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = np.array([r["n"] for r in rows])
             part, home, group = (np.array([r[k] for r in rows]) for k in ("part", "home", "group"))
             ids = np.array([r["id"] for r in rows])
-            raw = [np.frombuffer(r["bits"], dtype=np.uint64) for r in rows]
-            words = min(map(len, raw))
-            bits = np.array([fold(b, words) for b in raw])
+            # Without a signature (an id with several texts) nothing is ruled out.
+            raw = [np.frombuffer(r["bits"] or b"", dtype=np.uint64) for r in rows]
+            own = np.array([len(b) for b in raw])
+            # Each pair is compared at the narrower of its two widths.
+            widths = [w for w in np.unique(own).tolist() if w]
+            folded = {w: np.array([fold(b, w) if len(b) >= w else np.zeros(w, dtype=np.uint64) for b in raw]) for w in widths}
             left, right = [], []
             low, high = rows[0]["low"], rows[0]["high"]
             for i in range(len(rows)):
@@ -208,33 +234,53 @@ def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 fits &= home & (ids > ids[i]) if home[i] else home
                 others = np.flatnonzero(fits)
                 if len(others):
-                    differ = np.bitwise_count(bits[others] ^ bits[i]).sum(axis=1).astype(np.int64)
-                    total = n[others] + n[i]
-                    others = others[9 * (total - differ) >= 8 * total]
+                    room = (own[others] == 0) | (own[i] == 0)
+                    for w in widths:
+                        if w > own[i]:
+                            break
+                        here = own[others] >= w if w == own[i] else own[others] == w
+                        at = others[here]
+                        differ = np.bitwise_count(folded[w][at] ^ folded[w][i]).sum(axis=1).astype(np.int64)
+                        total = n[at] + n[i]
+                        room[here] |= 9 * (total - differ) >= 8 * total
+                    others = others[room]
                     left += np.minimum(ids[others], ids[i]).tolist()
                     right += np.maximum(ids[others], ids[i]).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
 
-def _tiles(entries: DataFrame) -> DataFrame:
-    """Candidate pairs ``a``, ``b`` of entries (``key``, ``id``, ``group``, ``n``, ``bits``)."""
+def _tiles(entries: DataFrame, bits: DataFrame) -> DataFrame:
+    """Candidate pairs ``a``, ``b`` of entries (``key``, ``id``, ``group``, ``n``), with the signatures ``bits`` by ``id``."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + 1e-9)
-    # Linked sizes lie in one band or in neighbours: a class is at home in its band and a guest in the one below. The rounding is safe,
-    # since a guest of a further band below covers sizes at the very border.
-    homes = F.array(*[F.struct((band - d).cast("int").alias("band"), F.lit(d == 0).alias("home")) for d in (0, 1, 2)])
+    # Linked sizes lie in one band or in neighbours: a class is at home in its band and a guest in the one below.
+    homes = F.array(*[F.struct((band - d).cast("int").alias("band"), F.lit(d == 0).alias("home")) for d in (0, 1)])
     spread = entries.withColumn("_tile", F.explode(homes)).select("key", "id", "group", "n", "_tile.band", "_tile.home")
     tiles = spread.groupBy("key", "band").agg(
         F.count(F.lit(1)).alias("_size"), F.min("group").alias("_low"), F.max("group").alias("_high"), F.max("home").alias("_any")
     ).filter((F.col("_low") < F.col("_high")) & F.col("_any"))
-    tiles = materialize(tiles.select("key", "band", F.ceil(F.col("_size") / TILE).cast("int").alias("parts")), "jaccard-tiles")
-    placed = spread.join(tiles, ["key", "band"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    met = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns(
+    parts = F.ceil(F.col("_size") / TILE).cast("int").alias("parts")
+    tiles = materialize(tiles.select("key", "band", parts, (F.col("_size") <= SMALL_TILE).alias("small")), "jaccard-tiles")
+    placed = spread.join(tiles, ["key", "band"])
+    one = F.lit(0)
+    alone = F.struct("id", "group", "n", "home", one.alias("part"), one.alias("low"), one.alias("high"), F.lit(None).cast("binary").alias("bits"))
+    small = placed.filter("small").groupBy("key", "band").agg(F.collect_list(alone).alias("members"))
+    met = placed.filter("not small").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    met = met.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns(
         {"low": F.least("part", "_other"), "high": F.greatest("part", "_other")}
     )
-    bits = entries.select("id", "bits").groupBy("id").agg(F.any_value("bits").alias("bits"))
     row = F.struct("id", "group", "n", "home", "part", "low", "high", "bits")
-    packed = met.join(bits, "id").groupBy("key", "band", "low", "high").agg(F.collect_list(row).alias("members"))
-    return packed.select("members").mapInArrow(_tile_pairs, "a bigint, b bigint").distinct()
+    large = met.join(bits.select("id", "bits"), "id").groupBy("key", "band", "low", "high").agg(F.collect_list(row).alias("members"))
+    found = small.select("members").unionAll(large.select("members")).mapInArrow(_tile_pairs, "a bigint, b bigint").distinct()
+    return _within_bound(materialize(found, "jaccard-found"), bits)
+
+
+def _within_bound(pairs: DataFrame, sides: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` whose sizes and signatures leave room for a link. ``sides``: ``id``, ``n``, ``bits``."""
+    both = pairs.join(sides.withColumnsRenamed({"id": "b", "n": "_nb", "bits": "_y"}), "b")
+    both = both.join(sides.withColumnsRenamed({"id": "a", "n": "_na", "bits": "_x"}), "a")
+    # An id with several texts has no signature, and no one size.
+    fits = both.filter("_x is null or _y is null or (4 * _na <= 5 * _nb and 4 * _nb <= 5 * _na)")
+    return fits.filter(F.arrow_udf(_bound_holds, "boolean")("_x", "_y", "_na", "_nb")).select("a", "b").distinct()
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -251,18 +297,13 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
 
     # 1. One partner per class by min-hashes.
     keyed = classes.select("id", "n", F.explode("keys").alias("key"))
-    leaders = keyed.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("_last")).filter("a < _last")
-    votes = keyed.join(materialize(leaders.select("key", "a"), "jaccard-leaders"), "key").filter("a < id")
-    chosen = votes.groupBy("id", "a").agg(F.count(F.lit(1)).alias("_votes")).groupBy("id").agg(F.max(F.struct("_votes", (-F.col("a")).alias("a"))).alias("_best"))
-    sides = classes.select("id", "n", "bits")
-    partners = (
-        chosen.select(F.col("id").alias("b"), (-F.col("_best.a")).alias("a"))
-        .join(sides.withColumnsRenamed({"id": "b", "n": "_nb", "bits": "_y"}), "b")
-        .join(sides.withColumnsRenamed({"id": "a", "n": "_na", "bits": "_x"}), "a")
-        .filter("4 * _na <= 5 * _nb and 4 * _nb <= 5 * _na")
-        .filter(F.arrow_udf(_bound_holds, "boolean")("_x", "_y", "_na", "_nb"))
-    )
-    first = verified(named, partners.select("a", "b").distinct())
+    ends = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
+    either = F.explode(F.array("first", "last")).alias("a")
+    votes = keyed.join(materialize(ends, "jaccard-leaders"), "key").select("id", either, "first")
+    votes = votes.filter("a <> id").groupBy("id", (F.col("a") == F.col("first")).alias("_low"), "a").agg(F.count(F.lit(1)).alias("_votes"))
+    chosen = votes.groupBy("id", "_low").agg(F.max(F.struct("_votes", (-F.col("a")).alias("a"))).alias("_best"))
+    partners = chosen.select(F.greatest("id", -F.col("_best.a")).alias("b"), F.least("id", -F.col("_best.a")).alias("a")).distinct()
+    first = verified(named, _within_bound(partners, classes.select("id", "n", "bits")))
     # Rows that repeat an id: their classes are one node.
     member = rows.filter("n > 0 and id is not null").join(classes.select("digest", "n", F.col("id").alias("class")), ["digest", "n"])
     twice = member.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("_last")).filter("a < _last")
@@ -275,18 +316,17 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     counted = counted.groupBy(F.col("_c.common").alias("value")).agg(F.sum("_c.counts").alias("n"))
     top = counted.orderBy(F.desc("n"), "value").limit(COMMON)
     common = [r["value"] for r in top.orderBy("n", "value").collect()]  # at most COMMON integers
-    grouped = (
-        classes.select("id", "n", "bits").join(groups.withColumnsRenamed({"node": "id", "component": "group"}), "id", "left")
-        .withColumn("group", F.coalesce("group", "id"))
-    )
-    prefixes = materialize(_prefixes(named, common).join(grouped, "id"), "jaccard-prefixes")
-    entries = prefixes.select(F.explode_outer("prefix").alias("key"), "id", "group", "n")
-    shared = entries.groupBy("key").agg(F.min("group").alias("_low"), F.max("group").alias("_high")).filter("_low < _high").select("key")
-    shared = materialize(shared, "jaccard-keys")
-    met = materialize(
-        prefixes.select(F.explode_outer("prefix").alias("key"), "id", "group", "n", "bits").join(shared, "key").distinct(), "jaccard-entries"
-    )
-    second = verified(named, _tiles(met))
+    one = F.count(F.lit(1)) == 1
+    signatures = classes.groupBy("id").agg(F.max("n").alias("n"), F.when(one, F.any_value("bits")).alias("bits"))
+    grouped = classes.select("id").distinct().join(groups.withColumnsRenamed({"node": "id", "component": "group"}), "id", "left")
+    prefixes = _prefixes(named, common).filter("n > 0").join(grouped.withColumn("group", F.coalesce("group", "id")), "id")
+    # One shuffle of the entries serves both the search for shared keys and their members: both read all its columns.
+    entries = prefixes.select(F.explode_outer("prefix").alias("key"), "id", "group", "n").repartition("key")
+    whole = F.struct("group", "id", "n")
+    ends = entries.groupBy("key").agg(F.min(whole).alias("_low"), F.max(whole).alias("_high"))
+    shared = ends.filter("_low.group < _high.group").select("key")
+    met = materialize(entries.join(shared.hint("shuffle_hash"), "key").distinct(), "jaccard-entries")
+    second = verified(named, _tiles(met, signatures))
 
     # 3. Groups over all links.
     found = connected_components(first.union(second))
