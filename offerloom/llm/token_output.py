@@ -10,7 +10,8 @@ rotated right by 15 bits plus a constant, so that checksums of data that hold ch
 writer puts after a record, so files go through Spark's own commit protocol to any file system it knows: a task that is retried leaves
 no second copy.
 
-Documents are cut by range of id into shards, one file each, sorted inside. The index has one row per record: shard, ordinal, id, byte
+Documents are cut by range of id into shards, one file each, sorted inside. The rows of an id that are more than a shard are cut by the
+start of their text, and by a running number where even that is equal, so no id, repeated or null, makes a shard large. The index has one row per record: shard, ordinal, id, byte
 offset and size of the record, tokens, and the number of ids of all documents before it. Readers that want another order take records by
 the index.
 
@@ -33,6 +34,9 @@ from pyspark.sql import functions as F
 END_ID = 1
 # Characters of text per shard, about; a shard is read as one value.
 SHARD_CHARS = 8_000_000
+# Characters that a row counts besides its text, and leading characters by which the rows of an id are cut.
+ROW_CHARS = 24
+TIE_CHARS = 64
 # Encoded words that a worker remembers, and the longest among them.
 MEMORY_ENTRIES = 800_000
 MEMORY_LENGTH = 64
@@ -129,12 +133,34 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _cut(docs: DataFrame, shard_chars: int) -> DataFrame:
+    """``_id`` and ``_text`` by range in partitions of about ``shard_chars`` characters, sorted inside."""
+    size = F.length("_text").cast("long") + ROW_CHARS
+    # Ids whose rows are more than a shard: as many as there are shards, at most.
+    own = docs.groupBy("_id").agg(F.sum(size).alias("size"), F.count(F.lit(1)).alias("n"))
+    large = F.when((F.col("size") > shard_chars) & (F.col("n") > 1), F.struct("_id"))
+    chars, found = own.agg(F.sum("size"), F.collect_list(large)).first()
+    ids, shards = [r["_id"] for r in found], 1 + (chars or 0) // shard_chars
+    if not ids:
+        return docs.repartitionByRange(shards, "_id").sortWithinPartitions("_id", "_text")
+    split = F.when(F.col("_id").isNull(), F.lit(None in ids)).otherwise(F.col("_id").isin([i for i in ids if i is not None]))
+    # Equal rows travel as a count, then as runs of up to a shard, and become rows again when the runs are dealt out. Unlike a number
+    # by place, theirs is the same whenever a lost task runs again.
+    texts = docs.filter(split).groupBy("_id", F.substring("_text", 1, TIE_CHARS).alias("_tie"), "_text").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy("_id", "_tie").orderBy("_text").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = texts.withColumns({"_n": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "_run": F.greatest(F.lit(1), F.floor(F.lit(shard_chars) / size))})
+    runs = numbered.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1, "_run"))).repartition("_id", "_tie", "_n", "_from")
+    rows = runs.withColumn("_at", F.explode(F.sequence("_from", F.least(F.col("_from") + F.col("_run"), F.col("_rows")) - 1)))
+    rest = docs.filter(~split).select("_id", F.lit("").alias("_tie"), F.lit(0).cast("long").alias("_n"), "_text")
+    every = rest.union(rows.select("_id", "_tie", F.col("_n") + F.col("_at"), "_text"))
+    return every.repartitionByRange(shards, "_id", "_tie", "_n").select("_id", "_text").sortWithinPartitions("_id", "_text")
+
+
 def write_records(
     df: DataFrame, path: str, tokenizer: str, id: str = "doc_id", text: str = "text", end_id: int = END_ID, shard_chars: int = SHARD_CHARS
 ) -> None:
     """Write the records below ``path/records`` and the index below ``path/index``."""
-    docs = df.select(F.col(id).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
-    chars = docs.agg(F.sum(F.length("_text"))).first()[0] or 0
+    docs = df.select(F.col(id).cast("long").alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     tail = struct.pack("<I", end_id)
     numbers = lambda ids: np.frombuffer(ids + tail, dtype="<u4")
 
@@ -147,7 +173,7 @@ def write_records(
                 yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["record"])
 
     # The text is dealt out before it is encoded: finding the ranges must not encode it twice.
-    sorted_docs = docs.repartitionByRange(1 + chars // shard_chars, "_id").sortWithinPartitions("_id", "_text")
+    sorted_docs = _cut(docs, shard_chars)
     # The writer puts the bytes of a string out as they are.
     sorted_docs.mapInArrow(framed, "record binary").select(F.col("record").cast("string")).write.option("compression", "none").text(f"{path}/records")
     _write_index(df.sparkSession, path)

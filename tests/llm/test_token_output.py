@@ -60,6 +60,24 @@ def test_write_and_read_back(spark, make_docs, seed):
     assert len({r["shard"] for r in index}) > 1 and len(index) == len(rows)
 
 
+@pytest.mark.parametrize("shared", [7, None])
+def test_no_id_makes_a_shard_large(spark, make_docs, shared):
+    head = "the same beginning of many texts that goes on for more than the leading characters by which they are cut "
+    rows = [(shared, f"{i:03} some words") for i in range(200)] + [(shared, f"{head}{i:03}") for i in range(50)] + [(shared, "equal")] * 300 + [(shared, None)] * 300
+    rows += [(i, "other") for i in range(100, 150)]
+    path = scratch_path(spark, "records")
+    token_output.write_records(make_docs(rows), path, WORD_TOKENIZER, shard_chars=2_000)
+    got = sorted((r["start"], r["id"], np.frombuffer(r["ids"], "<u4").tolist()) for r in token_output.read_records(spark, path).collect())
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    start, want = 0, []
+    for (id, _), ids in zip(order, expected([t for _, t in order])):
+        want.append((start, id, ids))
+        start += len(ids)
+    assert got == want
+    shards = token_output.read_index(spark, path).groupBy("shard").count().collect()
+    assert max(r["count"] for r in shards) <= 200  # of 900 rows; 850 have one id
+
+
 def test_empty_table(spark, make_docs):
     path = scratch_path(spark, "records")
     token_output.write_records(make_docs([(1, "a")]).limit(0), path, WORD_TOKENIZER)
