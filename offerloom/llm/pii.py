@@ -102,7 +102,8 @@ def find_spans(text: str) -> list[tuple[str, int, int, float, bool]]:
         add("email", "email", start, end, True)
     if re.search("[0-9]", text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            parts = [p.lstrip("0") or "0" for p in m.group().split(".")]  # int() refuses thousands of digits, zeros too
+            if all(len(p) <= 3 and int(p) <= 255 for p in parts):
                 add("ip", "ip", m.start(), m.end(), True)
         for m in _CARD.finditer(text):
             digits = _digits(m.group()) if m.end() - m.start() <= 40 else ""

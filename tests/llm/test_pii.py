@@ -38,6 +38,12 @@ def test_long_runs_take_linear_time():
         base_spans(run)
 
 
+def test_address_parts_with_long_runs_of_zeros():
+    zeros = "0" * 5000
+    assert base_spans(f"{zeros}1.1.1.1") == [("ip", 0, 5007)] and base_spans(f"1.{zeros}.1.{zeros}255") == [("ip", 0, 10_007)]
+    assert base_spans(f"{zeros}256.1.1.1") == []
+
+
 def test_validators():
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
     assert pii.mod97("GB82 WEST 1234 5698 7654 32") and not pii.mod97("GB83 WEST 1234 5698 7654 32")
