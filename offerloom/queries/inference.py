@@ -9,7 +9,7 @@ from offerloom.operators import embedding as M
 from offerloom.operators import policy as P
 from offerloom.operators import sampling as N
 from offerloom.operators import state as S
-from offerloom.operators.vocabulary import apply_vocabulary, build_vocabulary
+from offerloom.operators.vocabulary import build_vocabulary
 from offerloom.queries.expressions import REQUESTS
 from offerloom.queries.joins import features, tokens
 from offerloom.queries.registry import FEATURES, VOCAB, joined, query, state_sql, u
@@ -64,24 +64,20 @@ def k1_network(spark, base):
     return shown_scores(rows)
 
 
-def encoder(size: int, length: int = 100, dim: int = DIM, out: int = 4) -> M.EncoderWeights:
-    """Weights of a fixed seed for a dictionary of the given size."""
-    rng = np.random.default_rng(size)
-    table = rng.normal(size=(size, dim))
-    table[0] = 0
+def encoder(length: int = 100, dim: int = DIM, out: int = 4) -> M.EncoderWeights:
+    """The small matrices, of a fixed seed, and the padding; token vectors are a table of their own."""
+    rng = np.random.default_rng(dim)
     return M.EncoderWeights(
-        table, rng.normal(size=(dim, dim)) / dim, rng.normal(size=(dim, 2 * dim)) / dim, rng.normal(size=length) / length, 0.1,
+        np.zeros((1, dim)), rng.normal(size=(dim, dim)) / dim, rng.normal(size=(dim, 2 * dim)) / dim, rng.normal(size=length) / length, 0.1,
         rng.normal(size=(out, dim)), rng.normal(size=out),
     )
 
 
 @query("k2_encode_states")
 def k2(spark, base):
-    """Attention encoding of every current state."""
-    vocab = build_vocabulary(features(spark, base))
-    current = S.flag_current(S.state_history(apply_vocabulary(features(spark, base), vocab))).filter("current_record = 1")
-    size = vocab.count() + 1
-    rows = current.withColumn("vector", M.encode_states(encoder(size), F.col("state_tokenized")))
+    """Attention encoding of every current state, with token vectors joined for a dictionary of any size."""
+    current = S.flag_current(S.state_history(tokens(spark, base))).filter("current_record = 1")
+    rows = M.encode_states_attention(current, vectors(spark, base), encoder(), ["enterprise_id"])
     return rows.select("enterprise_id", *[F.round(F.get("vector", F.lit(i)), 6).alias(f"v{i}") for i in range(4)])
 
 

@@ -1,5 +1,6 @@
 """Array functions, legality, sampling, evaluation, embedding."""
 
+import dataclasses
 import math
 
 import numpy as np
@@ -257,6 +258,23 @@ def test_attention_over_a_joined_table_equals_the_shipped_one(spark):
     assert got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in want)
 
 
+def test_k2_joins_the_token_table(spark, base):
+    from offerloom.operators import state as S
+    from offerloom.queries import QUERIES, inference
+
+    token_vectors = {r["token"]: r["vector"] for r in inference.vectors(spark, base).collect()}
+    table = np.zeros((max(token_vectors) + 1, inference.DIM))
+    for token, v in token_vectors.items():
+        table[token] = v
+    w = dataclasses.replace(inference.encoder(), embeddings=table)
+    assert len(inference.encoder().embeddings) == 1  # no table of the dictionary travels
+    current = S.flag_current(S.state_history(inference.tokens(spark, base))).filter("current_record = 1")
+    want = {r["enterprise_id"]: r["v"] for r in current.select("enterprise_id", M.encode_states(w, F.col("state_tokenized")).alias("v")).collect()}
+    rows = QUERIES["k2_encode_states"](spark, base).collect()
+    got = {r["enterprise_id"]: [r[f"v{i}"] for i in range(4)] for r in rows}
+    assert len(rows) == current.count() and got.keys() == want.keys() and all(np.allclose(got[i], want[i], atol=2e-6) for i in want)
+
+
 def test_joined_encoding_and_decoding_slices(spark):
     vec = spark.createDataFrame([(i, f"t{i}", [float(np.cos(i)), float(np.sin(i))]) for i in range(1, 30)], "token int, token_name string, vector array<double>")
     df = spark.createDataFrame([(1, [1, 2, 2]), (2, [7])], "id bigint, state_tokenized array<int>")
