@@ -3,7 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns a table, which is written as Parquet and read again as the next one's
 documents. All but the last return the columns of documents, whatever they are; ``doc_id``, ``text``, ``lang`` and ``source`` are read.
 
-1. Language: documents without a letter, or of whose character runs fewer than :data:`LEAST_SHARE` belong to the language found, go.
+1. Language: documents without a letter go, and those of whose character runs fewer than :data:`LEAST_SHARE` belong to the language found. The
+   share decides only where it can: texts of fewer than :data:`LEAST_LETTERS` letters stay, and so do those without a label, or with one whose own
+   texts are not found by what was learned (too few of them, say).
 2. Exact duplicates: of texts that are equal up to blanks, one stays.
 3. Near duplicates: of each group of linked documents, the one of smallest id stays; documents without id stay.
 4. Mixing: each document comes as often as the mix takes it.
@@ -23,6 +25,7 @@ from offerloom.llm import bpe, exact_dedup, language_id, mixing, ngram_join
 from offerloom.llm.common import materialize, table, unused
 
 LEAST_SHARE = 0.2
+LEAST_LETTERS = 40
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -35,8 +38,16 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     lang, score = unused(docs, "lang"), unused(docs, "score")
     judged = language_id.predict(docs, model, lang=lang, score=score)
     # Where nothing could be learned nothing can be rejected but what has no letters.
-    known = (F.col(lang) != language_id.UNKNOWN) & (F.col(score) >= LEAST_SHARE) if model.names else F.col("text").rlike(r"\p{L}")
-    return _columns(judged.filter(known), docs)
+    if not model.names:
+        return _columns(judged.filter(F.col("text").rlike(r"\p{L}")), docs)
+    low = (F.col(score) < LEAST_SHARE) & (F.length(F.regexp_replace("text", r"\P{L}", "")) >= LEAST_LETTERS)
+    # A language is learned if most of the texts that carry its label are found by it; one row per label comes back.
+    own = language_id.predict(docs.filter("lang is not null").select("text", "lang"), model, lang=lang, score=score)
+    enough = own.filter(F.length(F.regexp_replace("text", r"\P{L}", "")) >= LEAST_LETTERS)
+    right = F.avg(((F.col(lang) == F.col("lang")) & (F.col(score) >= LEAST_SHARE)).cast("int"))
+    learned = [r["lang"] for r in enough.groupBy("lang").agg(right.alias("right")).collect() if r["right"] > 0.5]
+    rejected = low & F.coalesce(F.col("lang").isin(learned), F.lit(False))
+    return _columns(judged.filter((F.col(lang) != language_id.UNKNOWN) & ~rejected), docs)
 
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,6 +59,17 @@ def test_stages_equal_plain_python(spark, make_docs):
         assert r["round_trip"] and list(r["ids"]) == encoding.encode_ordinary(text[r["doc_id"]]) and r["n_tokens"] == len(r["ids"])
 
 
+def test_language_stage_keeps_what_it_cannot_judge(spark, make_docs):
+    rnd = random.Random(9)
+    data = [(i, " ".join(rnd.choice(EN) for _ in range(60)), "en", "a") for i in range(120)]
+    short = [(200, "A.", "en", "a"), (201, "Qxzj vkw", "en", "a")]
+    few = [(300, "ελληνικά κείμενα που κανείς δεν έμαθε ποτέ εδώ, γιατί είναι πολύ λίγα", "el", "a")]  # no gram is seen often enough
+    bare = [(400, "русский текст без метки языка, которого никто здесь раньше не видел", None, "a")]
+    gone = [(500, "qxzjv kwpfg zzxqj vvkqx jjqzw xkcdq " * 3, "en", "a"), (501, "12 34 !", None, "a"), (502, "5", "en", "a")]
+    kept = corpus_pipeline.keep_known_languages(spark, make_docs(data + short + few + bare + gone), "")
+    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in data + short + few + bare}
+
+
 def test_empty_table_goes_through(spark, make_docs):
     docs = make_docs([(1, "a")]).limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:
