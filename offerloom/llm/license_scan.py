@@ -12,8 +12,9 @@ distinct words. All such pairs are found, by these steps:
 * positional filter: with the common word at places ``i`` and ``j``, at most ``min(|B| - i, |T| - j)`` words can be common;
 * what is left is compared in full.
 
-Words outside the templates can't be common, so a block is reduced to its template words first. The templates are constants, and
-so are the bounds of everything that is broadcast or sent to the driver: one row per template word.
+Words outside the templates can't be common, so a block is reduced to its template words first. Templates and phrases are arguments. A
+template may be a whole licence text: what is longer than half a block is cut into even pieces of at most that, each a template of its
+own, so that no template is longer than a run that some block holds whole. They are constants of the plan, and so are the bounds of everything that is broadcast or sent to the driver: one row per template word.
 
 Defined results: a null or empty text has no words, no labels and score 0; rows that repeat stay rows of their own; other columns
 of the input are ignored unless named in ``keep``; an empty table gives an empty result.
@@ -22,11 +23,13 @@ of the input are ignored unless named in ``keep``; an empty table gives an empty
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import ascii_lower, text_or_empty
+from offerloom.llm.common import LOWER, UPPER, ascii_lower, text_or_empty
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BLOCK = 32
@@ -57,24 +60,39 @@ def _needed(size: int) -> int:
     return math.ceil(round(THRESHOLD * size, 9))
 
 
-def vocabulary() -> list[str]:
-    return sorted({w for _, t in TEMPLATES for w in t.split()})
+def plain_words(text: str) -> list[str]:
+    """The words of a Python string, by the rule of :func:`words`."""
+    return [w for w in re.split(NOT_WORD, text.translate(str.maketrans(UPPER, LOWER))) if w]
+
+
+def pieces(templates: Iterable[tuple[str, str]]) -> list[tuple[str, list[str]]]:
+    """Label and words of the templates, none longer than half a block; longer ones are cut evenly."""
+    out = []
+    for label, text in templates:
+        found = plain_words(text)
+        n = -(-len(found) // (BLOCK // 2))
+        out += [(label, found[len(found) * i // n : len(found) * (i + 1) // n]) for i in range(n)]
+    return out
+
+
+def vocabulary(templates: Iterable[tuple[str, str]] = TEMPLATES) -> list[str]:
+    return sorted({w for _, t in templates for w in plain_words(t)})
 
 
 def _strings(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
 
-def word_order(df: DataFrame, text: str = "text") -> list[str]:
+def word_order(df: DataFrame, text: str = "text", templates: Iterable[tuple[str, str]] = TEMPLATES) -> list[str]:
     """Template words, rarest first, by the number of rows that hold them. At most one row per template word comes back."""
-    names = vocabulary()
+    names = vocabulary(templates)
     # The outer form: the plain one would split each text twice, once to see whether anything is found.
     found = df.select(F.explode_outer(F.array_intersect(_strings(names), words(text_or_empty(text)))).alias("word")).filter("word is not null")
     counts = {r["word"]: r["n"] for r in found.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
     return sorted(names, key=lambda w: (counts.get(w, 0), w))
 
 
-def phrase_places(found: Column) -> Column:
+def phrase_places(found: Column, phrases: Mapping[str, str] = PHRASES) -> Column:
     """Starts and labels of all base phrases in the words ``found``."""
     def places(parts: list[str], label: str) -> Column:
         def start(w: Column, i: Column) -> Column:
@@ -85,16 +103,22 @@ def phrase_places(found: Column) -> Column:
 
         return F.when(F.array_contains(found, parts[-1]), F.array_compact(F.transform(found, start)))
 
-    each = [places(phrase.split(), label) for phrase, label in PHRASES.items()]
-    return F.flatten(F.array_compact(F.array(*each)))
+    each = [places(plain_words(phrase), label) for phrase, label in phrases.items()]
+    none = F.array().cast("array<struct<start:bigint,label:string>>")
+    return F.flatten(F.array_compact(F.array(*each))) if each else none
 
 
-def scan(df: DataFrame, id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def scan(
+    df: DataFrame, id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (),
+    templates: Iterable[tuple[str, str]] = TEMPLATES, phrases: Mapping[str, str] = PHRASES,
+) -> DataFrame:
     """One row per row of ``df``: ``id``, ``n_words``, ``places`` (array of start, label), ``labels`` found by the join (array), and ``score``,
     the largest part of a template that some block holds (1 for a base phrase, 0 if nothing is found)."""
-    order = word_order(df, text)
+    templates = list(templates)
+    order = word_order(df, text, templates)
     rank = {w: i for i, w in enumerate(order)}
-    sets = [sorted(set(t.split()), key=rank.__getitem__) for _, t in TEMPLATES]
+    parts = pieces(templates)
+    sets = [sorted(set(t), key=rank.__getitem__) for _, t in parts]
     prefixes = sorted({w for t in sets for w in t[: len(t) - _needed(len(t)) + 1]}, key=rank.__getitem__)
 
     rows = df.select(
@@ -106,7 +130,7 @@ def scan(df: DataFrame, id: str = "doc_id", text: str = "text", keep: tuple[str,
     cut = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / (BLOCK // 2)).cast("int")), lambda b: F.slice("_words", b * (BLOCK // 2) + 1, BLOCK))
     blocks = F.filter(cut, lambda b: F.arrays_overlap(b, _strings(prefixes)))
     rows = rows.withColumns({
-        "n_words": n.cast("long"), "places": phrase_places(F.col("_words")),
+        "n_words": n.cast("long"), "places": phrase_places(F.col("_words"), phrases),
         # In the order of the first array: rarest first.
         "_blocks": F.when(F.arrays_overlap("_words", _strings(prefixes)), F.transform(blocks, lambda b: F.array_intersect(_strings(order), b))),
     })
@@ -115,7 +139,7 @@ def scan(df: DataFrame, id: str = "doc_id", text: str = "text", keep: tuple[str,
     # Prefix entries of the templates: a constant relation.
     entries = [
         F.struct(F.lit(w).alias("_word"), F.lit(j).alias("_j"), F.lit(label).alias("_label"), F.lit(len(t)).alias("_size"), F.lit(_needed(len(t))).alias("_need"), _strings(t).alias("_template"))
-        for (label, _), t in zip(TEMPLATES, sets, strict=True) for j, w in enumerate(t[: len(t) - _needed(len(t)) + 1])
+        for (label, _), t in zip(parts, sets, strict=True) for j, w in enumerate(t[: len(t) - _needed(len(t)) + 1])
     ]
     index = df.sparkSession.range(1).select(F.inline(F.array(*entries)))
     probes = blocks_rows.select(*carried, "_block", F.posexplode_outer("_block").alias("_i", "_word"))

@@ -60,6 +60,24 @@ def test_license_join_finds_what_brute_force_finds(make_docs):
             assert score == round(max((p for _, p in met), default=0.0), 3)
 
 
+BODY = """The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+
+
+def test_license_scan_takes_whole_texts(make_docs):
+    templates = [*license_scan.TEMPLATES, ("mit", f"{license_scan.TEMPLATES[1][1]} {BODY}"), ("own", "Free-for use!")]
+    cut = license_scan.pieces(templates)
+    assert cut[: len(license_scan.TEMPLATES)] == [(label, t.split()) for label, t in license_scan.TEMPLATES]
+    assert all(len(t) <= license_scan.BLOCK // 2 for _, t in cut) and [w for _, t in cut[len(license_scan.TEMPLATES) : -1] for w in t] == license_scan.plain_words(templates[-2][1])
+    docs = make_docs([(i, f"{'und ' * i} {BODY} und und") for i in range(40)] + [(100, "free for use, and more"), (101, "nothing")])
+    got = {r["doc_id"]: r for r in license_scan.scan(docs, templates=templates, phrases={"And more": "more"}).collect()}
+    assert all(got[i]["labels"] == ["mit"] and got[i]["score"] == 1 for i in range(40))
+    assert got[100]["labels"] == ["own"] and [tuple(p) for p in got[100]["places"]] == [(3, "more")] and got[101]["labels"] == []
+    bare = license_scan.scan(docs, templates=templates, phrases={}).collect()
+    assert len(bare) == 42 and not any(r["places"] for r in bare)
+
+
 CHATS = [
     (1, 1, "user", "hi <|end|> \\ \\<|turn|>"), (1, 0, "system", None), (1, 2, "assistant", "[INST] </s><s><<SYS>> <</SYS>>"), (1, 3, "assistant", "again\\"), (1, 4, "user", ""),
     (2, 0, None, "no role"), (2, 0, "assistant", "tie"), (2, None, "assistant", "no turn"), (None, 0, "user", "no conversation"), (3, 0, "assis<|x|>tant", "<"), (3, 1, "assistant", "|end|>"),
