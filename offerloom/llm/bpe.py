@@ -3,16 +3,20 @@
 Texts are cut by a pattern; each match is encoded on its own (a match that is a token as a whole is that token). A segment tree over the byte positions of a match keeps
 the leftmost pair of least rank; a merge takes the root, joins the pair and updates three leaves (the merged
 position, its live left neighbour and the position that vanishes), each along one path to the root. The trees of
-many matches are rows of one array, so that a step merges once in every match of a batch.
+many matches are rows of one array, so that a step merges once in every match of a batch; where few rows are left they
+are finished one by one.
 
 Defined results: a null text counts as empty and gives no ids; an id list that is null decodes to no bytes; rows
-repeat as they come; other columns pass through untouched, and an existing column of the output's name is replaced.
+repeat as they come; other columns pass through untouched, and an existing column of the output's name is replaced. An empty table gives
+an empty result. A text of any length is encoded whole; it is worked on match by match, so only a single match without
+any cut costs memory beyond the text: about 100 bytes a character, and time in proportion to n log n.
 """
 
 from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +24,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-# Entries of the per-worker memory of encoded matches, and the longest match (characters) that stays in it.
-MEMORY_ENTRIES = 600_000
+from offerloom.llm.common import release, unused
+
+# Bytes of the memory of encoded matches (one per worker), what an entry costs besides its ids and characters, and the longest match
+# (characters) that stays in it.
+MEMORY_BYTES = 56_000_000
+ENTRY_BYTES = 190
 MEMORY_LENGTH = 64
-# Tree cells that are worked on together.
+# Characters of text that are cut and encoded together.
+RUN_CHARS = 500_000
+# Tree cells that are worked on together, and the number of rows up to which they are finished one by one.
 CELLS = 1 << 18
+FEW_ROWS = 12
 _NONE = np.int64(2**62)
 _POSITION_BITS = 36
 _NO_RANK = _NONE >> _POSITION_BITS
@@ -45,6 +56,10 @@ class PairTable:
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     found[left << 32 | right] = rank
+        self.ranks = ranks
+        self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
         self.bits = max(4, (4 * len(found)).bit_length())
         self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
@@ -80,6 +95,42 @@ class PairTable:
         return out
 
 
+def finish_row(tree: list[int], token: list[int], after: list[int], before: list[int], size: int, pairs: PairTable) -> list[int]:
+    """Merge one row to its end by the same steps, cell by cell; returns its tokens."""
+    width, tokens, ranks = len(tree) // 2, pairs.tokens, pairs.ranks
+    mask, none = (1 << _POSITION_BITS) - 1, int(_NONE)
+
+    def put(at: int, right: int) -> None:
+        """Write the cell of the pair at ``at`` and follow its path up as far as something changes."""
+        rank = ranks.get(tokens[token[at]] + tokens[token[right]]) if right < size else None
+        climb(at + width, none if rank is None else rank << _POSITION_BITS | at)
+
+    def climb(node: int, value: int) -> None:
+        tree[node] = value
+        node >>= 1
+        while node:
+            left, right = tree[2 * node], tree[2 * node + 1]
+            value = left if left < right else right
+            if tree[node] == value:
+                return
+            tree[node] = value
+            node >>= 1
+
+    while (least := tree[1]) < none:
+        at = least & mask
+        gone = after[at]
+        then, prior = after[gone], before[at]
+        token[at], token[gone] = least >> _POSITION_BITS, -1
+        after[at] = then
+        if then < size:
+            before[then] = at
+        climb(gone + width, none)
+        put(at, then)
+        if prior >= 0:
+            put(prior, at)
+    return [x for x in token[:size] if x >= 0]
+
+
 def merge_rows(data: np.ndarray, lengths: np.ndarray, pairs: PairTable) -> tuple[np.ndarray, np.ndarray]:
     """Merge every row to its end. ``data``: bytes, one match a row, padded to a power of two.
 
@@ -111,7 +162,7 @@ def merge_rows(data: np.ndarray, lengths: np.ndarray, pairs: PairTable) -> tuple
         rank = pairs.rank(tokens[start + np.where(inside, left, 0)], tokens[start + np.where(inside, right, 0)])
         return np.where(inside & (rank < _NO_RANK), rank << _POSITION_BITS | left, _NONE)
 
-    while len(rows):
+    while len(rows) > FEW_ROWS:
         start, size, root = rows * width, lengths[rows], rows * (2 * width)
         least = cells[root + 1]
         at = least & ((1 << _POSITION_BITS) - 1)
@@ -135,6 +186,11 @@ def merge_rows(data: np.ndarray, lengths: np.ndarray, pairs: PairTable) -> tuple
             child = base + 2 * node
             cells[base + node] = np.minimum(cells[child], cells[child + 1])
         rows = rows[cells[root + 1] < _NONE]
+    for row in rows.tolist():
+        left = np.where(alive[row], token[row], -1).tolist()
+        merged = finish_row(tree[row].tolist(), left, after[row].tolist(), before[row].tolist(), int(lengths[row]), pairs)
+        token[row, : len(merged)] = merged
+        alive[row] = column < len(merged)
     return token, alive
 
 
@@ -171,35 +227,44 @@ class Codec:
         self.ranks = read_ranks(path)
         self.pairs = PairTable(self.ranks)
         self.memory: dict[str, bytes] = {}
-        size = max(self.ranks.values(), default=-1) + 1
-        self.tokens: list[bytes] = [b""] * size
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
+        self.held = 0
+        tokens = self.pairs.tokens
+        self.sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         memory = self.memory
         cut = [self.split(text) if text else [] for text in texts]
-        unknown = [x for x in set().union(*cut) if x not in memory]
+        unknown = [x for x in set(chain.from_iterable(cut)) if x not in memory]
         memory.update(zip(unknown, encode_pieces([x.encode() for x in unknown], self.ranks, self.pairs), strict=True))
         out = [b"".join(map(memory.__getitem__, pieces)) for pieces in cut]
         for x in unknown:
             if len(x) > MEMORY_LENGTH:
-                memory.pop(x, None)
-        if len(memory) > MEMORY_ENTRIES:  # the matches met first are the common ones
-            while len(memory) > MEMORY_ENTRIES * 3 // 4:
-                memory.popitem()
+                del memory[x]
+            else:
+                self.held += ENTRY_BYTES + len(x) + len(memory[x])
+        if self.held > MEMORY_BYTES:  # the matches met first are the common ones
+            while self.held > MEMORY_BYTES * 3 // 4:
+                x, ids = memory.popitem()
+                self.held -= ENTRY_BYTES + len(x) + len(ids)
         return out
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All bytes of the ids, and the number of bytes up to each id."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        places = np.repeat(self.starts[ids] - ends + sizes, sizes)
+        return self.bytes[places + np.arange(len(places))], ends
 
 
 _CODECS: dict[tuple[str, str], Codec] = {}
 
 
 def codec(path: str, pattern: str) -> Codec:
-    """One codec per worker and vocabulary."""
+    """The codec of this worker; one vocabulary is held at a time."""
     if (path, pattern) not in _CODECS:
+        _CODECS.clear()
         _CODECS[path, pattern] = Codec(path, pattern)
     return _CODECS[path, pattern]
 
@@ -218,16 +283,32 @@ def _groups(texts: pa.Array, characters: int) -> Iterator[list[str | None]]:
         yield run
 
 
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    values = np.concatenate([np.zeros(0, "<i4"), *rows]).astype("<i4", copy=False)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
+def _decoded(worker: Codec, rows: list[np.ndarray]) -> pa.Array:
+    data, ends = worker.decode(np.concatenate([np.zeros(0, "<i4"), *rows]))
+    offsets = np.concatenate([[0], ends])[np.cumsum([0, *map(len, rows)])].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _joined(parts: list[pa.Array], kind: pa.DataType) -> pa.Array:
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add ``out``: the token ids (array of int) of the whole text. ``path``: rank file, readable on the executors."""
 
     @arrow_udf("array<int>")
-    def ids(texts: pa.Array) -> pa.Array:
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         worker = codec(path, pattern)
-        parts = [part for run in _groups(texts, 2_000_000) for part in worker.encode(run)]
-        offsets = np.cumsum([0, *(len(p) // 4 for p in parts)]).astype(np.int32)
-        values = np.frombuffer(b"".join(parts), dtype="<i4")
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        for texts in batches:
+            runs = (worker.encode(run) for run in _groups(texts, RUN_CHARS))
+            yield _joined([_lists([np.frombuffer(x, "<i4") for x in run]) for run in runs], pa.list_(pa.int32()))
+        release()
 
     return df.withColumn(out, ids(F.col(text).cast("string")))
 
@@ -236,9 +317,46 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
     """Add ``out``: the bytes (binary) of the token ids."""
 
     @arrow_udf("binary")
-    def back(rows: pa.Array) -> pa.Array:
+    def back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         worker = codec(path, pattern)
-        # Row by row, so that a batch is never held as numbers of Python.
-        return pa.array([worker.decode(x.values.to_numpy().tolist() if x.is_valid else []) for x in rows], type=pa.binary())
+        for rows in batches:
+            lists = (x.values.to_numpy() if x.is_valid else np.zeros(0, "<i4") for x in rows)
+            # A few rows at a time, as a token may be many bytes.
+            yield _joined([_decoded(worker, run) for run in _runs(lists, RUN_CHARS)], pa.binary())
+        release()
 
     return df.withColumn(out, back(F.col(ids)))
+
+
+def _runs(lists: Iterator[np.ndarray], most: int) -> Iterator[list[np.ndarray]]:
+    run, size = [], 0
+    for x in lists:
+        run.append(x)
+        size += len(x)
+        if size >= most:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
+def encode_decode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "bytes") -> DataFrame:
+    """:func:`encode` and :func:`decode` in one pass: adds ``ids`` and the bytes that they decode to."""
+
+    @arrow_udf("struct<ids:array<int>,bytes:binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker = codec(path, pattern)
+        for texts in batches:
+            lists, data = [], []
+            for run in _groups(texts, RUN_CHARS):
+                rows = [np.frombuffer(x, "<i4") for x in worker.encode(run)]
+                lists.append(_lists(rows))
+                data.append(_decoded(worker, rows))
+            kinds = (pa.list_(pa.int32()), pa.binary())
+            yield pa.StructArray.from_arrays([_joined(p, k) for p, k in zip((lists, data), kinds, strict=True)], ["ids", "bytes"])
+            del lists, data
+        release()
+
+    both_of = unused(df, "_both")
+    done = df.withColumn(both_of, both(F.col(text).cast("string")))
+    return done.withColumns({ids: F.col(both_of)["ids"], out: F.col(both_of)["bytes"]}).drop(both_of)

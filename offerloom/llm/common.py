@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +33,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give memory that a task no longer uses back to the system; its worker waits for the next task beside a large JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # GNU systems have it
+    if trim is not None:
+        trim(0)
+
+
+def text_runs(batch: pa.RecordBatch, characters: int) -> Iterator[tuple[list, list]]:
+    """First and second column of a batch in runs of bounded text; one text is never cut."""
+    firsts, texts, size = [], [], 0
+    for first, value in zip(batch.column(0), batch.column(1), strict=True):
+        firsts.append(first.as_py())
+        texts.append(value.as_py())
+        size += len(texts[-1] or "")
+        if size >= characters:
+            yield firsts, texts
+            firsts, texts, size = [], [], 0
+    if firsts:
+        yield firsts, texts
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

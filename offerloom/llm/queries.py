@@ -31,9 +31,7 @@ def query(name: str, sql: str | None = None):
 @query("op1_byte_bpe")
 def op1_byte_bpe(spark: SparkSession, base: str) -> DataFrame:
     docs = table(spark, base, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, BYTE_RANKS, public_tokenizers.PATTERN).drop("text")
-    both = bpe.decode(ids, BYTE_RANKS, public_tokenizers.PATTERN)
-    return both.select(
+    return bpe.encode_decode(docs, BYTE_RANKS, public_tokenizers.PATTERN).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
     )

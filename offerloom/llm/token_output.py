@@ -10,40 +10,57 @@ rotated right by 15 bits plus a constant, so that checksums of data that hold ch
 writer puts after a record, so files go through Spark's own commit protocol to any file system it knows: a task that is retried leaves
 no second copy.
 
-Documents are cut by range of id into shards, one file each, sorted inside. The rows of an id that are more than a shard are cut by the
-start of their text, and by a running number where even that is equal, so no id, repeated or null, makes a shard large. The index has one row per record: shard, ordinal, id, byte
+Documents are cut by range of id, sorted inside, and written as blocks of records: a block is one row for the writer, and a file takes
+:data:`FILE_BLOCKS` of them. So a file (a shard) has a bounded size whatever the lengths of its documents, unless one document alone is
+larger. The rows of an id that are more than a part are cut by the start of their text, and by a running number where even that is equal, so no id,
+repeated or null, makes a task large. The index has one row per record: shard, ordinal, id, byte
 offset and size of the record, tokens, and the number of ids of all documents before it. Readers that want another order take records by
 the index.
 
 Defined results: a null text counts as empty and gives the end id alone; a null id sorts first; rows that repeat an id stay rows of their own, ordered by
-text; other columns are ignored; an empty table gives no files with records and an empty index.
+text; other columns are ignored; an empty table gives no files with records and an empty index. A text of any length is one record; the ids of a
+record are held in memory once, and its size must stay below the 2 GB of a value.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from offerloom.llm.common import release, text_runs
+from offerloom.session import shuffle_width
+
 END_ID = 1
-# Characters of text per shard, about; a shard is read as one value.
-SHARD_CHARS = 8_000_000
+# Characters of text in a part (the work of one task), about: at least as many as the first, at most as many as the second if the session
+# has fewer shuffle partitions than such parts.
+LEAST_PART, MOST_PART = 4_000_000, 64_000_000
+# Bytes of a block of records, about, and blocks of a file. A file is read as one value.
+BLOCK_BYTES = 1 << 20
+FILE_BLOCKS = 8
+# Characters of text that are encoded together.
+RUN_CHARS = 500_000
 # Characters that a row counts besides its text, and leading characters by which the rows of an id are cut.
 ROW_CHARS = 24
 TIE_CHARS = 64
-# Encoded words that a worker remembers, and the longest among them.
-MEMORY_ENTRIES = 800_000
+# Bytes of the encoded words that a worker remembers, what one costs besides its characters and ids, and the longest among them.
+MEMORY_BYTES = 40_000_000
+ENTRY_BYTES = 170
 MEMORY_LENGTH = 64
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<II")
 _ID = struct.Struct("<BqB")
-INDEX_SCHEMA = "shard int, ordinal int, id bigint, offset bigint, size int, n_tokens bigint, before bigint"
+# Files are numbered by task and place; no task writes as many.
+FILES_OF_A_TASK = 1_000_000
+INDEX_SCHEMA = "shard bigint, ordinal int, id bigint, offset bigint, size int, n_tokens bigint, before bigint"
 
 
 def masked(data: bytes) -> int:
@@ -71,34 +88,81 @@ def unframe(data: memoryview, offset: int) -> tuple[int | None, np.ndarray, int]
     return id if known else None, np.frombuffer(payload[_ID.size :], dtype=f"<u{width}"), start + length + 5
 
 
+# Steps of a tokenizer that lower-cases, drops white space and looks at nothing across it (fixed values, as its file states them).
+WORD_STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+    "truncation": None, "padding": None, "post_processor": None,
+}
+
+
 class Encoder:
     """The tokenizer of one worker, with a bounded memory of words.
 
-    The tokenizer drops white space and looks at nothing across it, so the ids of a text are those of its words; each word is
-    encoded by the library once while it is remembered. New words go to the library as one text, with a mark between that none
-    of them holds.
+    If the file's steps are :data:`WORD_STEPS`, the ids of a text are those of its words, and each word is encoded by the library once while it
+    is remembered. A word of the letters a-z goes to the library's model at once; others go through all steps as one text, with a mark between
+    that none of them holds. Texts that hold one of the file's added tokens, and all texts of other tokenizers, go to the library whole.
     """
 
     MARK = "|"
+    # Marks that follow a letter a-z are tokens of their own, so a word is remembered without them, too.
+    TAILS = b".,;:!?"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        (self.mark,) = self.ids([self.MARK])[0]
+        with open(path, encoding="utf-8") as f:
+            steps = json.load(f)
+        added = steps.get("added_tokens") or []
+        self.added = [t["content"] for t in added]
+        self.by_word = all(steps.get(k) == v for k, v in WORD_STEPS.items()) and not any(
+            t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in added
+        )
         self.memory: dict[bytes, bytes] = {}
+        self.held = 0
+        if self.by_word:
+            self.model = self.tokenizer.model
+            (self.mark,) = self.ids([self.MARK])[0]
+            self.tails = {c: np.array(self.ids([chr(c)])[0], dtype="<u4").tobytes() for c in self.TAILS}
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(ids, dtype="<u4").tobytes() for text in texts for ids in self.ids([text])]
+
     def fresh(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not remembered."""
+        cores: dict[bytes, tuple[bytes, bytes]] = {}
+        for w in words:
+            low = w.lower() if w.isascii() else w
+            cut = len(low) > 1 and low[-1] in self.tails and 97 <= low[-2] <= 122
+            cores[w] = (low[:-1], self.tails[low[-1]]) if cut else (low, b"")
+        memory, found, others = self.memory, {}, []
+        for core in {core for core, _ in cores.values()}:
+            if core in memory:
+                found[core] = memory[core]
+            elif core.isalpha():  # of bytes: A-Z and a-z alone
+                found[core] = np.array([t.id for t in self.model.tokenize(core.decode())], dtype="<u4").tobytes()
+            else:
+                others.append(core)
+        found |= self.together(others)
+        return {w: found[core] + tail if tail else found[core] for w, (core, tail) in cores.items()}
+
+    def together(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words through all steps of the tokenizer, many at a time."""
         mark = self.MARK.encode()
         odd = [w for w in words if mark in w]
         plain = [w for w in words if mark not in w]
-        out = {w: np.array(ids, dtype="<u4").tobytes() for w, ids in zip(odd, self.ids([w.decode() for w in odd]), strict=True)}
-        for start in range(0, len(plain), 5_000):
-            part = plain[start : start + 5_000]
+        out = dict(zip(odd, self.whole([w.decode() for w in odd]), strict=True))
+        for start in range(0, len(plain), 250):
+            part = plain[start : start + 250]
             ids = np.array(self.ids([(b" " + mark + b" ").join([*part, b""]).decode()])[0], dtype="<u4")
             data, ends = ids.tobytes(), (np.flatnonzero(ids == self.mark) * 4).tolist()
             begins = [0, *(e + 4 for e in ends[:-1])]
@@ -106,18 +170,29 @@ class Encoder:
         return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        if not self.by_word:
+            return self.whole([text or "" for text in texts])
+        out: list[bytes] = [b""] * len(texts)
+        apart = [bool(text) and any(t in text for t in self.added) for text in texts]
+        for i in np.flatnonzero(apart).tolist():
+            out[i] = self.whole([texts[i]])[0]
         memory = self.memory
-        # The tokenizer lower-cases; for plain ASCII that can be done at once, and fewer words are new.
-        cut = [(text.encode().lower() if text.isascii() else text.encode()).split() if text else [] for text in texts]
-        unknown = [w for w in set().union(*cut) if w not in memory]
-        memory |= self.fresh(unknown)
-        out = [b"".join(map(memory.__getitem__, words)) for words in cut]
-        for w in unknown:
+        # Plain ASCII can be lower-cased at once, and fewer words are new.
+        cut = [[] if skip or not text else (text.encode().lower() if text.isascii() else text.encode()).split() for text, skip in zip(texts, apart, strict=True)]
+        fresh = self.fresh([w for w in set(chain.from_iterable(cut)) if w not in memory])
+        memory |= fresh
+        for i, words in enumerate(cut):
+            if words:
+                out[i] = b"".join(map(memory.__getitem__, words))
+        for w, ids in fresh.items():
             if len(w) > MEMORY_LENGTH:
-                memory.pop(w, None)
-        if len(memory) > MEMORY_ENTRIES:  # the words met first are the common ones
-            while len(memory) > MEMORY_ENTRIES * 3 // 4:
-                memory.popitem()
+                del memory[w]
+            else:
+                self.held += ENTRY_BYTES + len(w) + len(ids)
+        if self.held > MEMORY_BYTES:  # the words met first are the common ones
+            while self.held > MEMORY_BYTES * 3 // 4:
+                w, ids = memory.popitem()
+                self.held -= ENTRY_BYTES + len(w) + len(ids)
         return out
 
 
@@ -129,60 +204,74 @@ def encoder(path: str) -> Encoder:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core per task
+        _ENCODERS.clear()
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
 
-def _cut(docs: DataFrame, shard_chars: int) -> DataFrame:
-    """``_id`` and ``_text`` by range in partitions of about ``shard_chars`` characters, sorted inside."""
+def _cut(docs: DataFrame, least: int, most: int) -> DataFrame:
+    """``_id`` and ``_text`` by range in parts of about ``least`` to ``most`` characters, sorted inside."""
     size = F.length("_text").cast("long") + ROW_CHARS
-    # Ids whose rows are more than a shard: as many as there are shards, at most.
     own = docs.groupBy("_id").agg(F.sum(size).alias("size"), F.count(F.lit(1)).alias("n"))
-    large = F.when((F.col("size") > shard_chars) & (F.col("n") > 1), F.struct("_id"))
-    chars, found = own.agg(F.sum("size"), F.collect_list(large)).first()
-    ids, shards = [r["_id"] for r in found], 1 + (chars or 0) // shard_chars
-    if not ids:
-        return docs.repartitionByRange(shards, "_id").sortWithinPartitions("_id", "_text")
-    split = F.when(F.col("_id").isNull(), F.lit(None in ids)).otherwise(F.col("_id").isin([i for i in ids if i is not None]))
-    # Equal rows travel as a count, then as runs of up to a shard, and become rows again when the runs are dealt out. Unlike a number
+    # Ids whose rows are more than a part.
+    heavy = own.filter((F.col("size") > least) & (F.col("n") > 1))
+    chars, n_heavy = own.agg(F.sum("size"), F.count(F.when((F.col("size") > least) & (F.col("n") > 1), 1))).first()
+    parts = 1 + max((chars or 0) // most, min((chars or 0) // least, shuffle_width(docs.sparkSession)))
+    if not n_heavy:
+        return docs.repartitionByRange(parts, "_id").sortWithinPartitions("_id", "_text")
+    known = docs.join(heavy.select(F.col("_id").alias("_heavy"), F.lit(True).alias("_split")), F.col("_id").eqNullSafe(F.col("_heavy")), "left")
+    # Equal rows travel as a count, then as runs of up to a part, and become rows again when the runs are dealt out. Unlike a number
     # by place, theirs is the same whenever a lost task runs again.
-    texts = docs.filter(split).groupBy("_id", F.substring("_text", 1, TIE_CHARS).alias("_tie"), "_text").agg(F.count(F.lit(1)).alias("_rows"))
+    texts = known.filter("_split").groupBy("_id", F.substring("_text", 1, TIE_CHARS).alias("_tie"), "_text").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy("_id", "_tie").orderBy("_text").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = texts.withColumns({"_n": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "_run": F.greatest(F.lit(1), F.floor(F.lit(shard_chars) / size))})
+    numbered = texts.withColumns({"_n": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "_run": F.greatest(F.lit(1), F.floor(F.lit(least) / size))})
     runs = numbered.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1, "_run"))).repartition("_id", "_tie", "_n", "_from")
     rows = runs.withColumn("_at", F.explode(F.sequence("_from", F.least(F.col("_from") + F.col("_run"), F.col("_rows")) - 1)))
-    rest = docs.filter(~split).select("_id", F.lit("").alias("_tie"), F.lit(0).cast("long").alias("_n"), "_text")
+    rest = known.filter("_split IS NULL").select("_id", F.lit("").alias("_tie"), F.lit(0).cast("long").alias("_n"), "_text")
     every = rest.union(rows.select("_id", "_tie", F.col("_n") + F.col("_at"), "_text"))
-    return every.repartitionByRange(shards, "_id", "_tie", "_n").select("_id", "_text").sortWithinPartitions("_id", "_text")
+    return every.repartitionByRange(parts, "_id", "_tie", "_n").select("_id", "_text").sortWithinPartitions("_id", "_text")
 
 
 def write_records(
-    df: DataFrame, path: str, tokenizer: str, id: str = "doc_id", text: str = "text", end_id: int = END_ID, shard_chars: int = SHARD_CHARS
+    df: DataFrame, path: str, tokenizer: str, id: str = "doc_id", text: str = "text", end_id: int = END_ID,
+    part_chars: tuple[int, int] = (LEAST_PART, MOST_PART), block_bytes: int = BLOCK_BYTES,
 ) -> None:
     """Write the records below ``path/records`` and the index below ``path/index``."""
     docs = df.select(F.col(id).cast("long").alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     tail = struct.pack("<I", end_id)
-    numbers = lambda ids: np.frombuffer(ids + tail, dtype="<u4")
 
     def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, size = [], 0
         for batch in batches:
-            ids, texts = (c.to_pylist() for c in batch.columns)
-            for start in range(0, len(texts), 500):
-                done = encoder(tokenizer).encode(texts[start : start + 500])
-                records = [frame(i, numbers(d)) for i, d in zip(ids[start : start + 500], done, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["record"])
+            for ids, texts in text_runs(batch, RUN_CHARS):
+                for i, found in zip(ids, encoder(tokenizer).encode(texts), strict=True):
+                    record = frame(i, np.frombuffer(found + tail, dtype="<u4"))
+                    if block and size + len(record) > block_bytes:
+                        yield _blocks(block)
+                        block, size = [], 0
+                    block.append(record)
+                    size += len(record) + 1
+        if block:
+            yield _blocks(block)
+        release()
 
     # The text is dealt out before it is encoded: finding the ranges must not encode it twice.
-    sorted_docs = _cut(docs, shard_chars)
-    # The writer puts the bytes of a string out as they are.
-    sorted_docs.mapInArrow(framed, "record binary").select(F.col("record").cast("string")).write.option("compression", "none").text(f"{path}/records")
+    sorted_docs = _cut(docs, *part_chars)
+    # The writer puts the bytes of a string out as they are, and a line feed after them.
+    blocks = sorted_docs.mapInArrow(framed, "block binary").select(F.col("block").cast("string"))
+    blocks.write.option("compression", "none").option("maxRecordsPerFile", FILE_BLOCKS).text(f"{path}/records")
     _write_index(df.sparkSession, path)
 
 
+def _blocks(records: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([b"\n".join(records)], pa.binary())], ["block"])
+
+
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per shard: number and content. The task number in the file name is the number of the shard."""
+    """One row per shard: number and content. A file is named by the number of its task, then by its own number in the task."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/records")
-    return files.select(F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("int").alias("shard"), "content")
+    number = lambda group: F.regexp_extract("path", r"part-(\d+)-.*-c(\d+)[^/]*$", group).cast("bigint")
+    return files.select((number(1) * FILES_OF_A_TASK + number(2)).alias("shard"), "content")
 
 
 def _write_index(spark: SparkSession, path: str) -> None:
@@ -195,15 +284,19 @@ def _write_index(spark: SparkSession, path: str) -> None:
                     rows.append((shard, len(rows), id, at, end - at, len(tokens), before))
                     before, at = before + len(tokens), end
                 columns = list(zip(*rows, strict=True)) or [()] * 7
-                types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], list(_INDEX_NAMES))
+        release()
 
     rows = _files(spark, path).mapInArrow(scan, INDEX_SCHEMA)
     rows.write.parquet(f"{path}/local-index")
     local = spark.read.schema(INDEX_SCHEMA).parquet(f"{path}/local-index")
-    # One row per shard.
-    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = local.groupBy("shard").agg(F.sum("n_tokens").alias("_n")).select("shard", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).cast("long").alias("first"))
+    sums = local.groupBy("shard").agg(F.sum("n_tokens").alias("_n")).withColumn("_task", F.floor(F.col("shard") / FILES_OF_A_TASK))
+    # One row per task of the writer, then the files of each task.
+    earlier = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tasks = sums.groupBy("_task").agg(F.sum("_n").alias("_n")).select("_task", earlier(Window.orderBy("_task")).alias("_first"))
+    within = sums.withColumn("_before", earlier(Window.partitionBy("_task").orderBy("shard")))
+    shards = within.join(tasks, "_task").select("shard", (F.col("_first") + F.col("_before")).cast("long").alias("first"))
     shards.write.parquet(f"{path}/shards")
     local.join(_shards(spark, path), "shard").select(
         "shard", "ordinal", "id", "offset", "size", "n_tokens", (F.col("first") + F.col("before")).alias("start")
@@ -211,7 +304,7 @@ def _write_index(spark: SparkSession, path: str) -> None:
 
 
 def _shards(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("shard int, first bigint").parquet(f"{path}/shards")
+    return spark.read.schema("shard bigint, first bigint").parquet(f"{path}/shards")
 
 
 _INDEX_NAMES = tuple(re.findall(r"(\w+) \w+(?:,|$)", INDEX_SCHEMA))
@@ -225,11 +318,11 @@ def _batch(rows: list[tuple[int, int | None, int, np.ndarray]]) -> pa.RecordBatc
     shard, id, before, ids = zip(*rows, strict=True)
     data = [x.astype("<u4").tobytes() for x in ids]
     return pa.RecordBatch.from_arrays(
-        [pa.array(shard, pa.int32()), pa.array(id, pa.int64()), pa.array(before, pa.int64()), pa.array(data, pa.binary())], ["shard", "id", "before", "ids"]
+        [pa.array(shard, pa.int64()), pa.array(id, pa.int64()), pa.array(before, pa.int64()), pa.array(data, pa.binary())], ["shard", "id", "before", "ids"]
     )
 
 
-_RECORD = "shard int, id bigint, before bigint, ids binary"
+_RECORD = "shard bigint, id bigint, before bigint, ids binary"
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -237,14 +330,15 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data, at, before, rows = memoryview(content.as_buffer()), 0, 0, []
+                data, at, before, rows, given = memoryview(content.as_buffer()), 0, 0, [], 0
                 while at < len(data):
                     id, ids, at = unframe(data, at)
                     rows.append((shard, id, before, ids))
                     before += len(ids)
-                    if len(rows) == 1000 or at >= len(data):
+                    if at - given >= BLOCK_BYTES or at >= len(data):
                         yield _batch(rows)
-                        rows = []
+                        rows, given = [], at
+        release()
 
     # Records are read before the join, so that no file content is shuffled.
     found = _files(spark, path).mapInArrow(parse, _RECORD).join(_shards(spark, path), "shard")
@@ -265,5 +359,6 @@ def read_shuffled(spark: SparkSession, path: str, seed: int) -> DataFrame:
                 for begin in range(0, len(entries), 1000):
                     part = [(e["start"], unframe(data, e["offset"])) for e in entries[begin : begin + 1000]]
                     yield _batch([(shard, id, start, ids) for start, (id, ids, _) in part])
+        release()
 
     return files.select("shard", "content", "entries").mapInArrow(take, _RECORD).select("id", F.col("before").alias("start"), "ids")

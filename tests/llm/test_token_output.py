@@ -2,6 +2,7 @@ import struct
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
@@ -10,9 +11,8 @@ from offerloom.llm.queries import QUERIES, WORD_TOKENIZER
 from offerloom.session import scratch_path
 
 
-def expected(texts):
-    tokenizer = Tokenizer.from_file(WORD_TOKENIZER)
-    tokenizer.encode_special_tokens = True
+def expected(texts, path=WORD_TOKENIZER):
+    tokenizer = Tokenizer.from_file(path)
     return [e.ids + [1] for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -47,7 +47,7 @@ def test_frame_finds_damage():
 def test_write_and_read_back(spark, make_docs, seed):
     rows = [(100 - i, t) for i, t in enumerate(ODD)] + [(None, "null id"), (7, "b twice"), (7, "a twice")]
     path = scratch_path(spark, "records")
-    token_output.write_records(make_docs(rows), path, WORD_TOKENIZER, shard_chars=800)
+    token_output.write_records(make_docs(rows), path, WORD_TOKENIZER, part_chars=(800, 800), block_bytes=300)
     read = token_output.read_records(spark, path) if seed is None else token_output.read_shuffled(spark, path, seed)
     got = sorted(((r["start"], r["id"], np.frombuffer(r["ids"], "<u4").tolist()) for r in read.collect()))
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
@@ -66,7 +66,7 @@ def test_no_id_makes_a_shard_large(spark, make_docs, shared):
     rows = [(shared, f"{i:03} some words") for i in range(200)] + [(shared, f"{head}{i:03}") for i in range(50)] + [(shared, "equal")] * 300 + [(shared, None)] * 300
     rows += [(i, "other") for i in range(100, 150)]
     path = scratch_path(spark, "records")
-    token_output.write_records(make_docs(rows), path, WORD_TOKENIZER, shard_chars=2_000)
+    token_output.write_records(make_docs(rows), path, WORD_TOKENIZER, part_chars=(2_000, 2_000), block_bytes=500)
     got = sorted((r["start"], r["id"], np.frombuffer(r["ids"], "<u4").tolist()) for r in token_output.read_records(spark, path).collect())
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     start, want = 0, []
@@ -91,3 +91,36 @@ def test_query(spark, base):
     for (id, _), ids in zip(docs, expected([t for _, t in docs]), strict=True):
         assert got[id] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+
+
+def test_other_tokenizers_get_texts_whole(spark, make_docs):
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    path = scratch_path(spark, "records")
+    rows = [(i, t) for i, t in enumerate(ODD)]
+    token_output.write_records(make_docs(rows), path, other)
+    got = {r["id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in token_output.read_records(spark, path).collect()}
+    assert [got[i] for i in range(len(ODD))] == expected(ODD, other)
+
+
+def test_memory_is_bounded_and_harmless(monkeypatch):
+    monkeypatch.setattr(token_output, "MEMORY_BYTES", 1_000)
+    encoder = token_output.Encoder(WORD_TOKENIZER)
+    for texts in (ODD, ODD[::-1], ["w" * 500 + " five"]):
+        assert [np.frombuffer(x, "<u4").tolist() + [1] for x in encoder.encode(texts)] == expected(texts)
+        assert encoder.held <= 1_000 and all(len(k) <= token_output.MEMORY_LENGTH for k in encoder.memory)
+        assert encoder.held == sum(token_output.ENTRY_BYTES + len(k) + len(v) for k, v in encoder.memory.items())
+
+
+def test_document_above_a_file(spark, make_docs):
+    """Long neighbours: files stay at eight blocks, but for a document that is larger alone."""
+    rows = [(i, "some words " * 400) for i in range(40)] + [(40, "a longer one " * 40_000), (41, "last")]
+    path = scratch_path(spark, "records")
+    token_output.write_records(make_docs(rows), path, WORD_TOKENIZER, block_bytes=4_000)
+    got = {r["id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in token_output.read_records(spark, path).collect()}
+    assert [got[i] for i in range(42)] == expected([t for _, t in rows])
+    sizes = [r["n"] for r in token_output.read_index(spark, path).filter("id <> 40").groupBy("shard").agg({"size": "sum"}).toDF("shard", "n").collect()]
+    assert len(sizes) > 2 and max(sizes) <= token_output.FILE_BLOCKS * 4_000
+    start = 0
+    for r in token_output.read_index(spark, path).orderBy("shard", "ordinal").collect():
+        assert r["start"] == start
+        start += r["n_tokens"]
