@@ -69,7 +69,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids``, and ``round_trip``: whether the ids decode to the text."""
     rows = docs.select("doc_id", "text")
-    both = bpe.decode(bpe.encode(rows, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN)
+    both = bpe.encode_decode(rows, RANKS, public_tokenizers.PATTERN)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("bytes") == text).alias("round_trip"))
 
