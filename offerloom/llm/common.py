@@ -5,7 +5,9 @@ from __future__ import annotations
 import ctypes
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,18 +43,15 @@ def release() -> None:
         trim(0)
 
 
-def text_runs(batch: pa.RecordBatch, characters: int) -> Iterator[tuple[list, list]]:
-    """First and second column of a batch in runs of bounded text; one text is never cut."""
-    firsts, texts, size = [], [], 0
-    for first, value in zip(batch.column(0), batch.column(1), strict=True):
-        firsts.append(first.as_py())
-        texts.append(value.as_py())
-        size += len(texts[-1] or "")
-        if size >= characters:
-            yield firsts, texts
-            firsts, texts, size = [], [], 0
-    if firsts:
-        yield firsts, texts
+def slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of about ``size`` bytes of text, its second column; one text is never cut."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(batch):
+        before = int(ends[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def unused(df: DataFrame, name: str) -> str:

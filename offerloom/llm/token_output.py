@@ -29,14 +29,14 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import release, text_runs
+from offerloom.llm.common import release, slices
 from offerloom.session import shuffle_width
 
 END_ID = 1
@@ -46,13 +46,13 @@ LEAST_PART, MOST_PART = 4_000_000, 64_000_000
 # Bytes of a block of records, about, and blocks of a file. A file is read as one value.
 BLOCK_BYTES = 1 << 20
 FILE_BLOCKS = 8
-# Characters of text that are encoded together.
-RUN_CHARS = 500_000
+# Bytes of text that are encoded together.
+RUN_BYTES = 2_000_000
 # Characters that a row counts besides its text, and leading characters by which the rows of an id are cut.
 ROW_CHARS = 24
 TIE_CHARS = 64
 # Bytes of the encoded words that a worker remembers, what one costs besides its characters and ids, and the longest among them.
-MEMORY_BYTES = 40_000_000
+MEMORY_BYTES = 64_000_000
 ENTRY_BYTES = 170
 MEMORY_LENGTH = 64
 _MASK = 0xA282EAD8
@@ -104,17 +104,21 @@ WORD_STEPS = {
 class Encoder:
     """The tokenizer of one worker, with a bounded memory of words.
 
-    If the file's steps are :data:`WORD_STEPS`, the ids of a text are those of its words, and each word is encoded by the library once while it
-    is remembered. A word of the letters a-z goes to the library's model at once; others go through all steps as one text, with a mark between
-    that none of them holds. Texts that hold one of the file's added tokens, and all texts of other tokenizers, go to the library whole.
+    If the file's steps are :data:`WORD_STEPS`, the ids of a text are those of its words. The words of a run of texts are cut and numbered by
+    Arrow, without the mark behind a letter, which is a token of its own; each word is encoded by the library once while it is remembered. A
+    word of letters that no step changes beyond their case goes to the library's model at once; others go through all steps as one text,
+    with a mark between that none of them holds. Texts that hold one of the file's added tokens, and all texts of other tokenizers, go to the
+    library whole.
     """
 
     MARK = "|"
-    # Marks that follow a letter a-z are tokens of their own, so a word is remembered without them, too.
-    TAILS = b".,;:!?"
+    LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+    PLAIN = re.compile(f"[{LETTERS}]+")
+    TAIL = f"([{LETTERS}])([.,;:!?])([ \\t-\\r]|$)"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -124,12 +128,16 @@ class Encoder:
         self.by_word = all(steps.get(k) == v for k, v in WORD_STEPS.items()) and not any(
             t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in added
         )
-        self.memory: dict[bytes, bytes] = {}
+        self.memory: dict[str, bytes] = {}
         self.held = 0
         if self.by_word:
-            self.model = self.tokenizer.model
+            # The model alone, for words that the steps before it leave as they are.
+            self.model = Tokenizer(self.tokenizer.model)
+            self.model.pre_tokenizer = WhitespaceSplit()
             (self.mark,) = self.ids([self.MARK])[0]
-            self.tails = {c: np.array(self.ids([chr(c)])[0], dtype="<u4").tobytes() for c in self.TAILS}
+            # The model reads bytes as letters: printable ones as they are, the others from 256 on.
+            shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+            self.letter = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in shown)}
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -137,62 +145,70 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(ids, dtype="<u4").tobytes() for text in texts for ids in self.ids([text])]
 
-    def fresh(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def fresh(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words that are not remembered."""
-        cores: dict[bytes, tuple[bytes, bytes]] = {}
+        others, plain, shown = [], [], []
         for w in words:
-            low = w.lower() if w.isascii() else w
-            cut = len(low) > 1 and low[-1] in self.tails and 97 <= low[-2] <= 122
-            cores[w] = (low[:-1], self.tails[low[-1]]) if cut else (low, b"")
-        memory, found, others = self.memory, {}, []
-        for core in {core for core, _ in cores.values()}:
-            if core in memory:
-                found[core] = memory[core]
-            elif core.isalpha():  # of bytes: A-Z and a-z alone
-                found[core] = np.array([t.id for t in self.model.tokenize(core.decode())], dtype="<u4").tobytes()
+            if self.PLAIN.fullmatch(w) is None:
+                others.append(w)
             else:
-                others.append(core)
-        found |= self.together(others)
-        return {w: found[core] + tail if tail else found[core] for w, (core, tail) in cores.items()}
-
-    def together(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words through all steps of the tokenizer, many at a time."""
-        mark = self.MARK.encode()
-        odd = [w for w in words if mark in w]
-        plain = [w for w in words if mark not in w]
-        out = dict(zip(odd, self.whole([w.decode() for w in odd]), strict=True))
-        for start in range(0, len(plain), 250):
-            part = plain[start : start + 250]
-            ids = np.array(self.ids([(b" " + mark + b" ").join([*part, b""]).decode()])[0], dtype="<u4")
-            data, ends = ids.tobytes(), (np.flatnonzero(ids == self.mark) * 4).tolist()
-            begins = [0, *(e + 4 for e in ends[:-1])]
-            out |= {w: data[i:j] for w, i, j in zip(part, begins, ends, strict=True)}
+                plain.append(w)
+                low = w.lower()
+                shown.append(low if low.isascii() else low.encode().decode("latin-1").translate(self.letter))
+        odd = [w for w in others if self.MARK in w]
+        rest = [w for w in others if self.MARK not in w]
+        out = dict(zip(odd, self.whole(odd), strict=True))
+        out |= zip(rest, self.together(self.tokenizer, rest), strict=True)
+        out |= zip(plain, self.together(self.model, shown), strict=True)
         return out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        if not self.by_word:
-            return self.whole([text or "" for text in texts])
-        out: list[bytes] = [b""] * len(texts)
-        apart = [bool(text) and any(t in text for t in self.added) for text in texts]
-        for i in np.flatnonzero(apart).tolist():
-            out[i] = self.whole([texts[i]])[0]
+    def together(self, tokenizer, words: list[str]) -> Iterator[bytes]:
+        """Ids of words that do not hold the mark, many at a time."""
+        for start in range(0, len(words), 250):
+            joined = f" {self.MARK} ".join([*words[start : start + 250], ""])
+            ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+            data, ends = ids.tobytes(), (np.flatnonzero(ids == self.mark) * 4).tolist()
+            yield from (data[i:j] for i, j in zip([0, *(e + 4 for e in ends[:-1])], ends, strict=True))
+
+    def look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, remembered within the bound."""
         memory = self.memory
-        # Plain ASCII can be lower-cased at once, and fewer words are new.
-        cut = [[] if skip or not text else (text.encode().lower() if text.isascii() else text.encode()).split() for text, skip in zip(texts, apart, strict=True)]
-        fresh = self.fresh([w for w in set(chain.from_iterable(cut)) if w not in memory])
-        memory |= fresh
-        for i, words in enumerate(cut):
-            if words:
-                out[i] = b"".join(map(memory.__getitem__, words))
-        for w, ids in fresh.items():
-            if len(w) > MEMORY_LENGTH:
-                del memory[w]
-            else:
-                self.held += ENTRY_BYTES + len(w) + len(ids)
+        found = list(map(memory.get, words))
+        places = [i for i, ids in enumerate(found) if ids is None]
+        fresh = self.fresh([words[i] for i in places])
+        for i in places:
+            found[i] = fresh[words[i]]
+        short = {w: ids for w, ids in fresh.items() if len(w) <= MEMORY_LENGTH}
+        memory |= short
+        self.held += sum(ENTRY_BYTES + len(w) + len(ids) for w, ids in short.items())
         if self.held > MEMORY_BYTES:  # the words met first are the common ones
             while self.held > MEMORY_BYTES * 3 // 4:
                 w, ids = memory.popitem()
                 self.held -= ENTRY_BYTES + len(w) + len(ids)
+        return found
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not self.by_word:
+            return self.whole(texts.to_pylist())
+        apart = pa.array(np.zeros(len(texts), dtype=bool))
+        for token in self.added:
+            apart = pc.or_(apart, pc.match_substring(texts, token))
+        kept = pc.if_else(apart, "", texts)
+        # Plain ASCII can be lower-cased at once, and fewer words are new.
+        kept = pc.if_else(pc.string_is_ascii(kept), pc.ascii_lower(kept), kept)
+        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(kept, self.TAIL, r"\1 \2\3"))
+        words = lists.flatten().dictionary_encode()
+        known = self.look_up(words.dictionary.to_pylist())
+        offsets = np.cumsum([0, *map(len, known)]) // 4
+        ids_of = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(known), dtype="<u4")))
+        ids = ids_of.take(words.indices)
+        data, ends = ids.flatten().to_numpy().tobytes(), ids.offsets.to_numpy() * 4
+        # Where the words of each text end, in bytes of ids.
+        cuts = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        out = [data[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(apart.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self.whole([texts[i].as_py()])[0]
         return out
 
 
@@ -243,8 +259,8 @@ def write_records(
     def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, size = [], 0
         for batch in batches:
-            for ids, texts in text_runs(batch, RUN_CHARS):
-                for i, found in zip(ids, encoder(tokenizer).encode(texts), strict=True):
+            for part in slices(batch, RUN_BYTES):
+                for i, found in zip(part.column(0).to_pylist(), encoder(tokenizer).encode(part.column(1)), strict=True):
                     record = frame(i, np.frombuffer(found + tail, dtype="<u4"))
                     if block and size + len(record) > block_bytes:
                         yield _blocks(block)
