@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import ann, bpe, chat_format, exact_dedup, language_id, license_scan, mixing, ngram_join, pii, token_output
+from offerloom.llm import (
+    ann, bpe, chat_format, decontamination, exact_dedup, language_id, license_scan, mixing, ngram_join, pii, token_output,
+)
 from offerloom.llm.common import table
 from offerloom.session import scratch_path
 
@@ -116,3 +118,13 @@ def op9_token_records(spark: SparkSession, base: str) -> DataFrame:
 @query("op10_mixing", mixing.MIX_SQL)
 def op10_mixing(spark: SparkSession, base: str) -> DataFrame:
     return mixing.mix(table(spark, base, "documents")).drop("copies")
+
+
+@query("op11_decontamination", decontamination.DECONTAMINATION_SQL)
+def op11_decontamination(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents").select("doc_id", "text")
+    found = decontamination.find(docs, table(spark, base, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
