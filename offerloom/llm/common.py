@@ -8,10 +8,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerloom.session import scratch_path
+from offerloom.session import scratch_path, shuffle_width
 
 # Code points that separate words and that exact comparison leaves out (fixed values of the contract).
 BLANKS = r"[\x20\x09-\x0D]"
@@ -71,6 +71,29 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def prefix_sums(df: DataFrame, keys: list[str], order: list[str], weight: Column, out: str) -> DataFrame:
+    """Running sum of ``weight`` per key in the given order, the row itself included; rows are cut by sorted range, not by key.
+
+    A large key is spread over many ranges. The range of a row is fixed by a written table; what a range adds to those after it is one row per
+    range and key, of which only keys that go on into a later range matter.
+    """
+    part, total, carry = unused(df, "_part"), unused(df, "_total"), unused(df, "_carry")
+    parts = shuffle_width(df.sparkSession)
+    cut = df.withColumn(total, weight).repartitionByRange(parts, *keys, *order).withColumn(part, F.spark_partition_id())
+    cut = materialize(cut, "ranges")
+    inner = Window.partitionBy(*keys, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sums = cut.groupBy(*keys, part).agg(F.sum(total).alias(total))
+    carried = sums.select(*keys, part, F.sum(total).over(earlier).alias(carry)).filter(F.col(carry).isNotNull())
+    joined = cut.withColumn(total, F.sum(total).over(inner)).join(carried, [*keys, part], "left")
+    return joined.withColumn(out, F.col(total) + F.coalesce(F.col(carry), F.lit(0))).select(*df.columns, out)
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
+    """Number 0, 1, 2, ... per key in the given order."""
+    return prefix_sums(df, keys, order, F.lit(1).cast("bigint"), out).withColumn(out, F.col(out) - 1)
+
+
 def _edge_state(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return row[0], row[1]

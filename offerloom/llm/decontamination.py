@@ -281,7 +281,7 @@ g AS (
 ), h AS (
     SELECT p.doc_id, p.s.i AS i, p.n, g.item_id FROM p JOIN g ON g.n = p.n AND g.gram = p.s.gram
 ), hit AS (
-    SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM (SELECT DISTINCT doc_id, i, n FROM h)) GROUP BY doc_id
+    SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM (SELECT DISTINCT doc_id, i, n FROM h)) GROUP BY doc_id
 ), named AS (
     SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS names FROM h GROUP BY doc_id
 )

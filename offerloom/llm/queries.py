@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.llm import (
-    ann, bpe, chat_format, decontamination, exact_dedup, language_id, license_scan, mixing, ngram_join, pii, token_output,
+    ann, bpe, chat_format, decontamination, exact_dedup, language_id, license_scan, merkle, mixing, ngram_join, pii, token_output,
 )
 from offerloom.llm.common import table
 from offerloom.session import scratch_path
@@ -128,3 +128,13 @@ def op11_decontamination(spark: SparkSession, base: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op12_merkle_manifest", merkle.MERKLE_SQL)
+def op12_merkle_manifest(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents").select(*merkle.COLUMNS)
+    columns = {c: F.col(c) for c in merkle.COLUMNS}
+    tampered = merkle.leaf(*(columns | {"text": F.replace("text", F.lit("\n"), F.lit(""))}).values())
+    chosen = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
+    manifest = merkle.build(docs, merkle.leaf(*columns.values()), keep={"candidate": F.when(chosen, tampered)})
+    return merkle.verify(manifest, "candidate").withColumnRenamed("id", "doc_id")
