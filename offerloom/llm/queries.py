@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.llm import (
-    ann, bpe, chat_format, decontamination, exact_dedup, language_id, license_scan, merkle, mixing, ngram_join, pii, token_output,
+    ann, bpe, chat_format, decontamination, exact_dedup, hard_negatives, language_id, license_scan, merkle, mixing, ngram_join, pii,
+    token_output,
 )
 from offerloom.llm.common import table
 from offerloom.session import scratch_path
@@ -138,3 +139,11 @@ def op12_merkle_manifest(spark: SparkSession, base: str) -> DataFrame:
     chosen = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
     manifest = merkle.build(docs, merkle.leaf(*columns.values()), keep={"candidate": F.when(chosen, tampered)})
     return merkle.verify(manifest, "candidate").withColumnRenamed("id", "doc_id")
+
+
+@query("op13_hard_negatives", hard_negatives.NEGATIVES_SQL)
+def op13_hard_negatives(spark: SparkSession, base: str) -> DataFrame:
+    rows = table(spark, base, "embeddings").select(
+        "vec_id", "embedding", F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    )
+    return hard_negatives.mine(rows, F.pmod("vec_id", F.lit(100)) == 0)
