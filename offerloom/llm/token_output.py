@@ -52,7 +52,7 @@ RUN_BYTES = 2_000_000
 ROW_CHARS = 24
 TIE_CHARS = 64
 # Bytes of the encoded words that a worker remembers, what one costs besides its characters and ids, and the longest among them.
-MEMORY_BYTES = 64_000_000
+MEMORY_BYTES = 100_000_000
 ENTRY_BYTES = 170
 MEMORY_LENGTH = 64
 _MASK = 0xA282EAD8
