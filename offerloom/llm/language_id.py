@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from offerloom.llm.common import release
+
 N = 4
 TEXTS = 1500
 GRAMS = 20_000
@@ -161,6 +163,7 @@ def fit(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name] * len(values), pa.string()), pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"]
                     )
+        release()
 
     counted = sample.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     own = Window.partitionBy("lang")
@@ -183,9 +186,11 @@ def predict(df: DataFrame, model: Filters, text: str = "text", lang: str = "lang
     """Add the language and score of the whole text; nothing but the text is read."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    def judge(texts: pa.Array) -> pa.Array:
-        languages, scores = shared.value.decide(texts.to_pylist())
-        return pa.StructArray.from_arrays([pa.array(languages, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            languages, scores = shared.value.decide(texts.to_pylist())
+            yield pa.StructArray.from_arrays([pa.array(languages, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+        release()
 
     judged = df.withColumn("_judged", arrow_udf(judge, "struct<lang:string,score:double>")(F.col(text).cast("string")))
     return judged.withColumns({lang: F.col("_judged.lang"), score: F.col("_judged.score")}).drop("_judged")

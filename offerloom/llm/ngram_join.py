@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import connected_components, materialize
+from offerloom.llm.common import connected_components, materialize, release
 
 WORDS = 5
 KEYS = 8
@@ -134,6 +134,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield shared()
     if held:
         yield shared()
+    release()
 
 
 def _bound_holds(a: pa.Array, b: pa.Array, na: pa.Array, nb: pa.Array) -> pa.Array:
@@ -166,6 +167,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for ids, texts in _texts(batch):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([shingles(t).tobytes() for t in texts], pa.binary())], ["id", "set"])
+    release()
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -207,6 +209,7 @@ def _prefixes(docs: DataFrame, common: list[int]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["id", "n", "prefix"]
                 )
+        release()
 
     return docs.mapInArrow(cut, "id bigint, n bigint, prefix array<bigint>")
 
@@ -247,6 +250,7 @@ def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     left += np.minimum(ids[others], ids[i]).tolist()
                     right += np.maximum(ids[others], ids[i]).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+    release()
 
 
 def _tiles(entries: DataFrame, bits: DataFrame) -> DataFrame:
