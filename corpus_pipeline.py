@@ -35,18 +35,17 @@ def _columns(df: DataFrame, like: DataFrame) -> DataFrame:
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs.filter(~language_id.held_out(F.col("doc_id"))))
-    lang, score = unused(docs, "lang"), unused(docs, "score")
+    lang, score, long = unused(docs, "_lang"), unused(docs, "_score"), unused(docs, "_long")
     judged = language_id.predict(docs, model, lang=lang, score=score)
     # Where nothing could be learned nothing can be rejected but what has no letters.
     if not model.names:
         return _columns(judged.filter(F.col("text").rlike(r"\p{L}")), docs)
-    low = (F.col(score) < LEAST_SHARE) & (F.length(F.regexp_replace("text", r"\P{L}", "")) >= LEAST_LETTERS)
+    # Every text is scored once; what has to be known about all of them is read from the scores.
+    judged = materialize(judged.withColumn(long, F.length(F.regexp_replace("text", r"\P{L}", "")) >= LEAST_LETTERS), "pipeline-languages")
     # A language is learned if most of the texts that carry its label are found by it; one row per label comes back.
-    own = language_id.predict(docs.filter("lang is not null").select("text", "lang"), model, lang=lang, score=score)
-    enough = own.filter(F.length(F.regexp_replace("text", r"\P{L}", "")) >= LEAST_LETTERS)
     right = F.avg(((F.col(lang) == F.col("lang")) & (F.col(score) >= LEAST_SHARE)).cast("int"))
-    learned = [r["lang"] for r in enough.groupBy("lang").agg(right.alias("right")).collect() if r["right"] > 0.5]
-    rejected = low & F.coalesce(F.col("lang").isin(learned), F.lit(False))
+    learned = [r["lang"] for r in judged.filter(f"lang IS NOT NULL AND {long}").groupBy("lang").agg(right.alias("right")).collect() if r["right"] > 0.5]
+    rejected = F.col(long) & (F.col(score) < LEAST_SHARE) & F.coalesce(F.col("lang").isin(learned), F.lit(False))
     return _columns(judged.filter((F.col(lang) != language_id.UNKNOWN) & ~rejected), docs)
 
 
