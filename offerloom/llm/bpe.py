@@ -15,24 +15,27 @@ any cut costs memory beyond the text: about 100 bytes a character, and time in p
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import StructType
 
-from offerloom.llm.common import release, unused
+from offerloom.llm.common import release, slices, unused
 
 # Bytes of the memory of encoded matches (one per worker), what an entry costs besides its ids and characters, and the longest match
 # (characters) that stays in it.
-MEMORY_BYTES = 56_000_000
+MEMORY_BYTES = 40_000_000
 ENTRY_BYTES = 190
 MEMORY_LENGTH = 64
-# Characters of text that are cut and encoded together.
-RUN_CHARS = 500_000
+# Bytes of text that are cut and encoded together, and tokens that are decoded together.
+RUN_BYTES = 250_000
+# Runs after which freed memory goes back to the system.
+RELEASE_EVERY = 16
 # Tree cells that are worked on together, and the number of rows up to which they are finished one by one.
 CELLS = 1 << 18
 FEW_ROWS = 12
@@ -269,20 +272,6 @@ def codec(path: str, pattern: str) -> Codec:
     return _CODECS[path, pattern]
 
 
-def _groups(texts: pa.Array, characters: int) -> Iterator[list[str | None]]:
-    """Rows in runs of bounded text, so that the matches of a run fit in memory."""
-    run, size = [], 0
-    for value in texts:
-        text = value.as_py()
-        run.append(text)
-        size += len(text or "")
-        if size >= characters:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
-
-
 def _lists(rows: list[np.ndarray]) -> pa.Array:
     offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
     values = np.concatenate([np.zeros(0, "<i4"), *rows]).astype("<i4", copy=False)
@@ -295,22 +284,33 @@ def _decoded(worker: Codec, rows: list[np.ndarray]) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def _joined(parts: list[pa.Array], kind: pa.DataType) -> pa.Array:
-    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+def _add(df: DataFrame, source: Column, kinds: dict[str, pa.DataType], work: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
+    """``df`` with the columns ``kinds``, which ``work`` makes of ``source`` for a few rows at a time, so that no batch is held twice."""
+    kept = [c for c in df.columns if c.lower() not in {name.lower() for name in kinds}]
+    read = df.select(*[F.col(f"`{c}`") for c in kept], source.alias(unused(df, "_source")))
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.num_columns - 1
+            for i, part in enumerate(slices(batch, RUN_BYTES, at)):
+                yield pa.RecordBatch.from_arrays([*part.columns[:at], *work(part.column(at))], [*kept, *kinds])
+                if i % RELEASE_EVERY == 0:
+                    release()
+            del batch
+        release()
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """Add ``out``: the token ids (array of int) of the whole text. ``path``: rank file, readable on the executors."""
+    added = [f"`{name}` {'array<int>' if pa.types.is_list(kind) else 'binary'}" for name, kind in kinds.items()]
+    schema = StructType(df.select(*[F.col(f"`{c}`") for c in kept]).schema.fields + StructType.fromDDL(", ".join(added)).fields)
+    return read.mapInArrow(rows, schema)
 
-    @arrow_udf("array<int>")
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        worker = codec(path, pattern)
-        for texts in batches:
-            runs = (worker.encode(run) for run in _groups(texts, RUN_CHARS))
-            yield _joined([_lists([np.frombuffer(x, "<i4") for x in run]) for run in runs], pa.list_(pa.int32()))
-        release()
 
-    return df.withColumn(out, ids(F.col(text).cast("string")))
+def _encoded(path: str, pattern: str, texts: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(ids, "<i4") for ids in codec(path, pattern).encode(texts.to_pylist())]
+
+
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
+    """Add ``out``: the token ids (array of int) of the whole text. ``path``: rank file, readable on the executors."""
+    return _add(df, F.col(text).cast("string"), {out: pa.list_(pa.int32())}, lambda texts: [_lists(_encoded(path, pattern, texts))])
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "bytes") -> DataFrame:
@@ -322,7 +322,8 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
         for rows in batches:
             lists = (x.values.to_numpy() if x.is_valid else np.zeros(0, "<i4") for x in rows)
             # A few rows at a time, as a token may be many bytes.
-            yield _joined([_decoded(worker, run) for run in _runs(lists, RUN_CHARS)], pa.binary())
+            parts = [_decoded(worker, run) for run in _runs(lists, RUN_BYTES)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
         release()
 
     return df.withColumn(out, back(F.col(ids)))
@@ -343,20 +344,8 @@ def _runs(lists: Iterator[np.ndarray], most: int) -> Iterator[list[np.ndarray]]:
 def encode_decode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "bytes") -> DataFrame:
     """:func:`encode` and :func:`decode` in one pass: adds ``ids`` and the bytes that they decode to."""
 
-    @arrow_udf("struct<ids:array<int>,bytes:binary>")
-    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        worker = codec(path, pattern)
-        for texts in batches:
-            lists, data = [], []
-            for run in _groups(texts, RUN_CHARS):
-                rows = [np.frombuffer(x, "<i4") for x in worker.encode(run)]
-                lists.append(_lists(rows))
-                data.append(_decoded(worker, rows))
-            kinds = (pa.list_(pa.int32()), pa.binary())
-            yield pa.StructArray.from_arrays([_joined(p, k) for p, k in zip((lists, data), kinds, strict=True)], ["ids", "bytes"])
-            del lists, data
-        release()
+    def both(texts: pa.Array) -> list[pa.Array]:
+        rows = _encoded(path, pattern, texts)
+        return [_lists(rows), _decoded(codec(path, pattern), rows)]
 
-    both_of = unused(df, "_both")
-    done = df.withColumn(both_of, both(F.col(text).cast("string")))
-    return done.withColumns({ids: F.col(both_of)["ids"], out: F.col(both_of)["bytes"]}).drop(both_of)
+    return _add(df, F.col(text).cast("string"), {ids: pa.list_(pa.int32()), out: pa.binary()}, both)

@@ -43,9 +43,9 @@ def release() -> None:
         trim(0)
 
 
-def slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in slices of about ``size`` bytes of text, its second column; one text is never cut."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+def slices(batch: pa.RecordBatch, size: int, text: int = 1) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of about ``size`` bytes in column number ``text``; one text is never cut."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     start = 0
     while start < len(batch):
         before = int(ends[start - 1]) if start else 0

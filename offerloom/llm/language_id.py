@@ -37,7 +37,7 @@ SHARE = 0.2
 SLOTS = 1 << 18
 HASHES = 3
 UNKNOWN = "und"
-_RUN = 1_000_000
+_RUN = 500_000
 _LETTERS: list[np.ndarray] = []
 
 

@@ -39,8 +39,8 @@ SMALL_TILE = 64
 # Shingles known as common: how many, in how many documents of a run one must stand to be counted, and shingles in such a run.
 COMMON = 1 << 16
 COMMON_IN_RUN = 3
-COMMON_RUN = 1 << 22
-RUN_CHARS = 4_000_000
+COMMON_RUN = 1 << 21
+RUN_CHARS = 1_000_000
 # Ids that may be broadcast to pick texts; beyond it texts and ids are shuffled.
 BROADCAST_IDS = 1_000_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C17)
