@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from offerloom.session import cut_lineage, shuffle_width
 
 STEP_BLOCK = 1 << 20
+# Rows of one key and hour up to which the hour is one block; a fuller hour is cut further.
+HOT_ROWS = 1 << 20
+# Number of blocks that rows without a place in the order are dealt to.
+LOOSE_BLOCKS = 1 << 20
 
 
 def hour_block(c: Column | str) -> Column:
@@ -24,6 +28,94 @@ def hour_block(c: Column | str) -> Column:
     return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(3_600_000_000)).cast("bigint")
 
 
+def order_blocks(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str] = (), most: int = HOT_ROWS) -> DataFrame:
+    """Add ``_hour`` and ``_part``: blocks of rows of one key that follow each other in the order of time and ties.
+
+    A block is an hour of a key. Hours of more than ``most`` rows are found by a count that is combined before its shuffle; their rows, and
+    no others, are cut further by sorted range, so an entity with all its rows in one hour is spread over many tasks. Rows that are equal in
+    time and ties stay together. Rows with a null key or time have no place: their ``_hour`` is null, and they are dealt out by a hash.
+    """
+    keys, ties = list(keys), list(ties)
+    known = F.lit(True)
+    for c in (*keys, time):
+        known &= F.col(c).isNotNull()
+    rows = df.withColumn("_hour", F.when(known, hour_block(time)))
+    hashed = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    loose = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(LOOSE_BLOCKS)).cast("int")
+    alone = F.when(F.col("_hour").isNull(), loose).otherwise(F.lit(0))
+    full = (
+        rows.filter("_hour IS NOT NULL").groupBy(*keys, "_hour").agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > most)
+    )
+    if not full.limit(1).count():
+        return rows.withColumn("_part", alone)
+    full = cut_lineage(full)
+    hours, total = full.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    full = full.select(*keys, "_hour", F.lit(True).alias("_full"))
+    # At most one row per ``most`` rows of input; beyond what is safe to send, Spark chooses the join.
+    marked = rows.join(F.broadcast(full) if hours <= 10_000 else full, [*keys, "_hour"], "left")
+    cols = [*df.columns, "_hour"]
+    parts = max(shuffle_width(df.sparkSession), -(-total // most))
+    cut = (
+        marked.filter("_full").select(*cols).repartitionByRange(parts, *keys, time, *ties)
+        .withColumn("_part", F.spark_partition_id())
+    )
+    return marked.filter("_full IS NULL").select(*cols).withColumn("_part", alone).unionByName(cut_lineage(cut))
+
+
+def segmented_scan(
+    df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str] = (), sums: Mapping[str, Column] | None = None,
+    lasts: Mapping[str, str] | None = None, nexts: Mapping[str, str] | None = None, end: str | None = None, most: int = HOT_ROWS,
+) -> DataFrame:
+    """What a window over each key in the order of time and ties would give, worked out per block of :func:`order_blocks`.
+
+    * ``sums``: inclusive running sums, which serve counts, sums of logs and numbers of zeros alike;
+    * ``lasts``: the last known value of a column up to the row;
+    * ``nexts``: the value of a column in the next row;
+    * ``end``: 1 in the last row of the key, else 0.
+
+    Rows are shuffled once, by key and block. A block's summary (totals, last known values, first row) is one row, combined before
+    its shuffle; summaries are combined along the blocks of a key and joined back. Rows with a null key or time are set aside: they stay, with
+    null in all added columns, and count for no other row.
+    """
+    keys, ties = list(keys), list(ties)
+    sums, lasts, nexts = dict(sums or {}), dict(lasts or {}), dict(nexts or {})
+    block = [*keys, "_hour", "_part"]
+    rows = order_blocks(df, keys, time, ties, most)
+    order = [F.col(c) for c in (time, *ties)]
+    within = Window.partitionBy(*block).orderBy(*order)
+    so_far = within.rowsBetween(Window.unboundedPreceding, 0)
+    ahead = bool(nexts or end)
+    local = rows.withColumns({
+        **{f"_sum_{o}": F.sum(w).over(so_far) for o, w in sums.items()},
+        **{f"_last_{o}": F.last(c, ignorenulls=True).over(so_far) for o, c in lasts.items()},
+        **{f"_next_{o}": F.lead(c).over(within) for o, c in nexts.items()},
+        **({"_more": F.lead(F.lit(1)).over(within)} if ahead else {}),
+    })
+    place = F.struct(*order)
+    first = F.min_by(F.struct(F.lit(1).alias("_there"), *[F.col(c).alias(o) for o, c in nexts.items()]), place).alias("_first")
+    summary = rows.filter("_hour IS NOT NULL").groupBy(*block).agg(
+        *[F.sum(w).alias(f"_total_{o}") for o, w in sums.items()],
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_known_{o}") for o, c in lasts.items()],
+        *([first] if ahead else []),
+    )
+    along = Window.partitionBy(*keys).orderBy("_hour", "_part")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(
+        *block, *[F.sum(f"_total_{o}").over(before).alias(f"_before_{o}") for o in sums],
+        *[F.last(f"_known_{o}", ignorenulls=True).over(before).alias(f"_carry_{o}") for o in lasts],
+        *([F.lead("_first").over(along).alias("_first")] if ahead else []),
+    )
+    joined = local.join(carry, block, "left")
+    placed = lambda value: F.when(F.col("_hour").isNotNull(), value)
+    added = {o: placed(F.col(f"_sum_{o}") + F.coalesce(F.col(f"_before_{o}"), F.lit(0))) for o in sums}
+    added |= {o: placed(F.coalesce(f"_last_{o}", f"_carry_{o}")) for o in lasts}
+    added |= {o: placed(F.when(F.col("_more") == 1, F.col(f"_next_{o}")).otherwise(F.col("_first")[o])) for o in nexts}
+    if end:
+        added[end] = placed(F.when(F.col("_more").isNull() & F.col("_first").isNull(), 1).otherwise(0))
+    return joined.select(*df.columns, *[value.alias(name) for name, value in added.items()])
+
+
 def running_sums(
     df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[Column], sums: Mapping[str, Column]
 ) -> DataFrame:

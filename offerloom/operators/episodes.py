@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from offerloom.functions import concat_obs, log_softmax, pick, softmax
 from offerloom.operators.blocks import (
-    STEP_BLOCK, dense_index, drop_step_blocks, hour_block, range_prefix, running_sums, with_step_blocks,
+    HOT_ROWS, STEP_BLOCK, dense_index, drop_step_blocks, range_prefix, segmented_scan, with_step_blocks,
 )
 
 TRAINING_COLUMNS = (
@@ -37,17 +37,17 @@ def steps_with_rewards(log: DataFrame, rewards: DataFrame) -> DataFrame:
     return steps.unionByName(totals).filter("enterprise_id is not null")
 
 
-def with_steps(df: DataFrame, key: str, time: str, *ties: str, by_range: bool = False) -> DataFrame:
-    """Step number ``t`` = 0, 1, ... by time, then the tie columns.
+def with_steps(df: DataFrame, key: str, time: str, *ties: str, by_range: bool = False, most: int = HOT_ROWS) -> DataFrame:
+    """Step number ``t`` = 0, 1, ... by time, then the tie columns; null for rows without key or time.
 
-    Entities are cut by the hour. With ``by_range`` they are cut by sorted range instead, for tables where
-    even one hour of one entity is too much for a task (bulk loads with equal times).
+    Entities are cut by the hour, and hours of more than ``most`` rows further. With ``by_range`` all rows are cut by sorted range instead.
     """
     if by_range:
-        counted = range_prefix(df, [key], [time, *ties], F.lit(1), "_n")
-    else:
-        order = [F.col(c) for c in (time, *ties)]
-        counted = running_sums(df, [key], hour_block(time), order, {"_n": F.lit(1)})
+        # Rows without key or time count for none.
+        known = F.col(key).isNotNull() & F.col(time).isNotNull()
+        counted = range_prefix(df, [key], [time, *ties], F.when(known, 1).otherwise(0), "_n")
+        return counted.withColumn("t", F.when(known, F.col("_n") - 1).cast("bigint")).drop("_n")
+    counted = segmented_scan(df, [key], time, ties, sums={"_n": F.lit(1)}, most=most)
     return counted.withColumn("t", (F.col("_n") - 1).cast("bigint")).drop("_n")
 
 
@@ -75,45 +75,18 @@ def with_next(df: DataFrame, key: str, cols: Sequence[str], size: int = STEP_BLO
     )
 
 
-def with_transitions(df: DataFrame, key: str, time: str, ties: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def with_transitions(df: DataFrame, key: str, time: str, ties: Sequence[str], cols: Sequence[str], most: int = HOT_ROWS) -> DataFrame:
     """``t``, ``new_<col>`` and ``dones`` in one go, as :func:`with_steps` and :func:`with_next` give them.
 
-    Rows are shuffled once, by entity and hour. One summary row per entity and hour (row count, first values,
-    last known values) carries what crosses the border of an hour.
+    Rows without key or time are set aside: they stay, with null in these columns.
     """
-    rows = df.withColumn("_hour", hour_block(time))
-    order = [F.col(c) for c in (time, *ties)]
-    within = Window.partitionBy(key, "_hour").orderBy(*order)
-    so_far = within.rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.withColumns({
-        "_n": F.row_number().over(within),
-        "_more": F.lead(F.lit(1)).over(within),
-        **{f"_next_{c}": F.lead(c).over(within) for c in cols},
-        **{f"_last_{c}": F.last(c, ignorenulls=True).over(so_far) for c in cols},
-    })
-    place = F.struct(*order)
-    hours = rows.groupBy(key, "_hour").agg(
-        F.count(F.lit(1)).alias("_count"),
-        F.min_by(F.struct(*cols), place).alias("_first"),
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in cols],
+    scanned = segmented_scan(
+        df, [key], time, ties, sums={"_n": F.lit(1)}, lasts={f"_known_{c}": c for c in cols}, nexts={f"_ahead_{c}": c for c in cols},
+        end="dones", most=most,
     )
-    by_hour = Window.partitionBy(key).orderBy("_hour")
-    before = by_hour.rowsBetween(Window.unboundedPreceding, -1)
-    carry = hours.select(
-        key, "_hour", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_offset"),
-        F.lead("_first").over(by_hour).alias("_first"),
-        *[F.last(c, ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols],
-    )
-    joined = local.join(carry, [key, "_hour"])
-
-    def following(c: str) -> Column:
-        ahead = F.when(F.col("_more") == 1, F.col(f"_next_{c}")).otherwise(F.col("_first")[c])
-        return F.coalesce(ahead, f"_last_{c}", f"_carry_{c}").alias(f"new_{c}")
-
-    last = F.col("_more").isNull() & F.col("_first").isNull()
-    return joined.select(
-        *df.columns, (F.col("_offset") + F.col("_n") - 1).alias("t"), *[following(c) for c in cols],
-        F.when(last, 1).otherwise(0).alias("dones"),
+    return scanned.select(
+        *df.columns, (F.col("_n") - 1).cast("bigint").alias("t"),
+        *[F.coalesce(f"_ahead_{c}", f"_known_{c}").alias(f"new_{c}") for c in cols], "dones",
     )
 
 

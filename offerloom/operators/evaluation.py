@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from offerloom.fixed_values import GAMMA
 from offerloom.functions import dot, number_matrix, ratio, with_value
-from offerloom.operators.blocks import STEP_BLOCK, hour_block, running_sums
+from offerloom.operators.blocks import HOT_ROWS, STEP_BLOCK, running_sums, segmented_scan
 from offerloom.session import cut_lineage
 
 
@@ -42,27 +42,20 @@ def importance_weights(df: DataFrame, size: int = STEP_BLOCK) -> DataFrame:
     }).drop("_ln", "_zero", "_log", "_zeros")
 
 
-def weighted_steps(df: DataFrame, key: str, time: str, *ties: str) -> DataFrame:
+def weighted_steps(df: DataFrame, key: str, time: str, *ties: str, most: int = HOT_ROWS) -> DataFrame:
     """``t``, ``w`` and ``w_prev`` of raw log rows in one go, as ``with_steps`` and :func:`importance_weights` give them.
 
-    Rows are shuffled once, by entity and hour. One summary row per entity and hour (row count, sum of logs, number of zeros)
-    carries what crosses the border of an hour.
+    One scan carries the number of rows, the sum of logs and the number of zeros. Rows without key or time are set aside: they stay, with
+    null in these columns, and :func:`ope_all` leaves them out.
     """
     rho = F.col("p_t") / F.col("p_b")
-    rows = df.withColumns({
-        "_hour": hour_block(time), "_ln": F.when(rho > 0, F.ln(rho)).otherwise(0.0), "_zero": F.when(rho > 0, 0).otherwise(1),
-    })
-    within = Window.partitionBy(key, "_hour").orderBy(time, *ties).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(key).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    sums = {"_n": F.lit(1), "_log": F.col("_ln"), "_zeros": F.col("_zero")}
-    local = rows.withColumns({name: F.sum(x).over(within) for name, x in sums.items()})
-    hours = rows.groupBy(key, "_hour").agg(*[F.sum(x).alias(name) for name, x in sums.items()])
-    carry = hours.select(key, "_hour", *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"_before{name}") for name in sums])
-    joined = local.join(carry, [key, "_hour"]).withColumns({name: F.col(name) + F.col(f"_before{name}") for name in sums})
-    return joined.select(
+    rows = df.withColumns({"_ln": F.when(rho > 0, F.ln(rho)).otherwise(0.0), "_zero": F.when(rho > 0, 0).otherwise(1)})
+    scanned = segmented_scan(rows, [key], time, ties, sums={"_n": F.lit(1), "_log": F.col("_ln"), "_zeros": F.col("_zero")}, most=most)
+    known = lambda value: F.when(F.col("_n").isNotNull(), value)
+    return scanned.select(
         *df.columns, (F.col("_n") - 1).cast("bigint").alias("t"),
-        F.when(F.col("_zeros") > 0, 0.0).otherwise(F.exp("_log")).alias("w"),
-        F.when(F.col("_zeros") - F.col("_zero") > 0, 0.0).otherwise(F.exp(F.col("_log") - F.col("_ln"))).alias("w_prev"),
+        known(F.when(F.col("_zeros") > 0, 0.0).otherwise(F.exp("_log"))).alias("w"),
+        known(F.when(F.col("_zeros") - F.col("_zero") > 0, 0.0).otherwise(F.exp(F.col("_log") - F.col("_ln")))).alias("w_prev"),
     )
 
 
@@ -76,6 +69,7 @@ def ope_all(df: DataFrame, gamma: float = GAMMA) -> DataFrame:
     Rows that carry ``w`` and ``w_prev`` already are read once: all sums are made by step number in one grouping.
     """
     rows = df if {"w", "w_prev"} <= set(df.columns) else importance_weights(df)
+    rows = rows.filter("t IS NOT NULL")
     g = F.pow(F.lit(gamma), F.col("t"))
     value = F.col("w_prev") * F.col("v_hat") + F.col("w") * (F.col("reward") - F.col("q_hat")) if "q_hat" in df.columns else F.lit(0.0)
     steps = rows.groupBy("t").agg(

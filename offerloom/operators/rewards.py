@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerloom.fixed_values import REPEAT_CALL_DAYS, REPEAT_CALL_PENALTY, SENTINEL_MEMBER
-from offerloom.operators.blocks import hour_block, running_sums
+from offerloom.operators.blocks import HOT_ROWS, segmented_scan
 
 
 def select_calls(df: DataFrame, app: str, caller: str, start: str) -> DataFrame:
@@ -58,12 +58,14 @@ def repeat_penalty(
     )
 
 
-def future_events(df: DataFrame, future: DataFrame, key: str, guid: str, time: str, days: int = 7) -> DataFrame:
+def future_events(
+    df: DataFrame, future: DataFrame, key: str, guid: str, time: str, days: int = 7, most: int = HOT_ROWS
+) -> DataFrame:
     """How many ``future`` rows of the same key lie in ``(t, t + days]``, for each row of ``df``.
 
     With F(x) the number of rows up to x the answer is F(t + days) - F(t). Both points of each row
     are put in the time order of the key, and one running count serves them all, so the work is linear and
-    no pair of rows is ever formed.
+    no pair of rows is ever formed. A row without key or time has a null count; one in ``future`` counts for none.
     """
     none = F.lit(None)
     arrivals = future.select(
@@ -77,9 +79,8 @@ def future_events(df: DataFrame, future: DataFrame, key: str, guid: str, time: s
     points = df.withColumn("_p", F.explode(ends)).select(
         key, "_p._x", F.lit(1).alias("_kind"), F.lit(0).alias("_n"), "_p._end", guid, time
     )
-    counted = running_sums(
-        arrivals.unionByName(points), [key], hour_block("_x"), [F.col("_x"), F.col("_kind")], {"_upto": F.col("_n")}
-    )
+    # The id is the last tie, so that many rows of one time can be spread.
+    counted = segmented_scan(arrivals.unionByName(points), [key], "_x", ["_kind", guid], sums={"_upto": F.col("_n")}, most=most)
 
     def upto(end: int):
         return F.max(F.when(F.col("_end") == end, F.col("_upto")))

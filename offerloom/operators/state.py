@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from offerloom.fixed_values import FEATURE_DAYS, SESSION_DAYS, STATE_MAX_LEN
 from offerloom.functions import tail
-from offerloom.operators.blocks import hour_block, running_sums
+from offerloom.operators.blocks import HOT_ROWS, segmented_scan
 
 
 def select_features(df: DataFrame, as_of: str, days: int = FEATURE_DAYS) -> DataFrame:
@@ -25,17 +25,16 @@ def select_sessions(df: DataFrame, as_of: str, days: int = SESSION_DAYS) -> Data
     return df.filter((F.col("event_type") != "text") & recent)
 
 
-def daily_state(tokens: DataFrame, part_len: int = 10_000) -> DataFrame:
+def daily_state(tokens: DataFrame, part_len: int = 10_000, most: int = HOT_ROWS) -> DataFrame:
     """Ordered token names and ids, one row per entity, day and part: that is the key of the table.
 
     A part holds up to ``part_len`` tokens, so no group grows without bound; an ordinary day is part 0 alone. ``size`` counts the
-    tokens of the row.
+    tokens of the row. Tokens without entity, day or time have no place and are left out.
     """
-    order = [F.col("date_time"), F.col("token_name"), F.col("token")]
-    ranked = running_sums(
-        tokens.select("enterprise_id", "date", "date_time", "token_name", "token"),
-        ["enterprise_id", "date"], hour_block("date_time"), order, {"_pos": F.lit(1)},
-    )
+    ranked = segmented_scan(
+        tokens.select("enterprise_id", "date", "date_time", "token_name", "token"), ["enterprise_id", "date"], "date_time",
+        ["token_name", "token"], sums={"_pos": F.lit(1)}, most=most,
+    ).filter("_pos IS NOT NULL")
     grouped = (
         ranked.withColumn("part", F.floor((F.col("_pos") - 1) / part_len).cast("int"))
         .groupBy("enterprise_id", "date", "part")
@@ -48,33 +47,20 @@ def daily_state(tokens: DataFrame, part_len: int = 10_000) -> DataFrame:
     )
 
 
-def _bounded_days(tokens: DataFrame, max_len: int, newest: bool) -> DataFrame:
-    """Per entity and day: token count, and at most ``max_len`` tokens from the wanted end.
+def bounded_days(tokens: DataFrame, max_len: int, newest: bool = True) -> DataFrame:
+    """Per entity and day: token count ``size``, and in ``_day`` at most ``max_len`` tokens from the wanted end, in order.
 
-    Tokens are ranked and counted per hour, so a hot entity or day is worked on by many tasks and
-    only bounded arrays leave them. The second shuffle is by entity, which the day grouping and the windows
-    over days share.
+    The rank is alone in its window and filtered at once, so Spark keeps ``max_len`` tokens of a day in each task before the
+    shuffle, and the count is combined before its own: no entity, day or hour makes a task large.
     """
     cols = ["date_time", "token_name", "token"]
+    day = ["enterprise_id", "date"]
     order = [F.col(c).desc() if newest else F.col(c).asc() for c in cols]
-    hour = ["enterprise_id", "date", "_hour"]
-    hours = Window.partitionBy(*hour)
-    kept = (
-        tokens.select("enterprise_id", "date", *cols)
-        .withColumn("_hour", hour_block("date_time"))
-        .withColumn("_rank", F.row_number().over(hours.orderBy(*order)))
-        .withColumn("_n", F.count(F.lit(1)).over(hours))
-        .filter(F.col("_rank") <= max_len)
-        .groupBy(*hour)
-        .agg(F.collect_list(F.struct(*cols)).alias("_tokens"), F.max("_n").alias("_n"))
-    )
-    days = (
-        kept.repartition("enterprise_id")
-        .groupBy("enterprise_id", "date")
-        .agg(F.sort_array(F.flatten(F.collect_list("_tokens"))).alias("_day"), F.sum("_n").alias("size"))
-    )
-    bounded = tail("_day", max_len) if newest else F.slice("_day", 1, max_len)
-    return days.withColumn("_day", bounded)
+    rows = tokens.select(*day, *cols)
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*day).orderBy(*order))).filter(F.col("_rank") <= max_len)
+    kept = ranked.groupBy(*day).agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("_day"))
+    sizes = rows.groupBy(*day).agg(F.count(F.lit(1)).alias("size"))
+    return kept.join(sizes, day)
 
 
 def state_history(tokens: DataFrame, max_len: int = STATE_MAX_LEN, keep: str = "last") -> DataFrame:
@@ -86,7 +72,11 @@ def state_history(tokens: DataFrame, max_len: int = STATE_MAX_LEN, keep: str = "
     """
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
-    days = _bounded_days(tokens, max_len, newest=keep == "last")
+    return history_of_days(bounded_days(tokens, max_len, newest=keep == "last"), max_len, keep)
+
+
+def history_of_days(days: DataFrame, max_len: int, keep: str = "last") -> DataFrame:
+    """:func:`state_history` from what :func:`bounded_days` gives."""
     by_day = Window.partitionBy("enterprise_id").orderBy("date")
     cum = F.sum("size").over(by_day.rowsBetween(Window.unboundedPreceding, 0))
     days = days.withColumn("cum_size", cum)
@@ -119,41 +109,23 @@ def flag_current(state: DataFrame) -> DataFrame:
 def session_state(sessions: DataFrame, max_len: int = STATE_MAX_LEN) -> DataFrame:
     """All sessions of an entity in one sequence: its newest ``max_len`` tokens and the original length.
 
-    Sessions are ranked and counted per hour, which bounds what one task sorts, and only those that still fit
-    in the state are collected; then the newest hours are joined in the same way.
+    A session has a token at least, so the newest ``max_len`` sessions fill the state; Spark keeps no more of an entity in each task before
+    the shuffle. The original length is a sum of its own, combined before its shuffle.
     """
     cols = ["date", "date_time", "_events", "_tokens"]
     filled = sessions.filter(F.size("events") > 0).select(
         "enterprise_id", "date", "date_time",
         tail("events", max_len).alias("_events"), tail("event_tokens", max_len).alias("_tokens"),
-        F.size("events").cast("bigint").alias("_n"), hour_block("date_time").alias("_hour"),
-    )
-    in_hour = Window.partitionBy("enterprise_id", "_hour")
-    newest = in_hour.orderBy(*[F.col(c).desc() for c in cols]).rowsBetween(Window.unboundedPreceding, -1)
-    hourly = (
-        filled.withColumn("_newer", F.coalesce(F.sum("_n").over(newest), F.lit(0)))
-        .withColumn("_hour_n", F.sum("_n").over(in_hour))
-        .filter(F.col("_newer") < max_len)
-        .groupBy("enterprise_id", "_hour")
-        .agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("_list"), F.max("_hour_n").alias("_n"))
-        .select(
-            "enterprise_id", "_hour", "_n",
-            tail(F.flatten("_list._events"), max_len).alias("_events"),
-            tail(F.flatten("_list._tokens"), max_len).alias("_tokens"),
-        )
+        F.size("events").cast("bigint").alias("_n"),
     )
-    # Hours of an entity are bounded by the calendar; the newest ones that fill the state are kept.
-    newer = Window.partitionBy("enterprise_id").orderBy(F.col("_hour").desc())
-    seen = F.sum("_n").over(newer.rowsBetween(Window.unboundedPreceding, -1))
+    newest = Window.partitionBy("enterprise_id").orderBy(*[F.col(c).desc() for c in cols])
+    ranked = filled.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= max_len)
+    newer = Window.partitionBy("enterprise_id").orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
     joined = (
-        hourly.withColumn("_seen", F.coalesce(seen, F.lit(0)))
-        .groupBy("enterprise_id")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.when(F.col("_seen") < max_len, F.struct("_hour", "_events", "_tokens")))
-            ).alias("_list"),
-            F.sum("_n").alias("orig_size"),
-        )
+        ranked.withColumn("_seen", F.coalesce(F.sum("_n").over(newer), F.lit(0)))
+        .filter(F.col("_seen") < max_len)
+        .groupBy("enterprise_id").agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("_list"))
+        .join(filled.groupBy("enterprise_id").agg(F.sum("_n").alias("orig_size")), "enterprise_id")
     )
     return joined.select(
         "enterprise_id",
@@ -226,7 +198,7 @@ def attach_next_state(rows: DataFrame, state: DataFrame, key: str = "enterprise_
 
 
 __all__ = [
-    "attach_current_state", "attach_next_state", "attach_state", "attach_state_asof", "daily_state",
+    "bounded_days", "history_of_days", "attach_current_state", "attach_next_state", "attach_state", "attach_state_asof", "daily_state",
     "flag_current", "population_state", "restrict_to", "select_features", "select_sessions", "session_state",
     "state_history", "state_lookup",
 ]

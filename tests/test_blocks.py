@@ -113,3 +113,76 @@ def test_exact_median(skewed):
     got = {r["k"]: r["m"] for r in B.exact_median(df, "k", "x", "m").collect()}
     assert got == {k: v for k, v in want.items()}
     assert np.isfinite(list(got.values())).all()
+
+
+@pytest.fixture(scope="module")
+def one_hour(spark):
+    """Key 0 has 2,000 rows in one hour; some rows have no key or no time."""
+    key = F.when(F.col("id") % 50 == 7, None).when(F.col("id") < 2000, 0).otherwise(F.col("id") % 5)
+    time = F.when(F.col("id") % 50 == 9, None).when(F.col("id") < 2000, F.timestamp_seconds(1_700_000_000 + F.col("id") % 60)).otherwise(
+        F.timestamp_seconds(1_700_000_000 + F.col("id") * 400)
+    )
+    df = spark.range(2600).select("id", key.alias("k"), time.alias("time"), ((F.col("id") * 31) % 11).alias("v"))
+    return df.withColumn("maybe", F.when(F.col("v") < 3, F.col("v"))).repartition(5).cache()
+
+
+@pytest.mark.parametrize("most", [100, 1 << 20])
+def test_scan_equals_window_and_sets_rows_aside(one_hour, most):
+    got = B.segmented_scan(
+        one_hour, ["k"], "time", ["id"], sums={"s": F.col("v"), "n": F.lit(1)}, lasts={"known": "maybe"}, nexts={"ahead": "maybe"}, end="last", most=most
+    )
+    w = Window.partitionBy("k").orderBy("time", "id")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    good = one_hour.filter("k IS NOT NULL AND time IS NOT NULL")
+    want = good.withColumns({
+        "s": F.sum("v").over(so_far), "n": F.count(F.lit(1)).over(so_far), "known": F.last("maybe", ignorenulls=True).over(so_far),
+        "ahead": F.lead("maybe").over(w), "last": F.when(F.lead("id").over(w).isNull(), 1).otherwise(0),
+    })
+    cols = ["id", "s", "n", "known", "ahead", "last"]
+    aside = got.filter("k IS NULL OR time IS NULL")
+    assert rows(got.filter("k IS NOT NULL AND time IS NOT NULL").select(*cols)) == rows(want.select(*cols))
+    assert aside.count() == one_hour.count() - good.count() > 0
+    assert aside.filter("s IS NOT NULL OR n IS NOT NULL OR known IS NOT NULL OR ahead IS NOT NULL OR last IS NOT NULL").count() == 0
+
+
+def test_one_hour_is_spread_over_all_tasks(one_hour):
+    cut = B.order_blocks(one_hour, ["k"], "time", ["id"], most=100)
+    sizes = [r["count"] for r in cut.filter("k = 0 AND _hour IS NOT NULL").groupBy("_hour", "_part").count().collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 400 and sum(sizes) == cut.filter("k = 0 AND time IS NOT NULL").count()
+    loose = cut.filter("_hour IS NULL").select("_part").distinct().count()
+    assert loose > 50  # rows without a place are not one block
+
+
+def test_operators_on_one_hour_equal_their_plain_form(one_hour):
+    """Every operator that is cut by hours, with hours cut further and without."""
+    from offerloom.operators import evaluation as V
+    from offerloom.operators import rewards as W
+    from offerloom.operators import state as S
+
+    for by in (
+        lambda most: E.with_steps(one_hour, "k", "time", "id", most=most),
+        lambda most: E.with_transitions(one_hour, "k", "time", ["id"], ["maybe", "v"], most=most),
+        lambda most: V.weighted_steps(one_hour.withColumns({"p_t": F.col("v") / 11, "p_b": F.lit(0.5)}), "k", "time", "id", most=most).selectExpr("id", "t", "round(ln(w), 6)", "round(ln(w_prev), 6)"),
+        lambda most: W.future_events(one_hour, one_hour.filter("v < 5"), "k", "id", "time", 1, most=most),
+        lambda most: S.daily_state(
+            one_hour.selectExpr("k AS enterprise_id", "to_date(time) AS date", "time AS date_time", "cast(v AS string) AS token_name", "id AS token"), 300, most=most
+        ),
+    ):
+        small, large = by(100), by(1 << 20)
+        assert rows(small) == rows(large) and small.columns == large.columns
+    kept = E.with_transitions(one_hour, "k", "time", ["id"], ["v"])
+    assert kept.count() == one_hour.count() and kept.filter("t IS NULL").count() == one_hour.filter("k IS NULL OR time IS NULL").count()
+    assert rows(E.with_steps(one_hour, "k", "time", "id", by_range=True).select("id", "t")) == rows(E.with_steps(one_hour, "k", "time", "id").select("id", "t"))
+
+
+def test_state_is_limited_before_the_shuffle(one_hour):
+    """A day and all sessions of an entity: the plan keeps what a state can hold in each task, below the exchange."""
+    from offerloom.operators import state as S
+
+    tokens = one_hour.selectExpr("k AS enterprise_id", "to_date(time) AS date", "time AS date_time", "cast(v AS string) AS token_name", "id AS token")
+    sessions = one_hour.selectExpr("k AS enterprise_id", "to_date(time) AS date", "time AS date_time", "array(cast(v AS string)) AS events", "array(id) AS event_tokens")
+    for df in (S.bounded_days(tokens, 100), S.session_state(sessions, 100)):
+        df.collect()
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        physical = df._jdf.queryExecution().sparkPlan().toString()
+        assert "WindowGroupLimit" in plan and physical.count("WindowGroupLimit") >= 2 and "Partial" in physical
