@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from offerloom.fixed_values import REPROCESS_DAYS
 from offerloom.schemas import DECISION_LOG
-from offerloom.sources.tables import append_partitioned, partition_days, replace_days
+from offerloom.sources.publish import Publication, recover
+from offerloom.sources.tables import partition_days
 
 CORRUPT = "_corrupt_record"
 LOG_WITH_ERRORS = f"{DECISION_LOG}, {CORRUPT} string"
@@ -55,41 +56,41 @@ def _read_days(spark: SparkSession, src: str, days: list[date]) -> tuple[DataFra
     return split_valid(read_decisions(spark, *_day_globs(src, days)))
 
 
+def publish_days(spark: SparkSession, src: str, dst: str, days: list[date], errors: str | None = None) -> None:
+    """Read the log files of whole days and replace these days: good records in the target, the others in the error table, in one step.
+
+    Records of another day than their file go to the error table, so no other day is touched; a day that has no records left is
+    cleared. A repeated run leaves one copy.
+    """
+    good, bad = _read_days(spark, src, days)
+    publication = Publication(spark, dst)
+    publication.stage(good.withColumn("partition_field", F.to_date("time")), dst, "partition_field", days)
+    if errors:
+        publication.stage(bad.withColumn("partition_field", F.col("file_date")), errors, "partition_field", days)
+    publication.publish()
+
+
 def ingest_new_dates(spark: SparkSession, src: str, dst: str, errors: str | None = None) -> list[date]:
-    """Append the dates of the source that the target does not have. Returns them.
+    """Take in the dates of the source that the target does not have. Returns them.
 
     Only days come to the driver, and only files of new days are opened. A day counts as loaded if the target or the error table
-    has it, so a day of nothing but bad records is read once.
+    has it, so a day of nothing but bad records is read once; both appear together, or neither does.
     """
+    recover(spark, dst)
     found = {r["partition_field"] for r in source_dates(spark, src).collect()}
     days = sorted(found - loaded_dates(spark, dst, errors))
     if days:
-        good, bad = _read_days(spark, src, days)
-        append_partitioned(good, dst)
-        if errors:
-            _write_errors(bad, errors, days)
+        publish_days(spark, src, dst, days, errors)
     return days
 
 
-def _write_errors(bad: DataFrame, errors: str, days: list[date]) -> None:
-    """Bad records by the day of their file, each day whole: a repeated run leaves one copy."""
-    replace_days(bad.withColumn("partition_field", F.col("file_date")), errors, "partition_field", days)
-
-
 def reingest_recent(
     spark: SparkSession, src: str, dst: str, as_of: date, days: int = REPROCESS_DAYS, errors: str | None = None
 ) -> list[date]:
-    """Replace whole days from ``as_of - days`` on, to catch records that came late.
-
-    Records of another day than their file go to the error table, so no other day is overwritten.
-    """
+    """Replace whole days from ``as_of - days`` on, to catch records that came late."""
     start = as_of - timedelta(days=days)
     recent = source_dates(spark, src).filter(F.col("partition_field") >= F.lit(start))
     found = sorted(r["partition_field"] for r in recent.collect())
     if found:
-        good, bad = _read_days(spark, src, found)
-        # A day that has no good records left is cleared.
-        replace_days(good.withColumn("partition_field", F.to_date("time")), dst, "partition_field", found)
-        if errors:
-            _write_errors(bad, errors, found)
+        publish_days(spark, src, dst, found, errors)
     return found

@@ -31,21 +31,16 @@ def partition_days(spark: SparkSession, path: str, col: str) -> set[date]:
     return {date.fromisoformat(n[len(col) + 1:]) for n in names if re.fullmatch(rf"{col}=\d{{4}}-\d{{2}}-\d{{2}}", n)}
 
 
-def _drop_days(spark: SparkSession, path: str, col: str, days: Iterable[date]) -> None:
-    for day in days:
-        at, system = _file_system(spark, f"{path}/{col}={day}")
-        system.delete(at, True)
+def replace_days(df: DataFrame, path: str, col: str = "date", days: Iterable[date] | None = None, order: Sequence[str] = ()) -> None:
+    """Overwrite the days present in ``df``. With ``days`` these are replaced whole: days without rows any more are cleared.
 
+    The new days are staged and then put in place, so a failed write loses none, and the job runs once.
+    """
+    from offerloom.sources.publish import Publication
 
-def replace_days(df: DataFrame, path: str, col: str = "date", days: Iterable[date] | None = None, order: Sequence[str] = ()) -> None:
-    """Overwrite the days present in ``df``. With ``days`` these are replaced whole: days without rows any more are cleared."""
-    out = df.hint("rebalance", col)
-    out = out.sortWithinPartitions(col, *order) if order else out
-    if days is not None:
-        spark = df.sparkSession
-        present = {r[col] for r in df.select(col).distinct().collect()}
-        _drop_days(spark, path, col, sorted(set(days) - present))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path)
+    publication = Publication(df.sparkSession, path)
+    publication.stage(df, path, col, days or (), order)
+    publication.publish()
 
 
 def ensure_table(spark: SparkSession, path: str, schema: str, parts: Sequence[str] = ()) -> None:

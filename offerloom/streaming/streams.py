@@ -11,8 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from offerloom.operators.policy import decide, decision_record, write_decisions
-from offerloom.sources.decision_log import CORRUPT, LOG_WITH_ERRORS, file_date, split_valid
-from offerloom.sources.tables import replace_days
+from offerloom.sources.decision_log import CORRUPT, LOG_WITH_ERRORS, file_date, publish_days
 
 
 def event_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options) -> DataFrame:
@@ -146,7 +145,11 @@ def decide_stream(
 
 
 def ingest_stream(spark: SparkSession, src: str, dst: str, errors: str, checkpoint: str) -> StreamingQuery:
-    """Incremental log ingest: new files only; days of a batch are appended, bad records set aside."""
+    """Incremental log ingest into the table that the nightly jobs keep: days of new files are read whole and published in one step.
+
+    A late file replaces its day, with all files that the source has of it, and a repeated batch replaces itself. Records of files
+    without a date go to a folder of their batch beside the error table.
+    """
     raw = (
         spark.readStream.schema(LOG_WITH_ERRORS).option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", "true").json(src)
@@ -154,8 +157,11 @@ def ingest_stream(spark: SparkSession, src: str, dst: str, errors: str, checkpoi
     )
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_valid(batch)
-        replace_days(good.withColumn("partition_field", F.to_date("time")), f"{dst}/batch_id={batch_id}", "partition_field")
-        bad.write.mode("overwrite").parquet(f"{errors}/batch_id={batch_id}")
+        days = sorted((r["file_date"] for r in batch.select("file_date").distinct().collect()), key=str)
+        if None in days:
+            batch.filter("file_date IS NULL").write.mode("overwrite").parquet(f"{errors}_undated/batch_id={batch_id}")
+        dated = [d for d in days if d is not None]
+        if dated:
+            publish_days(batch.sparkSession, src, dst, dated, errors)
 
     return write_batches(raw, sink, checkpoint)
