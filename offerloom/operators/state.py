@@ -75,8 +75,8 @@ def state_history(tokens: DataFrame, max_len: int = STATE_MAX_LEN, keep: str = "
     return history_of_days(bounded_days(tokens, max_len, newest=keep == "last"), max_len, keep)
 
 
-def history_of_days(days: DataFrame, max_len: int, keep: str = "last") -> DataFrame:
-    """:func:`state_history` from what :func:`bounded_days` gives."""
+def history_of_days(days: DataFrame, max_len: int, keep: str = "last", tail_as: str | None = None) -> DataFrame:
+    """:func:`state_history` from what :func:`bounded_days` gives; with ``tail_as`` also the tokens with their times."""
     by_day = Window.partitionBy("enterprise_id").orderBy("date")
     cum = F.sum("size").over(by_day.rowsBetween(Window.unboundedPreceding, 0))
     days = days.withColumn("cum_size", cum)
@@ -97,6 +97,7 @@ def history_of_days(days: DataFrame, max_len: int, keep: str = "last") -> DataFr
         "enterprise_id", "date",
         F.col("_all.token_name").alias("state"), F.col("_all.token").alias("state_tokenized"),
         F.col("size").cast("int").alias("size"), F.col("cum_size").cast("bigint").alias("cum_size"),
+        *([F.col("_all").alias(tail_as)] if tail_as else []),
     )
 
 
