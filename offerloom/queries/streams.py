@@ -36,6 +36,13 @@ def drained(spark, name, df):
     return spark.read.parquet(f"{out}/data")
 
 
+def closed(spark, name, df, group, reach):
+    """Run a stream to its end with a marker behind its last row, and read its sink: all rows come from the stream."""
+    out = scratch_path(spark, name)
+    Z.run_and_close(df, group, f"{out}/data", f"{out}/checkpoint", f"{out}/markers", reach=reach)
+    return spark.read.parquet(f"{out}/data")
+
+
 @query("t1_event_stream", "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
 def t1(spark, base):
     rows = drained(spark, "t1", events(spark, base))
@@ -178,10 +185,7 @@ def t4(spark, base):
     SELECT user_id AS enterprise_id, CAST(epoch_us(lo) AS BIGINT) AS start_us, CAST(epoch_us(hi) AS BIGINT) AS end_us, events
     FROM a""")
 def t5(spark, base):
-    """Sessions still open at the end of the run are closed by a batch step."""
-    emitted = drained(spark, "t5", Z.sessionize_stream(decisions(events(spark, base)), "6 hours"))
-    whole = Z.sessionize_stream(decisions(A.load(spark, "events", base)), "6 hours")
-    rows = Z.with_open_rest(emitted, whole, "enterprise_id", "start")
+    rows = closed(spark, "t5", decisions(events(spark, base)), lambda df: Z.sessionize_stream(df, "6 hours", None), "6 hours")
     return rows.select(
         "enterprise_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "events"
     )
@@ -202,7 +206,4 @@ def t6(spark, base):
     WITH {DECISIONS}
     SELECT app, CAST(time::DATE AS VARCHAR) AS date, count(*) AS volume FROM decisions GROUP BY 1, 2""")
 def t7(spark, base):
-    """Days that the watermark has not passed at the end of the run are closed by a batch step."""
-    emitted = drained(spark, "t7", Z.volume_stream(decisions(events(spark, base))))
-    rows = Z.with_open_rest(emitted, Z.volume_stream(decisions(A.load(spark, "events", base))), "app", "date")
-    return rows.select("app", text("date"), "volume")
+    return closed(spark, "t7", decisions(events(spark, base)), lambda df: Z.volume_stream(df, None), "1 day").select("app", text("date"), "volume")

@@ -9,9 +9,11 @@ from offerloom.operators import report as R
 from offerloom.operators import rewards as W
 from offerloom.operators import runs as U
 from offerloom.operators import state as S
+from offerloom.plans import state_store as N
 from offerloom.queries.joins import tokens
 from offerloom.queries.registry import DECISIONS, FEATURES, K, REPORT, STEPS, VOCAB, joined, query, state_sql, text
 from offerloom.queries.sources import TRAINING, training_steps
+from offerloom.session import scratch_path
 from offerloom.sources import adapters as A
 
 STATE_COLUMNS = """enterprise_id, CAST(date AS VARCHAR) AS date, array_to_string(names, ',') AS state,
@@ -37,6 +39,17 @@ def e2(spark, base):
     return shown(S.state_history(tokens(spark, base), 40))
 
 
+@query("e2_state_by_nights", f"""
+    WITH {FEATURES}, {VOCAB}, {state_sql('last', 40)} SELECT {STATE_COLUMNS} FROM state""")
+def e2_nights(spark, base):
+    """The same states, kept up to date: days up to one, the days after it, then late tokens of all days."""
+    rows, root = tokens(spark, base), scratch_path(spark, "e2n")
+    late, early = F.pmod(F.xxhash64("token_name", "date_time"), F.lit(8)) == 0, F.dayofmonth("date") <= 15
+    for night in (rows.filter(~late & early), rows.filter(~late & ~early), rows.filter(late)):
+        N.add_tokens(spark, night, root, 40)
+    return shown(N.stored_history(spark, root))
+
+
 @query("e3_session_state", f"""
     WITH s AS (SELECT user_id AS enterprise_id, ts, event_type, 'k' || {K} AS kt, length(event_type) AS t1, {K} + 100 AS t2
                FROM events WHERE event_type <> 'error' AND ts::DATE >= DATE '2024-01-31' - 180),

@@ -38,36 +38,58 @@ def write_batches(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpo
     )
 
 
-def volume_stream(df: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Decisions per application and day; a day is final once the watermark has passed it."""
+def volume_stream(df: DataFrame, lateness: str | None = "1 hour") -> DataFrame:
+    """Decisions per application and day; a day is final once the watermark has passed it. Without ``lateness`` the rows have a watermark already."""
     return (
-        df.withWatermark("time", lateness)
+        (df.withWatermark("time", lateness) if lateness else df)
         .groupBy("app", F.window("time", "1 day"))
         .agg(F.count(F.lit(1)).alias("volume"))
         .select("app", F.col("window.start").cast("date").alias("date"), "volume")
     )
 
 
-def sessionize_stream(df: DataFrame, gap: str = "30 minutes", lateness: str = "1 hour") -> DataFrame:
-    """Sessions of an entity, cut where nothing happens for ``gap``."""
+def sessionize_stream(df: DataFrame, gap: str = "30 minutes", lateness: str | None = "1 hour") -> DataFrame:
+    """Sessions of an entity, cut where nothing happens for ``gap``. Without ``lateness`` the rows have a watermark already."""
     return (
-        df.withWatermark("time", lateness)
+        (df.withWatermark("time", lateness) if lateness else df)
         .groupBy("enterprise_id", F.session_window("time", gap))
         .agg(F.count(F.lit(1)).alias("events"))
         .select("enterprise_id", F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "events")
     )
 
 
-def with_open_rest(emitted: DataFrame, whole: DataFrame, *keys: str) -> DataFrame:
-    """What a finished run has emitted, and what was still open at its end.
+def run_and_close(
+    df: DataFrame, group: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, markers: str, time: str = "time",
+    lateness: str = "1 hour", reach: str = "1 day",
+) -> None:
+    """Run ``group`` over all of the stream ``df``, then close what is open at its end: the run emits every group itself.
 
-    A watermark never passes the last rows of a finite input, so their groups stay in the state. ``whole`` is the same grouping over the
-    kept input as a batch; its groups that were not emitted are added.
+    The stream is joined by a second one, the folder ``markers``. When the input has been read, a marker, a row with nothing but a time, is
+    put there, so far ahead that the watermark passes every group: its time is the watermark so far, plus twice the ``lateness`` of the
+    watermark, plus the ``reach`` of a group beyond its last row (the length of a window, or the gap of a session). Markers move the watermark and
+    are dropped behind it; ``group`` gets the other rows, with the watermark set. Input that comes to the same checkpoint afterwards with
+    earlier times is late, as it would be behind any later row.
     """
-    # Not an anti join: that would be pushed below the session window, whose groups differ from those of its rows.
-    known = emitted.select(*keys, F.lit(1).alias("_known"))
-    rest = whole.join(known, list(keys), "left").filter("_known is null")
-    return emitted.unionByName(rest.select(*emitted.columns))
+    spark = df.sparkSession
+    marked = df.withColumn("_marker", F.lit(False))
+    spark.createDataFrame([], marked.schema).write.mode("append").parquet(markers)
+
+    def run() -> StreamingQuery:
+        both = marked.unionByName(spark.readStream.schema(marked.schema).parquet(markers)).withWatermark(time, lateness)
+        # The condition names the time, so it is not pushed below the watermark.
+        real = both.filter(~F.col("_marker") | F.col(time).isNull()).drop("_marker")
+        return write_stream(group(real), path, checkpoint)
+
+    first = run()
+    first.awaitTermination()
+    reached = [pd.Timestamp(p["eventTime"]["watermark"]) for p in first.recentProgress if "watermark" in (p["eventTime"] or {})]
+    if not reached or max(reached).value <= 0:  # nothing has been read
+        return
+    ahead = 2 * pd.Timedelta(lateness) + pd.Timedelta(reach) + pd.Timedelta("1 second")
+    at = F.lit(str(max(reached).tz_convert("UTC").tz_localize(None) + ahead)).cast("timestamp")
+    row = [at.alias(f.name) if f.name == time else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+    spark.range(1).select(*row, F.lit(True).alias("_marker")).write.mode("append").parquet(markers)
+    run().awaitTermination()
 
 
 STEP_SCHEMA = "session string, t bigint, time timestamp, action int, reward double, prev_action int, prev_reward double, dones int"

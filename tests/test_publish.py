@@ -102,3 +102,28 @@ def test_stream_keeps_the_table_of_the_nightly_jobs(spark, log, tmp_path):
     assert spark.read.parquet(f"{bad}_undated").count() == 1
     assert L.ingest_new_dates(spark, str(src), dst, bad) == []
     assert L.reingest_recent(spark, str(src), dst, date(2024, 1, 2), errors=bad) and stored(spark, dst)[0][0] == ("2024-01-01", 7)
+
+
+def test_stream_closes_its_own_groups(spark, tmp_path):
+    """Two runs over one checkpoint: the first closes what it has seen, and an empty one emits nothing."""
+    rows = [("a", 1, "2024-01-01 10:00:00"), ("a", 2, "2024-01-01 23:00:00"), ("b", 1, "2024-01-02 10:10:00"), ("a", 1, "2024-01-02 10:20:00")]
+    schema = "app string, enterprise_id long, time timestamp"
+    src = str(tmp_path / "events")
+
+    def put(part):
+        spark.createDataFrame(part, "app string, enterprise_id long, time string").selectExpr("app", "enterprise_id", "cast(time AS timestamp) AS time").write.mode("append").parquet(src)
+
+    def run(name, group, reach):
+        out = str(tmp_path / name)
+        Z.run_and_close(spark.readStream.schema(schema).parquet(src), group, f"{out}/data", f"{out}/checkpoint", f"{out}/markers", reach=reach)
+        return sorted(map(tuple, spark.read.schema("app string, date date, volume long" if name == "volume" else "enterprise_id long, start timestamp, end timestamp, events long").parquet(f"{out}/data").collect()))
+
+    put([])
+    assert run("volume", lambda df: Z.volume_stream(df, None), "1 day") == []
+    put(rows)
+    day = lambda d: date(2024, 1, d)
+    assert run("volume", lambda df: Z.volume_stream(df, None), "1 day") == [("a", day(1), 2), ("a", day(2), 1), ("b", day(2), 1)]
+    got = run("sessions", lambda df: Z.sessionize_stream(df, "30 minutes", None), "30 minutes")
+    assert [(e, n) for e, _, _, n in got] == [(1, 1), (1, 2), (2, 1)]
+    put([("b", 3, "2024-01-09 00:00:00")])
+    assert run("volume", lambda df: Z.volume_stream(df, None), "1 day")[-1] == ("b", day(9), 1)
