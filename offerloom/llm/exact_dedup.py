@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import materialize, text_or_empty
+from offerloom.llm.common import materialize, sized, text_or_empty
 
 BLOCK = 1024
 HOT_SHARE = 1000
@@ -114,12 +114,12 @@ def duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", block: int
 def drop_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """The rows of ``df`` that stay, with all its columns. Dropped rows are found by id, text without blanks and length."""
     gone = duplicates(df, id, text, block).filter(~F.col("kept")).select(
-        F.col(id).alias("_gone"), F.col("text_sha256").alias("_sha"), F.col("n_points").alias("_n")
+        F.col(id).alias("_gone"), F.unhex("text_sha256").alias("_sha"), F.col("n_points").alias("_n")
     )
     gone = materialize(gone.distinct(), "exact-gone")
     own = text_or_empty(text)
-    same = F.col(id).eqNullSafe(F.col("_gone")) & (F.sha2(without_blanks(own), 256) == F.col("_sha")) & (F.length(own) == F.col("_n"))
-    return df.join(gone, same, "left_anti")
+    same = F.col(id).eqNullSafe(F.col("_gone")) & (F.unhex(F.sha2(without_blanks(own), 256)) == F.col("_sha")) & (F.length(own) == F.col("_n"))
+    return df.join(sized(gone), same, "left_anti")
 
 
 DEDUP_SQL = r"""

@@ -138,19 +138,26 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def fit(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", texts: int = TEXTS) -> Filters:
-    """Learn from the rows of ``df`` with text and language, about ``texts`` per language."""
+def labelled(df: DataFrame, id: str, text: str, lang: str, texts: int = TEXTS) -> tuple[list[str], DataFrame]:
+    """Languages, those with most texts first, and about ``texts`` whole labelled texts of each, chosen by a hash of the id."""
     rows = df.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(id).alias("_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")
     )
     per = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = sorted(per, key=lambda x: (-per[x], x))
     if not names:
-        return Filters([], {})
+        return names, rows.select("text", "lang")
     # The hash decides, so the sample needs no sort and no shuffle of texts.
     part = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     limit = F.element_at(F.create_map(*[x for k, v in per.items() for x in (F.lit(k), F.lit(min(1.0, texts / v)))]), F.col("lang"))
-    sample = rows.filter(part < limit).select("text", "lang")
+    return names, rows.filter(part < limit).select("text", "lang")
+
+
+def fit(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", texts: int = TEXTS) -> Filters:
+    """Learn from the rows of ``df`` with text and language, about ``texts`` per language."""
+    names, sample = labelled(df, id, text, lang, texts)
+    if not names:
+        return Filters([], {})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
