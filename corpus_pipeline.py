@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.llm import bpe, exact_dedup, language_id, mixing, ngram_join
-from offerloom.llm.common import materialize, table, unused
+from offerloom.llm.common import materialize, sized, table, unused
 
 LEAST_SHARE = 0.2
 LEAST_LETTERS = 40
@@ -34,18 +34,20 @@ def _columns(df: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = language_id.fit(docs.filter(~language_id.held_out(F.col("doc_id"))))
-    lang, score, long = unused(docs, "_lang"), unused(docs, "_score"), unused(docs, "_long")
+    learned_from = docs.filter(~language_id.held_out(F.col("doc_id")))
+    model = language_id.fit(learned_from)
+    lang, score = unused(docs, "lang"), unused(docs, "score")
     judged = language_id.predict(docs, model, lang=lang, score=score)
     # Where nothing could be learned nothing can be rejected but what has no letters.
     if not model.names:
         return _columns(judged.filter(F.col("text").rlike(r"\p{L}")), docs)
-    # Every text is scored once; what has to be known about all of them is read from the scores.
-    judged = materialize(judged.withColumn(long, F.length(F.regexp_replace("text", r"\P{L}", "")) >= LEAST_LETTERS), "pipeline-languages")
-    # A language is learned if most of the texts that carry its label are found by it; one row per label comes back.
-    right = F.avg(((F.col(lang) == F.col("lang")) & (F.col(score) >= LEAST_SHARE)).cast("int"))
-    learned = [r["lang"] for r in judged.filter(f"lang IS NOT NULL AND {long}").groupBy("lang").agg(right.alias("right")).collect() if r["right"] > 0.5]
-    rejected = F.col(long) & (F.col(score) < LEAST_SHARE) & F.coalesce(F.col("lang").isin(learned), F.lit(False))
+    long = F.length(F.regexp_replace("text", r"\P{L}", "")) >= LEAST_LETTERS
+    # A language is learned if most of the texts it was learned from, a bounded sample, are found by it; one row per label comes back.
+    _, sample = language_id.labelled(learned_from, "doc_id", "text", "lang")
+    own = language_id.predict(sample, model, lang="_found", score="_share").filter(long)
+    right = F.avg(((F.col("_found") == F.col("lang")) & (F.col("_share") >= LEAST_SHARE)).cast("int"))
+    learned = [r["lang"] for r in own.groupBy("lang").agg(right.alias("right")).collect() if r["right"] > 0.5]
+    rejected = (F.col(score) < LEAST_SHARE) & long & F.coalesce(F.col("lang").isin(learned), F.lit(False))
     return _columns(judged.filter((F.col(lang) != language_id.UNKNOWN) & ~rejected), docs)
 
 
@@ -55,7 +57,7 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = ngram_join.near_duplicates(docs).filter("component_id < doc_id").select("doc_id").distinct()
-    return _columns(docs.join(materialize(found, "near-gone"), "doc_id", "left_anti"), docs)
+    return _columns(docs.join(sized(materialize(found, "near-gone")), "doc_id", "left_anti"), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
