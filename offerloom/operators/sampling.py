@@ -60,11 +60,11 @@ def balance_groups(df: DataFrame, col: str, small: int, large: int, seed: int, *
 def top_ranked(df: DataFrame, value: str, n: int) -> DataFrame:
     """Rows whose value has dense rank (descending) up to ``n``, with the rank.
 
-    The distinct top values are a top-n query, so at most ``n`` rows are ranked and broadcast.
+    The distinct top values are a top-n query, so at most ``n`` rows are ranked; Spark chooses the join by their size.
     """
     best = df.select(value).where(F.col(value).isNotNull()).distinct().orderBy(F.col(value).desc()).limit(n)
     ranks = best.withColumn("rank", F.row_number().over(Window.orderBy(F.col(value).desc())))
-    return df.join(F.broadcast(ranks), value)
+    return df.join(ranks, value)
 
 
 def split_by_key(df: DataFrame, key: str, shares: Sequence[float] = (0.7, 0.3), seed: int = 42) -> DataFrame:
