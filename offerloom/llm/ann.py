@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by cosine, with a hierarchical k-means tree.
 
 Fit: unit vectors of a bounded sample (:data:`SAMPLE` rows) are clustered into :data:`BRANCH` parts, and each part again, until a part
-holds at most :data:`LEAF_SAMPLE` of the sample. The tree is small and travels with the tasks.
+stands for at most :data:`LEAF_ROWS` rows of the table, or holds at most :data:`LEAST_SAMPLE` of the sample; so leaves grow in number
+with the table, up to the bound of the sample. The tree is small and travels with the tasks.
 
-Index: every row goes down the tree to its leaf. Identical vectors share an entry that keeps the ``k + 1`` smallest ids, since no other id of
+Index: every row goes down the tree to its leaf. Of identical vectors the ``k + 1`` smallest ids are kept, since no other id of
 the group can be among the nearest of anything. A leaf is stored in blocks of about :data:`BLOCK` entries, so that a leaf
 that holds a large share of all rows is spread over many tasks.
 
@@ -13,9 +14,10 @@ widened until :data:`RECALL` of them lie in visited leaves. A query goes on beyo
 are compared block by block: a block of queries with a block of entries, as one matrix product; what may be among the
 nearest is scored anew in double precision on the original vectors.
 
-Defined results: vectors that are null or zero, hold null or non-finite components, or differ in length from the commonest length (the shorter at a
-tie) take no part, nor do rows without an id. Rows that repeat an id count once, with the least of their vectors. Ties go
-to the smaller id. Other columns are ignored; an empty table gives an empty result.
+Defined results: vectors that are null or zero or hold null or non-finite components take no part, nor do rows without an id. Rows equal in id
+and vector count once. Different vectors under one id are rows of their own: each is a candidate, also for the others, and each that is a query has a
+list of its own. Vectors of different length have no cosine with each other, so each length is searched apart, with a tree of its own (a table
+has few). Ties go to the smaller id. Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from offerloom.llm.common import materialize
 SAMPLE = 20_000
 BRANCH = 16
 LEAF_SAMPLE = 256
+LEAF_ROWS = 1024
+LEAST_SAMPLE = 16
 BLOCK = 1024
 QUERY_BLOCK = 256
 CALIBRATION = 128
@@ -52,7 +56,8 @@ class Node:
 class Tree:
     """Hierarchical k-means over unit vectors."""
 
-    def __init__(self, vectors: np.ndarray):
+    def __init__(self, vectors: np.ndarray, leaf_sample: int = LEAF_SAMPLE):
+        self.leaf_sample = leaf_sample
         self.nodes: list[Node] = []
         self.leaves = 0
         self.rng = np.random.default_rng(SEED)
@@ -62,7 +67,7 @@ class Tree:
         at = len(self.nodes)
         self.nodes.append(Node())
         node, parts = self.nodes[at], []
-        if len(x) > LEAF_SAMPLE:
+        if len(x) > self.leaf_sample:
             centres = x[self.rng.choice(len(x), min(BRANCH, len(x)), replace=False)]
             for _ in range(ROUNDS):
                 own = np.argmax(x @ centres.T - 0.5 * (centres * centres).sum(1), axis=1)
@@ -112,19 +117,24 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def cosine(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosines of one vector with each row; a row's value does not depend on the others, so equal rows tie exactly."""
+    """Cosines of one vector with each row; a row's value does not depend on the others, so equal rows tie exactly.
+
+    Vectors are scaled by powers of two, which changes no digit, so that squares of large components stay finite.
+    """
+    q = np.ldexp(q, -np.frexp(np.abs(q).max())[1])
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return (x * q).sum(1) / (np.sqrt((q * q).sum()) * np.sqrt((x * x).sum(1)))
 
 
 def nearest(q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, rough: np.ndarray) -> list[tuple[int, float]]:
-    """The k best rows by exact cosine, ties to the smaller id. ``rough``: cosines that are off by rounding only."""
+    """Places and exact cosines of the k best rows, ties to the smaller id. ``rough``: cosines that are off by rounding only."""
     if len(x) > k:
         near = np.flatnonzero(rough >= np.partition(rough, len(x) - k)[len(x) - k] - 1e-9)
     else:
         near = np.arange(len(x))
     exact = cosine(q, x[near])
     order = np.lexsort((ids[near], -exact))[:k]
-    return list(zip(ids[near][order].tolist(), exact[order].tolist(), strict=True))
+    return list(zip(near[order].tolist(), exact[order].tolist(), strict=True))
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
@@ -134,16 +144,13 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
 
 
 def usable(df: DataFrame, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """Rows that take part: ``vec_id``, ``vector`` (array of double)."""
+    """Rows that take part: ``vec_id``, ``vector`` (array of double), without repeats."""
     x = F.col(vector)
     whole = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < float("inf")))
     rows = df.filter(F.col(id).isNotNull() & x.isNotNull() & whole & F.exists(x, lambda v: v != 0)).select(
         F.col(id).cast("long").alias("vec_id"), x.cast("array<double>").alias("vector")
     )
-    sizes = rows.groupBy(F.size("vector").alias("n")).agg(F.count(F.lit(1)).alias("rows"))
-    common = sizes.orderBy(F.desc("rows"), "n").first()
-    alike = rows.filter(F.size("vector") == (common["n"] if common else 0))
-    return alike.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return rows.distinct()
 
 
 @dataclass
@@ -155,13 +162,14 @@ class Index:
 
 
 def build(rows: DataFrame, k: int, sample: int = SAMPLE) -> Index | None:
-    """Fit the tree on about ``sample`` rows and index all of them. None for an empty table."""
+    """Fit the tree on about ``sample`` rows of one length and index all of them. None for an empty table."""
     total = rows.count()
     if not total:
         return None
     part = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = rows.filter(part < sample / total).orderBy("vec_id").select("vector").toArrow()  # about ``sample`` rows
-    tree = Tree(unit(_matrix(chosen.column(0).combine_chunks()))) if len(chosen) else Tree(np.zeros((0, 1)))
+    chosen = rows.filter(part < sample / total).orderBy("vec_id", "vector").select("vector").toArrow()  # about ``sample`` rows
+    leaf_sample = max(LEAST_SAMPLE, min(LEAF_SAMPLE, LEAF_ROWS * len(chosen) // total))
+    tree = Tree(unit(_matrix(chosen.column(0).combine_chunks())), leaf_sample) if len(chosen) else Tree(np.zeros((0, 1)))
     shared = rows.sparkSession.sparkContext.broadcast(tree)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +187,7 @@ def build(rows: DataFrame, k: int, sample: int = SAMPLE) -> Index | None:
 
 def calibrate(index: Index, queries: DataFrame, recall: float = RECALL, size: int = CALIBRATION) -> int:
     """Visits that reach ``recall`` for ``size`` queries, whose true neighbours are found over all entries."""
-    chosen = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(size).toArrow()
+    chosen = queries.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(size).toArrow()
     if not len(chosen):
         return 1
     ids, vectors = chosen.column(0).to_numpy(), _matrix(chosen.column(1).combine_chunks())
@@ -191,9 +199,9 @@ def calibrate(index: Index, queries: DataFrame, recall: float = RECALL, size: in
                 continue
             leaf, own, x = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _matrix(batch.column(2))
             rough, rows = unit(x) @ units.T, []
-            leaf_of = dict(zip(own.tolist(), leaf.tolist(), strict=True))
             for i in range(len(ids)):
-                rows += [(i, leaf_of[v], v, s) for v, s in nearest(vectors[i], x, own, k + 1, rough[:, i]) if v != ids[i]]
+                near = nearest(vectors[i], x, own, k + 1, rough[:, i])
+                rows += [(i, leaf[j], own[j], s) for j, s in near if own[j] != ids[i] or (x[j] != vectors[i]).any()]
             columns = list(zip(*rows, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int32(), pa.int32(), pa.int64(), pa.float64()], strict=True)], ["q", "leaf", "vec_id", "score"])
 
@@ -226,8 +234,8 @@ def search(index: Index, queries: DataFrame, visits: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))], ["query", "vector", "leaves"])
 
     # Queries with the same vector are one; each takes its own id out of the common list afterwards.
-    groups = queries.groupBy("vector").agg(F.min("vec_id").alias("query"))
-    members = queries.join(groups, "vector").select(F.col("vec_id").alias("query_id"), "query").distinct()
+    groups = materialize(queries.select("vector").distinct().withColumn("query", F.monotonically_increasing_id()), "ann-groups")
+    members = queries.join(groups, "vector").select(F.col("vec_id").alias("query_id"), "query")
     sent = groups.select("query", "vector").mapInArrow(leaves, "query bigint, vector array<double>, leaves array<int>")
     sent = materialize(sent, "ann-queries").select("query", "vector", F.explode("leaves").alias("leaf"))
 
@@ -245,16 +253,16 @@ def search(index: Index, queries: DataFrame, visits: int) -> DataFrame:
                 (q_ids, q), (x_ids, x) = ((v.values.field(0).to_numpy(), _matrix(v.values.field(1))) for v in (asked, held))
                 rough, rows = unit(q) @ unit(x).T, []
                 for i, query in enumerate(q_ids.tolist()):
-                    rows += [(query, v, s) for v, s in nearest(q[i], x, x_ids, k + 1, rough[i])]
-                columns = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.float64()], strict=True)], ["query", "vec_id", "score"])
+                    rows += [(query, x_ids[j], s, bool((x[j] == q[i]).all())) for j, s in nearest(q[i], x, x_ids, k + 1, rough[i])]
+                columns, kinds = list(zip(*rows, strict=True)), [pa.int64(), pa.int64(), pa.float64(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["query", "vec_id", "score", "same"])
 
-    found = pairs.select("asked", "held").mapInArrow(compare, "query bigint, vec_id bigint, score double")
-    found = found.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
+    found = pairs.select("asked", "held").mapInArrow(compare, "query bigint, vec_id bigint, score double, same boolean")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     best = found.withColumn("_rank", rank).filter(F.col("_rank") <= k + 1)
-    lists = best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("_rank", "vec_id", "score"))).alias("_best"))
-    own = F.slice(F.filter("_best", lambda b: b["vec_id"] != F.col("query_id")), 1, k)
+    lists = best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("_rank", "vec_id", "score", "same"))).alias("_best"))
+    # A query's own row alone is left out: its id with its vector.
+    own = F.slice(F.filter("_best", lambda b: ~((b["vec_id"] == F.col("query_id")) & b["same"])), 1, k)
     hits = members.join(lists, "query").select("query_id", F.posexplode(own).alias("_pos", "_hit"))
     return hits.select("query_id", (F.col("_pos") + 1).alias("rank"), "_hit.vec_id", "_hit.score")
 
@@ -263,9 +271,11 @@ def nearest_neighbours(
     df: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id", vector: str = "embedding", recall: float = RECALL
 ) -> DataFrame:
     """The k nearest rows of every row that ``is_query`` (a condition on ``vec_id``) picks."""
-    rows = materialize(usable(df, id, vector), "ann-rows")
-    queries = rows.filter(is_query)
-    index = build(rows, k)
-    if index is None:
-        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    return search(index, queries, calibrate(index, queries, recall))
+    usable_rows = materialize(usable(df, id, vector).withColumn("_n", F.size("vector")), "ann-rows")
+    out = df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for n in sorted(r["_n"] for r in usable_rows.select("_n").distinct().collect()):  # one row per length
+        rows = usable_rows.filter(F.col("_n") == n).drop("_n")
+        queries, index = rows.filter(is_query), build(rows, k)
+        if index is not None:
+            out = out.union(search(index, queries, calibrate(index, queries, recall)))
+    return out

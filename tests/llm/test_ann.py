@@ -34,8 +34,8 @@ def test_small_table_is_exact(spark):
     ids = np.arange(60) * 5
     bad = [(None, [1.0] * 4), (1000, None), (1005, [0.0] * 4), (1010, [1.0, float("nan"), 0.0, 0.0]), (1015, [1.0, None, 0.0, 0.0]), (1020, [float("inf")] * 4), (1025, [1.0, 2.0])]
     rows = [(int(i), v.tolist(), "c", "c") for i, v in zip(ids, x)] + [(i, v, "c", "c") for i, v in bad]
-    rows += [rows[3], (rows[5][0], [9.0] * 4, "c", "c")]  # a repeated row changes nothing, of one id the least vector counts
-    x[5] = min(rows[5][1], [9.0] * 4)
+    rows += [rows[3], (rows[5][0], [9.0] * 4, "c", "c")]  # a repeated row changes nothing, a further vector of an id is a row of its own
+    ids, x = np.append(ids, ids[5]), np.vstack([x, [9.0] * 4])
     got = found(ann.nearest_neighbours(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0, recall=1.0))
     want, _ = brute(ids, x.astype(float), lambda i: i % 10 == 0, 5)
     assert got == want
@@ -48,6 +48,34 @@ def test_fewer_candidates_and_empty(spark):
     assert ann.nearest_neighbours(df, F.col("vec_id") == 99).collect() == []
 
 
+def test_vectors_of_one_id_are_rows_of_their_own(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [2.0, 0.1]), (2, [0.1, 2.0]), (0, [1.0, 0.0])]
+    df = spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA)
+    got = sorted((r["rank"], r["vec_id"]) for r in ann.nearest_neighbours(df, F.col("vec_id") == 0, k=2, recall=1.0).collect())
+    assert got == [(1, 1), (1, 2), (2, 1), (2, 2)]
+    all_ = ann.nearest_neighbours(df, F.col("vec_id") == 0, k=9, recall=1.0).groupBy("vec_id").count().collect()
+    assert {r["vec_id"]: r["count"] for r in all_} == {0: 2, 1: 2, 2: 2}
+
+
+def test_every_length_is_searched(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.5]), (2, [0.0, 1.0]), (10, [1.0, 0.0, 0.0]), (11, [1.0, 1.0, 0.0]), (20, [4.0])]
+    df = spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA)
+    got = found(ann.nearest_neighbours(df, F.col("vec_id") % 10 == 0, recall=1.0))
+    assert {q: [v for v, _ in hits] for q, hits in got.items()} == {0: [1, 2], 10: [11]}
+
+
+def test_large_and_small_components(spark):
+    rows = [(0, [1e200, 0.0]), (1, [1e200, 1e200]), (2, [1e-300, 0.0]), (3, [0.0, 1e300])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(ann.nearest_neighbours(df, F.col("vec_id") == 0, recall=1.0))[0]
+    assert [v for v, _ in got] == [2, 1, 3] and np.allclose([s for _, s in got], [1.0, 0.5**0.5, 0.0])
+
+
+def test_leaves_grow_with_the_table():
+    x = ann.unit(np.random.default_rng(3).normal(size=(4000, 8)))
+    assert ann.Tree(x, 16).leaves > 4 * ann.Tree(x).leaves
+
+
 def test_tree_visits_every_leaf_once():
     x = ann.unit(np.random.default_rng(2).normal(size=(3000, 8)))
     tree = ann.Tree(x)
