@@ -18,6 +18,10 @@ from offerloom.functions import dot, number_matrix, ratio, with_value
 from offerloom.operators.blocks import HOT_ROWS, STEP_BLOCK, running_sums, segmented_scan
 from offerloom.session import cut_lineage
 
+# Numbers in a block of moments, and groups of tasks whose blocks are added first.
+MOMENT_BLOCK, MOMENT_TASKS = 4096, 32
+MOMENTS = "action int, block int, v array<double>"
+
 
 def split_evaluable(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with a usable logged probability, and the others for quarantine."""
@@ -152,8 +156,8 @@ def fitted_q(
 
     ``df`` has ``obs, action, n_return, n_obs, n_done, n_mask``. The target is the n-step return plus the
     discounted best legal value ``n`` steps on. The model of an action is separate from the others, so its second moments are summed
-    once; each round sums only the products with the target, and solves one small system per action. Sums are made per task and
-    added by action; nothing but them comes back to the driver, and no row is ever as wide as the model. ``reg`` is a ridge
+    once; each round sums only the products with the target, and solves one small system per action. Sums are made per task, the upper
+    triangle of a matrix as blocks of :data:`MOMENT_BLOCK` numbers, and added block by block; nothing but the sums comes back to the driver. ``reg`` is a ridge
     penalty in the terms of Spark's regression, that is, for a label of unit spread.
     """
     width = obs_dim + 1
@@ -162,11 +166,27 @@ def fitted_q(
     def with_one(column: pd.Series) -> np.ndarray:
         return np.column_stack([np.ones(len(column)), np.stack(column.to_numpy())]) if len(column) else np.zeros((0, width))
 
+    def packed(total: dict[int, np.ndarray]) -> pd.DataFrame:
+        """Vectors by action, in blocks of bounded length."""
+        rows = [(int(a), b, v[at:at + MOMENT_BLOCK]) for a, v in total.items() for b, at in enumerate(range(0, len(v), MOMENT_BLOCK))]
+        return pd.DataFrame({"action": [r[0] for r in rows], "block": [r[1] for r in rows], "v": [r[2] for r in rows]})
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"action": part["action"].iloc[:1], "block": part["block"].iloc[:1], "v": [np.sum(np.stack(part["v"].to_numpy()), axis=0)]})
+
     def summed(parts: DataFrame) -> dict[int, np.ndarray]:
-        """Sums by action of the vectors ``v``, added by position."""
-        cells = parts.select("action", F.posexplode("v")).groupBy("action", "pos").agg(F.sum("col").alias("x"))
-        rows = cells.groupBy("action").agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("v"))
-        return {r["action"]: np.array([c["x"] for c in r["v"]]) for r in rows.collect()}
+        """Sums by action of the tasks' blocks ``v``, added as vectors: those of some tasks first, then their sums."""
+        some = parts.withColumn("_some", F.pmod(F.spark_partition_id(), F.lit(MOMENT_TASKS)))
+        sums = some.groupBy("action", "block", "_some").applyInPandas(add, MOMENTS).groupBy("action", "block").applyInPandas(add, MOMENTS)
+        rows = sums.toPandas().sort_values(["action", "block"])
+        return {int(a): np.concatenate(own["v"].to_list()) for a, own in rows.groupby("action")}
+
+    def unpacked(v: np.ndarray) -> np.ndarray:
+        out = np.zeros((width, width))
+        out[upper] = v
+        return out + np.triu(out, 1).T
+
+    upper = np.triu_indices(width)
 
     def second(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[int, np.ndarray] = {}
@@ -175,9 +195,9 @@ def fitted_q(
             for a in np.unique(action):
                 own = x[action == a]
                 total[a] = total.get(a, 0) + own.T @ own
-        yield pd.DataFrame({"action": [int(a) for a in total], "v": [m.ravel() for m in total.values()]})
+        yield packed({a: m[upper] for a, m in total.items()})
 
-    squares = {a: v.reshape(width, width) for a, v in summed(steps.select("action", "obs").mapInPandas(second, "action int, v array<double>")).items()}
+    squares = {a: unpacked(v) for a, v in summed(steps.select("action", "obs").mapInPandas(second, MOMENTS)).items()}
     weights = np.zeros((n_actions, width))
     errors: list[float] = []
     for _ in range(iters):
@@ -200,9 +220,9 @@ def fitted_q(
                 for a in np.unique(action):
                     own, label = x[action == a], y[action == a]
                     total[a] = total.get(a, 0) + np.concatenate([own.T @ label, [len(label), label.sum(), label @ label]])
-            yield pd.DataFrame({"action": [int(a) for a in total], "v": list(total.values())})
+            yield packed(total)
 
-        found = summed(steps.mapInPandas(products, "action int, v array<double>"))
+        found = summed(steps.mapInPandas(products, MOMENTS))
         n, sum_y, sum_yy = (sum(v[width + i] for v in found.values()) for i in range(3))
         spread = float(np.sqrt(max(sum_yy / n - (sum_y / n) ** 2, 0.0))) if n else 0.0
         penalty = (reg / spread * n if spread > 0 else reg) * np.eye(width)

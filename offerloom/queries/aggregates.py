@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from offerloom.operators import dispositions as D
 from offerloom.operators import report as R
 from offerloom.operators import rewards as W
+from offerloom.operators import sketches as H
 from offerloom.operators import state as S
 from offerloom.operators.blocks import exact_median
 from offerloom.operators.vocabulary import build_vocabulary, vocab_size
@@ -16,7 +17,9 @@ from offerloom.queries.expressions import (
 from offerloom.queries.joins import features, tokens
 from offerloom.queries.registry import CALLS, DECISIONS, FEATURES, FLAGS, REPORT, VOCAB, WEEK, joined, query, text
 from offerloom.queries.sources import PENALTY, penalty_fact
+from offerloom.session import scratch_path
 from offerloom.sources import adapters as A
+from offerloom.sources import tables as T
 
 
 @query("d1_rollup_flags", f"WITH {FLAGS} SELECT * FROM flags")
@@ -55,6 +58,28 @@ def d4_exact(spark, base):
     return D.offer_report(offer_sessions(spark, base), exact=True).withColumn("startdate", F.col("startdate").cast("string"))
 
 
+def close(estimate, exact, share):
+    return (F.abs(estimate - exact) <= exact * share + 1).cast("int")
+
+
+@query("d4_stored_sketches", f"""
+    WITH {OFFER_REPORT}, m AS (
+        SELECT metric, tfn, CAST(date_trunc('month', startdate) AS VARCHAR) AS month, count(*) AS sessions, count(DISTINCT cagm) AS exact
+        FROM session GROUP BY 1, 2, 3)
+    SELECT metric, tfn, substr(month, 1, 7) AS month, sessions, exact, 1 AS members_close FROM m""")
+def d4_sketches(spark, base):
+    """Members by month, merged from stored sketches of days, within 4 standard errors of the exact count."""
+    keys = ["metric", "tfn", F.date_format("startdate", "yyyy-MM").alias("month")]
+    rows, out = offer_sessions(spark, base), scratch_path(spark, "d4s")
+    T.overwrite(H.daily_sketches(rows, ["metric", "tfn"], "startdate", "cagm", "offered"), out)
+    by_month = H.estimates(H.merge_sketches(spark.read.parquet(out), keys), {})
+    exact = rows.groupBy(*keys).agg(F.count_distinct("cagm").alias("exact"))
+    share = 4 * 1.04 / 2 ** (H.LG_K / 2)
+    return by_month.join(exact, ["metric", "tfn", "month"]).select(
+        "metric", "tfn", "month", F.col("n").alias("sessions"), "exact", close(F.col("members"), F.col("exact"), share).alias("members_close")
+    )
+
+
 @query("d5_session_totals", f"""
     WITH {FLAGS}, {CALLS}
     SELECT call_guid, CAST(sum(offered) AS INT) AS offered, CAST(sum(accepted) AS INT) AS accepted, CAST(sum(success) AS INT) AS success,
@@ -145,6 +170,20 @@ def d14(spark, base):
     return rows.withColumn("median", F.round("median", 6))
 
 
+@query("d14_stored_sketches", """
+    SELECT event_type, count(*) AS n, 1 AS median_close, 1 AS p90_close FROM events GROUP BY 1""")
+def d14_sketches(spark, base):
+    """Quantiles of the whole range from stored sketches of days: their true ranks are within 4 % of those asked for."""
+    rows, out = A.load(spark, "events", base), scratch_path(spark, "d14s")
+    T.overwrite(H.daily_sketches(rows.withColumn("day", F.to_date("ts")), ["event_type"], "day", "user_id", "value"), out)
+    read = H.estimates(H.merge_sketches(spark.read.parquet(out), ["event_type"]), {"median": 0.5, "p90": 0.9})
+    below = [F.avg((F.col("value") < F.col(q)).cast("int")).alias(f"{q}_below") for q in ("median", "p90")]
+    ranks = rows.join(read.select("event_type", "median", "p90"), "event_type").groupBy("event_type").agg(*below)
+    return read.join(ranks, "event_type").select(
+        "event_type", "n", *[(F.abs(F.col(f"{q}_below") - r) <= 0.04).cast("int").alias(f"{q}_close") for q, r in (("median", 0.5), ("p90", 0.9))]
+    )
+
+
 @query("d15_vocab_size", f"WITH {FEATURES}, {VOCAB} SELECT CAST(max(token) + 1 AS INT) AS vocab_size FROM vocab")
 def d15(spark, base):
     return vocab_size(build_vocabulary(features(spark, base)))

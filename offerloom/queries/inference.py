@@ -81,6 +81,36 @@ def k2(spark, base):
     return rows.select("enterprise_id", *[F.round(F.get("vector", F.lit(i)), 6).alias(f"v{i}") for i in range(4)])
 
 
+# A small encoder, spelled out in the SQL below.
+SMALL_ENCODER = M.EncoderWeights(
+    np.zeros((1, 2)), np.array([[0.5, -0.25], [0.75, 1.0]]), np.array([[1.0, 0.5, -0.5, 0.25], [0.25, -1.0, 0.5, 0.75]]),
+    np.array([0.1, 0.2, 0.3, 0.4]), 0.05, np.array([[1.0, 2.0], [-0.5, 0.25]]), np.array([0.1, -0.2]),
+)
+
+
+@query("k2_encode_states_small", f"""
+    WITH {FEATURES}, {VOCAB}, {state_sql()}, cur AS (
+        SELECT enterprise_id, list_slice(ids, greatest(len(ids) - 3, 1), len(ids)) AS ids FROM state WHERE current_record = 1
+    ), x AS (
+        SELECT enterprise_id, i, CASE WHEN i < len(ids) THEN sin(ids[i + 1]::DOUBLE) ELSE 0 END AS a,
+               CASE WHEN i < len(ids) THEN sin(2 * ids[i + 1]::DOUBLE) ELSE 0 END AS b FROM cur, (SELECT unnest(range(4)) AS i)
+    ), q AS (SELECT *, 0.5 * a - 0.25 * b AS qa, 0.75 * a + b AS qb FROM x), att AS (
+        SELECT q.enterprise_id, q.i, any_value(qa) AS qa, any_value(qb) AS qb,
+               sum(exp(qa * x.a + qb * x.b) * x.a) / sum(exp(qa * x.a + qb * x.b)) AS ma,
+               sum(exp(qa * x.a + qb * x.b) * x.b) / sum(exp(qa * x.a + qb * x.b)) AS mb
+        FROM q JOIN x ON q.enterprise_id = x.enterprise_id GROUP BY 1, 2
+    ), pooled AS (
+        SELECT enterprise_id, sum((i + 1) / 10.0 * tanh(ma + 0.5 * mb - 0.5 * qa + 0.25 * qb)) + 0.05 AS pa,
+               sum((i + 1) / 10.0 * tanh(0.25 * ma - mb + 0.5 * qa + 0.75 * qb)) + 0.05 AS pb FROM att GROUP BY 1
+    ) SELECT enterprise_id, round(pa + 2 * pb + 0.1, 6) AS v0, round(-0.5 * pa + 0.25 * pb - 0.2, 6) AS v1 FROM pooled""")
+def k2_small(spark, base):
+    """The attention form with length 4 and dimension 2."""
+    current = S.flag_current(S.state_history(tokens(spark, base))).filter("current_record = 1")
+    held = vectors(spark, base).withColumn("vector", F.slice("vector", 1, 2))
+    rows = M.encode_states_attention(current, held, SMALL_ENCODER, ["enterprise_id"])
+    return rows.select("enterprise_id", *[F.round(F.get("vector", F.lit(i)), 6).alias(f"v{i}") for i in range(2)])
+
+
 def vectors(spark, base):
     """Token vectors by a formula of the id."""
     vocab = build_vocabulary(features(spark, base))

@@ -13,7 +13,7 @@ from offerloom.operators import sampling as N
 from offerloom.operators.vocabulary import build_vocabulary
 from offerloom.queries.functions import WORDS, words
 from offerloom.queries.joins import features
-from offerloom.queries.registry import FEATURES, K, REPORT, WEEK, query, u
+from offerloom.queries.registry import FEATURES, K, REPORT, STEPS, WEEK, query, u
 from offerloom.queries.windows import SERIES, steps
 from offerloom.sources import adapters as A
 
@@ -309,6 +309,39 @@ def i7(spark, base):
     return best.groupBy("action").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 4).alias("mean_value"))
 
 
+def q_round(k: int) -> str:
+    """Targets ``y``, penalty ``p`` and solved lines ``w`` of a round, from the lines of the round before."""
+    return f"""y{k} AS (
+    SELECT enterprise_id, t, any_value(action) AS action, any_value(x) AS x,
+           any_value(r) + 0.9 * 0.9 * coalesce(max(CASE WHEN nx IS NOT NULL AND (t + i) % 3 > 0 THEN b + c * nx END), 0) AS y
+    FROM s, w{k - 1} GROUP BY 1, 2
+), p{k} AS (SELECT 0.1 / stddev_pop(y) * count(*) AS p FROM y{k}), m{k} AS (
+    SELECT action, count(*) + any_value(p) AS n, sum(x) AS sx, sum(x * x) + any_value(p) AS sxx, sum(y) AS sy, sum(x * y) AS sxy FROM y{k}, p{k} GROUP BY 1
+), w{k} AS (
+    SELECT i, coalesce((sxx * sy - sx * sxy) / (n * sxx - sx * sx), 0) AS b, coalesce((n * sxy - sx * sy) / (n * sxx - sx * sx), 0) AS c
+    FROM w0 LEFT JOIN m{k} ON action = i
+)"""
+
+
+@query("i7_fitted_q_line", f"""
+    WITH {STEPS}, s AS (
+        SELECT enterprise_id, t, action, action_prob AS x, coalesce(rewards, 0) + 0.9 * coalesce(lead(rewards) OVER o, 0) AS r, lead(action_prob, 2) OVER o AS nx
+        FROM steps WINDOW o AS (PARTITION BY enterprise_id ORDER BY t)
+    ), w0 AS (SELECT unnest(range(12)) AS i, 0::DOUBLE AS b, 0::DOUBLE AS c), {q_round(1)}, {q_round(2)}, {q_round(3)}
+    SELECT action, count(*) AS n, round(any_value(b), 5) AS bias, round(any_value(c), 5) AS slope FROM s JOIN w3 ON i = action GROUP BY 1""")
+def i7_line(spark, base):
+    """Three rounds with one number observed: each action's line is solved in closed form by the SQL."""
+    rows = steps(spark, base).withColumns({"action": F.get("actions", F.lit(0)), "obs": F.array("action_prob")})
+    mask = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: F.when(F.pmod(F.col("t") + i, F.lit(3)) > 0, 1).otherwise(0))
+    shaped = E.n_step_return(rows, "enterprise_id", 2, 0.9).withColumn("n_mask", mask)
+    weights, _ = V.fitted_q(shaped, 12, 1, iters=3, gamma=0.9, n_step=2)
+    lines = F.array(*[F.array(*[F.lit(float(x)) for x in w]) for w in weights])
+    own = F.get(lines, F.col("action"))
+    return rows.groupBy("action").agg(F.count(F.lit(1)).alias("n")).select(
+        "action", "n", F.round(F.get(own, F.lit(0)), 5).alias("bias"), F.round(F.get(own, F.lit(1)), 5).alias("slope")
+    )
+
+
 @query("j1_stable_runs", f"""
     WITH {SERIES}, f AS (SELECT runid, count(*) FILTER (WHERE diff_pct < 0.2 AND back <= 8) AS flat, arg_min(value, t) AS first_value,
         arg_max(value, t) AS last_metric FROM series GROUP BY 1)

@@ -49,6 +49,33 @@ def t1(spark, base):
     return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
+BUS = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, headers array<struct<key:string, value:binary>>"
+
+
+def bus_records(rows):
+    """Events as records of a bus; every third one was sent twice."""
+    sends = F.when(F.pmod("event_id", F.lit(3)) == 0, F.sequence(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    payload = F.to_json(F.struct("event_id", "event_type", "value"))
+    return rows.withColumn("_send", F.explode(sends)).select(
+        F.col("user_id").cast("string").cast("binary").alias("key"), payload.cast("binary").alias("value"), F.lit("events").alias("topic"),
+        F.pmod("user_id", F.lit(4)).cast("int").alias("partition"), (F.col("event_id") * 2 + F.col("_send")).alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.array(F.struct(F.lit("message-id").alias("key"), F.col("event_id").cast("string").cast("binary").alias("value"))).alias("headers"),
+    )
+
+
+@query("t1_bus_messages", "SELECT event_id, CAST(user_id AS BIGINT) AS user_id, event_type, round(value, 4) AS value FROM events")
+def t1_bus(spark, base):
+    """Binary records of an at-least-once bus: decoded, each message once."""
+    out = scratch_path(spark, "t1b")
+    S.overwrite(bus_records(A.load(spark, "events", base)), f"{out}/bus")
+    rows = drained(spark, "t1m", Z.bus_messages(Z.event_stream(spark, f"{out}/bus", BUS)))
+    body = F.from_json("message", "event_id bigint, event_type string, value double")
+    return rows.withColumn("_m", body).select(
+        "_m.event_id", F.col("key").cast("bigint").alias("user_id"), "_m.event_type", F.round("_m.value", 4).alias("value")
+    )
+
+
 @query("t2_stream_sink", "SELECT event_id, user_id, value FROM events")
 def t2(spark, base):
     """The stream is started twice on one checkpoint: the second start finds nothing new."""

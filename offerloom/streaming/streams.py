@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -23,6 +23,28 @@ def event_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", *
     return reader.load() if fmt == "kafka" else reader.schema(schema).load(path)
 
 
+def bus_messages(df: DataFrame, lateness: str = "1 hour", id_header: str = "message-id") -> DataFrame:
+    """Records of a message bus (``key``, ``value``, ``topic``, ``partition``, ``offset``, ``timestamp`` and, if asked for, ``headers``) as messages, each once.
+
+    A bus delivers at least once, and a producer that tries again writes a message twice: messages of one id (the header ``id_header``, else the
+    place in the topic) that arrive within ``lateness`` of each other are one. It must cover the longest such delay; rows behind the watermark
+    are dropped by Spark. Result: ``message_id``, ``time``, ``key``, ``message`` (text; bytes that are no UTF-8 are replaced), ``topic``, ``partition``,
+    ``offset``. A null payload (a tombstone) stays a message without text.
+    """
+    def decoded(c: Column) -> Column:
+        return F.make_valid_utf8(c.cast("string"))
+
+    own = F.concat_ws(":", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    if "headers" in df.columns:
+        named = F.filter("headers", lambda h: (h["key"] == id_header) & h["value"].isNotNull())
+        own = F.coalesce(decoded(F.get(named, F.lit(0))["value"]), own)
+    rows = df.select(
+        own.alias("message_id"), F.col("timestamp").alias("time"), decoded(F.col("key")).alias("key"), decoded(F.col("value")).alias("message"),
+        "topic", "partition", "offset",
+    )
+    return rows.withWatermark("time", lateness).dropDuplicatesWithinWatermark(["message_id"])
+
+
 def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", mode: str = "append") -> StreamingQuery:
     """Process all that is there, then stop; progress is kept in the checkpoint."""
     return (
