@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from offerloom.session import cut_lineage
 
-# Size of a slice of the token table, and states compared with it at a time.
+# Size of a slice of the token table, states compared with it at a time, and bands of vector lengths.
 SLICE_BYTES = 16 * 1024 * 1024
 BLOCK_ROWS = 1024
+BANDS = 64
 
 
 @dataclass(frozen=True)
@@ -181,20 +182,16 @@ def extend_embedding(old: DataFrame, vocab: DataFrame, dim: int) -> DataFrame:
     )
 
 
-def decode_tokens(df: DataFrame, vectors: DataFrame, k: int, key: str, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """The ``k`` tokens whose vectors have the largest product with the ``vector`` of each state, ties by name.
+def _norm(c: str) -> Column:
+    return F.sqrt(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x))
 
-    The token table is cut into slices by a hash, each one record of bounded size; states are cut into blocks and copied to
-    the slices. Block and slice meet in a join, are multiplied in Arrow batches, and the best of each slice are merged by state. Only
-    counts come to the driver.
-    """
-    shape = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
-    slices = max(1, -(-(shape["n"] * (shape["d"] or 1) * 8) // slice_bytes))
-    blocks = max(1, -(-df.count() // BLOCK_ROWS))
-    part = F.pmod(F.xxhash64("token_name"), F.lit(slices)).alias("_slice")
-    held = vectors.groupBy(part).agg(F.sort_array(F.collect_list(F.struct("token_name", "vector"))).alias("_held"))
-    asked = df.groupBy(F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block")).agg(F.collect_list(F.struct(F.col(key).alias("_key"), "vector")).alias("_asked"))
-    pairs = asked.select("_asked", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slices - 1).cast("bigint"))).alias("_slice")).join(held, "_slice")
+
+def _best_of_slices(asked: DataFrame, held: DataFrame, k: int, blocks: int) -> DataFrame:
+    """Best ``k`` tokens by state: ``asked`` has ``_key, vector, _slice``, ``held`` one record per slice."""
+    kind = asked.schema["_key"].dataType.simpleString()
+    packed = asked.groupBy("_slice", F.pmod(F.xxhash64("_key"), F.lit(blocks)).alias("_block")).agg(
+        F.collect_list(F.struct("_key", "vector")).alias("_asked")
+    )
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -209,11 +206,61 @@ def decode_tokens(df: DataFrame, vectors: DataFrame, k: int, key: str, slice_byt
                     "score": np.take_along_axis(scores, top, axis=1).ravel(),
                 })
 
-    kind = df.schema[key].dataType.simpleString()
-    found = pairs.select("_asked", "_held").mapInPandas(best, f"_key {kind}, token_name string, score double")
+    return packed.join(held, "_slice").select("_asked", "_held").mapInPandas(best, f"_key {kind}, token_name string, score double")
+
+
+def _top(found: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("_key").orderBy(F.desc("score"), "token_name"))
-    kept = found.withColumn("_rank", rank).filter(F.col("_rank") <= k)
-    lists = kept.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_rank", "token_name", "score"))).alias("_best"))
+    return found.withColumn("_rank", rank).filter(F.col("_rank") <= k)
+
+
+def decode_tokens(df: DataFrame, vectors: DataFrame, k: int, key: str, slice_bytes: int = SLICE_BYTES, bands: int = BANDS) -> DataFrame:
+    """The ``k`` tokens whose vectors have the largest product with the ``vector`` of each state, ties by name.
+
+    The token table is cut into bands by the length of the vectors, and a band into slices by a hash, each one record of bounded size. All states
+    meet the band of the longest vectors first; their k-th best product so far is a threshold, and by Cauchy-Schwarz a
+    state needs no band whose longest vector times its own length is below it. Block and slice meet in a join, are multiplied in Arrow batches, and the
+    best of each slice are merged by state. Only counts and the borders of the bands come to the driver. On vectors of one length all slices are compared.
+    """
+    states = cut_lineage(df.select(F.col(key).alias("_key"), F.col("vector").cast("array<double>").alias("vector")).withColumn("_norm", _norm("vector")))
+    held = cut_lineage(vectors.select("token_name", F.col("vector").cast("array<double>").alias("vector")).withColumn("_norm", _norm("vector")))
+    shape = held.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
+    row_bytes = (shape["d"] or 1) * 8
+    wanted = min(bands, max(1, -(-(shape["n"] * row_bytes) // slice_bytes)))
+    edges: list[float] = []
+    if wanted > 1:
+        ranks = [1 - i / wanted for i in range(1, wanted)]
+        edges = sorted(set(held.agg(F.percentile_approx("_norm", ranks, 10_000)).first()[0]), reverse=True)
+    borders = F.array(*map(F.lit, edges)) if edges else F.array().cast("array<double>")
+    # The number of borders above a vector's length: all vectors of band b > 0 are shorter than border b - 1.
+    held = held.withColumn("_band", F.size(F.filter(borders, lambda e: e > F.col("_norm"))))
+    sizes = {r["_band"]: r["n"] for r in held.groupBy("_band").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = [max(1, -(-(sizes.get(b, 0) * row_bytes) // slice_bytes)) for b in range(len(edges) + 1)]
+    first = [sum(parts[:b]) for b in range(len(parts) + 1)]
+
+    def of_band(values: list[int], band: Column) -> Column:
+        return F.get(F.array(*[F.lit(v).cast("bigint") for v in values]), band)
+
+    part = F.pmod(F.xxhash64("token_name"), of_band(parts, F.col("_band")))
+    sliced = held.groupBy((of_band(first, F.col("_band")) + part).alias("_slice")).agg(
+        F.sort_array(F.collect_list(F.struct("token_name", "vector"))).alias("_held")
+    )
+    blocks = max(1, -(-states.count() // BLOCK_ROWS))
+
+    def sent(rows: DataFrame, start: int, end: Column) -> DataFrame:
+        numbers = F.when(end > start, F.sequence(F.lit(start).cast("bigint"), end - 1))
+        return rows.select("_key", "vector", F.explode(numbers).alias("_slice"))
+
+    best = _top(_best_of_slices(sent(states, 0, F.lit(first[1]).cast("bigint")), sliced, k, blocks), k)
+    if edges:
+        best = cut_lineage(best)
+        least = best.filter(F.col("_rank") == k).select("_key", F.col("score").alias("_least"))
+        # A little slack, for products and lengths are rounded.
+        reached = F.filter(borders, lambda e: F.col("_least").isNull() | (e * F.col("_norm") * (1 + 1e-9) >= F.col("_least")))
+        open_ = states.join(least, "_key", "left").withColumn("_end", of_band(first, F.size(reached) + 1))
+        more = _best_of_slices(sent(open_, first[1], F.col("_end")), sliced, k, blocks)
+        best = _top(best.select("_key", "token_name", "score").union(more), k)
+    lists = best.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_rank", "token_name", "score"))).alias("_best"))
     return lists.select(
         F.col("_key").alias(key), F.transform("_best", lambda b: b["token_name"]).alias("tokens"),
         F.transform("_best", lambda b: b["score"]).alias("scores"),
