@@ -14,6 +14,7 @@ from offerloom.session import scratch_path
 from offerloom.sources import adapters as A
 from offerloom.sources import decision_log as L
 from offerloom.sources import tables as S
+from offerloom.sources.lookup import publish_lookup
 from offerloom.streaming import streams as Z
 
 
@@ -130,18 +131,32 @@ def t3(spark, base):
     )
 
 
-def decide_all(spark, base, out):
-    """Requests arrive as a stream of message files; the state is a stored table."""
+def decide_all(spark, base, out, by_bucket=False):
+    """Requests arrive as a stream of message files; the state is a stored table, or one in buckets."""
     S.overwrite(A.requests(spark, base), f"{out}/requests", n=8)
     requests = Z.event_stream(spark, f"{out}/requests", "event_id bigint, time timestamp, message string")
-    S.overwrite(token_state(spark, base).filter("current_record = 1").select(
+    state = token_state(spark, base).filter("current_record = 1").select(
         F.col("enterprise_id").cast("string").alias("raw_id"), "enterprise_id", "state_tokenized", "state"
-    ), f"{out}/state")
+    )
+    if by_bucket:
+        publish_lookup(state, f"{out}/state", buckets=16)
+    else:
+        S.overwrite(state, f"{out}/state")
     Z.decide_stream(
-        requests, f"{out}/state", size_scores, f"{out}/decisions", f"{out}/errors", f"{out}/checkpoint", f"{out}/log",
+        requests, f"{out}/state", size_scores, f"{out}/decisions", f"{out}/errors", f"{out}/checkpoint", f"{out}/log", by_bucket=by_bucket,
     ).awaitTermination()
 
 
+@query("t3_decide_by_bucket", f"""
+    WITH {DECIDED} SELECT event_id, CAST(CASE WHEN failed THEN 1 ELSE 0 END AS INT) AS failed, array_to_string(legal, ',') AS mask FROM decided""")
+def t3_bucket(spark, base):
+    """The state is looked up in hash buckets of its current version."""
+    out = scratch_path(spark, "t3k")
+    decide_all(spark, base, out, by_bucket=True)
+    rows = spark.read.parquet(f"{out}/decisions")
+    return rows.select("event_id", F.when(F.col("error").isNotNull(), 1).otherwise(0).alias("failed"), joined("mask").alias("mask"))
+
+
 @query("t3_decision_log", f"""
     WITH {DECIDED}, l AS (SELECT * FROM decided WHERE NOT failed AND override IS NULL)
     SELECT session_id AS eps_id, app, CAST(user_id AS VARCHAR) AS enterprise_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, CAST(a AS INT) AS action,

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from offerloom.operators.policy import decide, decision_record, write_decisions
+from offerloom.operators.policy import decide, decision_record, parse_requests, write_decisions
 from offerloom.sources.decision_log import CORRUPT, LOG_WITH_ERRORS, file_date, publish_days
+from offerloom.sources.lookup import read_lookup
 
 
 def event_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options) -> DataFrame:
@@ -167,17 +168,21 @@ def assemble_episodes_stream(messages: DataFrame, idle: str = "1 hour") -> DataF
 
 def decide_stream(
     requests: DataFrame, state: DataFrame | str, q_values, decisions: str, errors: str, checkpoint: str, log: str | None = None,
-    encode: Callable | None = None, **kw
+    encode: Callable | None = None, by_bucket: bool = False, **kw
 ) -> StreamingQuery:
     """Decide each request; all decisions go to one folder, failed ones also to the error folder.
 
     With ``log`` those for training go there as decision records, in dated JSON files for the log reader. ``state`` may be the path of the
-    stored lookup: it is then read anew for each batch, so the stream sees what the nightly job has written.
+    stored lookup: it is then read anew for each batch, so the stream sees what the nightly job has written. ``by_bucket``: the path is that of
+    :func:`offerloom.sources.lookup.publish_lookup`, and a batch opens the buckets of its own ids alone.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         # A batch writes folders of its own, so a repeated batch replaces itself.
         out, spark = f"{decisions}/batch_id={batch_id}", batch.sparkSession
-        known = spark.read.parquet(state) if isinstance(state, str) else state
+        if by_bucket:
+            known = read_lookup(spark, state, parse_requests(batch).select("raw_id"))
+        else:
+            known = spark.read.parquet(state) if isinstance(state, str) else state
         decide(batch, known, q_values, **kw).write.mode("overwrite").parquet(out)
         done = spark.read.parquet(out)
         failed = done.filter("error is not null").select("error", "input", "time")
