@@ -220,6 +220,25 @@ def t4(spark, base):
     )
 
 
+@query("t4_idle_ends", f"""
+    WITH m AS (SELECT user_id, ts, {K} % 12 AS action, value AS reward, CAST(event_type = 'signup' AND {K} >= 80 AS INT) AS done FROM events),
+    s AS (SELECT *, sum(done) OVER (PARTITION BY user_id ORDER BY ts) - done AS ep,
+          row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS back FROM m),
+    n AS (SELECT *, count(*) OVER (PARTITION BY user_id, ep) AS t FROM s)
+    SELECT CAST(user_id AS VARCHAR) AS session, CAST(epoch_us(ts + INTERVAL 2 DAYS) AS BIGINT) AS ts_us, t, action AS prev_action, reward AS prev_reward,
+           1 AS dones FROM n WHERE back = 1 AND done = 0""")
+def t4_ends(spark, base):
+    """Every session that did not say its end, ended by its timer."""
+    k = A.k_of()
+    messages = events(spark, base).select(
+        F.col("user_id").cast("string").alias("session"), F.col("ts").cast("timestamp").alias("time"),
+        F.pmod(k, F.lit(12)).alias("action"), F.col("value").alias("reward"),
+        F.when((F.col("event_type") == "signup") & (k >= 80), 1).otherwise(0).alias("done"),
+    )
+    rows = closed(spark, "t4e", messages, lambda df: Z.assemble_episodes_stream(df, "2 days", ends=True), "2 days")
+    return rows.filter("kind = 'end'").select("session", F.unix_micros("time").alias("ts_us"), "t", "prev_action", "prev_reward", "dones")
+
+
 @query("t5_sessionize_stream", """
     WITH g AS (SELECT user_id, ts, CAST(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOURS AS INT) AS same FROM events),
     s AS (SELECT user_id, ts, sum(1 - coalesce(same, 0)) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM g),

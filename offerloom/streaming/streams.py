@@ -117,24 +117,49 @@ def run_and_close(
 
 STEP_SCHEMA = "session string, t bigint, time timestamp, action int, reward double, prev_action int, prev_reward double, dones int"
 STEP_STATE = "t bigint, prev_action int, prev_reward double"
+ENDED_SCHEMA, ENDED_STATE = f"{STEP_SCHEMA}, kind string", f"{STEP_STATE}, latest bigint"
 
 
-def assemble_episodes_stream(messages: DataFrame, idle: str = "1 hour") -> DataFrame:
+def assemble_episodes_stream(messages: DataFrame, idle: str = "1 hour", ends: bool = False) -> DataFrame:
     """Steps of each session in order of arrival batch and time, with the action and reward before.
 
     ``messages`` has ``session, time, action, reward, done``. Only a counter and the last action and reward are
     kept per session; a session ends with ``done`` or when it stays idle past the watermark. The messages of a
     session within one micro-batch are ordered in memory: bound the batch at the source.
+
+    With ``ends`` a column ``kind`` tells rows apart. ``end``: a session that went idle, with ``dones`` = 1, the number and the values that its next
+    step would have had, and the time at which it counted as idle. ``late``: a message older than one of its session that was
+    numbered in an earlier batch; it gets no number, changes none, and belongs in an error table. ``step``: all others.
     """
     idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
 
+    whole = {"t": "Int64", "action": "Int32", "prev_action": "Int32", "dones": "Int32", "reward": "Float64", "prev_reward": "Float64"}
+
+    def shown(rows: pd.DataFrame) -> pd.DataFrame:
+        out = rows[["session", "t", "time", "action", "reward", "prev_action", "prev_reward", "dones", *(["kind"] if ends else [])]]
+        return out.astype(whole)
+
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        t, action, reward, *before = state.get if state.exists else (0, 0, 0.0)
         if state.hasTimedOut:
             state.remove()
+            if ends:
+                at = pd.Timestamp(before[0], unit="us") + pd.Timedelta(idle)
+                yield shown(pd.DataFrame({
+                    "session": [key[0]], "t": [t], "time": [at], "action": [None], "reward": [None], "prev_action": [action], "prev_reward": [reward],
+                    "dones": [1], "kind": ["end"],
+                }))
             return
-        t, action, reward = state.get if state.exists else (0, 0, 0.0)
         latest, done = None, False
-        rows = pd.concat(list(batches)).sort_values("time", kind="stable").reset_index(drop=True)
+        frames = [b for b in batches if len(b)]
+        if not frames:
+            return
+        rows = pd.concat(frames).sort_values("time", kind="stable").reset_index(drop=True)
+        if ends and before:
+            late = rows["time"] < pd.Timestamp(before[0], unit="us")
+            if late.any():
+                yield shown(rows[late].assign(t=None, prev_action=None, prev_reward=None, dones=rows["done"], kind="late"))
+                rows = rows[~late].reset_index(drop=True)
         if len(rows):
             # A message with done = 1 closes an episode; the next one of the session opens another.
             episode = rows["done"].shift(fill_value=0).cumsum()
@@ -152,17 +177,20 @@ def assemble_episodes_stream(messages: DataFrame, idle: str = "1 hour") -> DataF
             last = out.iloc[-1]
             t, action, reward = int(last["t"]) + 1, int(last["action"]), float(last["reward"])
             latest, done = last["time"], bool(last["dones"])
-            yield out[["session", "t", "time", "action", "reward", "prev_action", "prev_reward", "dones"]]
+            yield shown(out.assign(kind="step"))
         if done:
             state.remove()
         else:
-            state.update((t, action, reward))
+            newest = [before[0] if latest is None else latest.value // 1000] if ends else []
+            state.update((t, action, reward, *newest))
+            if latest is None and ends:
+                latest = pd.Timestamp(before[0], unit="us")
             if latest is not None:
                 floor = state.getCurrentWatermarkMs()
                 state.setTimeoutTimestamp(max(int(latest.timestamp() * 1000) + idle_ms, floor + 1))
 
     return messages.groupBy("session").applyInPandasWithState(
-        advance, STEP_SCHEMA, STEP_STATE, "append", GroupStateTimeout.EventTimeTimeout
+        advance, ENDED_SCHEMA if ends else STEP_SCHEMA, ENDED_STATE if ends else STEP_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 

@@ -143,6 +143,29 @@ def test_episodes_across_batches(spark, tmp_path):
     ]
 
 
+def test_idle_sessions_end_and_late_messages_are_set_aside(spark, tmp_path):
+    t0 = datetime(2024, 1, 1)
+    minute = lambda n: t0 + timedelta(minutes=n)
+    batches = [
+        [("a", minute(10), 5, 1.0, 0), ("b", minute(0), 1, 0.5, 0), ("d", minute(5), 2, 1.5, 1)],
+        [("a", minute(9), 9, 9.0, 0), ("a", minute(11), 6, 2.0, 0)],
+        [("a", minute(8), 9, 9.0, 0)],
+        [("c", minute(600), 3, 0.0, 0)],
+    ]
+    src = str(tmp_path / "m")
+    for rows in batches:
+        spark.createDataFrame(rows, MESSAGE).coalesce(1).write.mode("append").parquet(src)
+        stream = Z.event_stream(spark, src, MESSAGE, maxFilesPerTrigger=1).withWatermark("time", "1 hour")
+        Z.write_stream(Z.assemble_episodes_stream(stream, ends=True), str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "o")).collect()
+    assert sorted((r["session"], r["t"], r["action"], r["prev_action"], r["dones"]) for r in got if r["kind"] == "step") == [
+        ("a", 0, 5, 0, 0), ("a", 1, 6, 5, 0), ("b", 0, 1, 0, 0), ("c", 0, 3, 0, 0), ("d", 0, 2, 0, 1),
+    ]
+    assert sorted((r["time"], r["action"]) for r in got if r["kind"] == "late" and r["t"] is None) == [(minute(8), 9), (minute(9), 9)]
+    ended = sorted((r["session"], r["t"], r["time"], r["action"], r["prev_action"], r["prev_reward"], r["dones"]) for r in got if r["kind"] == "end")
+    assert ended == [("a", 2, minute(71), None, 6, 2.0, 1), ("b", 1, minute(60), None, 1, 0.5, 1)]
+
+
 def history(spark, series):
     rows = [(run, i, 1000 + i, float(v)) for run, vs in series.items() for i, v in enumerate(vs)]
     return spark.createDataFrame(rows, "runid string, step bigint, timestamp bigint, value double")
