@@ -35,6 +35,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hashed(df: DataFrame) -> DataFrame:
+    """A table of narrow rows for a join with texts: texts are shuffled once and not sorted, in one way at every size."""
+    return df.hint("shuffle_hash")
+
+
 # Rows of a few dozen bytes that may be sent to all executors.
 SENT_ROWS = 250_000
 

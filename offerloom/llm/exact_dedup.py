@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import materialize, sized, text_or_empty
+from offerloom.llm.common import hashed, materialize, text_or_empty
 
 BLOCK = 1024
 HOT_SHARE = 1000
@@ -119,7 +119,7 @@ def drop_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", block
     gone = materialize(gone.distinct(), "exact-gone")
     own = text_or_empty(text)
     same = F.col(id).eqNullSafe(F.col("_gone")) & (F.unhex(F.sha2(without_blanks(own), 256)) == F.col("_sha")) & (F.length(own) == F.col("_n"))
-    return df.join(sized(gone), same, "left_anti")
+    return df.join(hashed(gone), same, "left_anti")
 
 
 DEDUP_SQL = r"""
