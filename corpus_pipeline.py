@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.llm import bpe, exact_dedup, language_id, mixing, ngram_join
-from offerloom.llm.common import materialize, sized, table, unused
+from offerloom.llm.common import hashed, materialize, table, unused
 
 LEAST_SHARE = 0.2
 LEAST_LETTERS = 40
@@ -57,13 +57,13 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = ngram_join.near_duplicates(docs).filter("component_id < doc_id").select("doc_id").distinct()
-    return _columns(docs.join(sized(materialize(found, "near-gone")), "doc_id", "left_anti"), docs)
+    return _columns(docs.join(hashed(materialize(found, "near-gone")), "doc_id", "left_anti"), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     id, copies, copy = unused(docs, "id"), unused(docs, "copies"), unused(docs, "copy")
     taken = mixing.mix(docs).filter("copies > 0").groupBy(F.col("doc_id").alias(id)).agg(F.max("copies").cast("int").alias(copies))
-    joined = docs.join(materialize(taken, "mix-taken"), F.col("doc_id").eqNullSafe(F.col(id)))
+    joined = docs.join(hashed(materialize(taken, "mix-taken")), F.col("doc_id").eqNullSafe(F.col(id)))
     return _columns(joined.withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(copies)))), docs)
 
 
