@@ -40,15 +40,6 @@ def hashed(df: DataFrame) -> DataFrame:
     return df.hint("shuffle_hash")
 
 
-# Rows of a few dozen bytes that may be sent to all executors.
-SENT_ROWS = 250_000
-
-
-def sized(df: DataFrame) -> DataFrame:
-    """A written table of narrow rows for a join: sent to all executors if it has few rows, else left to Spark."""
-    return F.broadcast(df) if df.count() <= SENT_ROWS else df
-
-
 def release() -> None:
     """Give memory that a task no longer uses back to the system; its worker waits for the next task beside a large JVM."""
     pa.default_memory_pool().release_unused()
