@@ -5,11 +5,11 @@ of the source. The expected copies are summed along the source in order of size
 document is emitted once for each integer that the sum crosses. So each document gets the expected number rounded down or up,
 and since the order goes by size, the words taken stay close to the target.
 
-The prefix sum is cut by sorted range (``range_prefix``), so a source with a third of all rows is spread over many tasks.
+The prefix sum is cut by sorted range (``prefix_sums``), so a source with a third of all rows is spread over many tasks.
 Targets are solved by water filling over the table of sources: one row per source.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in order; a source without words
-has target 0 and gives nothing; rows repeat as they come, each is a document; an empty table gives an empty result. Input columns with names of this
+has target 0 and gives nothing; of a long text only the words are counted, it is never held or cut; rows repeat as they come, each is a document; an empty table gives an empty result. Input columns with names of this
 operator's output are not read except id, text and source.
 """
 
@@ -18,8 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import NOT_BLANKS, materialize
-from offerloom.operators.blocks import range_prefix
+from offerloom.llm.common import NOT_BLANKS, materialize, prefix_sums
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -87,7 +86,7 @@ def mix(
     goals = targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
     # A key without nulls for the cut by range.
     keyed = base.withColumn("_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
-    ranked = range_prefix(keyed, ["_key"], ["size", "_id"], F.lit(1).cast("long"), "_rank")
+    ranked = prefix_sums(keyed, ["_key"], ["size", "_id"], F.lit(1).cast("long"), "_rank")
     goals = goals.withColumn("_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).drop("source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     crossed = lambda rank: F.floor(F.col("_rate") * rank + F.col("_u"))
