@@ -9,7 +9,8 @@ the output, learn ``learn``, pass over ``rest``; only texts of the role to learn
 
 A conversation is one output row, so its turns meet in one task; there is no other grouping.
 
-Defined results: a null text or role is empty; a null conversation id is a conversation; equal turn numbers and repeated rows are turns of their own; other
+Defined results: a null text or role is empty; long texts are formatted whole, and as a conversation is one row, all of its texts together must stay
+below the 2 GB of a string; a null conversation id is a conversation; equal turn numbers and repeated rows are turns of their own; other
 columns of the input are ignored; an empty table gives an empty result.
 """
 

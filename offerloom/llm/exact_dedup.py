@@ -9,7 +9,7 @@ A block with more than 1 in :data:`HOT_SHARE` of all blocks is hot; there are at
 names are broadcast, and the shuffled look-up has no hot key. Higher levels move a few integers per block, from tables in the
 shared folder; AQE splits their hot keys. The number of levels is the logarithm of the longest text.
 
-Defined results: a null text counts as empty; empty texts are equal to each other and to blank ones; a row that repeats
+Defined results: a null text counts as empty; a long text is named block by block, whatever its length; empty texts are equal to each other and to blank ones; a row that repeats
 an id is a row of its own; of equal texts the one with the most code points, then the smallest id stays (a null id comes last), and rows that
 tie in both stay together; other columns are ignored, or kept as they are where rows are dropped.
 """

@@ -13,7 +13,7 @@ The classifier is learned from a bounded sample: about :data:`TEXTS` whole texts
 model (one filter of :data:`SLOTS` slots) is of fixed size and travels with the task; every text is judged as a whole.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter, and for all texts if nothing could be learned; a text with
-letters of which no gram is known gets the language with most learned texts, score 0. Null languages are not learned; rows
+letters of which no gram is known gets the language with most learned texts, score 0; a long text is judged whole, as a run of its own. Null languages are not learned; rows
 repeat as they come; other columns pass through, existing columns of the output's names are replaced.
 """
 

@@ -16,7 +16,7 @@ Words outside the templates can't be common, so a block is reduced to its templa
 template may be a whole licence text: what is longer than half a block is cut into even pieces of at most that, each a template of its
 own, so that no template is longer than a run that some block holds whole. They are constants of the plan, and so are the bounds of everything that is broadcast or sent to the driver: one row per template word.
 
-Defined results: a null or empty text has no words, no labels and score 0; rows that repeat stay rows of their own; other columns
+Defined results: a null or empty text has no words, no labels and score 0; a long text is scanned whole, as one array of words; rows that repeat stay rows of their own; other columns
 of the input are ignored unless named in ``keep``; an empty table gives an empty result.
 """
 

@@ -15,7 +15,7 @@ class, stood for by its smallest id; only classes are compared, so copies are ne
 Step 1 and the order of step 2 only save work: whatever they miss, step 2 finds, as its filters never drop a pair that links.
 
 Defined results: a text that is null or has no words has an empty set and links with nothing; with fewer words than a shingle the
-whole sequence is the only shingle; rows that repeat an id are one node; a row without an id links with nothing and has no group;
+whole sequence is the only shingle; a long text gives all its shingles, held as one array in the task that reads it; rows that repeat an id are one node; a row without an id links with nothing and has no group;
 other columns are ignored; an empty table gives an empty result.
 """
 
