@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from offerloom.session import cut_lineage
 SLICE_BYTES = 16 * 1024 * 1024
 BLOCK_ROWS = 1024
 BANDS = 64
+# States that the attention encoder unpacks at a time.
+ATTEND_ROWS = 64
 
 
 @dataclass(frozen=True)
@@ -43,6 +47,24 @@ def _attend(w: EncoderWeights, vectors: np.ndarray) -> np.ndarray:
     return pooled @ w.out.T + w.out_bias
 
 
+def _attended(w: EncoderWeights, padding: np.ndarray, places: pa.Array, numbers: pa.Array) -> pa.Array:
+    """Forward pass for lists of positions and, end to end, of the vectors at them.
+
+    The lists stay flat Arrow arrays, no Python object stands for a token, and :data:`ATTEND_ROWS` states are unpacked at a time.
+    """
+    out = [np.zeros((0, len(w.out_bias)))]
+    for start in range(0, len(places), ATTEND_ROWS):
+        part = places.slice(start, ATTEND_ROWS)
+        x = np.tile(padding, (len(part), len(w.positions), 1))
+        row = np.repeat(np.arange(len(part)), pc.list_value_length(part).to_numpy(zero_copy_only=False))
+        at = part.flatten().to_numpy(zero_copy_only=False)
+        x[row, at] = numbers.slice(start, ATTEND_ROWS).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(padding))
+        out.append(_attend(w, x))
+    found = np.concatenate(out)
+    ends = np.arange(len(found) + 1, dtype=np.int32) * found.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found.ravel()))
+
+
 def encode_states(weights: EncoderWeights, c: Column, batch: int = 64) -> Column:
     """Token arrays to dense vectors, by Arrow batches.
 
@@ -75,28 +97,22 @@ def encode_states_attention(
     ``vectors`` has ``token, vector``. Token vectors are joined to the positions of each state and gathered again, at most ``length``
     of them; only the small matrices of ``weights`` travel with the task. A missing token counts as padding.
     """
-    length = len(weights.positions)
+    length, dim = len(weights.positions), weights.attn_in.shape[0]
     newest = F.slice(F.col(tokens), F.greatest(F.size(tokens) - (length - 1), F.lit(1)), length)
     asked = df.select(*keys, F.posexplode_outer(newest).alias("_pos", "token"))
-    placed = F.when(F.col("vector").isNotNull(), F.struct("_pos", "vector"))
-    lists = asked.join(vectors.select("token", "vector"), "token", "left").groupBy(*keys).agg(F.collect_list(placed).alias("_v"))
-    dim = weights.attn_in.shape[0]
+    held = vectors.select("token", F.col("vector").cast("array<double>").alias("vector"))
+    wrong = F.raise_error(F.lit(f"a token vector has not the {dim} numbers of the encoder"))
+    placed = F.when(F.size("vector") == dim, F.struct("_pos", "vector")).when(F.col("vector").isNotNull(), wrong)
+    lists = asked.join(held, "token", "left").groupBy(*keys).agg(F.collect_list(placed).alias("_v"))
     padding = np.zeros(dim) if not len(weights.embeddings) else np.asarray(weights.embeddings[0], dtype=float)
 
-    @F.pandas_udf("array<double>")
-    def attend(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for rows in batches:
-            out = []
-            for start in range(0, len(rows), 64):
-                part = rows.iloc[start:start + 64]
-                x = np.tile(padding, (len(part), length, 1))
-                for i, found in enumerate(part):
-                    for v in found:
-                        x[i, v["_pos"]] = v["vector"]
-                out.extend(_attend(weights, x))
-            yield pd.Series(out, dtype=object)
+    @F.arrow_udf("array<double>")
+    def attend(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for places, numbers in batches:
+            yield _attended(weights, padding, places, numbers)
 
-    return lists.select(*keys, attend("_v").alias("vector"))
+    places, numbers = F.transform("_v", lambda v: v["_pos"]), F.flatten(F.transform("_v", lambda v: v["vector"]))
+    return lists.select(*keys, attend(places, numbers).alias("vector"))
 
 
 def _scaled(x: Column) -> Column:

@@ -258,6 +258,30 @@ def test_attention_over_a_joined_table_equals_the_shipped_one(spark):
     assert got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in want)
 
 
+def test_attention_unpacks_few_states_at_a_time(spark):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, length = 3000, 100
+    w = weights(np.random.default_rng(4), length=length)
+    held = pa.array(np.arange(n * length * 6) % 97 / 97.0)
+    places = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * length), pa.array(np.tile(np.arange(length, dtype=np.int32), n)))
+    numbers = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * length * 6), held)
+    tracemalloc.start()
+    got = M._attended(w, np.zeros(6), places, numbers)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = M._attend(w, held.to_numpy()[-length * 6:].reshape(1, length, 6))[0]
+    assert len(got) == n and np.allclose(got[n - 1].as_py(), want) and peak < 50e6
+    assert M._attended(w, np.zeros(6), places.slice(0, 0), numbers.slice(0, 0)).to_pylist() == []
+    # A vector of another length than the encoder's is an error, not spread over it.
+    df = spark.createDataFrame([(1, [1])], "id bigint, s array<int>")
+    table = spark.createDataFrame([(1, [0.5])], "token int, vector array<double>")
+    with pytest.raises(Exception, match="has not the 6 numbers"):
+        M.encode_states_attention(df, table, w, ["id"], "s").collect()
+
+
 def test_k2_joins_the_token_table(spark, base):
     from offerloom.operators import state as S
     from offerloom.queries import QUERIES, inference
