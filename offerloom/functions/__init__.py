@@ -15,6 +15,7 @@ from offerloom.functions.arrays import (
     softmax,
     softmax_without,
     tail,
+    with_top,
     with_value,
 )
 from offerloom.functions.columns import decrypt, half_even, map_codes, ratio, uniform, week_ending_sunday, yearmonth

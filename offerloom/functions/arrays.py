@@ -43,10 +43,15 @@ def pad_mask(c: Column | str, token: int = 0) -> Column:
     return F.transform(_col(c), lambda x: F.when(x == token, 0).otherwise(1))
 
 
+def with_top(scores: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a struct of the scores ``s`` and the largest of them, ``top``; the scores are evaluated once."""
+    return with_value(scores, lambda s: with_value(F.struct(s.alias("s"), F.array_max(s).alias("top")), body))
+
+
 def _exp_shares(scores: Column) -> Column:
     """exp(x - max) / sum, in two linear passes."""
-    return with_value(
-        F.struct(scores.alias("s"), F.array_max(scores).alias("top")),
+    return with_top(
+        scores,
         lambda v: with_value(
             F.transform(v["s"], lambda x: F.exp(x - v["top"])),
             lambda e: with_value(
@@ -58,8 +63,8 @@ def _exp_shares(scores: Column) -> Column:
 
 
 def _lift_sentinel(scores: Column) -> Column:
-    return with_value(
-        F.struct(scores.alias("s"), F.array_max(scores).alias("top")),
+    return with_top(
+        scores,
         lambda v: F.transform(v["s"], lambda x: F.when(x == SENTINEL_LOGIT, v["top"]).otherwise(x)),
     )
 
@@ -114,9 +119,8 @@ def masked_scores(scores: Column, mask: Column) -> Column:
 
 def legal_argmax(scores: Column, mask: Column) -> Column:
     """Position of the best legal score (the first one on ties), NULL when nothing is legal."""
-    legal = masked_scores(scores, mask)
-    return with_value(
-        F.struct(legal.alias("s"), F.array_max(legal).alias("top")),
+    return with_top(
+        masked_scores(scores, mask),
         lambda v: F.when(v["top"].isNotNull(), F.array_position(v["s"], v["top"]).cast("int") - 1),
     )
 

@@ -15,7 +15,7 @@ from offerloom.fixed_values import (
     ACTION_SPACE, APP_ID_TYPE, CHANCE_OF_NO_ACTION, EPSILON, NO_ACTION, SENTINEL_LOGIT, STATE_MAX_LEN,
 )
 from offerloom.functions import (
-    action_mask, dot, legal_argmax, masked_scores, number_matrix, pick, softmax_without, tail, uniform, with_value,
+    action_mask, dot, legal_argmax, masked_scores, number_matrix, pick, softmax_without, tail, uniform, with_top, with_value,
 )
 from offerloom.schemas import DECISION_LOG
 
@@ -142,15 +142,14 @@ def score_policy(df: DataFrame) -> DataFrame:
 
     Probabilities are a softmax over the legal actions; a tie goes to the first action.
     """
-    legal = masked_scores(F.col("q_values"), F.col("mask"))
-    shares = with_value(
-        F.struct(legal.alias("q"), F.array_max(legal).alias("top")),
-        lambda v: F.transform(v["q"], lambda q: F.when(q.isNull(), 0.0).otherwise(F.exp(q - v["top"]))),
+    shares = with_top(
+        masked_scores(F.col("q_values"), F.col("mask")),
+        lambda v: F.transform(v["s"], lambda q: F.when(q.isNull(), 0.0).otherwise(F.exp(q - v["top"]))),
     )
-    probs = with_value(
-        F.struct(shares.alias("e"), F.aggregate(shares, F.lit(0.0), lambda s, x: s + x).alias("total")),
+    probs = with_value(shares, lambda e: with_value(
+        F.struct(e.alias("e"), F.aggregate(e, F.lit(0.0), lambda s, x: s + x).alias("total")),
         lambda v: F.transform(v["e"], lambda x: F.try_divide(x, v["total"])),
-    )
+    ))
     scored = df.withColumn("probs", probs).withColumn("action", legal_argmax(F.col("q_values"), F.col("mask")))
     prob = pick("probs", "action")
     return scored.withColumn("action_prob", prob).withColumn("action_logp", F.ln(F.col("action_prob")))
@@ -215,9 +214,10 @@ def decide(
     flag changes it, its id is that of the flag (NULL if the space has no such action), and it has no probability. Such rows have
     ``logged`` = 0, as those with an error: they don't belong in training data.
     """
-    asked = apply_priority(parse_requests(requests))
+    # The join comes first: only what a request says is shuffled, not the lists of names and masks that are made of it.
+    asked = apply_priority(parse_requests(requests)).join(state, "raw_id", "left")
     masked = suppress_none(with_action_mask(asked, spec), f"{seed}-none", "session_id", chance=chance)
-    known = masked.join(state, "raw_id", "left").withColumns({
+    known = masked.withColumns({
         "raw_state": tail(F.coalesce("state_tokenized", F.array(F.lit(0))), STATE_MAX_LEN),
         "raw_state_str": F.concat(
             F.coalesce("state", F.array().cast("array<string>")), F.array(F.coalesce("intent", F.lit("")))
@@ -269,9 +269,9 @@ def decision_record(
 
 
 def write_decisions(record: DataFrame, path: str) -> None:
-    """Dated JSON files that ``read_decisions`` reads."""
+    """Dated JSON files that ``read_decisions`` reads, compressed: a record repeats all names of its state. A file is that of one task."""
     fields = [c for c in record.columns if c != "log_date"]
     text = record.withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss")).select(
         F.to_json(F.struct(*fields)).alias("value"), "log_date"
     )
-    text.write.mode("overwrite").partitionBy("log_date").text(path)
+    text.write.mode("overwrite").options(**{"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}).partitionBy("log_date").text(path)

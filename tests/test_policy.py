@@ -345,3 +345,34 @@ def test_samples_are_the_least_random_numbers(spark, n):
     want = [r["k"] for r in df.orderBy(X.uniform("k", seed=5), "k").limit(n).collect()]
     assert sorted(r["k"] for r in N.epoch_sample(df, n, 5, "k").collect()) == sorted(want)
     assert sorted(r["k"] for r in N.sample_n(df.union(df), n, 5, "k").collect()) == sorted(want)
+
+
+DECIDED_STATE = "raw_id string, enterprise_id bigint, state_tokenized array<int>, state array<string>"
+
+
+def decided_requests(spark, n, names):
+    body = '{"app": "IVR", "app_data": {"cagm": "%d", "ivrcallid": "c%d", "callintent": "refill", "eligibilityflags": ["sms", "refill"]}}'
+    df = spark.createDataFrame([(i, body % (i % 3, i)) for i in range(n)], "event_id bigint, message string").withColumn("time", F.lit("2024-01-05 10:00:00").cast("timestamp"))
+    state = spark.createDataFrame([(str(i), i, list(range(len(names))), names) for i in range(2)], DECIDED_STATE)
+    return P.decide(df, state, lambda c: F.transform(F.sequence(F.lit(0), F.lit(18)), lambda i: i.cast("double")))
+
+
+def test_a_decision_shuffles_requests_before_lists_are_made_of_them(spark):
+    plan = decided_requests(spark, 3, ["a___0"])._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join LeftOuter")
+    assert " AS mask#" in above and " AS names#" not in below and " AS mask#" not in below and "action_ids" not in below
+
+
+def test_the_decision_log_is_compressed_and_read_back_whole(spark, tmp_path):
+    from offerloom.sources.decision_log import read_decisions, split_valid
+
+    names = [f"session_event___{i}" for i in range(100)]
+    record = P.decision_record(decided_requests(spark, 400, names)).coalesce(1)
+    P.write_decisions(record, f"{tmp_path}/log")
+    files = list(tmp_path.glob("log/log_date=2024-01-05/part-*"))
+    text = sum(len(r["v"]) for r in record.select(F.to_json(F.struct("*")).alias("v")).collect())
+    good, bad = split_valid(read_decisions(spark, f"{tmp_path}/log"))
+    cols = ["eps_id", "enterprise_id", "actions", "mask", "raw_state", "raw_state_str", "obs", "action_prob"]
+    key = lambda df: sorted(map(str, df.select(*cols).collect()))
+    assert bad.count() == 0 and good.count() == 400 and key(good) == key(record)
+    assert sum(f.stat().st_size for f in files) < text / 4
