@@ -107,6 +107,22 @@ def flag_current(state: DataFrame) -> DataFrame:
     return state.withColumn("current_record", F.when(F.row_number().over(newest_first) == 1, 1).otherwise(0))
 
 
+def newest_state(tokens: DataFrame, max_len: int = STATE_MAX_LEN) -> DataFrame:
+    """The rows that :func:`flag_current` marks in :func:`state_history`, without counts, and without the states of earlier days.
+
+    Those are as many arrays as an entity has days. Here Spark keeps an entity's newest ``max_len`` tokens in each task before the one shuffle.
+    """
+    cols = ["date", "date_time", "token_name", "token"]
+    rows = tokens.select("enterprise_id", *cols).filter("enterprise_id IS NOT NULL AND date IS NOT NULL")
+    newest = Window.partitionBy("enterprise_id").orderBy(*[F.col(c).desc() for c in cols])
+    kept = rows.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= max_len)
+    lists = kept.groupBy("enterprise_id").agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("_all"))
+    return lists.select(
+        "enterprise_id", F.array_max("_all.date").alias("date"), F.col("_all.token_name").alias("state"),
+        F.col("_all.token").alias("state_tokenized"), F.lit(1).alias("current_record"),
+    )
+
+
 def session_state(sessions: DataFrame, max_len: int = STATE_MAX_LEN) -> DataFrame:
     """All sessions of an entity in one sequence: its newest ``max_len`` tokens and the original length.
 
@@ -200,6 +216,6 @@ def attach_next_state(rows: DataFrame, state: DataFrame, key: str = "enterprise_
 
 __all__ = [
     "bounded_days", "history_of_days", "attach_current_state", "attach_next_state", "attach_state", "attach_state_asof", "daily_state",
-    "flag_current", "population_state", "restrict_to", "select_features", "select_sessions", "session_state",
+    "flag_current", "newest_state", "population_state", "restrict_to", "select_features", "select_sessions", "session_state",
     "state_history", "state_lookup",
 ]

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from offerloom.operators import episodes as E
 from offerloom.operators import rewards as W
+from offerloom.operators.state import newest_state
 from offerloom.queries.functions import MASKS
-from offerloom.queries.joins import token_state
+from offerloom.queries.joins import tokens
 from offerloom.queries.registry import DECISIONS, K, TOKEN_STATE, joined, query, text, u
 from offerloom.queries.sources import PENALTY, penalty_fact, write_log
-from offerloom.session import scratch_path
+from offerloom.session import scratch_path, shuffle_width
 from offerloom.sources import adapters as A
 from offerloom.sources import decision_log as L
 from offerloom.sources import tables as S
@@ -133,9 +134,9 @@ def t3(spark, base):
 
 def decide_all(spark, base, out, by_bucket=False):
     """Requests arrive as a stream of message files; the state is a stored table, or one in buckets."""
-    S.overwrite(A.requests(spark, base), f"{out}/requests", n=8)
+    S.overwrite(A.requests(spark, base), f"{out}/requests", n=max(8, shuffle_width(spark)))
     requests = Z.event_stream(spark, f"{out}/requests", "event_id bigint, time timestamp, message string")
-    state = token_state(spark, base).filter("current_record = 1").select(
+    state = newest_state(tokens(spark, base)).select(
         F.col("enterprise_id").cast("string").alias("raw_id"), "enterprise_id", "state_tokenized", "state"
     )
     if by_bucket:

@@ -136,3 +136,17 @@ def test_demographics_alone_are_limited_by_date(spark):
     assert {(r["feature_type"], r["d"]) for r in S.select_features(df, "2024-01-31").collect()} == {
         ("session_event", "2001-01-01"), ("other", "2024-01-01"),
     }
+
+
+def test_newest_state_is_the_flagged_row_of_the_history(spark):
+    rows = [(e, d, None if i == 2 else f"{d} 00:00:{i % 4:02d}", f"t{i % 5}", i % 5) for e in (1, 2) for d in ("2024-01-01", "2024-01-02", "2024-01-05")
+            for i in range(e * 3)]
+    rows += [rows[0], (None, "2024-01-01", "2024-01-01 00:00:00", "a", 1), (1, None, None, "b", 2), (3, "2024-01-03", None, "c", None)]
+    df = spark.createDataFrame(rows, "enterprise_id int, date string, date_time string, token_name string, token int").withColumn("date", F.to_date("date"))
+    cols = ["enterprise_id", "date", "state", "state_tokenized", "current_record"]
+    for most in (1, 2, 4, 7, 100):
+        want = S.flag_current(S.state_history(df, most)).filter("current_record = 1").select(*cols).collect()
+        newest = S.newest_state(df, most)
+        assert sorted(map(str, newest.select(*cols).collect())) == sorted(map(str, want)) and len(want) == 3
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(enterprise_id") == 1
