@@ -1,11 +1,13 @@
 """Hard negatives: for an anchor and each of its nearest rows of the same label, the nearest rows of other labels that score just below.
 
 Scores are integer inner products of quantised vectors. Rows are packed into blocks, and every block of anchors meets every block of rows as a
-pair of matrices; the anchors are a stated set of queries. Two passes:
+pair of matrices; the anchors are a stated set of queries. Blocks are dealt to the cells of a grid, groups of rows by groups of anchors: a cell is
+a task that holds its rows and lets its anchors pass. They come there by a shuffle and never by a broadcast, whose copies the driver would
+gather. Two passes:
 
-1. Positives: a pair of blocks gives, per anchor, its best rows of the same label; of those the best :data:`POSITIVES` stay.
+1. Positives: a cell gives, per anchor, its best rows of the same label; of those the best :data:`POSITIVES` stay.
 2. Negatives: the scores of the positives open windows: a row of another label belongs to the window of a positive of score ``p`` if its own is
-   at most ``p`` and at least :data:`LOW` / :data:`HIGH` of it. A pair of blocks gives, per anchor and window, the best :data:`NEGATIVES` rows, as only
+   at most ``p`` and at least :data:`LOW` / :data:`HIGH` of it. A cell gives, per anchor and window, the best :data:`NEGATIVES` rows, as only
    they can be among the best of all.
 
 What is left goes through a secondary sort: positives and candidates are packed into binary keys (anchor, descending score, kind, id), partitioned
@@ -14,7 +16,7 @@ rows: a positive opens its window, a candidate is given to all open windows that
 windows of one anchor is held. At equal scores positives come first, since a candidate of the same score is in their window.
 
 Skew: blocks are cut by rows, so neither a label, nor a vector, nor an id that holds a third of all rows makes a task larger. The work is queries x rows, as the
-question is; nothing of it is broadcast by force or brought to the driver.
+question is; nothing of it is broadcast, and only counts reach the driver.
 
 Defined results: rows with a null id, label or vector, or with a component that is null or not finite, take no part. Rows of the
 anchor's own id are no partners of it; each row of an anchor's id is an anchor of its own. Rows that repeat as a whole are rows. Vectors of
@@ -25,15 +27,17 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import struct
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import materialize, release
+from offerloom.llm.common import hashed, materialize, release
 from offerloom.session import shuffle_width
 
 SCALE = 256
@@ -42,8 +46,12 @@ NEGATIVES = 5
 LOW, HIGH = 80, 100
 # Rows and anchors of a block.
 ROWS, ANCHORS = 4096, 512
+# Anchors that are scored at a time, so that a matrix of scores stays in the cache.
+SLICE = 256
+# A cell has at least so many products of components (or is the only one), and holds about so many bytes of rows. Bytes that an anchor's best rows take in each cell.
+CELL, HELD, GIVEN = 1 << 33, 1 << 25, 256
 _BLOCK = "place long, dim int, ids binary, labels binary, vectors binary, windows binary"
-_NONE = np.iinfo(np.int64).min
+_NONE, _MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 _KEY = struct.Struct(">QQQBQ")
 _SIGN = 1 << 63
 
@@ -69,9 +77,9 @@ def _packed(rows: DataFrame, size: int, windows: int) -> DataFrame:
         def block(dim: int) -> pa.RecordBatch:
             t = pa.Table.from_batches(held.pop(dim)).combine_chunks()
             del count[dim]
-            flat = lambda name: pa.concat_arrays([c.flatten() for c in t.column(name).chunks]).to_numpy(zero_copy_only=False).astype("<i8").tobytes()
+            flat = lambda name: pa.concat_arrays([c.flatten() for c in t.column(name).chunks]).to_numpy(zero_copy_only=False).astype("<i8")
             plain = lambda name: t.column(name).to_numpy().astype("<i8").tobytes()
-            columns = [[0], [dim], [plain("id")], [plain("label")], [flat("q")], [flat("scores") if windows else b""]]
+            columns = [[0], [dim], [plain("id")], [plain("label")], [narrow(flat("q")).tobytes()], [flat("scores").tobytes() if windows else b""]]
             kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], _BLOCK_NAMES)
 
@@ -100,88 +108,195 @@ def _packed(rows: DataFrame, size: int, windows: int) -> DataFrame:
 _BLOCK_NAMES = [c.split()[0] for c in _BLOCK.split(", ")]
 
 
+def narrow(a: np.ndarray) -> np.ndarray:
+    """The same integers in two, four or eight bytes each."""
+    for kind in ("<i2", "<i4"):
+        if a.min(initial=0) >= np.iinfo(kind).min and a.max(initial=0) <= np.iinfo(kind).max:
+            return a.astype(kind)
+    return a
+
+
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products of all rows of ``a`` and ``b`` (64-bit integers), exact."""
-    most = int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * max(1, a.shape[1])
+    """Integer inner products of all rows of ``a`` and ``b``, exact: as floats where all sums fit them, else as 64-bit integers."""
+    size = lambda x: max(int(x.max(initial=0)), -int(x.min(initial=0)))
+    most = size(a) * size(b) * max(1, a.shape[1])
+    if most < 1 << 24:
+        return a.astype(np.float32) @ b.astype(np.float32).T
     if most < 1 << 53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
+        return a.astype(np.float64) @ b.astype(np.float64).T
     if most < 1 << 63:
-        return a @ b.T
+        return a.astype(np.int64) @ b.astype(np.int64).T
     raise ValueError("components are too large: an inner product might not fit 64 bits")
 
 
+def _bound(least: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """A bound per row of ``score`` in its type; all scores lie inside the limits of that type."""
+    limit = {np.dtype(np.float32): 1 << 24, np.dtype(np.float64): 1 << 53}.get(score.dtype)
+    return (least if limit is None else np.clip(least, -limit, limit).astype(score.dtype))[:, None]
+
+
+def _places(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.divmod(np.flatnonzero(chosen), chosen.shape[1])
+
+
 def best(score: np.ndarray, allowed: np.ndarray, order: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of the ``n`` largest allowed scores of each row; ties by ``order``, the rank of a column's id."""
-    # A threshold first: the n-th largest score of each row; what ties with it is settled by id.
+    """Row and column of the ``n`` largest allowed scores of each row, in no order and beside others that tie; ``order``: the rank of a column's id."""
     n_columns = score.shape[1]
-    masked = np.where(allowed, score, _NONE)
-    if n_columns > n:
-        least = np.partition(masked, n_columns - n, axis=1)[:, n_columns - n]
-        allowed = allowed & (masked >= least[:, None])
-    row, column = np.nonzero(allowed)
-    by = np.lexsort((order[column], -score[row, column], row))
-    row, column = row[by], column[by]
-    place = np.arange(len(row)) - np.searchsorted(row, row)
-    return row[place < n], column[place < n]
+    if n_columns <= n:
+        return _places(allowed)
+    # A threshold: columns in chunks, and of their largest scores the n-th, which n scores reach at least.
+    masked = np.where(allowed, score, _NONE if score.dtype == np.int64 else score.dtype.type(-np.inf))
+    chunk = max(1, n_columns // (16 * n))
+    chunks = n_columns // chunk
+    largest = masked[:, : chunks * chunk].reshape(len(score), chunks, chunk).max(axis=2)
+    chosen = allowed & (masked >= np.partition(largest, chunks - n, axis=1)[:, chunks - n, None])
+    most = max(abs(int(score.max())), abs(int(score.min())))
+    if np.count_nonzero(chosen) <= 4 * n * len(score) or most >= (1 << 62) // n_columns:
+        return _places(chosen)
+    # Many ties: score and rank in one integer.
+    key = np.where(chosen, score.astype(np.int64) * n_columns + (n_columns - 1 - order), _NONE)
+    column = np.argpartition(key, n_columns - n, axis=1)[:, n_columns - n:]
+    row, at = np.nonzero(np.take_along_axis(chosen, column, axis=1))
+    return row, column[row, at]
+
+
+class _Rows(NamedTuple):
+    """A block of rows; ``sorted``: its ids in order, ``order``: the rank of each row by id."""
+
+    ids: np.ndarray
+    labels: np.ndarray
+    vectors: np.ndarray
+    sorted: np.ndarray
+    order: np.ndarray
+
+
+def _rows(ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray) -> _Rows:
+    by = np.argsort(ids, kind="stable")
+    order = np.empty(len(ids), dtype=np.int64)
+    order[by] = np.arange(len(ids))
+    return _Rows(ids, labels, vectors, ids[by], order)
 
 
 def _unpack(record: dict, windows: int) -> tuple[np.ndarray, ...]:
     ids, labels = np.frombuffer(record["ids"], "<i8"), np.frombuffer(record["labels"], "<i8")
-    vectors = np.frombuffer(record["vectors"], "<i8").reshape(len(ids), record["dim"])
+    components = len(ids) * record["dim"]
+    vectors = np.frombuffer(record["vectors"], f"<i{len(record['vectors']) // components if components else 8}").reshape(len(ids), record["dim"])
     return ids, labels, vectors, np.frombuffer(record["windows"], "<i8").reshape(len(ids), windows)
 
 
-def _meet(rows: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Every block of anchors beside every block of rows of the same length, in columns with suffix 2."""
-    groups = shuffle_width(rows.sparkSession)
-    dealt = rows.drop("windows").withColumn("_group", F.pmod(F.xxhash64("place"), F.lit(groups).cast("long")))
-    copied = anchors.select(*[F.col(c).alias(f"{c}2") for c in _BLOCK_NAMES], F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("_group2"))
-    return dealt.join(copied, (F.col("_group") == F.col("_group2")) & (F.col("dim") == F.col("dim2"))).drop("_group", "_group2")
+def search(
+    ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray, blocks: list[_Rows], same: bool, tops: np.ndarray, bottoms: np.ndarray, n: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, id and score of the rows of ``blocks`` that are among the ``n`` best of an anchor in one of its windows, each row once.
+
+    ``same``: rows of the anchor's label, or of others; ``tops`` and ``bottoms``: the windows' bounds, a row per anchor.
+    """
+    # A window with n rows rises to the score of the last of them: few scores of later blocks reach it.
+    floors, width = bottoms.copy(), bottoms.shape[1]
+    tops_of_all = tops.max(axis=1)
+    # Of the best so far: anchor * width + window, id, score, and a number of the row in all blocks.
+    own, id, value, place = (np.empty(0, dtype=np.int64) for _ in range(4))
+    before = 0
+    for block in blocks:
+        score = scores(vectors, block.vectors)
+        allowed = score >= _bound(floors.min(axis=1), score)
+        allowed &= score <= _bound(tops_of_all, score)
+        allowed &= (labels[:, None] == block.labels) if same else (labels[:, None] != block.labels)
+        met = block.sorted[np.minimum(np.searchsorted(block.sorted, ids), len(block.sorted) - 1)] == ids
+        allowed[met] &= ids[met, None] != block.ids
+        found = [(own, id, value, place)]
+        sparse = np.count_nonzero(allowed) <= 16 * n * len(ids)
+        if sparse:
+            all_rows, all_columns = _places(allowed)
+            all_values = score[all_rows, all_columns].astype(np.int64)
+        for window in range(width):
+            if sparse:
+                inside = (all_values >= floors[all_rows, window]) & (all_values <= tops[all_rows, window])
+                row, column = all_rows[inside], all_columns[inside]
+            else:
+                inside = allowed & (score >= _bound(floors[:, window], score)) & (score <= _bound(tops[:, window], score))
+                row, column = best(score, inside, block.order, n)
+            found.append((row * width + window, block.ids[column], score[row, column].astype(np.int64), column + before))
+        before += len(block.ids)
+        own, id, value, place = (np.concatenate(x) for x in zip(*found, strict=True))
+        by = np.lexsort((id, -value, own))
+        own, id, value, place = own[by], id[by], value[by], place[by]
+        rank = np.arange(len(own)) - np.searchsorted(own, own)
+        last = rank == n - 1
+        floors.reshape(-1)[own[last]] = value[last]
+        own, id, value, place = (x[rank < n] for x in (own, id, value, place))
+    # Windows overlap: a row comes once per anchor.
+    row = own // width
+    _, first = np.unique(row * before + place, return_index=True)
+    return row[first], id[first], value[first]
+
+
+def _grid(rows: DataFrame, anchors: DataFrame) -> tuple[int, int]:
+    """Groups of rows and of anchors, whose pairs are the cells."""
+
+    def size(blocks: DataFrame) -> list[int]:
+        n, bytes_of = F.length("ids") / 8, F.length("ids") + F.length("labels") + F.length("vectors")
+        return [int(x or 0) for x in blocks.agg(F.count(F.lit(1)), F.sum(n), F.sum(n * F.col("dim")), F.sum(bytes_of)).first()]
+
+    (blocks, n, components, row_bytes), (anchor_blocks, n_anchors, _, anchor_bytes) = size(rows), size(anchors)
+    # Scores cost about as much as products of 64 components do.
+    cells = min(shuffle_width(rows.sparkSession), math.ceil((components + 64 * n) * n_anchors / CELL))
+    across = round(math.sqrt(cells * (anchor_bytes + GIVEN * n_anchors) / max(1, row_bytes)))
+    across = max(1, min(across, anchor_blocks, cells))
+    return max(1, min(max(math.ceil(cells / across), math.ceil(row_bytes / HELD)), blocks)), across
+
+
+def _meet(rows: DataFrame, anchors: DataFrame, grid: tuple[int, int]) -> DataFrame:
+    """Blocks of rows (``kind`` 0) and of anchors (1) by cell, a cell in a partition of its own, its rows first."""
+    down, across = grid
+    group = lambda n: F.pmod(F.xxhash64("place"), F.lit(n).cast("long")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    own = rows.select(*_BLOCK_NAMES, F.lit(0).alias("kind"), group(down).alias("_down"), every(across).alias("_across"))
+    asked = anchors.select(*_BLOCK_NAMES, F.lit(1).alias("kind"), every(down).alias("_down"), group(across).alias("_across"))
+    dealt = own.unionByName(asked).withColumn("cell", F.col("_down") * across + F.col("_across")).drop("_down", "_across")
+    return dealt.repartitionById(down * across, "cell").sortWithinPartitions("cell", "kind")
 
 
 _PAIR = "anchor long, place long, id long, score long"
 
 
-def _pairs(met: DataFrame, windows: int, n: int, low: int, high: int) -> DataFrame:
+def _pairs(met: DataFrame, windows: int, n: int, low: int, high: int, rows_in_block: int = ROWS) -> DataFrame:
     """Best rows per anchor: of the same label without windows, of other labels and per window with them. ``place``: number of the anchor row."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for record in batch.to_pylist():
-                ids, labels, vectors, _ = _unpack(record | {"windows": b""}, 0)
-                ids2, labels2, vectors2, opened = _unpack({c: record[f"{c}2"] for c in _BLOCK_NAMES}, windows)
-                order = np.empty(len(ids), dtype=np.int64)
-                order[np.argsort(ids, kind="stable")] = np.arange(len(ids))
-                found = []
-                for start in range(0, len(ids2), 128):
-                    part = slice(start, start + 128)
-                    score = scores(vectors2[part], vectors)
-                    same = labels2[part, None] == labels[None, :]
-                    if not windows:
-                        row, column = best(score, same & (ids2[part, None] != ids[None, :]), order, n)
-                        found.append((row + start, column, score[row, column]))
-                        continue
-                    for window in opened[part].T:
-                        # A positive below zero has an empty window; a missing one is marked.
-                        inside = ~same & (ids2[part, None] != ids[None, :]) & (window != _NONE)[:, None] & (score <= window[:, None])
-                        inside &= _at_least(score, window, low, high)
-                        row, column = best(score, inside, order, n)
-                        found.append((row + start, column, score[row, column]))
-                row, column, score = (np.concatenate(x) for x in zip(*found, strict=True))
-                # Windows overlap: a row of the block comes once per anchor.
-                _, first = np.unique(np.stack([row, column], axis=1), axis=0, return_index=True)
-                row, column, score = row[first], column[first], score[first]
-                place = record["place2"] * ANCHORS + row
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids2[row], place, ids[column], score)], ["anchor", "place", "id", "score"])
+        cell, held = None, {}
+        for record in (batch.slice(i, 1).to_pylist()[0] for batch in batches for i in range(len(batch))):
+            if record["cell"] != cell:
+                cell, held = record["cell"], {}
+            if record["kind"] == 0:
+                *block, _ = _unpack(record, 0)
+                blocks = held.setdefault(record["dim"], [])
+                # Small blocks of many files become larger ones.
+                if blocks and len(blocks[-1].ids) + len(block[0]) <= rows_in_block:
+                    block = [np.concatenate(x) for x in zip(blocks.pop()[:3], block, strict=True)]
+                blocks.append(_rows(*block))
+                continue
+            ids, labels, vectors, opened = _unpack(record, windows)
+            if windows:
+                tops, bottoms = _bounds(opened, low, high)
+            else:
+                tops, bottoms = np.full((len(ids), 1), _MOST), np.full((len(ids), 1), _NONE)
+            for start in range(0, len(ids), SLICE):
+                part = slice(start, start + SLICE)
+                row, id, score = search(ids[part], labels[part], vectors[part], held.get(record["dim"], []), not windows, tops[part], bottoms[part], n)
+                place = record["place"] * ANCHORS + start + row
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[part][row], place, id, score)], ["anchor", "place", "id", "score"])
         release()
 
     return met.mapInArrow(meet, _PAIR)
 
 
-def _at_least(score: np.ndarray, window: np.ndarray, low: int, high: int) -> np.ndarray:
-    """low * window <= high * score, without products that leave 64 bits."""
-    least = np.array([-(-low * int(w) // high) if w != _NONE else 0 for w in window.tolist()], dtype=np.int64)
-    return score >= least[:, None]
+def _bounds(window: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Largest and least score of each window (low * window <= high * score), without products that leave 64 bits."""
+    least = np.array([min(-(-low * w // high), _MOST) if w != _NONE else 0 for w in window.reshape(-1).tolist()], dtype=np.int64).reshape(window.shape)
+    # A missing positive has no window; one below zero has an empty one.
+    none = (window == _NONE) | (least > window)
+    return np.where(none, _NONE, window), np.where(none, _MOST, least)
 
 
 def _key(anchor: int, place: int, score: int, kind: int, id: int) -> bytes:
@@ -223,10 +338,11 @@ def mine(
     blocks = materialize(_packed(rows, rows_in_block, 0), "negatives-rows")
     asked = materialize(_packed(rows.filter("_anchor"), ANCHORS, 0), "negatives-anchors")
 
-    found = _pairs(_meet(blocks, asked), 0, positives, low, high)
+    grid = _grid(blocks, asked)
+    found = _pairs(_meet(blocks, asked, grid), 0, positives, low, high, rows_in_block)
     kept = materialize(_best_of(found, positives), "negatives-positives")
     opened = materialize(_with_windows(asked, kept, positives), "negatives-windows")
-    candidates = _pairs(_meet(blocks, opened), positives, negatives, low, high)
+    candidates = _pairs(_meet(blocks, opened, grid), positives, negatives, low, high, rows_in_block)
     every = kept.select("anchor", "place", "score", F.lit(0).alias("kind"), "id").union(
         candidates.select("anchor", "place", "score", F.lit(1).alias("kind"), "id")
     )
@@ -257,7 +373,7 @@ def mine(
 
 
 def _best_of(pairs: DataFrame, n: int) -> DataFrame:
-    """The ``n`` best rows of each anchor row, of the few that each pair of blocks gave."""
+    """The ``n`` best rows of each anchor row, of the few that each cell gave."""
     order = Window.partitionBy("place").orderBy(F.desc("score"), "id")
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
@@ -268,7 +384,7 @@ def _with_windows(asked: DataFrame, positives: DataFrame, n: int) -> DataFrame:
         positives.withColumn("block", F.shiftright("place", ANCHORS.bit_length() - 1))
         .groupBy("block").agg(F.collect_list(F.struct((F.col("place") % ANCHORS).alias("row"), "rank", "score")).alias("found"))  # at most ANCHORS x n
     )
-    joined = asked.drop("windows").join(mine, F.col("place") == F.col("block"), "left").select(*_BLOCK_NAMES[:-1], "found")
+    joined = asked.drop("windows").join(hashed(mine), F.col("place") == F.col("block"), "left").select(*_BLOCK_NAMES[:-1], "found")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
